@@ -1,0 +1 @@
+"""tables queries."""
