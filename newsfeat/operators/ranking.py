@@ -6,14 +6,18 @@ helpers below never do that:
 
 * The data is **range-partitioned** on ``(group, order)`` keys, so one hot group
   spreads over many partitions (the order key splits it); a ``repartitionByRange``
-  with an explicit partition count is not coalesced by AQE, so partition ids
-  are stable between the two branches that read the same (reused) exchange.
+  with an explicit partition count is not coalesced by AQE.
 * Each partition knows the local position of a row (``monotonically_increasing_id``
   after a sort inside the partition, or a window on ``(_pid, group)`` for
   weighted sums).
 * A **small** table of per-(partition, group) totals gives every partition the
   offset of its first row inside the group.  It has at most
   ``partitions + groups`` rows and is joined back by broadcast.
+* The range-partitioned frame is **checkpointed** (reliable checkpoint in the
+  session's ``spark.checkpoint.dir``) before it feeds both the totals and the
+  join.  Two independently planned range exchanges would sample different
+  bounds, and partition ids must agree between the branches; the checkpoint
+  also keeps the positions fixed if an executor is lost afterwards.
 
 All order keys passed in must form a total order inside a group (add a unique
 column such as ``uri`` as the last key) so that results are deterministic and
@@ -38,6 +42,14 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (cuts lineage)."""
+    from newsfeat.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def default_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -74,6 +86,7 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     r = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
+    r = materialize(r)
     stats = r.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     by_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
     before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -102,7 +115,7 @@ def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: S
     r = cells.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
     local = (Window.partitionBy("_pid", *group_cols).orderBy(*keys)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    r = r.withColumn("_lcum", F.sum(weight).over(local))
+    r = materialize(r.withColumn("_lcum", F.sum(weight).over(local)))
     stats = r.groupBy("_pid", *group_cols).agg(F.sum(weight).alias("_ps"))
     by_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
     before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -83,8 +83,8 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, name: str = "kendall") -> DataF
     c = cells.join(xr, "_x")
     levels = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_dx").cast("double"))).cast("int") - 1))
     lv = (c.withColumn("_lvl", F.explode(levels))
-          .withColumn("_block", F.shiftright(F.col("_r"), F.col("_lvl") + 1))
-          .withColumn("_half", F.shiftright(F.col("_r"), F.col("_lvl")).bitwiseAND(F.lit(1)))
+          .withColumn("_block", F.expr("shiftright(_r, _lvl + 1)"))
+          .withColumn("_half", F.expr("shiftright(_r, _lvl) & 1"))
           .withColumn("_lw", F.when(F.col("_half") == 0, F.col("_n")).otherwise(F.lit(0)))
           .withColumn("_tie", F.lit(1) - F.col("_half")))
     cum = cumulative_within(lv, ["_lvl", "_block"], ["_y", "_tie", "_x"], "_lw", cum="_below_incl",
@@ -98,12 +98,12 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, name: str = "kendall") -> DataF
     below = F.col("_below_incl")
     above = F.col("_left_total") - below - F.col("_eq")
     S = r.agg(F.sum((F.col("_n") * (below - above)).cast("double")).alias("_S"))
-    tot = cells.agg(F.sum("_n").cast("double").alias("_N"))
+    tot = cells.agg(F.sum("_n").cast("double").alias("_tot_n"))
     tx = cells.groupBy("_x").agg(F.sum("_n").alias("_t")).agg(
         F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias("_n1"))
     ty = cells.groupBy("_y").agg(F.sum("_n").alias("_t")).agg(
         F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias("_n2"))
-    n0 = F.col("_N") * (F.col("_N") - 1) / 2
+    n0 = F.col("_tot_n") * (F.col("_tot_n") - 1) / 2
     return (S.crossJoin(tot).crossJoin(tx).crossJoin(ty)
             .select((F.coalesce(F.col("_S"), F.lit(0.0)) /
                      F.sqrt((n0 - F.col("_n1")) * (n0 - F.col("_n2")))).alias(name)))
@@ -116,7 +116,7 @@ def binned_mutual_information(df: DataFrame, x: str, y: str, bins: int = 10, nam
     base = (df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
             .where(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
     rng = base.agg(F.min("_x").alias("_x0"), F.max("_x").alias("_x1"),
-                   F.min("_y").alias("_y0"), F.max("_y").alias("_y1"), F.count(F.lit(1)).alias("_N"))
+                   F.min("_y").alias("_y0"), F.max("_y").alias("_y1"), F.count(F.lit(1)).alias("_tot_n"))
 
     def binof(v, lo, hi):
         w = F.col(hi) - F.col(lo)
@@ -124,12 +124,12 @@ def binned_mutual_information(df: DataFrame, x: str, y: str, bins: int = 10, nam
             F.least(F.floor((F.col(v) - F.col(lo)) / w * F.lit(bins)).cast("int"), F.lit(bins - 1)))
 
     b = (base.crossJoin(F.broadcast(rng))
-         .select(binof("_x", "_x0", "_x1").alias("_bx"), binof("_y", "_y0", "_y1").alias("_by"), "_N"))
-    cells = b.groupBy("_bx", "_by", "_N").agg(F.count(F.lit(1)).alias("_nxy"))
+         .select(binof("_x", "_x0", "_x1").alias("_bx"), binof("_y", "_y0", "_y1").alias("_by"), "_tot_n"))
+    cells = b.groupBy("_bx", "_by", "_tot_n").agg(F.count(F.lit(1)).alias("_nxy"))
     px = cells.groupBy("_bx").agg(F.sum("_nxy").alias("_nx"))
     py = cells.groupBy("_by").agg(F.sum("_nxy").alias("_ny"))
     j = cells.join(px, "_bx").join(py, "_by")
-    term = (F.col("_nxy") / F.col("_N")) * F.log((F.col("_nxy") * F.col("_N")) / (F.col("_nx") * F.col("_ny")))
+    term = (F.col("_nxy") / F.col("_tot_n")) * F.log((F.col("_nxy") * F.col("_tot_n")) / (F.col("_nx") * F.col("_ny")))
     return j.agg(F.sum(term).alias(name))
 
 
@@ -142,15 +142,15 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     g = (df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
          .groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.avg(F.col(value).cast("double")).alias("_m"),
                              F.coalesce(F.var_samp(F.col(value).cast("double")), F.lit(0.0)).alias("_v")))
-    tot = g.agg(F.sum("_n").alias("_N"), (F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")).alias("_gm"),
+    tot = g.agg(F.sum("_n").alias("_tot_n"), (F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")).alias("_gm"),
                 F.count(F.lit(1)).alias("_k"))
     j = g.crossJoin(F.broadcast(tot))
-    s = j.groupBy("_N", "_k").agg(
+    s = j.groupBy("_tot_n", "_k").agg(
         F.sum(F.col("_n") * F.pow(F.col("_m") - F.col("_gm"), 2)).alias("_ssb"),
         F.sum((F.col("_n") - 1) * F.col("_v")).alias("_ssw"))
-    f = (F.col("_ssb") / (F.col("_k") - 1)) / (F.col("_ssw") / (F.col("_N") - F.col("_k")))
+    f = (F.col("_ssb") / (F.col("_k") - 1)) / (F.col("_ssw") / (F.col("_tot_n") - F.col("_k")))
     return s.select(f.alias("f_stat"), (F.col("_k") - 1).cast("long").alias("df_between"),
-                    (F.col("_N") - F.col("_k")).cast("long").alias("df_within"))
+                    (F.col("_tot_n") - F.col("_k")).cast("long").alias("df_within"))
 
 
 def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -164,10 +164,10 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
     ranks = average_ranks(marg, (), "_v", "_w", "_rank")
     j = cells.join(ranks.select("_v", "_rank", "_w"), "_v")
     per = j.groupBy("_g").agg(F.sum(F.col("_n") * F.col("_rank")).alias("_R"), F.sum("_n").alias("_ng"))
-    ssum = per.agg(F.sum(F.col("_R") * F.col("_R") / F.col("_ng")).alias("_s"), F.sum("_ng").alias("_N"),
+    ssum = per.agg(F.sum(F.col("_R") * F.col("_R") / F.col("_ng")).alias("_s"), F.sum("_ng").alias("_tot_n"),
                    F.count(F.lit(1)).alias("_k"))
     ties = marg.agg(F.sum(F.pow(F.col("_w").cast("double"), 3) - F.col("_w")).alias("_t"))
-    N = F.col("_N").cast("double")
+    N = F.col("_tot_n").cast("double")
     h = (F.lit(12.0) / (N * (N + 1)) * F.col("_s") - 3 * (N + 1)) / (F.lit(1.0) - F.col("_t") / (N * N * N - N))
     return ssum.crossJoin(ties).select(h.alias("h_stat"), (F.col("_k") - 1).cast("long").alias("dof"))
 
