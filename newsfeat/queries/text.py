@@ -1 +1,223 @@
-"""text queries."""
+"""Text feature queries (N1-N8, P16-P26) with DuckDB oracles where the
+feature is SQL-expressible (same regular expressions, stop list and
+lexicons rendered into the SQL)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from newsfeat.functions import columns as Cols
+from newsfeat.functions import text as Tx
+from newsfeat.operators import scorers as Sc
+from newsfeat.plans import featurize as Fz
+from newsfeat.queries import sql as S
+from newsfeat.queries.common import split_articles, table
+from newsfeat.queries.exploration import unscaled
+from newsfeat.queries.registry import query
+
+R = 9
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _list(words) -> str:
+    return "[" + ", ".join(_lit(w) for w in words) + "]"
+
+
+def tok_sql(c: str) -> str:
+    return f"regexp_extract_all({c}, {_lit(Tx.TOKEN_PATTERN)})"
+
+
+def preprocess_sql(c: str, stop) -> str:
+    return f"array_to_string(list_filter({tok_sql(c)}, lambda t: NOT list_contains({_list(stop)}, lower(t))), ' ')"
+
+
+# ----------------------------------------------------------------- N1
+
+@query("n1_preprocess_articles", S.with_(S.PREPARED_UNSCALED, f"""
+SELECT uri, {preprocess_sql('body', Tx.load_stop_words('italian'))} AS body_pre FROM prepared_unscaled"""))
+def n1_preprocess_articles(spark, sf_dir):
+    """N1 on the prepared articles: tokens, Italian stop words removed."""
+    return Tx.preprocess_text(unscaled(spark, sf_dir), "body", "body_pre").select("uri", "body_pre")
+
+
+@query("n1_token_counts_documents", f"""
+SELECT lang, cast(sum(len(list_filter({tok_sql('text')}, lambda t: NOT list_contains({_list(Tx.load_stop_words('english'))}, lower(t))))) AS BIGINT) AS tokens,
+       count(*) AS documents
+FROM documents GROUP BY lang""")
+def n1_token_counts_documents(spark, sf_dir):
+    """N1 at scale over every document (whole texts): tokens left after the
+    English stop list, per language."""
+    d = table(spark, sf_dir, "documents")
+    pre = Tx.preprocess_text(d, "text", "pre", language="english", stop_words=list(Tx.load_stop_words("english")))
+    # count tokens of the joined text again from the kept array size
+    kept = F.size(F.filter(F.split(F.col("pre"), " "), lambda t: F.length(t) > 0))
+    return pre.groupBy("lang").agg(F.sum(kept).cast("long").alias("tokens"), F.count(F.lit(1)).alias("documents"))
+
+
+# ----------------------------------------------------------------- N3
+
+def _strip_sql(c: str) -> str:
+    out = c
+    for p in Tx.HTML_DROP_PATTERNS:
+        out = f"regexp_replace({out}, {_lit(p)}, '', 'g')"
+    for ent, ch in Tx.HTML_ENTITIES:
+        out = f"replace({out}, {_lit(ent)}, {_lit(ch)})"
+    return out
+
+
+@query("n3_strip_html_regex", f"SELECT page_id, {_strip_sql('html')} AS text FROM pages")
+def n3_strip_html_regex(spark, sf_dir):
+    """N3 native mode over every page."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", Tx.strip_html_regex("html").alias("text"))
+
+
+@query("n3_strip_html_parser")
+def n3_strip_html_parser(spark, sf_dir):
+    """N3 parity mode (``html.parser`` in an Arrow UDF) over every page."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", Tx.strip_html_parser("html").alias("text"))
+
+
+# ----------------------------------------------------------------- N4
+
+def _sentiment_sql(c: str) -> str:
+    cases = " ".join(f"WHEN {_lit(k)} THEN CAST({v!r} AS DOUBLE)" for k, v in sorted(Sc.SENTIMENT_LEXICON.items()))
+    pols = f"list_filter(list_transform({tok_sql(c)}, lambda t: CASE lower(t) {cases} END), lambda p: p IS NOT NULL)"
+    return f"""(SELECT CASE WHEN len(pl) > 0 THEN list_sum(pl) / len(pl) ELSE 0.0 END FROM (SELECT {pols} AS pl)) AS score,
+  (SELECT coalesce(list_sum(list_transform(pl, lambda p: abs(p))), 0.0) FROM (SELECT {pols} AS pl)) AS magnitude"""
+
+
+_N4_SQL = f"""
+SELECT doc_id, round(score, {R}) AS score, round(magnitude, {R}) AS magnitude FROM (
+  SELECT doc_id, {_sentiment_sql('text')} FROM documents WHERE coalesce(text, '') <> '')"""
+
+
+@query("n4_sentiment_lexicon", _N4_SQL)
+def n4_sentiment_lexicon(spark, sf_dir):
+    """N4 built-in lexicon scorer over every document."""
+    d = Sc.skip_empty(table(spark, sf_dir, "documents"), "text")
+    s = Sc.sentiment_lexicon(d, "text")
+    return s.select("doc_id", F.round("score", R).alias("score"), F.round("magnitude", R).alias("magnitude"))
+
+
+@query("n4_sentiment_plugin", _N4_SQL)
+def n4_sentiment_plugin(spark, sf_dir):
+    """N4 through the plug-in interface (``mapInPandas``); same results as
+    the built-in scorer, so it shares its oracle."""
+    d = Sc.skip_empty(table(spark, sf_dir, "documents"), "text").select("doc_id", "text")
+    s = Sc.score_with(d, Sc.lexicon_sentiment_pandas, "score double, magnitude double", text="text")
+    return s.select("doc_id", F.round("score", R).alias("score"), F.round("magnitude", R).alias("magnitude"))
+
+
+# ----------------------------------------------------------------- N5
+
+def _moderation_sql(c: str) -> str:
+    words = f"list_filter(list_transform({tok_sql(c)}, lambda t: lower(t)), lambda t: length(t) > 0)"
+    cols = []
+    for cat in Cols.MODERATION_CATEGORIES:
+        kw = Sc.MODERATION_LEXICON.get(cat, [])
+        h = f"len(list_filter(w, lambda t: list_contains({_list(kw)}, t)))"
+        cols.append(f"CASE WHEN {h} > 0 THEN round(cast({h} AS DOUBLE) / greatest(len(w), 1), {R}) END "
+                    f"AS {Cols.clean_name(cat)}")
+    return f"SELECT doc_id, {', '.join(cols)} FROM (SELECT doc_id, {words} AS w FROM documents WHERE coalesce(text, '') <> '')"
+
+
+@query("n5_moderation", _moderation_sql("text"))
+def n5_moderation(spark, sf_dir):
+    """N5 built-in scorer over every document, projected to 16 columns."""
+    m = Sc.moderate(table(spark, sf_dir, "documents"), "text")
+    names = [Cols.clean_name(c) for c in Cols.MODERATION_CATEGORIES]
+    return m.select("doc_id", *[F.round(n, R).alias(n) for n in names])
+
+
+# ----------------------------------------------------------------- N6
+
+def _entities_sql(c: str) -> str:
+    cols = []
+    for t in Cols.ENTITY_TYPES:
+        cnt, mean = Sc.count_column(t), f"{t}_mean_salience"
+        if t in Sc.ENTITY_PATTERNS:
+            ms = f"regexp_extract_all({c}, {_lit(Sc.ENTITY_PATTERNS[t])})"
+            cols.append(f"cast(len({ms}) AS DOUBLE) AS {cnt}")
+            cols.append(f"round(CASE WHEN len({ms}) > 0 THEN list_sum(list_transform({ms}, lambda m: length(m) / "
+                        f"cast(greatest(length({c}), 1) AS DOUBLE))) / len({ms}) ELSE 0.0 END, {R}) AS {mean}")
+        else:
+            cols.append(f"0.0 AS {cnt}")
+            cols.append(f"0.0 AS {mean}")
+    return f"SELECT doc_id, {', '.join(cols)} FROM documents WHERE coalesce({c}, '') <> ''"
+
+
+@query("n6_entities", _entities_sql("text"))
+def n6_entities(spark, sf_dir):
+    """N6 built-in regex extractors over every document: count and mean
+    salience per entity type (``DATE_count`` for the DATE count, trap T1)."""
+    e = Sc.analyze_entities(table(spark, sf_dir, "documents"), "text")
+    out = ["doc_id"]
+    for t in Cols.ENTITY_TYPES:
+        out += [F.col(Sc.count_column(t)), F.round(f"{t}_mean_salience", R).alias(f"{t}_mean_salience")]
+    return e.select(*out)
+
+
+@query("a21_entity_type_totals", f"""
+SELECT entity_type, cast(sum(n) AS DOUBLE) AS mentions, count(*) FILTER (WHERE n > 0) AS documents FROM (
+  SELECT unnest([{', '.join(_lit(t) for t in Sc.ENTITY_PATTERNS)}]) AS entity_type,
+         unnest([{', '.join(f"len(regexp_extract_all(text, {_lit(p)}))" for p in Sc.ENTITY_PATTERNS.values())}]) AS n
+  FROM documents WHERE coalesce(text, '') <> '') GROUP BY entity_type HAVING sum(n) > 0""")
+def a21_entity_type_totals(spark, sf_dir):
+    """A21 rolled up: mentions and documents per entity type over the corpus
+    (explode of the per-document mention arrays, partial aggregation)."""
+    d = Sc.entity_mentions(Sc.skip_empty(table(spark, sf_dir, "documents"), "text"), "text")
+    mentions = d.select("doc_id", F.explode("entities").alias("e")).select("doc_id", F.col("e.type").alias("entity_type"))
+    return mentions.groupBy("entity_type").agg(F.count(F.lit(1)).cast("double").alias("mentions"),
+                                               F.count_distinct("doc_id").alias("documents"))
+
+
+# ----------------------------------------------------------------- N7
+
+@query("n7_cost_estimate", S.with_(S.PREPARED_UNSCALED, f"""
+, _p AS (SELECT length({preprocess_sql('body', Tx.load_stop_words('italian'))}) AS L FROM prepared_unscaled),
+_s AS (SELECT cast(sum(L) AS BIGINT) AS total_chars, avg(L) AS mean_chars, cast(sum(ceil(L / 1000.0)) AS BIGINT) AS units FROM _p)
+SELECT total_chars, round(mean_chars, {R}) AS mean_chars, units,
+       round(mean_chars * {Sc.PROJECTED_ARTICLES} / 1000.0 * {Sc.SINGLE_TIER_PRICE}, {R}) AS single_tier_cost,
+       round({' + '.join(
+           f"greatest({'least(' if i + 1 < len(Sc.SENTIMENT_TIERS) else ''}units - {lo}"
+           f"{(', ' + str(Sc.SENTIMENT_TIERS[i + 1][0] - lo) + ')') if i + 1 < len(Sc.SENTIMENT_TIERS) else ''}, 0) * {price}"
+           for i, (lo, price) in enumerate(Sc.SENTIMENT_TIERS))}, {R}) AS tiered_cost
+FROM _s"""))
+def n7_cost_estimate(spark, sf_dir):
+    """Characters of the tokenised text -> price (single tier projected
+    to 40 000 articles, and the tier table on the corpus' own units)."""
+    pre = Tx.preprocess_text(unscaled(spark, sf_dir), "body", "body_pre")
+    c = Sc.cost_estimate(pre, "body_pre")
+    return c.select("total_chars", F.round("mean_chars", R).alias("mean_chars"), "units",
+                    F.round("single_tier_cost", R).alias("single_tier_cost"),
+                    F.round("tiered_cost", R).alias("tiered_cost"))
+
+
+# ----------------------------------------------------------------- N8, P16-P26
+
+@query("n8_feature_table")
+def n8_feature_table(spark, sf_dir):
+    """The whole feature chain for the split articles (prepare -> N1 ->
+    N4 -> N5 -> P19 -> N6 -> P20) as one lazy plan."""
+    return Fz.feature_table(split_articles(spark, sf_dir))
+
+
+@query("n8_feature_counts", S.with_(S.SPLIT, """
+SELECT split, count(*) AS n FROM split_articles WHERE coalesce(body, '') <> '' GROUP BY split"""))
+def n8_feature_counts(spark, sf_dir):
+    """N8 row accounting: feature rows per split (documents without text
+    are not scored, trap T7)."""
+    return Fz.feature_table(split_articles(spark, sf_dir)).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("p26_scoring_request")
+def p26_scoring_request(spark, sf_dir):
+    """S8 + P18 + P16 + P26/S11: TEST rows of the feature table without the
+    omitted columns, numeric ids cast to strings, one JSON instance per row."""
+    feats = Fz.feature_table(split_articles(spark, sf_dir))
+    return Fz.scoring_instances(feats.where(F.col("split") == "TEST"))
