@@ -1 +1,125 @@
-"""io queries."""
+"""Source and sink queries (S1-S12): round trips through files the cluster
+can see (under ``spark.checkpoint.dir``), compared with the rows they came
+from."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from newsfeat.functions import columns as Cols
+from newsfeat.operators import sampling as Smp
+from newsfeat.queries import sql as S
+from newsfeat.queries.common import articles, split_articles
+from newsfeat.queries.exploration import unscaled
+from newsfeat.queries.registry import query
+from newsfeat.session import scratch_path
+from newsfeat.sources import articles as Src
+from newsfeat.sources import sinks as Snk
+
+
+def export_articles(flat: DataFrame, path: str, bundle: int = 100) -> str:
+    """Write flat article rows back into the nested export layout: bundles of
+    ``bundle`` consecutive articles, one JSON document per bundle folder.
+    Each bundle is bounded, so ``collect_list`` never gathers more than
+    ``bundle`` rows."""
+    a = F.struct(
+        F.col("uri"), F.col("title"), F.col("body"), F.col("date"), F.col("dateTime"), F.col("lang"),
+        F.transform(F.split(F.col("authors"), ", "), lambda n: F.struct(n.alias("name"))).alias("authors"),
+        F.struct(F.col("sharesFacebook").alias("facebook")).alias("shares"),
+        F.struct(F.col("sourceTitle").alias("title"),
+                 F.struct(F.col("importanceRank").alias("importanceRank"),
+                          F.col("alexaGlobalRank").alias("alexaGlobalRank"),
+                          F.col("alexaCountryRank").alias("alexaCountryRank")).alias("ranking")).alias("source"),
+        F.transform(F.split(F.col("categoryLabels"), "; "), lambda c: F.struct(c.alias("label"))).alias("categories"))
+    docs = (flat.withColumn("_bundle", F.floor(F.col("ingest_seq") / bundle))
+            .groupBy("_bundle")
+            .agg(F.array_sort(F.collect_list(F.struct(F.col("ingest_seq").alias("k"), a.alias("a")))).alias("_items"))
+            .select("_bundle", F.struct(F.struct(F.transform("_items", lambda i: i["a"]).alias("results"))
+                                        .alias("articles")).alias("doc")))
+    docs.select("_bundle", "doc.*").write.mode("overwrite").partitionBy("_bundle").json(path)
+    return path
+
+
+_S1_COLS = ["uri", "title", "body", "date", "dateTime", "lang", "authors", "categoryLabels", "sharesFacebook",
+            "sourceTitle", "importanceRank", "alexaGlobalRank"]
+
+
+@query("s1_json_export_scan", S.with_(S.ARTICLES, "SELECT " + ", ".join(_S1_COLS)
+                                      + ", coalesce(alexaCountryRank, 0) AS alexaCountryRank FROM articles"))
+def s1_json_export_scan(spark, sf_dir):
+    """S1 + P1-P4: every article exported as nested JSON documents in
+    several folders, scanned back with the declared schema and flattened
+    (missing ranks become 0, the reference default)."""
+    path = export_articles(articles(spark, sf_dir), scratch_path(spark, "exports"))
+    return Src.read_article_exports(spark, path).select(*_S1_COLS, "alexaCountryRank")
+
+
+_S6_COLS = ["uri", "title", "body", "authors", "topic", "sharesFacebook", "date_column"]
+
+
+@query("s6_pipe_csv_roundtrip", S.with_(S.PREPARED_UNSCALED, "SELECT " + ", ".join(_S6_COLS)
+                                        + " FROM prepared_unscaled"))
+def s6_pipe_csv_roundtrip(spark, sf_dir):
+    """The prepared rows (texts with newlines and quotes) written as
+    quoted ``|`` CSV and read back with the same schema."""
+    df = unscaled(spark, sf_dir).select(*_S6_COLS)
+    path = Snk.write_pipe_csv(df, scratch_path(spark, "csv"))
+    return Snk.read_pipe_csv(spark, path, df.schema)
+
+
+def _load(spark, sf_dir) -> str:
+    name = "newsfeat_split_articles"
+    Snk.load_table(split_articles(spark, sf_dir), name)
+    return name
+
+
+@query("s7_warehouse_load", S.with_(S.SPLIT, "SELECT split, count(*) AS rows_loaded FROM split_articles GROUP BY split"))
+def s7_warehouse_load(spark, sf_dir):
+    """Truncate-and-load of the split articles into a managed table;
+    rows loaded per split read back from the table."""
+    t = _load(spark, sf_dir)
+    return spark.table(t).groupBy("split").agg(F.count(F.lit(1)).alias("rows_loaded"))
+
+
+@query("s8_test_slice", S.with_(S.SPLIT, """
+SELECT uri, title, topic FROM split_articles WHERE split = 'TEST' ORDER BY uri LIMIT 10"""))
+def s8_test_slice(spark, sf_dir):
+    """``WHERE split = 'TEST' LIMIT 10`` on the loaded table (ordered)."""
+    t = _load(spark, sf_dir)
+    return Snk.table_slice(spark, t, "TEST", 10, "uri").select("uri", "title", "topic")
+
+
+@query("s9_table_columns")
+def s9_table_columns(spark, sf_dir):
+    """The loaded table's columns from the catalog, with the feature
+    list of P24 marked."""
+    t = _load(spark, sf_dir)
+    cols = Snk.table_columns(spark, t)
+    feats = Cols.feature_columns(spark.table(t).columns, Cols.OMIT_COLUMNS, "topic")
+    return cols.withColumn("is_feature", F.col("column_name").isin(*feats))
+
+
+@query("s11_request_json_lines")
+def s11_request_json_lines(spark, sf_dir):
+    """Scoring instances written as JSON lines and read back."""
+    from newsfeat.plans import featurize as Fz
+
+    feats = Fz.feature_table(split_articles(spark, sf_dir))
+    inst = Fz.scoring_instances(feats.where(F.col("split") == "TEST"))
+    path = Snk.write_json_lines(inst.select(F.col("instance").alias("value")), scratch_path(spark, "jsonl"))
+    return spark.read.json(path)
+
+
+_S12_COLS = ["uri", "title", "lang", "sourceTitle", "topic", "year_month"]
+
+
+@query("s12_sample_row_columns", S.with_(S.PREPARED_UNSCALED, f"""
+SELECT "column", value FROM (
+  UNPIVOT (SELECT {', '.join(f'cast({c} AS VARCHAR) AS {c}' for c in _S12_COLS)} FROM prepared_unscaled
+           ORDER BY md5(concat(uri, '5')), uri LIMIT 1)
+  ON {', '.join(_S12_COLS)} INTO NAME "column" VALUE value)"""))
+def s12_sample_row_columns(spark, sf_dir):
+    """One seeded random row shown column by column."""
+    row = Smp.seeded_sample(unscaled(spark, sf_dir), 1, seed=5, key="uri").select(*_S12_COLS)
+    return Snk.columns_as_rows(row)

@@ -65,3 +65,19 @@ def articles_from_documents(documents: DataFrame) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles_from_documents(read_table(spark, sf_dir, "documents"))
+
+
+# The flat article row (FIXTURES.md §2): 24 declared columns.
+def _flat_schema():
+    from pyspark.sql import types as T
+
+    s, l_ = T.StringType(), T.LongType()
+    fields = [("uri", s), ("url", s), ("title", s), ("body", s), ("date", s), ("time", s), ("dateTime", s),
+              ("dateTimePub", s), ("lang", s), ("isDuplicate", T.BooleanType()), ("dataType", s),
+              ("sentiment", T.DoubleType()), ("eventUri", s), ("relevance", l_), ("image", s), ("authors", s),
+              ("sharesFacebook", l_), ("sourceTitle", s), ("sourceLocationLabel", s), ("categoryLabels", s),
+              ("categoryWeights", s), ("importanceRank", l_), ("alexaGlobalRank", l_), ("alexaCountryRank", l_)]
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+FLAT_SCHEMA = _flat_schema()
