@@ -102,32 +102,40 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
 
 
 def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: Sequence[ColumnOrName],
-                      weight: str, cum: str = "_cum", total: str | None = "_total",
+                      weight: str | Sequence[str], cum: str | Sequence[str] = "_cum",
+                      total: str | Sequence[str] | None = "_total",
                       num_partitions: int | None = None, max_groups: int | None = None) -> DataFrame:
-    """Running (inclusive) sum of ``weight`` inside each group in ``order_cols``
-    order, plus the group total.  Meant for aggregated cells (one row per
-    distinct value), so the second exchange on ``(_pid, group)`` moves only
-    the cells, never the raw rows.
-    """
+    """Running (inclusive) sums of ``weight`` column(s) inside each group in
+    ``order_cols`` order, plus the group totals.  Meant for aggregated cells
+    (one row per distinct value), so the second exchange on ``(_pid, group)``
+    moves only the cells, never the raw rows."""
+    weights = [weight] if isinstance(weight, str) else list(weight)
+    cums = [cum] if isinstance(cum, str) else list(cum)
+    totals = None if total is None else ([total] if isinstance(total, str) else list(total))
     group_cols = list(group_cols)
     keys = [_col(g) for g in group_cols] + [_col(o) for o in order_cols]
     n = num_partitions or default_partitions(cells)
     r = cells.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
     local = (Window.partitionBy("_pid", *group_cols).orderBy(*keys)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    r = materialize(r.withColumn("_lcum", F.sum(weight).over(local)))
-    stats = r.groupBy("_pid", *group_cols).agg(F.sum(weight).alias("_ps"))
+    for i, w in enumerate(weights):
+        r = r.withColumn(f"_lcum{i}", F.sum(w).over(local))
+    r = materialize(r)
+    stats = r.groupBy("_pid", *group_cols).agg(*[F.sum(w).alias(f"_ps{i}") for i, w in enumerate(weights)])
     by_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
     before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_off", F.coalesce(F.sum("_ps").over(before), F.lit(0)))
-    if total:
-        stats = stats.withColumn("_gtotal", F.sum("_ps").over(by_group))
+    for i in range(len(weights)):
+        stats = stats.withColumn(f"_off{i}", F.coalesce(F.sum(f"_ps{i}").over(before), F.lit(0)))
+        if totals:
+            stats = stats.withColumn(f"_gtotal{i}", F.sum(f"_ps{i}").over(by_group))
     bounded = not group_cols or (max_groups is not None and max_groups <= MAX_BROADCAST_GROUPS)
     out = _join_offsets(r, stats, group_cols, bounded)
-    out = out.withColumn(cum, F.col("_off") + F.col("_lcum"))
-    if total:
-        out = out.withColumnRenamed("_gtotal", total)
-    return out.drop("_pid", "_lcum", "_ps", "_off")
+    for i in range(len(weights)):
+        out = out.withColumn(cums[i], F.col(f"_off{i}") + F.col(f"_lcum{i}"))
+        if totals:
+            out = out.withColumnRenamed(f"_gtotal{i}", totals[i])
+        out = out.drop(f"_lcum{i}", f"_ps{i}", f"_off{i}")
+    return out.drop("_pid")
 
 
 def value_cells(df: DataFrame, value: ColumnOrName, group_cols: Sequence[str] = (),

@@ -1 +1,189 @@
-"""learning queries."""
+"""Classifier queries.
+
+Metrics are checked on a **given** prediction table derived from
+``embeddings``: the scores of an embedding are the softmax of its first ten
+components and its label is the true class ('0' .. '9').  Training and
+attribution queries run ``pyspark.ml`` and have no SQL equivalent.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from newsfeat.operators import model as Mdl
+from newsfeat.operators.ranking import materialize
+from newsfeat.plans import featurize as Fz
+from newsfeat.queries.common import balanced, table
+from newsfeat.queries.registry import query
+
+R = 9
+CLASSES = [str(i) for i in range(10)]
+
+
+def given_predictions(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    ex = F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double")))
+    s = F.aggregate(F.col("_ex"), F.lit(0.0), lambda a, x: a + x)
+    return (e.withColumn("_ex", ex)
+            .select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("label_name"),
+                    F.array(*[F.lit(c) for c in CLASSES]).alias("classes"),
+                    F.transform(F.col("_ex"), lambda x: F.round(x / s, R)).alias("scores")))
+
+
+PRED = f"""_ex AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: exp(cast(x AS DOUBLE))) AS ex FROM embeddings),
+pred AS (SELECT vec_id AS id, cast(label AS VARCHAR) AS label_name, {CLASSES!r} AS classes,
+                list_transform(ex, lambda x: round(x / list_sum(ex), {R})) AS scores FROM _ex),
+_flat AS (SELECT id, label_name, unnest(classes) AS class, unnest(scores) AS score FROM pred)"""
+
+
+def _w(body: str) -> str:
+    return f"WITH {PRED}\n{body}"
+
+
+_PTRUE = "scores[cast(label_name AS INTEGER) + 1]"
+
+
+@query("m3_log_loss", _w(f"""
+SELECT round(avg(-ln(greatest(least({_PTRUE}, 1 - 1e-15), 1e-15))), {R}) AS log_loss FROM pred"""))
+def m3_log_loss(spark, sf_dir):
+    return Mdl.log_loss(given_predictions(spark, sf_dir)).select(F.round("log_loss", R).alias("log_loss"))
+
+
+@query("m4_class_log_loss", _w(f"""
+SELECT label_name, round(avg(-ln(greatest(least({_PTRUE}, 1 - 1e-15), 1e-15))), {R}) AS log_loss, count(*) AS n
+FROM pred GROUP BY label_name"""))
+def m4_class_log_loss(spark, sf_dir):
+    r = Mdl.log_loss(given_predictions(spark, sf_dir), by_class=True)
+    return r.select("label_name", F.round("log_loss", R).alias("log_loss"), "n")
+
+
+_ARGMAX = "struct_extract(list_max(list_zip(scores, classes)), 2)"
+
+
+@query("m5_confusion_matrix", _w("SELECT label_name, " + ", ".join(
+    f"count(*) FILTER (WHERE {_ARGMAX} = '{c}') AS \"{c}\"" for c in CLASSES) + " FROM pred GROUP BY label_name"))
+def m5_confusion_matrix(spark, sf_dir):
+    return Mdl.confusion_matrix(given_predictions(spark, sf_dir), CLASSES)
+
+
+_ROC = """_cells AS (SELECT class, score, count(*) FILTER (WHERE label_name = class) AS pos,
+                  count(*) FILTER (WHERE label_name <> class) AS neg FROM _flat GROUP BY class, score),
+_cum AS (SELECT *, sum(pos) OVER (PARTITION BY class ORDER BY score DESC) AS tp,
+                sum(neg) OVER (PARTITION BY class ORDER BY score DESC) AS fp,
+                sum(pos) OVER (PARTITION BY class) AS P, sum(neg) OVER (PARTITION BY class) AS N FROM _cells)"""
+
+
+@query("m6_roc_points", _w(f""", {_ROC}
+SELECT class, score AS threshold, round(tp / P, {R}) AS tpr, round(fp / N, {R}) AS fpr,
+       round(tp / (tp + fp), {R}) AS precision FROM _cum"""))
+def m6_roc_points(spark, sf_dir):
+    p = Mdl.roc_points(given_predictions(spark, sf_dir))
+    return p.select("class", "threshold", *[F.round(c, R).alias(c) for c in ["tpr", "fpr", "precision"]])
+
+
+@query("m7_auc", _w(f""", {_ROC}
+SELECT class, round(sum((fp / N - (fp - neg) / N) * (tp / P + (tp - pos) / P) / 2), {R}) AS au_roc,
+       round(sum((tp / P - (tp - pos) / P) * tp / (tp + fp)), {R}) AS au_prc FROM _cum GROUP BY class"""))
+def m7_auc(spark, sf_dir):
+    a = Mdl.auc(Mdl.roc_points(given_predictions(spark, sf_dir)))
+    return a.select("class", F.round("au_roc", R).alias("au_roc"), F.round("au_prc", R).alias("au_prc"))
+
+
+@query("m9_metrics_rows", _w(f""", {_ROC},
+_auc AS (SELECT class, sum((fp / N - (fp - neg) / N) * (tp / P + (tp - pos) / P) / 2) AS au_roc,
+                sum((tp / P - (tp - pos) / P) * tp / (tp + fp)) AS au_prc FROM _cum GROUP BY class)
+SELECT 'logLoss' AS metric, round((SELECT avg(-ln(greatest(least({_PTRUE}, 1 - 1e-15), 1e-15))) FROM pred), {R}) AS value
+UNION ALL SELECT 'auRoc', round((SELECT avg(au_roc) FROM _auc), {R})
+UNION ALL SELECT 'auPrc', round((SELECT avg(au_prc) FROM _auc), {R})
+UNION ALL SELECT 'accuracy', round((SELECT avg(CASE WHEN {_ARGMAX} = label_name THEN 1.0 ELSE 0.0 END) FROM pred), {R})"""))
+def m9_metrics_rows(spark, sf_dir):
+    m = Mdl.metrics_rows(given_predictions(spark, sf_dir))
+    return m.select("metric", F.round("value", R).alias("value"))
+
+
+@query("m11_flatten_predictions", _w("SELECT id, class, score FROM _flat"))
+def m11_flatten_predictions(spark, sf_dir):
+    return Mdl.flatten_predictions(given_predictions(spark, sf_dir))
+
+
+@query("m12_predicted_class", _w(f"SELECT id, {_ARGMAX} AS predicted FROM pred"))
+def m12_predicted_class(spark, sf_dir):
+    """Arg-max class per row."""
+    return given_predictions(spark, sf_dir).select("id", Mdl.predicted_class().alias("predicted"))
+
+
+@query("o7_cosorted_scores", _w("""
+SELECT id, list_transform(list_reverse(list_sort(list_zip(scores, classes))), lambda z: struct_extract(z, 2))[1:3] AS top3
+FROM pred"""))
+def o7_cosorted_scores(spark, sf_dir):
+    """Classes co-sorted by score (descending), first three kept."""
+    p = given_predictions(spark, sf_dir)
+    z = F.reverse(F.array_sort(F.arrays_zip(F.col("scores").alias("s"), F.col("classes").alias("c"))))
+    return p.select("id", F.slice(F.transform(z, lambda t: t["c"]), 1, 3).alias("top3"))
+
+
+# ----------------------------------------------------------------- training (no SQL equivalent)
+
+TOPIC_SPEC = Mdl.FeatureSpec(text=["body_pre"], categorical=["sourceTitle", "lang"],
+                             numeric=["shares_scaled", "score", "magnitude", "importanceRank", "NUMBER",
+                                      "OTHER", "NUMBER_mean_salience"], num_features=1 << 10)
+
+
+def _features(spark, sf_dir):
+    # the estimators make several passes (indexers, IDF, imputer, LBFGS):
+    # cut the lineage once so the feature chain runs a single time
+    return materialize(Mdl.model_input(Fz.feature_table(balanced(spark, sf_dir)), TOPIC_SPEC))
+
+
+@query("m1_topic_model_test_metrics")
+def m1_topic_model_test_metrics(spark, sf_dir):
+    """M1 + M2 + M3 + M9: logistic regression on the balanced feature table,
+    regularisation chosen on VALIDATE, metrics reported on TEST."""
+    feats = _features(spark, sf_dir)
+    model, _grid = Mdl.train_with_validation(feats, TOPIC_SPEC, "topic", grid=(0.0, 0.1))
+    test = Mdl.prediction_table(model, feats.where(F.col("split") == "TEST"), "topic")
+    return Mdl.metrics_rows(test)
+
+
+@query("m10_topic_batch_scores")
+def m10_topic_batch_scores(spark, sf_dir):
+    """M10 + M11 + M12: class probabilities for every TEST article, with the
+    predicted class, flattened to (id, class, score) rows."""
+    feats = _features(spark, sf_dir)
+    model = Mdl.train_classifier(feats.where(F.col("split") == "TRAIN"), TOPIC_SPEC, "topic", 0.1)
+    pred = Mdl.prediction_table(model, feats.where(F.col("split") == "TEST"), "topic")
+    flat = Mdl.flatten_predictions(pred.withColumn("predicted", Mdl.predicted_class()), "id")
+    return flat
+
+
+@query("m13_attributions")
+def m13_attributions(spark, sf_dir):
+    """Per TEST article, the three source columns contributing most to
+    the predicted class of the linear model."""
+    feats = _features(spark, sf_dir)
+    model = Mdl.train_classifier(feats.where(F.col("split") == "TRAIN"), TOPIC_SPEC, "topic", 0.1)
+    return Mdl.linear_attributions(model, feats.where(F.col("split") == "TEST"), TOPIC_SPEC, "uri", top=3)
+
+
+@query("m1_embedding_model_metrics")
+def m1_embedding_model_metrics(spark, sf_dir):
+    """M1 at scale on ``embeddings``: 10-class logistic regression on the
+    64-dimensional vectors (hash split 80/20), TEST metrics as rows."""
+    from pyspark.ml.classification import LogisticRegression
+
+    e = (table(spark, sf_dir, "embeddings")
+         .withColumn("features", array_to_vector("embedding"))
+         .withColumn("label", F.col("label").cast("double"))
+         .withColumn("_test", F.abs(F.hash("vec_id")) % 5 == 0))
+    m = LogisticRegression(maxIter=30, regParam=0.01, family="multinomial").fit(e.where(~F.col("_test")))
+    classes = F.array(*[F.lit(str(float(i)).rstrip("0").rstrip(".")) for i in range(m.numClasses)])
+    pred = (m.transform(e.where(F.col("_test")))
+            .select(F.col("vec_id").alias("id"), F.col("label").cast("int").cast("string").alias("label_name"),
+                    classes.alias("classes"), vector_to_array_col("probability").alias("scores")))
+    return Mdl.metrics_rows(pred)
+
+
+def vector_to_array_col(c):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(c)

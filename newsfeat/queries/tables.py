@@ -1 +1 @@
-"""tables queries."""
+"""Queries over the star-schema tables live next to their operator families."""
