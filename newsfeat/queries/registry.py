@@ -22,5 +22,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # importing the family modules fills REGISTRY
-    from newsfeat.queries import articles, exploration, statistics, text, tables, learning, io  # noqa: F401
+    from newsfeat.queries import (articles, exploration, incremental, io, learning, statistics,  # noqa: F401
+                                  tables, text)
     return REGISTRY
