@@ -43,11 +43,20 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (cuts lineage)."""
+    """Reliable checkpoint into the shared checkpoint folder (cuts lineage).
+
+    The frame is persisted first so the checkpoint write reads the computed
+    partitions instead of running the lineage a second time; the cache is
+    released once the files are written."""
+    from pyspark import StorageLevel
+
     from newsfeat.session import checkpoint_root
 
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def default_partitions(df: DataFrame) -> int:

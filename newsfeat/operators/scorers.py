@@ -57,17 +57,43 @@ def _lexicon_map(lex: dict[str, float]) -> Column:
                              F.array(*[F.lit(float(lex[k])) for k in keys]))
 
 
+def keyword_counts(df: DataFrame, text: str, vocabulary: list[str], out: str,
+                   n_tokens: str | None = None) -> DataFrame:
+    """Per-document counts of each vocabulary word (case-insensitive, whole
+    tokens) as ``array<double>`` in vocabulary order, plus optionally the
+    number of tokens.  ``RegexTokenizer`` lower-cases and tokenises in one
+    JVM pass and ``CountVectorizerModel`` looks every token up in a hash map:
+    row-local, no shuffle, no per-token lambdas."""
+    from pyspark.ml.feature import CountVectorizerModel, RegexTokenizer
+    from pyspark.ml.functions import vector_to_array
+
+    from newsfeat.functions.text import TOKEN_PATTERN
+
+    tok = f"__tok_{out}"
+    vec = f"__vec_{out}"
+    src = f"__txt_{out}"
+    t = RegexTokenizer(inputCol=src, outputCol=tok, pattern=TOKEN_PATTERN, gaps=False, toLowercase=True,
+                       minTokenLength=1).transform(df.withColumn(src, F.coalesce(F.col(text), F.lit(""))))
+    cv = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol=tok, outputCol=vec)
+    r = cv.transform(t).withColumn(out, vector_to_array(vec))
+    if n_tokens:
+        r = r.withColumn(n_tokens, F.size(F.col(tok)))
+    return r.drop(tok, vec, src)
+
+
 def sentiment_lexicon(df: DataFrame, text: str = "body", lexicon: dict[str, float] | None = None) -> DataFrame:
     """N4 built-in: ``score`` = mean polarity of the lexicon words found
-    (0 when none), ``magnitude`` = sum of their absolute polarities."""
-    lex = _lexicon_map(lexicon or SENTIMENT_LEXICON)
-    pol = F.filter(F.transform(tokens(text), lambda t: F.element_at(lex, F.lower(t))), lambda p: p.isNotNull())
-    df = df.withColumn("__pol", pol)
-    total = F.aggregate(F.col("__pol"), F.lit(0.0), lambda a, p: a + p)
-    mag = F.aggregate(F.col("__pol"), F.lit(0.0), lambda a, p: a + F.abs(p))
-    n = F.size(F.col("__pol"))
-    return (df.withColumn("score", F.when(n > 0, total / n).otherwise(F.lit(0.0)))
-            .withColumn("magnitude", mag).drop("__pol"))
+    (0 when none), ``magnitude`` = sum of their absolute polarities; one
+    keyword-count pass, then a fixed dot product."""
+    lex = lexicon or SENTIMENT_LEXICON
+    vocab = sorted(lex)
+    out = keyword_counts(df, text, vocab, "__kc")
+    c = [F.col("__kc")[i] for i in range(len(vocab))]
+    cnt = sum(c, F.lit(0.0))
+    total = sum((ci * F.lit(float(lex[w])) for ci, w in zip(c, vocab)), F.lit(0.0))
+    mag = sum((ci * F.lit(abs(float(lex[w]))) for ci, w in zip(c, vocab)), F.lit(0.0))
+    return (out.withColumn("score", F.when(cnt > 0, total / cnt).otherwise(F.lit(0.0)))
+            .withColumn("magnitude", mag).drop("__kc"))
 
 
 def score_with(df: DataFrame, scorer: Callable[[pd.Series], pd.DataFrame], out_schema: str,
@@ -135,20 +161,21 @@ MODERATION_LEXICON = {
 def moderation_map(df: DataFrame, text: str = "body", out: str = "moderation",
                    lexicon: dict[str, list[str]] | None = None) -> DataFrame:
     """N5 built-in scorer: ``map<category, confidence>`` where confidence =
-    share of the document's word tokens in the category's keyword list;
-    categories without a hit are absent from the map."""
+    share of the document's tokens that are keywords of the category;
+    categories without a hit are absent from the map.  One keyword-count
+    pass; category hits are sums of fixed vector positions."""
     lex = lexicon or MODERATION_LEXICON
-    words = F.filter(F.transform(tokens(text), lambda t: F.lower(t)), lambda t: F.length(t) > 0)
-    df = df.withColumn("__w", words)
-    n = F.greatest(F.size(F.col("__w")), F.lit(1)).cast("double")
+    vocab = sorted({w for ws in lex.values() for w in ws})
+    pos = {w: i for i, w in enumerate(vocab)}
+    cnt = keyword_counts(df, text, vocab, "__kc", n_tokens="__n")
+    n = F.greatest(F.col("__n"), F.lit(1)).cast("double")
     names, confs = [], []
     for cat in MODERATION_CATEGORIES:
-        kw = F.array(*[F.lit(w) for w in lex.get(cat, [])]) if lex.get(cat) else F.array().cast("array<string>")
-        hits = F.size(F.filter(F.col("__w"), lambda t: F.array_contains(kw, t)))
+        hits = sum((F.col("__kc")[pos[w]] for w in sorted(set(lex.get(cat, [])))), F.lit(0.0))
         names.append(F.lit(cat))
-        confs.append(hits.cast("double") / n)
+        confs.append(hits / n)
     m = F.map_filter(F.map_from_arrays(F.array(*names), F.array(*confs)), lambda k, v: v > 0)
-    return df.withColumn(out, m).drop("__w")
+    return cnt.withColumn(out, m).drop("__kc", "__n")
 
 
 def project_categories(df: DataFrame, map_col: str = "moderation",
@@ -230,9 +257,31 @@ def entity_features(df: DataFrame, mentions: str = "entities") -> DataFrame:
     return out.drop(mentions)
 
 
+def regex_entity_features(df: DataFrame, text: str = "body", patterns: dict[str, str] | None = None) -> DataFrame:
+    """N6 built-in fast path, equal to ``entity_features(entity_mentions(...))``:
+    per type, count = number of matches and mean salience = total matched
+    characters / text length / count, straight from each extractor's match
+    array (no concatenation, no per-mention lambdas)."""
+    pats = patterns or ENTITY_PATTERNS
+    L = F.greatest(F.length(F.col(text)), F.lit(1)).cast("double")
+    out = df
+    for t in ENTITY_TYPES:
+        if t in pats:
+            ms = F.regexp_extract_all(F.col(text), F.lit(pats[t]), 0)
+            out = out.withColumn(f"__m_{t}", ms)
+            n = F.size(F.col(f"__m_{t}"))
+            chars = F.length(F.array_join(F.col(f"__m_{t}"), ""))
+            out = (out.withColumn(count_column(t), n.cast("double"))
+                   .withColumn(f"{t}_mean_salience", F.when(n > 0, chars / L / n).otherwise(F.lit(0.0)))
+                   .drop(f"__m_{t}"))
+        else:
+            out = out.withColumn(count_column(t), F.lit(0.0)).withColumn(f"{t}_mean_salience", F.lit(0.0))
+    return out
+
+
 def analyze_entities(df: DataFrame, text: str = "body") -> DataFrame:
-    """N6 end to end: skip empty text, extract, count and average."""
-    return entity_features(entity_mentions(skip_empty(df, text), text))
+    """N6 end to end: skip empty text, then count and mean salience per type."""
+    return regex_entity_features(skip_empty(df, text), text)
 
 
 # ----------------------------------------------------------------- cost estimate

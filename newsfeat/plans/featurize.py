@@ -22,7 +22,7 @@ def feature_table(articles: DataFrame, text: str = "body") -> DataFrame:
     df = Tx.preprocess_text(df, text, "body_pre")
     df = Sc.sentiment_lexicon(df, text)
     df = Sc.project_categories(Sc.moderation_map(df, text))
-    df = Sc.entity_features(Sc.entity_mentions(df, text))
+    df = Sc.regex_entity_features(df, text)
     return Cols.conform(df)
 
 

@@ -63,7 +63,7 @@ def score_articles(batch: DataFrame, center: float, scale: float, year: int = 20
     df = Tx.preprocess_text(df, "body", "body_pre")
     df = Sc.sentiment_lexicon(df, "body")
     df = Sc.project_categories(Sc.moderation_map(df, "body"))
-    return Sc.entity_features(Sc.entity_mentions(df, "body")).drop("ingest_seq")
+    return Sc.regex_entity_features(df, "body").drop("ingest_seq")
 
 
 def run_incremental_scoring(spark: SparkSession, source: str, sink: str, checkpoint: str,
