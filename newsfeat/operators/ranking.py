@@ -13,9 +13,9 @@ helpers below never do that:
 * A **small** table of per-(partition, group) totals gives every partition the
   offset of its first row inside the group.  It has at most
   ``partitions + groups`` rows and is joined back by broadcast.
-* The range-partitioned frame is **checkpointed** (reliable checkpoint in the
-  session's ``spark.checkpoint.dir``) before it feeds both the totals and the
-  join.  Two independently planned range exchanges would sample different
+* The range-partitioned frame is **materialised** (written as a table under
+  the session's ``spark.checkpoint.dir``) before it feeds both the totals and
+  the join.  Two independently planned range exchanges would sample different
   bounds, and partition ids must agree between the branches; the checkpoint
   also keeps the positions fixed if an executor is lost afterwards.
 
@@ -42,21 +42,16 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (cuts lineage).
+def materialize(df: DataFrame, name: str = "positions") -> DataFrame:
+    """Cut the lineage: write ``df`` as a Parquet table under the shared
+    ``spark.checkpoint.dir`` and read it back.  One job; the files are
+    committed atomically and survive executor loss, and every later branch
+    reads the same rows."""
+    from newsfeat.session import scratch_path
 
-    The frame is persisted first so the checkpoint write reads the computed
-    partitions instead of running the lineage a second time; the cache is
-    released once the files are written."""
-    from pyspark import StorageLevel
-
-    from newsfeat.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def default_partitions(df: DataFrame) -> int:
