@@ -36,77 +36,100 @@ def pair_cells(df: DataFrame, x: Column | str, y: Column | str) -> DataFrame:
             .groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
 
 
-def _marginal_ranks(cells: DataFrame, col: str, out: str) -> DataFrame:
-    m = cells.groupBy(col).agg(F.sum("_n").alias("_w")).withColumnRenamed(col, "_v")
-    return average_ranks(m, (), "_v", "_w", "_rank").select(F.col("_v").alias(col), F.col("_rank").alias(out))
-
-
-def _weighted_corr(df: DataFrame, a: str, b: str, w: str, name: str) -> DataFrame:
-    A, B, W = F.col(a), F.col(b), F.col(w).cast("double")
-    s = df.agg(F.sum(W).alias("n"), F.sum(W * A).alias("sa"), F.sum(W * B).alias("sb"),
-               F.sum(W * A * A).alias("saa"), F.sum(W * B * B).alias("sbb"), F.sum(W * A * B).alias("sab"))
+def stacked_pair_cells(df: DataFrame, xs: list[str], y: str) -> DataFrame:
+    """``(_var, _x, _y, _n)`` cells for several x columns against one y,
+    stacked so that one pass of every later step serves all of them."""
+    pairs = ", ".join(f"'{x}', CAST(`{x}` AS DOUBLE)" for x in xs)
+    long = df.selectExpr(f"stack({len(xs)}, {pairs}) AS (_var, _x)", f"CAST(`{y}` AS DOUBLE) AS _y")
+    return (long.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+            .groupBy("_var", "_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _one_row(per_var: DataFrame, xs: list[str], value: str) -> DataFrame:
+    """(_var, value) rows -> one row with a column per variable."""
+    return per_var.groupBy().pivot("_var", list(xs)).agg(F.first(value))
+
+
+def spearman_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
+    """X3 for several x columns at once: one row, one column per x."""
+    cells = stacked_pair_cells(df, xs, y)
+    mx = cells.groupBy("_var", "_x").agg(F.sum("_n").alias("_w")).select(
+        "_var", F.lit("x").alias("_axis"), F.col("_x").alias("_v"), "_w")
+    my = cells.groupBy("_var", "_y").agg(F.sum("_n").alias("_w")).select(
+        "_var", F.lit("y").alias("_axis"), F.col("_y").alias("_v"), "_w")
+    ranks = average_ranks(mx.unionByName(my), ["_var", "_axis"], "_v", "_w", "_rank",
+                          max_groups=2 * len(xs))
+    rx = ranks.where(F.col("_axis") == "x").select("_var", F.col("_v").alias("_x"), F.col("_rank").alias("_rx"))
+    ry = ranks.where(F.col("_axis") == "y").select("_var", F.col("_v").alias("_y"), F.col("_rank").alias("_ry"))
+    j = cells.join(rx, ["_var", "_x"]).join(ry, ["_var", "_y"])
+    W, A, B = F.col("_n").cast("double"), F.col("_rx"), F.col("_ry")
+    s_ = j.groupBy("_var").agg(F.sum(W).alias("n"), F.sum(W * A).alias("sa"), F.sum(W * B).alias("sb"),
+                               F.sum(W * A * A).alias("saa"), F.sum(W * B * B).alias("sbb"),
+                               F.sum(W * A * B).alias("sab"))
     cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
     va = F.col("saa") - F.col("sa") * F.col("sa") / F.col("n")
     vb = F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")
-    return s.select((cov / F.sqrt(va * vb)).alias(name))
+    return _one_row(s_.select("_var", (cov / F.sqrt(va * vb)).alias("_rho")), xs, "_rho")
 
 
 def spearman(df: DataFrame, x: str, y: str, name: str = "spearman") -> DataFrame:
     """Pearson correlation of average ranks (pairs with a null dropped,
     trap T12).  Ranks come from the marginal cells; the correlation is a
     weighted sum over the (x, y) cells, never over re-joined raw rows."""
-    cells = pair_cells(df, x, y)
-    rx = _marginal_ranks(cells, "_x", "_rx")
-    ry = _marginal_ranks(cells, "_y", "_ry")
-    j = cells.join(rx, "_x").join(ry, "_y")
-    return _weighted_corr(j, "_rx", "_ry", "_n", name)
+    return spearman_many(df, [x], y).withColumnRenamed(x, name)
 
 
-def kendall_tau_b(df: DataFrame, x: str, y: str, name: str = "kendall") -> DataFrame:
-    """Kendall tau-b, exact, in O(cells * log distinct(x)) without pairs.
-
-    Give every distinct x its dense rank ``r``.  Any two cells with
-    different x are separated at exactly one bit level ``L``: they share the
-    block ``r >> (L+1)`` and sit in different halves ``(r >> L) & 1``.  So
-    ``S = concordant - discordant`` is, summed over levels and blocks, the
-    right-half cells' weight times (left-half weight below y minus left-half
-    weight above y).  One ``cumulative_within`` over the cells replicated per
-    level (grouped by (level, block), ordered by y with right-half rows first
-    on equal y) gives "left weight strictly below y" for every right-half
-    cell.  Ties in x never split; ties in y contribute 0.
-    ``tau_b = S / sqrt((n0 - n1) (n0 - n2))``.
-    """
-    cells = pair_cells(df, x, y)
-    xs = cells.select("_x").distinct().withColumn("_one", F.lit(1))
-    xr = cumulative_within(xs, (), ["_x"], "_one", cum="_r", total="_dx").select(
-        "_x", (F.col("_r") - 1).alias("_r"), "_dx")
-    c = cells.join(xr, "_x")
+def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
+    """X4 for several x columns at once (see ``kendall_tau_b``)."""
+    cells = stacked_pair_cells(df, xs, y)
+    xd = cells.select("_var", "_x").distinct().withColumn("_one", F.lit(1))
+    xr = cumulative_within(xd, ["_var"], ["_x"], "_one", cum="_r", total="_dx", max_groups=len(xs)).select(
+        "_var", "_x", (F.col("_r") - 1).alias("_r"), "_dx")
+    c = cells.join(xr, ["_var", "_x"])
     levels = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_dx").cast("double"))).cast("int") - 1))
     lv = (c.withColumn("_lvl", F.explode(levels))
           .withColumn("_block", F.expr("shiftright(_r, _lvl + 1)"))
           .withColumn("_half", F.expr("shiftright(_r, _lvl) & 1"))
           .withColumn("_lw", F.when(F.col("_half") == 0, F.col("_n")).otherwise(F.lit(0)))
           .withColumn("_tie", F.lit(1) - F.col("_half")))
-    cum = cumulative_within(lv, ["_lvl", "_block"], ["_y", "_tie", "_x"], "_lw", cum="_below_incl",
+    cum = cumulative_within(lv, ["_var", "_lvl", "_block"], ["_y", "_tie", "_x"], "_lw", cum="_below_incl",
                             total="_left_total", max_groups=None)
     # at a right-half row (half = 1, ordered before left rows of equal y) the
     # running left weight counts only left cells with y' < y
     right = cum.where(F.col("_half") == 1)
-    left_eq = (lv.where(F.col("_half") == 0).groupBy("_lvl", "_block", "_y")
+    left_eq = (lv.where(F.col("_half") == 0).groupBy("_var", "_lvl", "_block", "_y")
                .agg(F.sum("_n").alias("_eq")))
-    r = right.join(left_eq, ["_lvl", "_block", "_y"], "left").fillna(0, subset=["_eq"])
+    r = right.join(left_eq, ["_var", "_lvl", "_block", "_y"], "left").fillna(0, subset=["_eq"])
     below = F.col("_below_incl")
     above = F.col("_left_total") - below - F.col("_eq")
-    S = r.agg(F.sum((F.col("_n") * (below - above)).cast("double")).alias("_S"))
-    tot = cells.agg(F.sum("_n").cast("double").alias("_tot_n"))
-    tx = cells.groupBy("_x").agg(F.sum("_n").alias("_t")).agg(
+    S = r.groupBy("_var").agg(F.sum((F.col("_n") * (below - above)).cast("double")).alias("_S"))
+    tot = cells.groupBy("_var").agg(F.sum("_n").cast("double").alias("_tot_n"))
+    tx = cells.groupBy("_var", "_x").agg(F.sum("_n").alias("_t")).groupBy("_var").agg(
         F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias("_n1"))
-    ty = cells.groupBy("_y").agg(F.sum("_n").alias("_t")).agg(
+    ty = cells.groupBy("_var", "_y").agg(F.sum("_n").alias("_t")).groupBy("_var").agg(
         F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias("_n2"))
     n0 = F.col("_tot_n") * (F.col("_tot_n") - 1) / 2
-    return (S.crossJoin(tot).crossJoin(tx).crossJoin(ty)
-            .select((F.coalesce(F.col("_S"), F.lit(0.0)) /
-                     F.sqrt((n0 - F.col("_n1")) * (n0 - F.col("_n2")))).alias(name)))
+    per = (tot.join(S, "_var", "left").join(tx, "_var").join(ty, "_var")
+           .select("_var", (F.coalesce(F.col("_S"), F.lit(0.0)) /
+                            F.sqrt((n0 - F.col("_n1")) * (n0 - F.col("_n2")))).alias("_tau")))
+    return _one_row(per, xs, "_tau")
+
+
+def kendall_tau_b(df: DataFrame, x: str, y: str, name: str = "kendall") -> DataFrame:
+    """Kendall tau-b, exact, in O(cells * log distinct(x)) without pairs.
+
+    Give every distinct x its dense rank ``r``.  Any two cells with
+    different x are separated at exactly one bit level ``L``: they share the
+    block ``r >> (L+1)`` and sit in different halves ``(r >> L) & 1``.  So
+    ``S = concordant - discordant`` is, summed over levels and blocks, the
+    right-half cells' weight times (left-half weight below y minus left-half
+    weight above y).  One ``cumulative_within`` over the cells replicated per
+    level (grouped by (level, block), ordered by y with right-half rows first
+    on equal y) gives "left weight strictly below y" for every right-half
+    cell.  Ties in x never split; ties in y contribute 0.
+    ``tau_b = S / sqrt((n0 - n1) (n0 - n2))``.
+    """
+    return kendall_many(df, [x], y).withColumnRenamed(x, name)
 
 
 def binned_mutual_information(df: DataFrame, x: str, y: str, bins: int = 10, name: str = "mutual_info") -> DataFrame:

@@ -105,7 +105,7 @@ def x2_pearson(spark, sf_dir):
 
 @query("x3_spearman", S.with_(S.PREPARED_UNSCALED, _row_sql(_spearman_sql, RANK_COLS, "sharesFacebook")))
 def x3_spearman(spark, sf_dir):
-    return _round_all(_per_column(X.spearman, unscaled(spark, sf_dir), RANK_COLS, "sharesFacebook"))
+    return _round_all(X.spearman_many(unscaled(spark, sf_dir), RANK_COLS, "sharesFacebook"))
 
 
 @query("x3_spearman_lineitem", "SELECT " + ", ".join(
@@ -113,12 +113,12 @@ def x3_spearman(spark, sf_dir):
 def x3_spearman_lineitem(spark, sf_dir):
     """X3 at scale on ``lineitem`` (quantity has 50 distinct values: ties)."""
     li = table(spark, sf_dir, "lineitem")
-    return _round_all(_per_column(X.spearman, li, ["l_quantity", "l_discount"], "l_extendedprice"))
+    return _round_all(X.spearman_many(li, ["l_quantity", "l_discount"], "l_extendedprice"))
 
 
 @query("x4_kendall", S.with_(S.PREPARED_UNSCALED, _row_sql(_kendall_sql, RANK_COLS, "sharesFacebook")))
 def x4_kendall(spark, sf_dir):
-    return _round_all(_per_column(X.kendall_tau_b, unscaled(spark, sf_dir), RANK_COLS, "sharesFacebook"))
+    return _round_all(X.kendall_many(unscaled(spark, sf_dir), RANK_COLS, "sharesFacebook"))
 
 
 @query("x5_mutual_info", S.with_(S.PREPARED_UNSCALED, _row_sql(_mi_sql, RANK_COLS, "sharesFacebook")))
