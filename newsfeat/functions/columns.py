@@ -51,9 +51,13 @@ def clean_column_names(df: DataFrame) -> DataFrame:
 
 
 def select_except(df: DataFrame, excluded: Sequence[str]) -> DataFrame:
-    """Every column except ``excluded`` (exact case, trap T1)."""
+    """Every column except ``excluded``, compared with exact case
+    (trap T1).  Columns are addressed by position, so a frame holding both
+    ``date`` and ``DATE`` (legal, but ambiguous by name) can be projected."""
     ex = set(excluded)
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in ex])
+    names = df.columns
+    tmp = df.toDF(*[f"__c{i}" for i in range(len(names))])
+    return tmp.select(*[F.col(f"__c{i}").alias(n) for i, n in enumerate(names) if n not in ex])
 
 
 def drop_exact(df: DataFrame, name: str, strict: bool = False) -> DataFrame:
