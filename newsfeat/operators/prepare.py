@@ -133,11 +133,21 @@ def robust_apply(df: DataFrame, fit: DataFrame, col: str, out: str) -> DataFrame
 
 # ---------------------------------------------------------------- the whole preparation
 
+PREPARE_INPUTS = ["uri", "ingest_seq", "date", "categoryLabels", "authors", "sharesFacebook"]
+
+
 def prepare_articles(articles: DataFrame, year: int = 2023, scale: bool = True,
-                     fit: DataFrame | None = None) -> DataFrame:
+                     fit: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
     """The preparation stage: date parts, one year, first row per uri,
     ``''`` -> null, rows without labels or authors dropped, topic label,
-    robust-scaled shares (fitted on the prepared rows unless ``fit`` is given)."""
+    robust-scaled shares (fitted on the prepared rows unless ``fit`` is given).
+
+    ``keep`` narrows the carried columns to the inputs of the stage plus the
+    listed ones, so the scan reads only those (the de-duplication carries
+    whole rows, which Catalyst cannot prune by itself)."""
+    if keep is not None:
+        cols = [c for c in articles.columns if c in set(PREPARE_INPUTS) | set(keep)]
+        articles = articles.select(*cols)
     df = parse_date(articles)
     df = filter_year(df, year)
     df = add_year_month(df)

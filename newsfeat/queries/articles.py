@@ -14,7 +14,7 @@ from newsfeat.queries.registry import query
 SELECT topic, count(*) AS n FROM prepared_unscaled GROUP BY topic"""))
 def prep_topic_counts(spark, sf_dir):
     """Minimum slice: prepare, then A3 value counts of the topic label."""
-    df = prep.prepare_articles(articles(spark, sf_dir), scale=False)
+    df = prep.prepare_articles(articles(spark, sf_dir), scale=False, keep=[])
     return df.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -75,12 +75,12 @@ def run_incremental_scoring(spark: SparkSession, source: str, sink: str, checkpo
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read the batch's files once for all uses below
         scored = score_articles(batch, center, scale)
-        if path_exists(spark, f"{sink}/_SUCCESS") or path_exists(spark, sink):
-            keys = spark.read.parquet(sink).select("uri", "year_month")
-            months = scored.select("year_month").distinct()
-            # only sink partitions inside the horizon of this batch's months
-            recent = keys.join(F.broadcast(_horizon(months, horizon_months)), "year_month", "left_semi")
-            scored = scored.join(recent.select("uri"), "uri", "left_anti")
+        if path_exists(spark, sink):
+            # only sink partitions inside the horizon of this batch's months:
+            # a handful of month keys, used as a literal partition filter
+            months = [r[0] for r in _horizon(scored.select("year_month").distinct(), horizon_months).collect()]
+            recent = spark.read.parquet(sink).where(F.col("year_month").isin(months)).select("uri")
+            scored = scored.join(recent, "uri", "left_anti")
         scored.write.mode("append").partitionBy("year_month").parquet(sink)
         batch.unpersist()
 
