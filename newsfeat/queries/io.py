@@ -70,7 +70,7 @@ def s6_pipe_csv_roundtrip(spark, sf_dir):
 
 def _load(spark, sf_dir) -> str:
     name = "newsfeat_split_articles"
-    Snk.load_table(split_articles(spark, sf_dir), name)
+    Snk.load_table(split_articles(spark, sf_dir), name, location=scratch_path(spark, name))
     return name
 
 

@@ -42,12 +42,17 @@ def read_pipe_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.csv(path)
 
 
-def load_table(df: DataFrame, table: str, drop: str | None = "DATE") -> int:
-    """Truncate and replace a managed table (guarded exact-case drop of
-    ``drop``, trap T16); returns the rows loaded."""
+def load_table(df: DataFrame, table: str, drop: str | None = "DATE", location: str | None = None) -> int:
+    """Truncate and replace a table (guarded exact-case drop of ``drop``,
+    trap T16); returns the rows loaded.  The table lives at ``location``
+    (default: ``<warehouse>/<table>``); an explicit location lets the load
+    replace files left by an earlier session whose catalog is gone."""
+    spark = df.sparkSession
     out = drop_exact(df, drop) if drop else df
-    out.write.mode("overwrite").saveAsTable(table)
-    return out.sparkSession.table(table).count()
+    if location is None:
+        location = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}"
+    out.write.mode("overwrite").option("path", location).saveAsTable(table)
+    return spark.table(table).count()
 
 
 def table_slice(spark: SparkSession, table: str, split: str | None = "TEST", n: int = 10,
