@@ -99,14 +99,14 @@ def a9_min_train_class(spark, sf_dir):
 
 @query("a10_topic_median", S.with_(S.PREPARED_UNSCALED, """
 SELECT topic, quantile_cont(sharesFacebook, 0.5) AS median, count(sharesFacebook) AS "count"
-FROM prepared_unscaled GROUP BY topic"""))
+FROM prepared_unscaled GROUP BY topic"""), round_cols=['median'])
 def a10_topic_median(spark, sf_dir):
     return A.group_median(unscaled(spark, sf_dir), "topic", "sharesFacebook")
 
 
 @query("a10_orders_median", """
 SELECT o_orderpriority, quantile_cont(o_totalprice, 0.5) AS median, count(o_totalprice) AS "count"
-FROM orders GROUP BY o_orderpriority""")
+FROM orders GROUP BY o_orderpriority""", round_cols=['median'])
 def a10_orders_median(spark, sf_dir):
     """A10 at scale: exact median price per priority on ``orders``."""
     return A.group_median(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice")
@@ -114,7 +114,7 @@ def a10_orders_median(spark, sf_dir):
 
 @query("o4_top_topics_by_median", S.with_(S.PREPARED_UNSCALED, """
 SELECT topic, quantile_cont(sharesFacebook, 0.5) AS median, count(sharesFacebook) AS "count"
-FROM prepared_unscaled GROUP BY topic ORDER BY median DESC, topic LIMIT 30"""))
+FROM prepared_unscaled GROUP BY topic ORDER BY median DESC, topic LIMIT 30"""), round_cols=['median'])
 def o4_top_topics_by_median(spark, sf_dir):
     m = A.group_median(unscaled(spark, sf_dir), "topic", "sharesFacebook")
     return m.orderBy(F.desc("median"), F.asc("topic")).limit(30)
@@ -123,14 +123,14 @@ def o4_top_topics_by_median(spark, sf_dir):
 @query("a11_mean_by_hour", S.with_(S.PREPARED_UNSCALED, """
 SELECT cast(hour(try_strptime(dateTime, '%Y-%m-%dT%H:%M:%SZ')) AS INTEGER) AS hour,
        avg(sharesFacebook) AS mean
-FROM prepared_unscaled GROUP BY 1"""))
+FROM prepared_unscaled GROUP BY 1"""), round_cols=['mean'])
 def a11_mean_by_hour(spark, sf_dir):
     df = unscaled(spark, sf_dir).withColumn("hour", Dt.hour_of_iso("dateTime"))
     return A.group_mean(df, "hour", "sharesFacebook")
 
 
 @query("a11_mean_by_day", S.with_(S.PREPARED_UNSCALED, """
-SELECT dayname(date_column) AS day, avg(sharesFacebook) AS mean FROM prepared_unscaled GROUP BY 1"""))
+SELECT dayname(date_column) AS day, avg(sharesFacebook) AS mean FROM prepared_unscaled GROUP BY 1"""), round_cols=['mean'])
 def a11_mean_by_day(spark, sf_dir):
     df = unscaled(spark, sf_dir).withColumn("day", Dt.day_name("date_column"))
     return A.group_mean(df, "day", "sharesFacebook")
@@ -138,7 +138,7 @@ def a11_mean_by_day(spark, sf_dir):
 
 @query("a12_length_stats", S.with_(S.PREPARED_UNSCALED, """
 SELECT cast(sum(length(body)) AS BIGINT) AS total_chars, avg(length(body)) AS mean_chars,
-       count(length(body)) AS documents FROM prepared_unscaled"""))
+       count(length(body)) AS documents FROM prepared_unscaled"""), round_cols=['mean_chars'])
 def a12_length_stats(spark, sf_dir):
     return A.length_stats(unscaled(spark, sf_dir), "body")
 
@@ -153,7 +153,7 @@ FROM {src}""")
     return "\nUNION ALL\n".join(parts)
 
 
-@query("a13_describe_ranks", S.with_(S.PREPARED_UNSCALED, _describe_sql("prepared_unscaled", RANK_COLS)))
+@query("a13_describe_ranks", S.with_(S.PREPARED_UNSCALED, _describe_sql("prepared_unscaled", RANK_COLS)), round_cols=['mean', 'std', 'min', 'max', 'p25', 'p50', 'p75'])
 def a13_describe_ranks(spark, sf_dir):
     return A.describe_numeric(unscaled(spark, sf_dir), RANK_COLS)
 
@@ -161,7 +161,7 @@ def a13_describe_ranks(spark, sf_dir):
 _LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("a13_describe_lineitem", _describe_sql("lineitem", _LI_COLS))
+@query("a13_describe_lineitem", _describe_sql("lineitem", _LI_COLS), round_cols=['mean', 'std', 'min', 'max', 'p25', 'p50', 'p75'])
 def a13_describe_lineitem(spark, sf_dir):
     """A13 at scale over four ``lineitem`` measures."""
     return A.describe_numeric(table(spark, sf_dir, "lineitem"), _LI_COLS)
@@ -174,7 +174,7 @@ def _describe_str_sql(src, cols):
     parts = []
     for c in cols:
         parts.append(f"""SELECT '{c}' AS "column", * FROM (
-  SELECT sum(f) AS "count", count(*) AS "unique", arg_min(v, (-f, v)) AS top, arg_min(f, (-f, v)) AS freq
+  SELECT cast(sum(f) AS BIGINT) AS "count", count(*) AS "unique", arg_min(v, (-f, v)) AS top, arg_min(f, (-f, v)) AS freq
   FROM (SELECT cast({c} AS VARCHAR) AS v, count(*) AS f FROM {src} WHERE {c} IS NOT NULL GROUP BY 1))""")
     return "\nUNION ALL\n".join(parts)
 
@@ -230,12 +230,12 @@ FROM (SELECT CASE WHEN _hi = _lo THEN 0 ELSE least(cast(floor((cast({c} AS DOUBL
 GROUP BY bin, _lo, _hi"""
 
 
-@query("a18_histogram_importance", S.with_(S.PREPARED_UNSCALED, _hist_sql("prepared_unscaled", "importanceRank", 30)))
+@query("a18_histogram_importance", S.with_(S.PREPARED_UNSCALED, _hist_sql("prepared_unscaled", "importanceRank", 30)), round_cols=['lower', 'upper'])
 def a18_histogram_importance(spark, sf_dir):
     return A.histogram(unscaled(spark, sf_dir), "importanceRank", 30)
 
 
-@query("a18_histogram_events", _hist_sql("events", "value", 20))
+@query("a18_histogram_events", _hist_sql("events", "value", 20), round_cols=['lower', 'upper'])
 def a18_histogram_events(spark, sf_dir):
     """A18 at scale: 20 bins of ``events.value``."""
     return A.histogram(table(spark, sf_dir, "events"), "value", 20)
@@ -247,13 +247,13 @@ def _kde_sql(src, c, points=200):
 _st AS (SELECT min(cast({c} AS DOUBLE)) AS lo, max(cast({c} AS DOUBLE)) AS hi,
                stddev_samp(cast({c} AS DOUBLE)) * pow(count(*), -0.2) AS h, count(*) AS n
         FROM {src} WHERE {c} IS NOT NULL),
-_g AS (SELECT range AS point FROM range(0, {points}))
+_g AS (SELECT cast(range AS INTEGER) AS point FROM range(0, {points}))
 SELECT point, lo + point * (hi - lo) / {points - 1} AS x,
        round(sum(w * exp(-pow((lo + point * (hi - lo) / {points - 1} - v) / h, 2) / 2)) / (n * h * sqrt(2 * pi())), 12) AS density
 FROM _g, _cells, _st GROUP BY point, lo, hi, h, n"""
 
 
-@query("a19_kde_shares", S.with_(S.PREPARED_UNSCALED + _kde_sql("prepared_unscaled", "sharesFacebook"), ""))
+@query("a19_kde_shares", S.with_(S.PREPARED_UNSCALED + _kde_sql("prepared_unscaled", "sharesFacebook"), ""), round_cols=['x', 'density'])
 def a19_kde_shares(spark, sf_dir):
     k = A.kde_curve(unscaled(spark, sf_dir), "sharesFacebook", 200)
     return k.withColumn("density", F.round("density", 12))
@@ -273,7 +273,7 @@ def _profile_sql(src, cols, num):
 
 
 @query("a20_profile", S.with_(S.PREPARED_UNSCALED, _profile_sql(
-    "prepared_unscaled", _PROF_COLS, {"sharesFacebook", "alexaCountryRank"})))
+    "prepared_unscaled", _PROF_COLS, {"sharesFacebook", "alexaCountryRank"})), round_cols=['min', 'mean', 'max'])
 def a20_profile(spark, sf_dir):
     return A.profile(unscaled(spark, sf_dir), _PROF_COLS)
 

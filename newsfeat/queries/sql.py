@@ -54,3 +54,9 @@ balanced AS (
 
 def with_(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
+
+
+def rounded(sql: str, cols, digits: int = 9) -> str:
+    """Wrap an oracle query so the listed double columns are rounded."""
+    rep = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n)"

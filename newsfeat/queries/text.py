@@ -146,8 +146,8 @@ def _entities_sql(c: str) -> str:
             cols.append(f"round(CASE WHEN len({ms}) > 0 THEN list_sum(list_transform({ms}, lambda m: length(m) / "
                         f"cast(greatest(length({c}), 1) AS DOUBLE))) / len({ms}) ELSE 0.0 END, {R}) AS {mean}")
         else:
-            cols.append(f"0.0 AS {cnt}")
-            cols.append(f"0.0 AS {mean}")
+            cols.append(f"CAST(0.0 AS DOUBLE) AS {cnt}")
+            cols.append(f"CAST(0.0 AS DOUBLE) AS {mean}")
     return f"SELECT doc_id, {', '.join(cols)} FROM documents WHERE coalesce({c}, '') <> ''"
 
 
@@ -185,7 +185,7 @@ SELECT total_chars, round(mean_chars, {R}) AS mean_chars, units,
        round(mean_chars * {Sc.PROJECTED_ARTICLES} / 1000.0 * {Sc.SINGLE_TIER_PRICE}, {R}) AS single_tier_cost,
        round({' + '.join(
            f"greatest({'least(' if i + 1 < len(Sc.SENTIMENT_TIERS) else ''}units - {lo}"
-           f"{(', ' + str(Sc.SENTIMENT_TIERS[i + 1][0] - lo) + ')') if i + 1 < len(Sc.SENTIMENT_TIERS) else ''}, 0) * {price}"
+           f"{(', ' + str(Sc.SENTIMENT_TIERS[i + 1][0] - lo) + ')') if i + 1 < len(Sc.SENTIMENT_TIERS) else ''}, 0) * CAST({price} AS DOUBLE)"
            for i, (lo, price) in enumerate(Sc.SENTIMENT_TIERS))}, {R}) AS tiered_cost
 FROM _s"""))
 def n7_cost_estimate(spark, sf_dir):

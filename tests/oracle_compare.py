@@ -19,6 +19,8 @@ sys.path.insert(0, ROOT)
 
 from newsfeat.sources.tables import TABLES  # noqa: E402
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
 
 def duck(sf_dir: str):
     con = duckdb.connect()
@@ -33,7 +35,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, dt.datetime):
