@@ -87,6 +87,13 @@ def cast_to_string(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def new_columns(before: DataFrame, after: DataFrame) -> list[str]:
+    """Columns of ``after`` that ``before`` did not have (e.g. the entity
+    columns a scorer added), in ``after`` order."""
+    old = set(before.columns)
+    return [c for c in after.columns if c not in old]
+
+
 def feature_columns(columns: Sequence[str], omit: Sequence[str], target: str, split: str = "split") -> list[str]:
     """Feature list = columns minus the omit list, the target and the split."""
     drop = set(omit) | {target, split}

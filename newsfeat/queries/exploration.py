@@ -418,3 +418,29 @@ SELECT uri, coalesce(code, -1) AS source_code FROM prepared_unscaled LEFT JOIN (
 def p15_source_codes(spark, sf_dir):
     df = unscaled(spark, sf_dir)
     return Dt.category_codes(df, "sourceTitle", "source_code").select("uri", "source_code")
+
+
+# ----------------------------------------------------------------- fills and alignment
+
+@query("p21_fill_authors", S.with_(Y2023, """
+SELECT authors, count(*) AS "count" FROM (SELECT coalesce(nullif(authors, ''), 'X') AS authors FROM y2023)
+GROUP BY authors"""))
+def p21_fill_authors(spark, sf_dir):
+    """P22 then P21: empty authors become null, nulls are filled with 'X';
+    counts per author value."""
+    df = prep.empty_to_null(year_rows(spark, sf_dir), ["authors"]).fillna("X", subset=["authors"])
+    return A.value_counts(df, "authors")
+
+
+@query("j2_align_labels", S.with_(S.PREPARED_UNSCALED, """
+SELECT uri, title, doc_id, quality, toxic
+FROM (SELECT uri, title, ingest_seq FROM prepared_unscaled) p FULL OUTER JOIN labels l ON p.ingest_seq = l.doc_id"""))
+def j2_align_labels(spark, sf_dir):
+    """A second frame (``labels``, which covers only some documents)
+    aligned to the article frame on the document key — a full outer join
+    on the business key instead of positional concatenation (trap T11);
+    rows without a partner get nulls on the other side."""
+    p = unscaled(spark, sf_dir).select("uri", "title", "ingest_seq")
+    lab = table(spark, sf_dir, "labels")
+    return p.join(lab, p["ingest_seq"] == lab["doc_id"], "full_outer").select(
+        "uri", "title", "doc_id", "quality", "toxic")

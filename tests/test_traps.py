@@ -122,3 +122,11 @@ def test_p20_conformance_adds_missing_columns(spark):
     out = Cols.conform(df)
     assert out.columns[:2] == ["uri", "Toxic"] and set(Cols.REQUIRED_COLUMNS) <= set(out.columns)
     assert out.first()["PERSON"] == 0
+
+
+def test_n2_lemma_table_and_g4_new_columns(spark):
+    from newsfeat.functions import text as Tx
+    df = spark.createDataFrame([("I gatti e i cani",)], "body string")
+    out = Tx.preprocess_text(df, "body", "body_pre", lemmas={"gatti": "gatto", "cani": "cane"})
+    assert out.first().body_pre == "gatto cane"
+    assert Cols.new_columns(df, out) == ["body_pre"]
