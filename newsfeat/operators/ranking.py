@@ -36,6 +36,10 @@ ColumnOrName = Column | str
 # Broadcast the offsets table when it is provably small: it has at most
 # ``partitions + max_groups`` rows.
 MAX_BROADCAST_GROUPS = 100_000
+# At or below this many cells, running totals and quantiles are finished in a
+# single task (a window or Spark's exact ``percentile`` over the cells); above
+# it they use the range-partitioned path.  The count is checked at run time.
+SMALL_CELLS = 100_000
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -108,16 +112,34 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
 def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: Sequence[ColumnOrName],
                       weight: str | Sequence[str], cum: str | Sequence[str] = "_cum",
                       total: str | Sequence[str] | None = "_total",
-                      num_partitions: int | None = None, max_groups: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, max_groups: int | None = None,
+                      small_cells: int | None = None, known_large: bool = False) -> DataFrame:
     """Running (inclusive) sums of ``weight`` column(s) inside each group in
     ``order_cols`` order, plus the group totals.  Meant for aggregated cells
     (one row per distinct value), so the second exchange on ``(_pid, group)``
-    moves only the cells, never the raw rows."""
+    moves only the cells, never the raw rows.
+
+    The cells are materialised first; when there are at most
+    ``small_cells`` of them (a checked bound, default ``SMALL_CELLS``) an
+    ordinary window finishes the job, otherwise the range-partitioned path
+    with offsets runs."""
     weights = [weight] if isinstance(weight, str) else list(weight)
     cums = [cum] if isinstance(cum, str) else list(cum)
     totals = None if total is None else ([total] if isinstance(total, str) else list(total))
     group_cols = list(group_cols)
     keys = [_col(g) for g in group_cols] + [_col(o) for o in order_cols]
+    limit = SMALL_CELLS if small_cells is None else small_cells
+    if not known_large:
+        cells = materialize(cells, "cells")
+    if not known_large and cells.count() <= limit:
+        part = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
+        run = part.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = cells
+        for i, w in enumerate(weights):
+            out = out.withColumn(cums[i], F.sum(w).over(run))
+            if totals:
+                out = out.withColumn(totals[i], F.sum(w).over(part))
+        return out
     n = num_partitions or default_partitions(cells)
     r = cells.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
     local = (Window.partitionBy("_pid", *group_cols).orderBy(*keys)
@@ -162,15 +184,29 @@ def average_ranks(cells: DataFrame, group_cols: Sequence[str] = (), value: str =
 
 def exact_quantiles(df: DataFrame, value: ColumnOrName, probs: Sequence[float],
                     names: Sequence[str] | None = None, group_cols: Sequence[str] = (),
-                    max_groups: int | None = None, count_name: str | None = None) -> DataFrame:
+                    max_groups: int | None = None, count_name: str | None = None,
+                    small_cells: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy/pandas ``linear``, SQL
-    ``quantile_cont``) per group, computed from running counts over the
-    distinct value cells: no group is gathered in one buffer or task.
-    Returns one row per group with one column per probability."""
+    ``quantile_cont``) per group.
+
+    Values are first aggregated to distinct (group, value) cells (partial
+    aggregation) and the cells are materialised.  When their number is at
+    most ``small_cells`` — a checked bound — ``percentile(value, p, count)``
+    over the cells finishes the job; otherwise running counts over the
+    range-partitioned cells locate the order statistics, so no group's
+    values are ever gathered in one buffer or task."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    cells = value_cells(df, value, group_cols)
+    cells = materialize(value_cells(df, value, group_cols), "cells")
+    if cells.count() <= (SMALL_CELLS if small_cells is None else small_cells):
+        pct = F.percentile(F.col("_v").cast("double"), F.array(*[F.lit(float(p)) for p in probs]), F.col("_w"))
+        aggs = [pct.alias("_q")]
+        if count_name:
+            aggs.append(F.sum("_w").alias(count_name))
+        g = cells.groupBy(*group_cols).agg(*aggs)
+        return g.select(*group_cols, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)],
+                        *([count_name] if count_name else []))
     c = cumulative_within(cells, group_cols, ["_v"], "_w", cum="_cum", total="_total",
-                          max_groups=max_groups)
+                          max_groups=max_groups, known_large=True)
     c = c.withColumn("_start", F.col("_cum") - F.col("_w"))
     aggs = []
     for p, nm in zip(probs, names):

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsfeat.functions import distributions as D
-from newsfeat.operators.ranking import average_ranks, cumulative_within
+from newsfeat.operators.ranking import average_ranks, cumulative_within, materialize
 
 
 def _c(c: Column | str) -> Column:
@@ -51,8 +51,10 @@ def _one_row(per_var: DataFrame, xs: list[str], value: str) -> DataFrame:
 
 
 def spearman_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
-    """X3 for several x columns at once: one row, one column per x."""
-    cells = stacked_pair_cells(df, xs, y)
+    """X3 for several x columns at once: one row, one column per x.  The
+    pair cells are written once and feed the marginals, the ranks and the
+    final weighted sums (one scan of the input)."""
+    cells = materialize(stacked_pair_cells(df, xs, y), "pair_cells")
     mx = cells.groupBy("_var", "_x").agg(F.sum("_n").alias("_w")).select(
         "_var", F.lit("x").alias("_axis"), F.col("_x").alias("_v"), "_w")
     my = cells.groupBy("_var", "_y").agg(F.sum("_n").alias("_w")).select(
@@ -80,8 +82,9 @@ def spearman(df: DataFrame, x: str, y: str, name: str = "spearman") -> DataFrame
 
 
 def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
-    """X4 for several x columns at once (see ``kendall_tau_b``)."""
-    cells = stacked_pair_cells(df, xs, y)
+    """X4 for several x columns at once (see ``kendall_tau_b``); the pair
+    cells are written once and read by every later step."""
+    cells = materialize(stacked_pair_cells(df, xs, y), "pair_cells")
     xd = cells.select("_var", "_x").distinct().withColumn("_one", F.lit(1))
     xr = cumulative_within(xd, ["_var"], ["_x"], "_one", cum="_r", total="_dx", max_groups=len(xs)).select(
         "_var", "_x", (F.col("_r") - 1).alias("_r"), "_dx")
@@ -180,9 +183,9 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
     """Kruskal-Wallis H with tie correction.  Average ranks of the
     distinct values (two-level, distributed) are joined to the
     (group, value) cells, never to raw rows; rank sums per group follow."""
-    cells = (df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
-             .where(F.col("_g").isNotNull() & F.col("_v").isNotNull())
-             .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    cells = materialize(df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
+                        .where(F.col("_g").isNotNull() & F.col("_v").isNotNull())
+                        .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n")), "group_cells")
     marg = cells.groupBy("_v").agg(F.sum("_n").alias("_w"))
     ranks = average_ranks(marg, (), "_v", "_w", "_rank")
     j = cells.join(ranks.select("_v", "_rank", "_w"), "_v")

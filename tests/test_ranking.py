@@ -1,6 +1,7 @@
 """Distributed ordered positions against pandas, including a hot group."""
 
 import numpy as np
+import pytest
 import pandas as pd
 
 from newsfeat.operators.ranking import (average_ranks, cumulative_within, exact_quantiles,
@@ -28,6 +29,9 @@ def test_row_number_within_matches_pandas(spark):
 def test_cumulative_within_matches_pandas(spark):
     pdf, df = _frame(spark, seed=5)
     out = cumulative_within(df, ["g"], ["k"], "w", cum="c", total="t", num_partitions=5).toPandas()
+    big = cumulative_within(df, ["g"], ["k"], "w", cum="c", total="t", num_partitions=5, small_cells=0).toPandas()
+    assert big.sort_values(["g", "k"]).reset_index(drop=True)[["c", "t"]].equals(
+        out.sort_values(["g", "k"]).reset_index(drop=True)[["c", "t"]])
     exp = pdf.sort_values(["g", "k"]).copy()
     exp["c_e"] = exp.groupby("g")["w"].cumsum()
     exp["t_e"] = exp.groupby("g")["w"].transform("sum")
@@ -53,3 +57,45 @@ def test_exact_quantiles_linear(spark):
     qg = exact_quantiles(df, "x", [0.1], ["p"], group_cols=["g"], max_groups=3).toPandas().set_index("g")["p"]
     for g in range(3):
         assert np.isclose(qg[g], np.quantile(x[np.arange(501) % 3 == g], 0.1))
+
+
+def test_exact_quantiles_both_paths_agree(spark):
+    rng = np.random.default_rng(11)
+    x = np.round(rng.normal(size=700), 3)
+    df = spark.createDataFrame([(float(v), int(i % 4)) for i, v in enumerate(x)], "x double, g int")
+    probs = [0.1, 0.25, 0.5, 0.9]
+    small = exact_quantiles(df, "x", probs, ["a", "b", "c", "d"], group_cols=["g"], max_groups=4).toPandas()
+    big = exact_quantiles(df, "x", probs, ["a", "b", "c", "d"], group_cols=["g"], max_groups=4,
+                          small_cells=0).toPandas()
+    m = small.merge(big, on="g")
+    for col in "abcd":
+        assert np.allclose(m[f"{col}_x"], m[f"{col}_y"])
+    for g in range(4):
+        e = np.quantile(x[np.arange(700) % 4 == g], probs)
+        assert np.allclose(small.set_index("g").loc[g, list("abcd")].astype(float), e)
+
+
+def _brute_kendall(x, y):
+    n = len(x)
+    s = sum(np.sign(y[j] - y[i]) for i in range(n) for j in range(n) if x[i] < x[j])
+    _, tx = np.unique(x, return_counts=True)
+    _, ty = np.unique(y, return_counts=True)
+    n0 = n * (n - 1) / 2
+    return s / np.sqrt((n0 - (tx * (tx - 1) / 2).sum()) * (n0 - (ty * (ty - 1) / 2).sum()))
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_rank_correlations_both_paths(spark, monkeypatch, small):
+    from newsfeat.operators import ranking, stats
+    if not small:
+        monkeypatch.setattr(ranking, "SMALL_CELLS", 0)
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 300, 400).astype(float)
+    y = rng.integers(0, 40, 400).astype(float)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    tau = stats.kendall_tau_b(df, "x", "y").first()[0]
+    rho = stats.spearman(df, "x", "y").first()[0]
+    rx = pd.Series(x).rank().to_numpy()
+    ry = pd.Series(y).rank().to_numpy()
+    assert np.isclose(tau, _brute_kendall(x, y))
+    assert np.isclose(rho, np.corrcoef(rx, ry)[0, 1])
