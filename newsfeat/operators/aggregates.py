@@ -69,8 +69,8 @@ def zero_positive_counts(df: DataFrame, col: str) -> DataFrame:
 def included_excluded(df: DataFrame, pred: Column, total: DataFrame | None = None) -> DataFrame:
     """Rows passing ``pred`` and the rest of ``total`` (defaults to ``df``)."""
     inc = df.agg(F.count_if(pred).alias("included"))
-    tot = (total if total is not None else df).agg(F.count(F.lit(1)).alias("_total"))
-    return inc.crossJoin(tot).select("included", (F.col("_total") - F.col("included")).alias("excluded"))
+    tot = (total if total is not None else df).agg(F.count(F.lit(1))).scalar()
+    return inc.select("included", (tot - F.col("included")).alias("excluded"))
 
 
 def min_max(df: DataFrame, col: str, group_cols: Sequence[str] = (), lo: str = "min", hi: str = "max") -> DataFrame:
@@ -167,13 +167,13 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     right (numpy).  Two aggregations: the range (one row, broadcast), then
     counts per bin."""
     x = F.col(col).cast("double")
-    rng = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    rng = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()  # one-row subquery
+    out = (df.where(F.col(col).isNotNull())
+           .withColumn("_lo", rng.getField("lo")).withColumn("_hi", rng.getField("hi")))
     width = (F.col("_hi") - F.col("_lo"))
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((x - F.col("_lo")) / width * F.lit(bins)).cast("int"), F.lit(bins - 1)))
-    out = (df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(rng))
-           .withColumn("bin", b)
-           .groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count")))
+    out = out.withColumn("bin", b).groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     return out.select("bin", (F.col("_lo") + F.col("bin") * step).alias("lower"),
                       (F.col("_lo") + (F.col("bin") + 1) * step).alias("upper"), "count")
@@ -190,11 +190,12 @@ def kde_curve(df: DataFrame, col: str, points: int = 200) -> DataFrame:
         F.min(F.col(col).cast("double")).alias("_lo"), F.max(F.col(col).cast("double")).alias("_hi"),
         F.stddev_samp(F.col(col).cast("double")).alias("_sd"), F.count(F.lit(1)).alias("_n"))
     st = st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
+    st = st.select(F.struct("_lo", "_hi", "_h", "_n").alias("s")).scalar()  # one-row subquery
     step = (F.col("_hi") - F.col("_lo")) / F.lit(points - 1)
     grid = F.transform(F.sequence(F.lit(0), F.lit(points - 1)),
                        lambda i: F.col("_w") * F.exp(-F.pow((F.col("_lo") + i * step - F.col("_v")) / F.col("_h"), 2) / 2))
-    contrib = cells.crossJoin(F.broadcast(st)).select(
-        "_lo", "_hi", "_h", "_n", F.posexplode(grid).alias("point", "_k"))
+    with_st = cells.select("_v", "_w", *[st.getField(f).alias(f) for f in ("_lo", "_hi", "_h", "_n")])
+    contrib = with_st.select("_lo", "_hi", "_h", "_n", F.posexplode(grid).alias("point", "_k"))
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
     return (contrib.groupBy("point", "_lo", "_hi", "_h", "_n").agg(F.sum("_k").alias("_s"))
             .select("point", (F.col("_lo") + F.col("point") * step).alias("x"),

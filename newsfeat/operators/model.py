@@ -184,10 +184,11 @@ def auc(points: DataFrame) -> DataFrame:
 def metrics_rows(pred: DataFrame) -> DataFrame:
     """M9: all metrics as ``(metric, value)`` rows: log loss, macro auROC and
     auPRC, accuracy (confidence points excluded)."""
-    ll = log_loss(pred)
-    a = auc(roc_points(pred)).agg(F.avg("au_roc").alias("au_roc"), F.avg("au_prc").alias("au_prc"))
-    acc = pred.agg(F.avg((predicted_class() == F.col("label_name")).cast("double")).alias("accuracy"))
-    one = ll.crossJoin(a).crossJoin(acc)
+    a = auc(roc_points(pred))
+    acc = pred.agg(F.avg((predicted_class() == F.col("label_name")).cast("double")))
+    one = log_loss(pred).select(
+        "log_loss", a.agg(F.avg("au_roc")).scalar().alias("au_roc"),
+        a.agg(F.avg("au_prc")).scalar().alias("au_prc"), acc.scalar().alias("accuracy"))
     return one.selectExpr("stack(4, 'logLoss', log_loss, 'auRoc', au_roc, 'auPrc', au_prc, "
                           "'accuracy', accuracy) AS (metric, value)")
 

@@ -126,9 +126,10 @@ def robust_fit(df: DataFrame, col: str) -> DataFrame:
 
 
 def robust_apply(df: DataFrame, fit: DataFrame, col: str, out: str) -> DataFrame:
-    """X1 apply: ``(x - center) / scale``; the one-row fit is broadcast."""
-    j = df.crossJoin(F.broadcast(fit.select("center", "scale")))
-    return j.withColumn(out, (F.col(col) - F.col("center")) / F.col("scale")).drop("center", "scale")
+    """X1 apply: ``(x - center) / scale``; the one-row fit enters as a scalar
+    subquery (computed once, no join)."""
+    f = fit.select(F.struct("center", "scale").alias("f")).scalar()
+    return df.withColumn(out, (F.col(col) - f.getField("center")) / f.getField("scale"))
 
 
 # ---------------------------------------------------------------- the whole preparation

@@ -50,9 +50,8 @@ def balance_classes(df: DataFrame, label: str = "topic", key: str = "uri", seed:
     label; rows are chosen by a seeded hash order (ties by ``key``)."""
     r = row_number_within(df, [label], [hash_order(key, seed), F.col(key)], rn="_rn", size="_n",
                           max_groups=max_groups)
-    k = r.agg(F.min("_n").alias("_k"))  # one row; sizes come from the offsets table
-    return (r.crossJoin(F.broadcast(k)).where(F.col("_rn") <= F.col("_k"))
-            .drop("_rn", "_n", "_k"))
+    k = r.agg(F.min("_n")).scalar()  # smallest label size, a scalar subquery
+    return r.where(F.col("_rn") <= k).drop("_rn", "_n")
 
 
 def balanced_training_set(split_df: DataFrame, label: str = "topic", key: str = "uri",

@@ -149,8 +149,9 @@ def binned_mutual_information(df: DataFrame, x: str, y: str, bins: int = 10, nam
         return F.when(w == 0, F.lit(0)).otherwise(
             F.least(F.floor((F.col(v) - F.col(lo)) / w * F.lit(bins)).cast("int"), F.lit(bins - 1)))
 
-    b = (base.crossJoin(F.broadcast(rng))
-         .select(binof("_x", "_x0", "_x1").alias("_bx"), binof("_y", "_y0", "_y1").alias("_by"), "_tot_n"))
+    r = rng.select(F.struct(*rng.columns).alias("r")).scalar()  # one-row subquery
+    base = base.select("_x", "_y", *[r.getField(c).alias(c) for c in rng.columns])
+    b = base.select(binof("_x", "_x0", "_x1").alias("_bx"), binof("_y", "_y0", "_y1").alias("_by"), "_tot_n")
     cells = b.groupBy("_bx", "_by", "_tot_n").agg(F.count(F.lit(1)).alias("_nxy"))
     px = cells.groupBy("_bx").agg(F.sum("_nxy").alias("_nx"))
     py = cells.groupBy("_by").agg(F.sum("_nxy").alias("_ny"))
@@ -170,7 +171,8 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
                              F.coalesce(F.var_samp(F.col(value).cast("double")), F.lit(0.0)).alias("_v")))
     tot = g.agg(F.sum("_n").alias("_tot_n"), (F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")).alias("_gm"),
                 F.count(F.lit(1)).alias("_k"))
-    j = g.crossJoin(F.broadcast(tot))
+    t = tot.select(F.struct(*tot.columns).alias("t")).scalar()  # one-row subquery
+    j = g.select("*", *[t.getField(c).alias(c) for c in tot.columns])
     s = j.groupBy("_tot_n", "_k").agg(
         F.sum(F.col("_n") * F.pow(F.col("_m") - F.col("_gm"), 2)).alias("_ssb"),
         F.sum((F.col("_n") - 1) * F.col("_v")).alias("_ssw"))
@@ -195,7 +197,8 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
     ties = marg.agg(F.sum(F.pow(F.col("_w").cast("double"), 3) - F.col("_w")).alias("_t"))
     N = F.col("_tot_n").cast("double")
     h = (F.lit(12.0) / (N * (N + 1)) * F.col("_s") - 3 * (N + 1)) / (F.lit(1.0) - F.col("_t") / (N * N * N - N))
-    return ssum.crossJoin(ties).select(h.alias("h_stat"), (F.col("_k") - 1).cast("long").alias("dof"))
+    return ssum.withColumn("_t", ties.scalar()).select(h.alias("h_stat"),
+                                                        (F.col("_k") - 1).cast("long").alias("dof"))
 
 
 def welch_t(df: DataFrame, flag: Column, value: str) -> DataFrame:

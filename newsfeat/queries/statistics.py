@@ -3,7 +3,6 @@ rounded to 9 decimals on both sides."""
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -25,8 +24,9 @@ def _round_all(df):
 
 def _per_column(fn, df, cols, target):
     """One-row frame with one statistic column per input column."""
-    parts = [fn(df, c, target).withColumnRenamed(fn.__name__ if False else _stat_name(fn), c) for c in cols]
-    return reduce(lambda a, b: a.crossJoin(b), parts)
+    parts = [fn(df, c, target) for c in cols]
+    first = parts[0].select(F.col(_stat_name(fn)).alias(cols[0]))
+    return first.select("*", *[p.scalar().alias(c) for p, c in zip(parts[1:], cols[1:])])
 
 
 def _stat_name(fn):
@@ -217,7 +217,7 @@ def x9_p_values(spark, sf_dir):
                        out="kruskal_p").select("kruskal_p")
     t = X.with_p_value(X.welch_t(df, Dt.is_weekend("date_column"), "sharesFacebook"), "t2", "t_stat", "dof",
                        out="welch_p", alpha=0.05).select("welch_p", "significant")
-    return a.crossJoin(k).crossJoin(t)
+    return t.select(a.scalar().alias("anova_p"), k.scalar().alias("kruskal_p"), "welch_p", "significant")
 
 
 # ----------------------------------------------------------------- X10, V2
