@@ -3,8 +3,9 @@
 Order keys are explicit (Spark has no file order): a seeded ``md5`` hash
 gives a sample that does not depend on partitioning and that any SQL engine
 reproduces.  Small ``n`` uses ``orderBy().limit()`` (``TakeOrderedAndProject``:
-each task keeps ``n`` rows); large ``n`` uses distributed row numbers, so the
-sample never funnels through one task.
+each task keeps ``n`` rows and one task merges ``n x partitions`` rows, so
+``n`` is capped at ``TOP_K_LIMIT``); larger ``n`` uses distributed row
+numbers, so the sample never funnels through one task.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from newsfeat.operators.ranking import row_number_within
 from newsfeat.operators.split import hash_order
 
-TOP_K_LIMIT = 100_000
+TOP_K_LIMIT = 1_000
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int = 42, key: str = "uri") -> DataFrame:
