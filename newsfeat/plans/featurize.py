@@ -35,8 +35,10 @@ def scoring_instances(features: DataFrame, target: str = "topic") -> DataFrame:
     return Cols.to_instances(req)
 
 
-def instances_document(instances: DataFrame, col: str = "instance") -> DataFrame:
-    """``{"instances": [...]}`` for a bounded request (the reference
-    sends 10 rows); one row, built by an aggregate."""
-    return instances.agg(F.concat(F.lit('{"instances": ['), F.concat_ws(", ", F.collect_list(col)),
-                                  F.lit("]}")).alias("request"))
+def instances_document(instances: DataFrame, n: int = 10, col: str = "instance") -> DataFrame:
+    """One ``{"instances": [...]}`` request body holding the first ``n``
+    instances (an online request is small by nature: the reference sends
+    10).  Larger sets go out as JSON lines (``sinks.write_json_lines``)."""
+    first = instances.orderBy(col).limit(n)
+    return first.agg(F.concat(F.lit('{"instances": ['), F.concat_ws(", ", F.sort_array(F.collect_list(col))),
+                              F.lit("]}")).alias("request"))

@@ -130,3 +130,11 @@ def test_n2_lemma_table_and_g4_new_columns(spark):
     out = Tx.preprocess_text(df, "body", "body_pre", lemmas={"gatti": "gatto", "cani": "cane"})
     assert out.first().body_pre == "gatto cane"
     assert Cols.new_columns(df, out) == ["body_pre"]
+
+
+def test_s11_request_document(spark):
+    from newsfeat.plans import featurize as Fz
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(30)], "relevance long, title string")
+    doc = Fz.instances_document(Cols.to_instances(df), n=10).first().request
+    import json
+    assert len(json.loads(doc)["instances"]) == 10
