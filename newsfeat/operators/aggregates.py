@@ -202,9 +202,10 @@ def kde_curve(df: DataFrame, col: str, points: int = 200) -> DataFrame:
                     (F.col("_s") / norm).alias("density")))
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Per column type, missing count, distinct count (exact) and, for
-    numeric columns, min / mean / max.  One stacked pass, grouped by column."""
+def profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
+    """Per column type, missing count, distinct count (exact, or
+    HyperLogLog with ``approx``) and, for numeric columns, min / mean / max.
+    One stacked pass, grouped by column."""
     cols = list(cols or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     num = set(numeric_columns(df))
@@ -214,7 +215,7 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     long = df.selectExpr(f"stack({len(cols)}, {parts}) AS (column, sval, dval)")
     agg = long.groupBy("column").agg(
         F.count_if(F.col("sval").isNull()).alias("missing"),
-        F.count_distinct("sval").alias("distinct"),
+        (F.approx_count_distinct("sval") if approx else F.count_distinct("sval")).alias("distinct"),
         F.min("dval").alias("min"), F.avg("dval").alias("mean"), F.max("dval").alias("max"))
     tmap = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
     return agg.withColumn("type", tmap[F.col("column")])

@@ -19,9 +19,13 @@ from newsfeat.operators.split import hash_order
 TOP_K_LIMIT = 1_000
 
 
-def seeded_sample(df: DataFrame, n: int, seed: int = 42, key: str = "uri") -> DataFrame:
+def seeded_sample(df: DataFrame, n: int, seed: int | None = 42, key: str = "uri") -> DataFrame:
     """Exactly ``min(n, rows)`` rows chosen by a seeded hash order
-    (trap T5: never raises when ``n`` exceeds the rows)."""
+    (trap T5: never raises when ``n`` exceeds the rows).  ``seed=None`` is
+    the unseeded form (D4): a fresh random seed per call."""
+    if seed is None:
+        import secrets
+        seed = secrets.randbits(31)
     order = [hash_order(key, seed), F.col(key)]
     if n <= TOP_K_LIMIT:
         return df.orderBy(*order).limit(n)

@@ -138,3 +138,14 @@ def test_s11_request_document(spark):
     doc = Fz.instances_document(Cols.to_instances(df), n=10).first().request
     import json
     assert len(json.loads(doc)["instances"]) == 10
+
+
+def test_p13_holiday_calendar_and_d4_unseeded(spark):
+    from newsfeat.functions import dates as Dt
+    ev = spark.createDataFrame([("2023-12-25 10:00:00",), ("2023-12-27 11:00:00",)], "ts string") \
+        .selectExpr("cast(ts as timestamp) as ts")
+    hol = spark.createDataFrame([("2023-12-25",)], "date string")
+    out = Dt.calendar_features(ev, "ts", "ts", holidays=hol).orderBy("ts").collect()
+    assert [r.is_holiday for r in out] == [1, 0] and out[0].day == "Monday"
+    base = spark.range(100).withColumn("uri", F.col("id").cast("string"))
+    assert Smp.seeded_sample(base, 7, seed=None).count() == 7
