@@ -3,7 +3,6 @@ name cleaning, schema conformance, casts and JSON instances."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -104,6 +103,3 @@ def to_instances(df: DataFrame, out: str = "instance") -> DataFrame:
     """One JSON object per row."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(out))
 
-
-def snake(name: str) -> str:
-    return re.sub(r"[^0-9A-Za-z_]", "_", name)

@@ -51,12 +51,6 @@ SENTIMENT_LEXICON = {
 }
 
 
-def _lexicon_map(lex: dict[str, float]) -> Column:
-    keys = sorted(lex)
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                             F.array(*[F.lit(float(lex[k])) for k in keys]))
-
-
 def keyword_counts(df: DataFrame, text: str, vocabulary: list[str], out: str,
                    n_tokens: str | None = None) -> DataFrame:
     """Per-document counts of each vocabulary word (case-insensitive, whole

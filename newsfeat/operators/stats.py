@@ -29,13 +29,6 @@ def pearson(df: DataFrame, x: str, y: str, name: str = "pearson") -> DataFrame:
     return df.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(name))
 
 
-def pair_cells(df: DataFrame, x: Column | str, y: Column | str) -> DataFrame:
-    """Distinct ``(x, y)`` pairs with their counts; pairs with a null dropped."""
-    return (df.select(_c(x).cast("double").alias("_x"), _c(y).cast("double").alias("_y"))
-            .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-            .groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
-
-
 def stacked_pair_cells(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     """``(_var, _x, _y, _n)`` cells for several x columns against one y,
     stacked so that one pass of every later step serves all of them."""

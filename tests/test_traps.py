@@ -149,3 +149,23 @@ def test_p13_holiday_calendar_and_d4_unseeded(spark):
     assert [r.is_holiday for r in out] == [1, 0] and out[0].day == "Monday"
     base = spark.range(100).withColumn("uri", F.col("id").cast("string"))
     assert Smp.seeded_sample(base, 7, seed=None).count() == 7
+
+
+def test_p19_clean_column_names_on_frame(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "`Death, Harm & Tragedy` double, `War & Conflict` double")
+    assert Cols.clean_column_names(df).columns == ["Death_Harm__Tragedy", "War__Conflict"]
+
+
+def test_q1_watermark_dedup_alternative(spark, tmp_path):
+    import json
+    from newsfeat.streaming import incremental as Inc
+    src = tmp_path / "src"
+    src.mkdir()
+    arts = [{"uri": "u1", "dateTime": "2023-01-02T10:00:00Z"}, {"uri": "u1", "dateTime": "2023-01-02T11:00:00Z"},
+            {"uri": "u2", "dateTime": "2023-01-03T10:00:00Z"}]
+    (src / "a.json").write_text(json.dumps({"articles": {"results": arts}}))
+    s = Inc.drop_duplicates_within_watermark(Inc.article_stream(spark, str(src)))
+    q = (s.writeStream.format("memory").queryName("wm_dedup").outputMode("append")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.uri for r in spark.sql("SELECT uri FROM wm_dedup").collect()) == ["u1", "u2"]
