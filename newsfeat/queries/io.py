@@ -69,7 +69,11 @@ def s6_pipe_csv_roundtrip(spark, sf_dir):
 
 
 def _load(spark, sf_dir) -> str:
-    name = "newsfeat_split_articles"
+    """Load the split articles into a table of its own (unique name, files
+    under the checkpoint folder), so concurrent callers never collide."""
+    import uuid
+
+    name = f"newsfeat_split_articles_{uuid.uuid4().hex[:8]}"
     Snk.load_table(split_articles(spark, sf_dir), name, location=scratch_path(spark, name))
     return name
 
