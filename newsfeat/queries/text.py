@@ -115,15 +115,24 @@ def n4_sentiment_plugin(spark, sf_dir):
 
 # ----------------------------------------------------------------- N5
 
-def _moderation_sql(c: str) -> str:
-    words = f"list_filter(list_transform({tok_sql(c)}, lambda t: lower(t)), lambda t: length(t) > 0)"
+def _moderation_cols(c: str, src: str) -> list[str]:
+    """The 16 moderation columns over the token list ``src`` of text ``c``."""
     cols = []
     for cat in Cols.MODERATION_CATEGORIES:
         kw = Sc.MODERATION_LEXICON.get(cat, [])
-        h = f"len(list_filter(w, lambda t: list_contains({_list(kw)}, t)))"
-        cols.append(f"CASE WHEN {h} > 0 THEN round(cast({h} AS DOUBLE) / greatest(len(w), 1), {R}) END "
+        h = f"len(list_filter({src}, lambda t: list_contains({_list(kw)}, t)))"
+        cols.append(f"CASE WHEN {h} > 0 THEN round(cast({h} AS DOUBLE) / greatest(len({src}), 1), {R}) END "
                     f"AS {Cols.clean_name(cat)}")
-    return f"SELECT doc_id, {', '.join(cols)} FROM (SELECT doc_id, {words} AS w FROM documents WHERE coalesce(text, '') <> '')"
+    return cols
+
+
+def _words_sql(c: str) -> str:
+    return f"list_filter(list_transform({tok_sql(c)}, lambda t: lower(t)), lambda t: length(t) > 0)"
+
+
+def _moderation_sql(c: str) -> str:
+    return (f"SELECT doc_id, {', '.join(_moderation_cols(c, 'w'))} FROM "
+            f"(SELECT doc_id, {_words_sql(c)} AS w FROM documents WHERE coalesce({c}, '') <> '')")
 
 
 @query("n5_moderation", _moderation_sql("text"))
@@ -136,7 +145,7 @@ def n5_moderation(spark, sf_dir):
 
 # ----------------------------------------------------------------- N6
 
-def _entities_sql(c: str) -> str:
+def _entity_cols(c: str) -> list[str]:
     cols = []
     for t in Cols.ENTITY_TYPES:
         cnt, mean = Sc.count_column(t), f"{t}_mean_salience"
@@ -148,7 +157,11 @@ def _entities_sql(c: str) -> str:
         else:
             cols.append(f"CAST(0.0 AS DOUBLE) AS {cnt}")
             cols.append(f"CAST(0.0 AS DOUBLE) AS {mean}")
-    return f"SELECT doc_id, {', '.join(cols)} FROM documents WHERE coalesce({c}, '') <> ''"
+    return cols
+
+
+def _entities_sql(c: str) -> str:
+    return f"SELECT doc_id, {', '.join(_entity_cols(c))} FROM documents WHERE coalesce({c}, '') <> ''"
 
 
 @query("n6_entities", _entities_sql("text"))
@@ -221,3 +234,23 @@ def p26_scoring_request(spark, sf_dir):
     omitted columns, numeric ids cast to strings, one JSON instance per row."""
     feats = Fz.feature_table(split_articles(spark, sf_dir))
     return Fz.scoring_instances(feats.where(F.col("split") == "TEST"))
+
+
+_N8_MOD = [Cols.clean_name(c) for c in Cols.MODERATION_CATEGORIES]
+_N8_ENT = [x for t in Cols.ENTITY_TYPES for x in (Sc.count_column(t), f"{t}_mean_salience")]
+
+
+@query("n8_feature_values", S.with_(S.SPLIT, f"""
+, _f AS (SELECT uri, split, body, {_words_sql('body')} AS w FROM split_articles WHERE coalesce(body, '') <> '')
+SELECT uri, split, {preprocess_sql('body', Tx.load_stop_words('italian'))} AS body_pre,
+       round(score, {R}) AS score, round(magnitude, {R}) AS magnitude,
+       {', '.join(_moderation_cols('body', 'w'))}, {', '.join(_entity_cols('body'))}
+FROM (SELECT *, {_sentiment_sql('body')} FROM _f)"""))
+def n8_feature_values(spark, sf_dir):
+    """N8 values: every feature column the chain adds (tokens, sentiment,
+    moderation, entities) for the split articles, checked column by column."""
+    f = Fz.feature_table(split_articles(spark, sf_dir))
+    return f.select("uri", "split", "body_pre", F.round("score", R).alias("score"),
+                    F.round("magnitude", R).alias("magnitude"),
+                    *[F.round(c, R).alias(c) for c in _N8_MOD],
+                    *[F.round(c, R).alias(c) if c.endswith("_mean_salience") else F.col(c) for c in _N8_ENT])
