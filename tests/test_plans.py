@@ -39,7 +39,22 @@ def test_text_features_do_not_shuffle(spark):
     from newsfeat.operators import scorers as Sc
     from newsfeat.sources.tables import read_table
 
-    d = read_table(spark, SF, "documents")
+    d = read_table(spark, SF, "documents", spread=False)
     df = Sc.analyze_entities(Sc.project_categories(Sc.moderation_map(Sc.sentiment_lexicon(d, "text"), "text")),
                              "text")
     assert "Exchange" not in _plan(df)
+
+
+def test_spread_scan_only_below_the_slot_count(spark):
+    from newsfeat.sources.tables import read_table, spread_scan
+
+    plain = read_table(spark, SF, "documents", spread=False)
+    splits = plain.rdd.getNumPartitions()
+    spread = spread_scan(plain, min_partitions=splits + 1)
+    plan = _plan(spread)
+    assert plan.count("Exchange") == 1 and "RoundRobinPartitioning" in plan
+    assert spread.rdd.getNumPartitions() == splits + 1
+    # enough splits already: the scan is returned unchanged, no shuffle
+    assert "Exchange" not in _plan(spread_scan(plain, min_partitions=splits))
+    assert sorted(r[0] for r in spread.select("doc_id").collect()) == \
+        sorted(r[0] for r in plain.select("doc_id").collect())
