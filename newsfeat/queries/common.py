@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsfeat.operators.prepare import prepare_articles, robust_apply, robust_fit
-from newsfeat.operators.split import balanced_training_set, time_split
+from newsfeat.operators.prepare import prepare_articles
+from newsfeat.plans import training_set as TS
 from newsfeat.sources.tables import articles, read_table
 
 
@@ -18,12 +18,9 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared articles with the V1 split.  The split does not need the
-    scaled shares, so it runs first and the scaler is fitted on its
-    materialised rows (the same rows), saving one pass of the preparation."""
-    s = time_split(prepare_articles(articles(spark, sf_dir), scale=False))
-    return robust_apply(s, robust_fit(s, "sharesFacebook"), "sharesFacebook", "shares_scaled")
+    """Prepared articles with the V1 split and the scaled shares."""
+    return TS.split_articles(articles(spark, sf_dir))
 
 
 def balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balanced_training_set(split_articles(spark, sf_dir))
+    return TS.balanced_articles(articles(spark, sf_dir))

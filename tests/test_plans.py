@@ -58,3 +58,20 @@ def test_spread_scan_only_below_the_slot_count(spark):
     assert "Exchange" not in _plan(spread_scan(plain, min_partitions=splits))
     assert sorted(r[0] for r in spread.select("doc_id").collect()) == \
         sorted(r[0] for r in plain.select("doc_id").collect())
+
+
+def test_training_set_positions_stay_narrow(spark):
+    """V1 / D7 positions are computed on the key columns: no range exchange
+    and no materialised positions table carries the article body; the whole
+    rows meet the labels in one equi-join."""
+    from newsfeat.queries import common as C
+
+    df = C.balanced(spark, SF)
+    plan = _plan(df)
+    scans = [line for line in plan.split("\n")
+             if "FileScan parquet" in line and ("positions-" in line or "cells-" in line)]
+    assert scans
+    for line in scans:
+        assert "body" not in line.split("ReadSchema:")[1]
+    assert "body" in df.columns
+    assert df.count() == QUERIES["balanced_rows"](spark, SF).count()
