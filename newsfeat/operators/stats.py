@@ -44,23 +44,27 @@ def _one_row(per_var: DataFrame, xs: list[str], value: str) -> DataFrame:
 
 
 def spearman_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
-    """X3 for several x columns at once: one row, one column per x.  The
-    pair cells are written once and feed the marginals, the ranks and the
-    final weighted sums (one scan of the input)."""
+    """X3 for several x columns at once: one row, one column per x.
+
+    The pair cells ``(x, y, n)`` are written once.  x ranks come from the x
+    marginal and are attached to the cells; the cells are then aggregated to
+    the y marginal carrying ``sum(n * rank_x)`` per y, so ranking y yields
+    every term of the weighted Pearson sums without joining the y ranks back
+    onto the cells (``sum(n * rx * ry) = sum_y ry * sum(n * rx)``)."""
     cells = materialize(stacked_pair_cells(df, xs, y), "pair_cells")
-    mx = cells.groupBy("_var", "_x").agg(F.sum("_n").alias("_w")).select(
-        "_var", F.lit("x").alias("_axis"), F.col("_x").alias("_v"), "_w")
-    my = cells.groupBy("_var", "_y").agg(F.sum("_n").alias("_w")).select(
-        "_var", F.lit("y").alias("_axis"), F.col("_y").alias("_v"), "_w")
-    ranks = average_ranks(mx.unionByName(my), ["_var", "_axis"], "_v", "_w", "_rank",
-                          max_groups=2 * len(xs))
-    rx = ranks.where(F.col("_axis") == "x").select("_var", F.col("_v").alias("_x"), F.col("_rank").alias("_rx"))
-    ry = ranks.where(F.col("_axis") == "y").select("_var", F.col("_v").alias("_y"), F.col("_rank").alias("_ry"))
-    j = cells.join(rx, ["_var", "_x"]).join(ry, ["_var", "_y"])
-    W, A, B = F.col("_n").cast("double"), F.col("_rx"), F.col("_ry")
-    s_ = j.groupBy("_var").agg(F.sum(W).alias("n"), F.sum(W * A).alias("sa"), F.sum(W * B).alias("sb"),
-                               F.sum(W * A * A).alias("saa"), F.sum(W * B * B).alias("sbb"),
-                               F.sum(W * A * B).alias("sab"))
+    mx = cells.groupBy("_var", "_x").agg(F.sum("_n").alias("_w"))
+    rx = average_ranks(mx, ["_var"], "_x", "_w", "_rx", max_groups=len(xs)).select("_var", "_x", "_w", "_rx")
+    W = F.col("_w").cast("double")
+    sx = rx.groupBy("_var").agg(F.sum(W * F.col("_rx")).alias("sa"),
+                                F.sum(W * F.col("_rx") * F.col("_rx")).alias("saa"))
+    my = (cells.join(rx.select("_var", "_x", "_rx"), ["_var", "_x"])
+          .groupBy("_var", "_y").agg(F.sum("_n").alias("_w"),
+                                     F.sum(F.col("_n").cast("double") * F.col("_rx")).alias("_srx")))
+    ry = average_ranks(my, ["_var"], "_y", "_w", "_ry", max_groups=len(xs))
+    B = F.col("_ry")
+    sy = ry.groupBy("_var").agg(F.sum(W).alias("n"), F.sum(W * B).alias("sb"), F.sum(W * B * B).alias("sbb"),
+                                F.sum(B * F.col("_srx")).alias("sab"))
+    s_ = sy.join(sx, "_var")
     cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
     va = F.col("saa") - F.col("sa") * F.col("sa") / F.col("n")
     vb = F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")
