@@ -57,6 +57,19 @@ def n1_token_counts_documents(spark, sf_dir):
     return pre.groupBy("lang").agg(F.sum(kept).cast("long").alias("tokens"), F.count(F.lit(1)).alias("documents"))
 
 
+@query("n1_token_counts_conversations", f"""
+SELECT role, cast(sum(len(list_filter({tok_sql('text')}, lambda t: NOT list_contains({_list(Tx.load_stop_words('english'))}, lower(t))))) AS BIGINT) AS tokens,
+       count(*) AS turns
+FROM conversations GROUP BY role""")
+def n1_token_counts_conversations(spark, sf_dir):
+    """N1 over every conversation turn (whole texts): tokens left after the
+    English stop list, per speaker role."""
+    c = table(spark, sf_dir, "conversations")
+    pre = Tx.preprocess_text(c, "text", "pre", language="english", stop_words=list(Tx.load_stop_words("english")))
+    kept = F.size(F.filter(F.split(F.col("pre"), " "), lambda t: F.length(t) > 0))
+    return pre.groupBy("role").agg(F.sum(kept).cast("long").alias("tokens"), F.count(F.lit(1)).alias("turns"))
+
+
 # ----------------------------------------------------------------- N3
 
 def _strip_sql(c: str) -> str:
@@ -113,6 +126,18 @@ def n4_sentiment_plugin(spark, sf_dir):
     return s.select("doc_id", F.round("score", R).alias("score"), F.round("magnitude", R).alias("magnitude"))
 
 
+@query("n4_sentiment_by_role", f"""
+SELECT role, count(*) AS turns, round(avg(score), {R}) AS mean_score, round(sum(magnitude), {R}) AS magnitude
+FROM (SELECT role, {_sentiment_sql('text')} FROM conversations WHERE coalesce(text, '') <> '') GROUP BY role""")
+def n4_sentiment_by_role(spark, sf_dir):
+    """N4 over every non-empty conversation turn, then A11-style means per
+    role (the per-row scores are the lexicon scorer's)."""
+    c = Sc.skip_empty(table(spark, sf_dir, "conversations"), "text")
+    s = Sc.sentiment_lexicon(c, "text")
+    return s.groupBy("role").agg(F.count(F.lit(1)).alias("turns"), F.round(F.avg("score"), R).alias("mean_score"),
+                                 F.round(F.sum("magnitude"), R).alias("magnitude"))
+
+
 # ----------------------------------------------------------------- N5
 
 def _moderation_cols(c: str, src: str) -> list[str]:
