@@ -8,8 +8,8 @@ helpers below never do that:
   spreads over many partitions (the order key splits it); a ``repartitionByRange``
   with an explicit partition count is not coalesced by AQE.
 * Each partition knows the local position of a row (``monotonically_increasing_id``
-  after a sort inside the partition, or a window on ``(_pid, group)`` for
-  weighted sums).
+  after a sort inside the partition) or its local running sum (an Arrow scan of
+  the sorted partition; a window would shuffle the rows again).
 * A **small** table of per-(partition, group) totals gives every partition the
   offset of its first row inside the group.  It has at most
   ``partitions + groups`` rows and is joined back by broadcast.
@@ -109,6 +109,66 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     return out.drop("_pid", "_mid", "_c", "_m0", "_off")
 
 
+def _local_running_sums(r: DataFrame, group_cols: Sequence[str], weights: Sequence[str]) -> DataFrame:
+    """``_lcum{i}``: inclusive running sum of ``weights[i]`` inside each run of
+    equal group keys of every partition, in the partition's (sorted) row
+    order.  A per-partition Arrow scan (numpy ``cumsum``): an ordinary window
+    would need its rows clustered by ``(_pid, group)``, which Spark cannot see
+    from the range exchange, and would shuffle and sort the cells again."""
+    from pyspark.sql import types as T
+
+    fields = {f.name: f.dataType for f in r.schema.fields}
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    out_types = [T.LongType() if isinstance(fields[w], integral) else T.DoubleType() for w in weights]
+    schema = T.StructType(list(r.schema.fields) + [T.StructField(f"_lcum{i}", t) for i, t in enumerate(out_types)])
+    groups, ws = list(group_cols), list(weights)
+    as_int = [isinstance(t, T.LongType) for t in out_types]
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        import pyarrow as pa
+
+        last_key, carry = None, [0] * len(ws)
+        for b in batches:
+            k = b.num_rows
+            if k == 0:
+                continue
+            if groups:
+                keys = b.select(groups).to_pandas()
+                prev = keys.shift()
+                same = (keys == prev) | (keys.isna() & prev.isna())
+                change = ~same.all(axis=1).to_numpy()
+                first = tuple(keys.iloc[0])
+                change[0] = last_key is None or not all(
+                    (a == c) or (pd.isna(a) and pd.isna(c)) for a, c in zip(first, last_key))
+                last_key = tuple(keys.iloc[-1])
+            else:
+                change = np.zeros(k, dtype=bool)
+                change[0] = last_key is None
+                last_key = ()
+            seg = np.cumsum(change) - 1
+            starts = np.flatnonzero(change)
+            cols = list(b.columns)
+            for i, w in enumerate(ws):
+                v = b.column(w).fill_null(0).to_numpy(zero_copy_only=False).astype(
+                    "int64" if as_int[i] else "float64")
+                cs = np.cumsum(v)
+                base = np.where(starts > 0, cs[np.maximum(starts - 1, 0)], 0)
+                local = cs - base[seg] if len(starts) else cs + carry[i]
+                if not change[0]:
+                    # the first run continues the last run of the previous batch
+                    first_run = seg == -1 if len(starts) else np.ones(k, dtype=bool)
+                    local = np.where(first_run, cs + carry[i], local)
+                carry[i] = local[-1]
+                cols.append(pa.array(local, type=pa.int64() if as_int[i] else pa.float64()))
+            yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
+                list(b.schema) + [pa.field(f"_lcum{i}", pa.int64() if as_int[i] else pa.float64())
+                                  for i in range(len(ws))]))
+
+    return r.mapInArrow(run, schema)
+
+
 def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: Sequence[ColumnOrName],
                       weight: str | Sequence[str], cum: str | Sequence[str] = "_cum",
                       total: str | Sequence[str] | None = "_total",
@@ -116,8 +176,8 @@ def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: S
                       small_cells: int | None = None, known_large: bool = False) -> DataFrame:
     """Running (inclusive) sums of ``weight`` column(s) inside each group in
     ``order_cols`` order, plus the group totals.  Meant for aggregated cells
-    (one row per distinct value), so the second exchange on ``(_pid, group)``
-    moves only the cells, never the raw rows.
+    (one row per distinct value): the range exchange moves only the cells,
+    never the raw rows.
 
     The cells are materialised first; when there are at most
     ``small_cells`` of them (a checked bound, default ``SMALL_CELLS``) an
@@ -141,12 +201,9 @@ def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: S
                 out = out.withColumn(totals[i], F.sum(w).over(part))
         return out
     n = num_partitions or default_partitions(cells)
-    r = cells.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
-    local = (Window.partitionBy("_pid", *group_cols).orderBy(*keys)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for i, w in enumerate(weights):
-        r = r.withColumn(f"_lcum{i}", F.sum(w).over(local))
-    r = materialize(r)
+    r = (cells.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+         .withColumn("_pid", F.spark_partition_id()))
+    r = materialize(_local_running_sums(r, group_cols, weights))
     stats = r.groupBy("_pid", *group_cols).agg(*[F.sum(w).alias(f"_ps{i}") for i, w in enumerate(weights)])
     by_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
     before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

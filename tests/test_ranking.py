@@ -39,6 +39,30 @@ def test_cumulative_within_matches_pandas(spark):
     assert len(m) == len(pdf) and (m.c == m.c_e).all() and (m.t == m.t_e).all()
 
 
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_cumulative_within_runs_across_arrow_batches(spark, batch):
+    """Large path with runs of a group (string keys, a null group, double
+    weights) split over several Arrow batches of one partition."""
+    rng = np.random.default_rng(11)
+    n = 600
+    g = np.where(rng.random(n) < 0.5, "hot", rng.choice(["a", "b", "c", None], n))
+    pdf = pd.DataFrame({"g": g, "k": rng.permutation(n).astype(float), "w": rng.random(n)})
+    df = spark.createDataFrame(pdf, "g string, k double, w double")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        out = cumulative_within(df, ["g"], ["k"], "w", cum="c", total="t", num_partitions=3,
+                                small_cells=0).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    exp = pdf.assign(g=pdf.g.fillna("<null>")).sort_values(["g", "k"])
+    exp["c_e"] = exp.groupby("g")["w"].cumsum()
+    exp["t_e"] = exp.groupby("g")["w"].transform("sum")
+    m = out.assign(g=out.g.fillna("<null>")).merge(exp, on=["g", "k"])
+    assert len(m) == n
+    assert np.allclose(m.c, m.c_e) and np.allclose(m.t, m.t_e)
+
+
 def test_average_ranks_with_ties(spark):
     vals = [3.0, 1.0, 3.0, 2.0, 3.0, 5.0, 1.0]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
