@@ -74,11 +74,8 @@ def conform(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, fill=0) -
     ``fill``.  Existing columns are kept; order = input, then the added ones."""
     have = set(df.columns)
     lower = {c.lower() for c in df.columns}
-    out = df
-    for c in required:
-        if c not in have and c.lower() not in lower:
-            out = out.withColumn(c, F.lit(fill))
-    return out
+    missing = {c: F.lit(fill) for c in required if c not in have and c.lower() not in lower}
+    return df.withColumns(missing) if missing else df
 
 
 def cast_to_string(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -177,13 +177,11 @@ def project_categories(df: DataFrame, map_col: str = "moderation",
     """Fixed columns from a category map (names cleaned by P19); absent ->
     null.  Unknown categories can be kept in ``other_categories``."""
     m = F.col(map_col)
-    out = df
-    for cat in categories:
-        out = out.withColumn(clean_name(cat), F.element_at(m, F.lit(cat)))
+    cols = {clean_name(cat): F.element_at(m, F.lit(cat)) for cat in categories}
     if keep_other:
         known = F.array(*[F.lit(c) for c in categories])
-        out = out.withColumn("other_categories", F.map_filter(m, lambda k, v: ~F.array_contains(known, k)))
-    return out.drop(map_col)
+        cols["other_categories"] = F.map_filter(m, lambda k, v: ~F.array_contains(known, k))
+    return df.withColumns(cols).drop(map_col)
 
 
 def moderate(df: DataFrame, text: str = "body") -> DataFrame:
@@ -241,14 +239,14 @@ def entity_features(df: DataFrame, mentions: str = "entities") -> DataFrame:
     """A21 + A22 from an entity array: per type the count and the mean
     salience, 0.0 when absent.  Array functions on each row — no explode,
     no shuffle, no join back."""
-    out = df
+    cols = {}
     for t in ENTITY_TYPES:
         sel = F.filter(F.col(mentions), _has_type(t))
         n = F.size(sel)
         s = F.aggregate(sel, F.lit(0.0), lambda a, e: a + e["salience"])
-        out = (out.withColumn(count_column(t), n.cast("double"))
-               .withColumn(f"{t}_mean_salience", F.when(n > 0, s / n).otherwise(F.lit(0.0))))
-    return out.drop(mentions)
+        cols[count_column(t)] = n.cast("double")
+        cols[f"{t}_mean_salience"] = F.when(n > 0, s / n).otherwise(F.lit(0.0))
+    return df.withColumns(cols).drop(mentions)
 
 
 def regex_entity_features(df: DataFrame, text: str = "body", patterns: dict[str, str] | None = None) -> DataFrame:
@@ -258,19 +256,21 @@ def regex_entity_features(df: DataFrame, text: str = "body", patterns: dict[str,
     array (no concatenation, no per-mention lambdas)."""
     pats = patterns or ENTITY_PATTERNS
     L = F.greatest(F.length(F.col(text)), F.lit(1)).cast("double")
-    out = df
+    # two projections (match arrays, then features) instead of one per
+    # column: each withColumn call would re-analyse the whole plan
+    matched = [t for t in ENTITY_TYPES if t in pats]
+    out = df.withColumns({f"__m_{t}": F.regexp_extract_all(F.col(text), F.lit(pats[t]), 0) for t in matched})
+    cols = {}
     for t in ENTITY_TYPES:
         if t in pats:
-            ms = F.regexp_extract_all(F.col(text), F.lit(pats[t]), 0)
-            out = out.withColumn(f"__m_{t}", ms)
             n = F.size(F.col(f"__m_{t}"))
             chars = F.length(F.array_join(F.col(f"__m_{t}"), ""))
-            out = (out.withColumn(count_column(t), n.cast("double"))
-                   .withColumn(f"{t}_mean_salience", F.when(n > 0, chars / L / n).otherwise(F.lit(0.0)))
-                   .drop(f"__m_{t}"))
+            cols[count_column(t)] = n.cast("double")
+            cols[f"{t}_mean_salience"] = F.when(n > 0, chars / L / n).otherwise(F.lit(0.0))
         else:
-            out = out.withColumn(count_column(t), F.lit(0.0)).withColumn(f"{t}_mean_salience", F.lit(0.0))
-    return out
+            cols[count_column(t)] = F.lit(0.0)
+            cols[f"{t}_mean_salience"] = F.lit(0.0)
+    return out.withColumns(cols).drop(*[f"__m_{t}" for t in matched])
 
 
 def analyze_entities(df: DataFrame, text: str = "body") -> DataFrame:
