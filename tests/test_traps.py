@@ -169,3 +169,98 @@ def test_q1_watermark_dedup_alternative(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.uri for r in spark.sql("SELECT uri FROM wm_dedup").collect()) == ["u1", "u2"]
+
+
+def test_t2_stage_output_carries_the_split(spark):
+    """The preparation stage returns the split frame (the reference saved
+    the frame before splitting, without the column training needs)."""
+    s = C.split_articles(spark, SF)
+    assert "split" in s.columns and "shares_scaled" in s.columns
+    assert {r[0] for r in s.select("split").distinct().collect()} <= {"TRAIN", "VALIDATE", "TEST"}
+    prepared = C.prepared(spark, SF).select("uri")
+    assert s.count() == prepared.count()
+    assert s.select("uri").exceptAll(prepared).count() == 0
+
+
+def test_t3_scaler_fit_and_apply_are_separate(spark):
+    """Fit on the prepared rows by default; a given fit (the balanced set,
+    a request sample) is applied as is."""
+    import numpy as np
+
+    df = C.prepared(spark, SF)
+    shares = np.array([r[0] for r in df.select("sharesFacebook").collect() if r[0] is not None], dtype=float)
+    q25, q50, q75 = np.percentile(shares, [25, 50, 75])
+    fit = P.robust_fit(df, "sharesFacebook").first()
+    assert math.isclose(fit.center, q50) and math.isclose(fit.scale, (q75 - q25) or 1.0)
+    row = df.select("sharesFacebook", "shares_scaled").where(F.col("sharesFacebook").isNotNull()).first()
+    assert math.isclose(row.shares_scaled, (row.sharesFacebook - fit.center) / fit.scale)
+    given = spark.createDataFrame([(10.0, 4.0)], "center double, scale double")
+    other = P.prepare_articles(C.articles(spark, SF), fit=given)
+    r2 = other.select("sharesFacebook", "shares_scaled").where(F.col("sharesFacebook").isNotNull()).first()
+    assert math.isclose(r2.shares_scaled, (r2.sharesFacebook - 10.0) / 4.0)
+    # a zero range scales by 1 (scikit-learn behaviour)
+    flat = spark.createDataFrame([(5,), (5,), (5,)], "x long")
+    assert P.robust_fit(flat, "x").first().scale == 1.0
+
+
+def test_t4_json_input_is_processed(spark, tmp_path):
+    """T4: a JSON input is read and goes through the chain (the reference
+    loaded it and then ignored it)."""
+    import json
+
+    from newsfeat.plans import featurize as Fz
+    from newsfeat.sources import articles as Src
+
+    recs = [{"uri": f"u{i}", "date": "2023-03-0%d" % (i + 1), "dateTime": "2023-03-0%dT10:00:00Z" % (i + 1),
+             "body": "Il governo approva la legge. Roma, 12 marzo.", "authors": "A. B.",
+             "categoryLabels": "news/Politics", "sharesFacebook": i, "lang": "ita"} for i in range(3)]
+    path = tmp_path / "input.json"
+    path.write_text("\n".join(json.dumps(r) for r in recs))
+    df = Src.read_request_input(spark, str(path))
+    prepared = P.prepare_articles(df)
+    feats = Fz.feature_table(prepared)
+    assert feats.count() == 3
+    assert {"body_pre", "score", "magnitude", "Toxic", "NUMBER"} <= set(feats.columns)
+    # a copy later in the file is dropped by the first-row de-duplication
+    path.write_text("\n".join(json.dumps(r) for r in recs + [dict(recs[0], title="later copy")]))
+    again = P.prepare_articles(Src.read_request_input(spark, str(path)), scale=False)
+    assert again.count() == 3 and again.where(F.col("title") == "later copy").count() == 0
+    one = P.prepare_articles(Src.read_request_input(spark, recs[1]), scale=False)
+    assert [r.uri for r in one.collect()] == ["u1"]
+
+
+def test_t13_bad_dates_are_null_under_ansi(spark):
+    """ANSI mode is on; unparsable dates and times become null instead
+    of failing the job, and fall out of the year filter."""
+    from newsfeat.functions import dates as Dt
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    df = spark.createDataFrame([("2023-02-30", "2023-02-30T10:00:00Z"), ("not-a-date", ""),
+                                ("", "2023-01-05T25:00:00Z"), ("2023-01-05", "2023-01-05T09:30:00Z")],
+                               "date string, dateTime string")
+    out = P.parse_date(df).select("date", "date_column", Dt.hour_of_iso("dateTime").alias("hour")).collect()
+    by = {r.date: r for r in out}
+    assert by["2023-02-30"].date_column is None and by["not-a-date"].date_column is None
+    assert by[""].date_column is None and by[""].hour is None
+    assert by["2023-01-05"].date_column is not None and by["2023-01-05"].hour == 9
+    assert P.filter_year(P.parse_date(df), 2023).count() == 1
+
+
+def test_t15_unicode_word_tokens_agree_with_duckdb(spark):
+    """Word tokens are runs of Unicode letters/digits (``\\w`` is ASCII
+    in both engines); Spark and DuckDB give the same tokens."""
+    import duckdb
+
+    from newsfeat.functions import text as Tx
+    from newsfeat.queries.text import tok_sql
+
+    texts = ["Perché è già così? Sì: l'àncora — 3,5 €", "Straße über Ärger, naïve café!", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(Tx.tokens("text")).collect()]
+    assert got[0][:4] == ["Perché", "è", "già", "così"]
+    assert "Straße" in got[1] and "naïve" in got[1] and "café" in got[1]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT * FROM (VALUES " + ", ".join(
+        "('" + t.replace("'", "''") + "', " + str(i) + ")" for i, t in enumerate(texts)) + ") v(text, i)")
+    duck = [r[0] for r in con.execute(f"SELECT {tok_sql('text')} FROM t ORDER BY i").fetchall()]
+    assert [list(x) for x in duck] == got
