@@ -75,3 +75,20 @@ def test_training_set_positions_stay_narrow(spark):
         assert "body" not in line.split("ReadSchema:")[1]
     assert "body" in df.columns
     assert df.count() == QUERIES["balanced_rows"](spark, SF).count()
+
+
+def test_running_sums_add_no_second_shuffle(spark):
+    """The large path of ``cumulative_within``: one range exchange, a sort
+    inside the partitions and the Arrow running-sum scan; no hash exchange
+    on (partition id, group) as a window would add."""
+    from pyspark.sql import functions as F
+
+    from newsfeat.operators import ranking as Rk
+
+    cells = spark.range(2000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("k"),
+                                     F.lit(1).alias("w"))
+    r = (cells.repartitionByRange(4, "g", "k").sortWithinPartitions("g", "k")
+         .withColumn("_pid", F.spark_partition_id()))
+    plan = _plan(Rk._local_running_sums(r, ["g"], ["w"]))
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    assert "Window" not in plan and "MapInArrow" in plan
