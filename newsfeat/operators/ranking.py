@@ -173,7 +173,8 @@ def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: S
                       weight: str | Sequence[str], cum: str | Sequence[str] = "_cum",
                       total: str | Sequence[str] | None = "_total",
                       num_partitions: int | None = None, max_groups: int | None = None,
-                      small_cells: int | None = None, known_large: bool = False) -> DataFrame:
+                      small_cells: int | None = None, known_large: bool = False,
+                      max_cells: int | None = None) -> DataFrame:
     """Running (inclusive) sums of ``weight`` column(s) inside each group in
     ``order_cols`` order, plus the group totals.  Meant for aggregated cells
     (one row per distinct value): the range exchange moves only the cells,
@@ -182,16 +183,19 @@ def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: S
     The cells are materialised first; when there are at most
     ``small_cells`` of them (a checked bound, default ``SMALL_CELLS``) an
     ordinary window finishes the job, otherwise the range-partitioned path
-    with offsets runs."""
+    with offsets runs.  A caller that has proven a bound ``max_cells`` on the
+    number of cells (from counts it already holds) within that limit skips
+    the write and the count and goes to the window directly."""
     weights = [weight] if isinstance(weight, str) else list(weight)
     cums = [cum] if isinstance(cum, str) else list(cum)
     totals = None if total is None else ([total] if isinstance(total, str) else list(total))
     group_cols = list(group_cols)
     keys = [_col(g) for g in group_cols] + [_col(o) for o in order_cols]
     limit = SMALL_CELLS if small_cells is None else small_cells
-    if not known_large:
+    proven_small = max_cells is not None and max_cells <= limit and not known_large
+    if not known_large and not proven_small:
         cells = materialize(cells, "cells")
-    if not known_large and cells.count() <= limit:
+    if proven_small or (not known_large and cells.count() <= limit):
         part = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
         run = part.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = cells

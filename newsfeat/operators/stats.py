@@ -82,9 +82,13 @@ def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     """X4 for several x columns at once (see ``kendall_tau_b``); the pair
     cells are written once and read by every later step."""
     cells = materialize(stacked_pair_cells(df, xs, y), "pair_cells")
+    # bounds from the one count of the written pair cells: distinct x values
+    # are at most the cells, the per-level rows at most cells * levels
+    n_cells = cells.count()
+    n_levels = max(1, math.ceil(math.log2(max(n_cells, 2))))
     xd = cells.select("_var", "_x").distinct().withColumn("_one", F.lit(1))
-    xr = cumulative_within(xd, ["_var"], ["_x"], "_one", cum="_r", total="_dx", max_groups=len(xs)).select(
-        "_var", "_x", (F.col("_r") - 1).alias("_r"), "_dx")
+    xr = cumulative_within(xd, ["_var"], ["_x"], "_one", cum="_r", total="_dx", max_groups=len(xs),
+                           max_cells=n_cells).select("_var", "_x", (F.col("_r") - 1).alias("_r"), "_dx")
     c = cells.join(xr, ["_var", "_x"])
     levels = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_dx").cast("double"))).cast("int") - 1))
     lv = (c.withColumn("_lvl", F.explode(levels))
@@ -93,7 +97,7 @@ def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
           .withColumn("_lw", F.when(F.col("_half") == 0, F.col("_n")).otherwise(F.lit(0)))
           .withColumn("_tie", F.lit(1) - F.col("_half")))
     cum = cumulative_within(lv, ["_var", "_lvl", "_block"], ["_y", "_tie", "_x"], "_lw", cum="_below_incl",
-                            total="_left_total", max_groups=None)
+                            total="_left_total", max_groups=None, max_cells=n_cells * n_levels)
     # at a right-half row (half = 1, ordered before left rows of equal y) the
     # running left weight counts only left cells with y' < y
     right = cum.where(F.col("_half") == 1)
