@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsfeat.functions.columns import ENTITY_TYPES, MODERATION_CATEGORIES, clean_name
-from newsfeat.functions.text import tokens
 
 
 def _c(c: Column | str) -> Column:
