@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsfeat.operators.prepare import prepare_articles, robust_apply, robust_fit
+from newsfeat.operators.ranking import materialize
 from newsfeat.operators.split import balanced_training_set, time_split
 
 # Columns the positions and the scaler need (plus the key).
@@ -27,7 +28,9 @@ KEY = ["uri", "ingest_seq"]
 def split_labels(articles: DataFrame, year: int = 2023) -> DataFrame:
     """V1 on the narrow prepared rows: ``LABEL_COLUMNS`` + ``split``."""
     keys = prepare_articles(articles, year=year, scale=False, keep=[]).select(*LABEL_COLUMNS)
-    return time_split(keys)
+    # the labels feed the scaler fit, the balancing and the final join:
+    # written once (narrow), the position offsets are not recomputed by each
+    return materialize(time_split(keys), "labels")
 
 
 def _attach(articles: DataFrame, labels: DataFrame, year: int) -> DataFrame:
