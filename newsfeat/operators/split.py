@@ -48,10 +48,11 @@ def balance_classes(df: DataFrame, label: str = "topic", key: str = "uri", seed:
                     max_groups: int = MAX_CLASSES) -> DataFrame:
     """From every label keep ``k`` rows, ``k`` = size of the smallest
     label; rows are chosen by a seeded hash order (ties by ``key``)."""
-    r = row_number_within(df, [label], [hash_order(key, seed), F.col(key)], rn="_rn", size="_n",
+    r = row_number_within(df, [label], [hash_order(key, seed), F.col(key)], rn="_rn", size=None,
                           max_groups=max_groups)
-    k = r.agg(F.min("_n")).scalar()  # smallest label size, a scalar subquery
-    return r.where(F.col("_rn") <= k).drop("_rn", "_n")
+    # smallest label size, a scalar subquery over a partial-aggregate count
+    k = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.min("_n")).scalar()
+    return r.where(F.col("_rn") <= k).drop("_rn")
 
 
 def balanced_training_set(split_df: DataFrame, label: str = "topic", key: str = "uri",
