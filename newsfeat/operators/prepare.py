@@ -157,6 +157,11 @@ def prepare_articles(articles: DataFrame, year: int = 2023, scale: bool = True,
     df = drop_missing(df, ["categoryLabels", "authors"])
     df = add_topic(df)
     if scale:
-        f = fit if fit is not None else robust_fit(df, "sharesFacebook")
-        df = robust_apply(df, f, "sharesFacebook", "shares_scaled")
+        if fit is None:
+            # fit on the narrow preparation inputs: the de-duplication keeps
+            # the same row per uri whatever columns it carries, so the values
+            # are the same and the wide rows are shuffled once, not twice
+            narrow = articles.select(*[c for c in articles.columns if c in PREPARE_INPUTS])
+            fit = robust_fit(prepare_articles(narrow, year=year, scale=False), "sharesFacebook")
+        df = robust_apply(df, fit, "sharesFacebook", "shares_scaled")
     return df
