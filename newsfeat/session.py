@@ -2,13 +2,13 @@
 
 The library never overrides cluster settings.  ``build_session`` is for tests,
 the bench and local runs; ``checkpoint_root`` reads ``spark.checkpoint.dir``
-from the session and only falls back to a local scratch folder when the
-session has none (tests on ``local[*]``).
+from the session; a local session without one gets a scratch folder.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,13 +39,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and intermediate tables.
-
-    On a cluster this is the shared ``spark.checkpoint.dir``.  Only when it is
-    unset (tests, local runs) a scratch folder is created and registered.
+    """Shared folder for lineage cuts and intermediate tables: the session's
+    ``spark.checkpoint.dir``.  Only a local session (tests, the bench) without
+    one gets a scratch folder; on a cluster that would be some machine's own
+    disk, so there the setting is required.
     """
     conf = spark.conf.get(CHECKPOINT_CONF, None)
     if not conf:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="newsfeat-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, conf)
     if spark.sparkContext.getCheckpointDir() is None:
