@@ -10,9 +10,11 @@ prefix's last piece and is stored.  At the end the pieces are read backwards
 from the table.  Compatibility is found by merging the two pieces and is
 remembered.
 
-Pieces have the space sign only in front, so runs of "spaces, then other
-signs" are encoded independently; results of recent runs are remembered, in
-two generations of bounded size.
+No piece reaches over certain places: it has the space sign only in front, and
+none of this vocabulary has a line feed, or a letter before a punctuation sign.
+The runs between such places, which are read off the vocabulary, are encoded
+independently; results of recent runs are remembered, in two generations of
+bounded size.
 """
 
 from __future__ import annotations
@@ -30,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-RUN = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: Letters; raised digits and fractions are none.
+LETTER = r"[^\W\d_\u00b2\u00b3\u00b9\u00bc-\u00be]"
 #: Remembered runs and pairs of one generation; two generations are held.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 
 class _Recent(dict):
@@ -67,8 +70,11 @@ class PieceCodec:
         self.unknown = sp.unk_id()
         special = self.silent | set(self.byte_of) | {self.unknown}
         self.id_of = {p: i for i, p in enumerate(self.pieces) if i not in special}
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id_of) or len(self.byte_id) != 256:
+        if any(SPACE in p.lstrip(SPACE) for p in self.id_of) or len(self.byte_id) != 256:
             raise ValueError("a BPE model with byte fallback and spaces only in front of pieces is needed")
+        self.run_pattern = self._run_pattern()
+        self.signs = frozenset(p for p in self.id_of if len(p) == 1)
+        self.plain = frozenset(self.id_of.values())
         score = {p: sp.get_score(i) for p, i in self.id_of.items()}
         # merges go by score; equal scores from left to right
         self.rank = {p: -s for p, s in score.items()}
@@ -81,6 +87,16 @@ class PieceCodec:
         self.compatible = _Recent(lambda pair: self._merged([*pair[0], *pair[1]]) == [pair[0], pair[1]])
         self.run = _Recent(self._run)
 
+    def _run_pattern(self) -> re.Pattern:
+        """What is encoded at a time: no piece goes beyond either end of it."""
+        inside = "\n".join(self.id_of)
+        line = "" if any("\n" in p for p in self.id_of) else r"\n"
+        cut = "".join(re.escape(c) for c in map(chr, range(33, 127))
+                      if not c.isalnum() and c != "_" and not re.search(LETTER + re.escape(c), inside))
+        other = f"[^{SPACE}{line}]"
+        parts = [f"{SPACE}*{LETTER}+(?=[{cut}])"] * bool(cut) + [f"{SPACE}+{other}*", f"{other}+"] + [r"\n+"] * bool(line)
+        return re.compile("|".join(parts))
+
     def _merged(self, signs: list[str]) -> list[str]:
         """The merges themselves; for single pieces and pairs of them."""
         rank = self.rank
@@ -92,34 +108,43 @@ class PieceCodec:
             signs[k:k + 2] = [signs[k] + signs[k + 1]]
         return signs
 
-    def _last_pieces(self, run: str) -> list[str]:
-        """For every prefix of ``run`` the last piece of its encoding."""
-        last: list[str] = [""] * (len(run) + 1)
-        compatible, known = self.compatible, self.id_of
-        for k, sign in enumerate(run):
-            if sign not in known:  # a sign without a piece never merges
-                last[k + 1] = sign
+    def _pieces(self, run: str) -> list[str]:
+        """The pieces of ``run``, the last one first."""
+        last: list[str | None] = [None] * len(run)  # the last piece of the prefix that ends at a place
+        if not self.signs.issuperset(run):
+            for k, sign in enumerate(run):
+                if sign not in self.signs:  # a sign without a piece never merges
+                    last[k] = sign
+        compatible = self.compatible
         for end, piece in self.automaton.iter(run):
-            end += 1
-            if not last[end]:
+            if last[end] is None:
                 before = end - len(piece)
-                if not before or compatible[(last[before], piece)]:
+                if before < 0 or compatible[last[before], piece]:
                     last[end] = piece
-        return last
+        out, end = [], len(run) - 1
+        while end >= 0:
+            out.append(last[end])
+            end -= len(last[end])
+        return out
+
+    def run_ids(self, run: str) -> list[int]:
+        out = []
+        for piece in reversed(self._pieces(run)):
+            own = self.id_of.get(piece)
+            if own is None:
+                out += [self.byte_id[b] for b in piece.encode()]
+            else:
+                out.append(own)
+        return out
 
     def _run(self, run: str) -> tuple[str, int, bytes]:
         """Ids in decimal digits, how many, and the bytes they decode to."""
         ids = self.run_ids(run)
-        return ",".join(map(str, ids)), len(ids), self._bytes(ids)
-
-    def run_ids(self, run: str) -> list[int]:
-        last, end, out = self._last_pieces(run), len(run), []
-        while end:
-            piece = last[end]
-            own = self.id_of.get(piece)
-            out += [own] if own is not None else [self.byte_id[b] for b in reversed(piece.encode())]
-            end -= len(piece)
-        return out[::-1]
+        if self.plain.issuperset(ids):
+            back = "".join([self.pieces[i] for i in ids]).replace(SPACE, " ").encode()
+        else:
+            back = self._bytes(ids)
+        return ",".join(map(str, ids)), len(ids), back
 
     def _bytes(self, ids: list[int]) -> bytes:
         """Pieces in UTF-8; runs of byte ids with U+FFFD for what is not UTF-8."""
@@ -131,9 +156,8 @@ class PieceCodec:
                 out += ["" if i in self.silent else " ⁇ " if i == self.unknown else self.pieces[i] for i in part]
         return "".join(out).replace(SPACE, " ").encode()
 
-    @staticmethod
-    def runs(text: str) -> list[str]:
-        return RUN.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    def runs(self, text: str) -> list[str]:
+        return self.run_pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode(self, text: str) -> list[int]:
         """The ids of ``text``, without begin and end."""
