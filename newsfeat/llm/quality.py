@@ -1,7 +1,7 @@
 """Quality rules and a verdict by log-likelihood ratio of hashed n-grams.
 
 Words and signs of a text, and pairs of neighbours, are hashed to ``BUCKETS``
-features.  Two multinomials are counted: over trusted documents (a bounded
+features; a word said twice in a row is one feature, whatever the word.  Two multinomials are counted: over trusted documents (a bounded
 sample of those labelled good) and over the whole raw corpus.  A document's
 score is the mean of log(trusted / raw) over its features, so that length plays
 no part.  The threshold is fitted on the labelled sample: of all cuts the one
@@ -75,7 +75,8 @@ def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]
     for lo, hi in blocks(texts):
         b = Block(texts[lo:hi], WORD_OR_SIGN, BYTE_VALUES)
         pair = b.doc[1:] == b.doc[:-1]
-        two = mix(b.hash[:-1][pair] * U64(0xD6E8FEB86659FD93) + b.hash[1:][pair])
+        left, right = b.hash[:-1][pair], b.hash[1:][pair]
+        two = mix(np.where(left == right, U64(0), left * U64(0xD6E8FEB86659FD93) + right))
         bucket = np.concatenate([b.hash, two]) >> U64(48)
         yield np.concatenate([b.doc, b.doc[1:][pair]]), bucket.astype(np.int64), b.n
 

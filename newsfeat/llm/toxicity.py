@@ -2,7 +2,9 @@
 
 Features of a text: its words and their beginnings of 4, 5 and 6 bytes (A-Z
 lower-cased), hashed.  Those that the labelled sample shows to go with toxic
-texts are selected by a two-proportion test.  The grades to learn are 0 for
+texts are found by a two-proportion test, and of these those are selected that explain
+toxic texts which the ones before do not: a rare word that only copies of a few
+toxic texts share explains nothing new.  The grades to learn are 0 for
 texts labelled clean, and 1, 2 or 3 for toxic ones by thirds of the density of
 selected features, so that a grade says how much of the text is abusive.
 
@@ -22,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsfeat.llm.hashing import BYTE_VALUES_LOWER, U64, WORD_OR_SIGN, Block, as_bytes, blocks, mix
-from newsfeat.llm.tables import label_sample, with_sample
+from newsfeat.llm.hashing import BYTE_VALUES_LOWER, U64, WORD_OR_SIGN, Block, as_bytes, blocks, mix, window_hash
+from newsfeat.llm.tables import label_sample, with_sample, written
 
 BUCKET_BITS = 22
 GRADES = 4
@@ -33,8 +35,13 @@ SAMPLE_ROWS = 20_000
 MOST_FEATURES = 2_000
 #: Standard errors that a feature's share among toxic texts must exceed.
 LEAST_Z = 5.0
-LEAST_TOXIC = 5
-RIDGE = 1e-3
+LEAST_TOXIC = 4
+#: A clean text with a feature outweighs so many toxic ones.
+CLEAN_COST = 10
+#: Share of the toxic texts above which a feature that no clean one has is
+#: selected even if others explain its texts.
+COMMON = 0.02
+RIDGE = 1e-6
 
 
 def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -78,35 +85,78 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds of a cumulative-link model, by gradient
-    ascent with momentum on the mean log-likelihood, ridge on the weights."""
+def fit_ordinal(row: np.ndarray, col: np.ndarray, value: np.ndarray, n_features: int, grade: np.ndarray,
+                steps: int = 1500) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered thresholds of a cumulative-link model on sparse
+    rows, by gradient ascent with momentum on the mean log-likelihood, ridge on
+    the weights."""
     k = np.arange(GRADES - 1)
     above = np.array([(grade > j).mean() for j in k]).clip(1e-3, 1 - 1e-3)
     low = -np.log(above / (1 - above))
     # ordered by construction: the first threshold, then positive steps
     gap = np.log(np.maximum(np.diff(low), 0.05))
-    state = np.concatenate([np.zeros(x.shape[1]), low[:1], gap])
+    state = np.concatenate([np.full(n_features, 4.0), low[:1], gap])
     speed = np.zeros_like(state)
     size = np.zeros_like(state)
     rows = np.arange(len(grade))
     for step in range(1, steps + 1):
-        w, first, gap = state[:x.shape[1]], state[x.shape[1]], state[x.shape[1] + 1:]
+        w, first, gap = state[:n_features], state[n_features], state[n_features + 1:]
         threshold = np.concatenate([[first], first + np.cumsum(np.exp(gap))])
-        more = _sigmoid((x @ w)[:, None] - threshold)  # P(grade > k)
-        edge = np.concatenate([np.ones((len(x), 1)), more, np.zeros((len(x), 1))], axis=1)
+        score = np.bincount(row, weights=value * w[col], minlength=len(grade))
+        more = _sigmoid(score[:, None] - threshold)  # P(grade > k)
+        edge = np.concatenate([np.ones((len(grade), 1)), more, np.zeros((len(grade), 1))], axis=1)
         p = np.maximum(edge[rows, grade] - edge[rows, grade + 1], 1e-12)
         slope = edge * (1 - edge)
         d_upper, d_lower = slope[rows, grade] / p, slope[rows, grade + 1] / p
-        d_score = (d_upper - d_lower) / len(x)
-        d_threshold = np.array([(d_lower[grade == j].sum() - d_upper[grade == j + 1].sum()) / len(x) for j in k])
+        d_score = (d_upper - d_lower) / len(grade)
+        d_weight = np.bincount(col, weights=value * d_score[row], minlength=n_features)
+        d_threshold = np.array([(d_lower[grade == j].sum() - d_upper[grade == j + 1].sum()) / len(grade) for j in k])
         later = np.cumsum(d_threshold[::-1])[::-1]
-        grad = np.concatenate([x.T @ d_score - RIDGE * w, later[:1], later[1:] * np.exp(gap)])
+        grad = np.concatenate([d_weight - RIDGE * w, later[:1], later[1:] * np.exp(gap)])
         speed = 0.9 * speed + 0.1 * grad
         size = 0.99 * size + 0.01 * grad * grad
         state = state + 0.1 * (speed / (1 - 0.9 ** step)) / (np.sqrt(size / (1 - 0.99 ** step)) + 1e-8)
-    first, gap = state[x.shape[1]], state[x.shape[1] + 1:]
-    return state[:x.shape[1]], np.concatenate([[first], first + np.cumsum(np.exp(gap))])
+    first, gap = state[n_features], state[n_features + 1:]
+    return state[:n_features], np.concatenate([[first], first + np.cumsum(np.exp(gap))])
+
+
+def covering(row: np.ndarray, col: np.ndarray, n_features: int, toxic: np.ndarray) -> np.ndarray:
+    """Features selected one by one: the one next that the most toxic texts
+    without a selected feature have, less its cost in clean texts, as long as
+    these are ``LEAST_TOXIC`` (equal ones go by their order); and the common
+    ones that no clean text has."""
+    cost = CLEAN_COST * np.bincount(col[~toxic[row]], minlength=n_features)
+    open_, chosen = toxic[row], []
+    while open_.any():
+        gain = np.bincount(col[open_], minlength=n_features) - cost
+        best = int(gain.argmax())
+        if gain[best] < LEAST_TOXIC:
+            break
+        chosen.append(best)
+        explained = np.zeros(len(toxic), bool)
+        explained[row[col == best]] = True
+        open_ = open_ & ~explained[row]
+    share = np.bincount(col[toxic[row]], minlength=n_features)
+    common = (cost == 0) & (share >= max(2 * LEAST_TOXIC, COMMON * toxic.sum()))
+    return np.union1d(np.array(chosen, np.int64), np.flatnonzero(common))
+
+
+def _lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the lowest hash of 4 neighbouring words (of its words, if a text
+    has fewer; null without words)."""
+    signs = np.where(WORD_OR_SIGN == 1, 1, 0).astype(np.uint8)
+    for batch in batches:
+        low: list[int | None] = []
+        texts = as_bytes(batch.column("text"))
+        for lo, hi in blocks(texts):
+            b = Block(texts[lo:hi], signs, BYTE_VALUES_LOWER)
+            whole = window_hash(b.hash, 4)
+            first = np.searchsorted(b.doc, np.arange(b.n + 1))
+            for s, e in zip(first[:-1], first[1:]):
+                own = whole[s:e - 3] if e - s > 3 else b.hash[s:e]
+                low.append(int(own.min().astype(np.int64)) if len(own) else None)
+        yield pa.RecordBatch.from_arrays([batch.column("_doc").cast(pa.int64()), batch.column("text"), batch.column("_label"),
+                                          pa.array(low, pa.int64())], names=["_doc", "text", "_label", "low"])
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +188,14 @@ def _sampled(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterato
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Fitted on at most ``sample_rows`` labelled documents; the driver gets
-    the selected features (``MOST_FEATURES`` at most) of these.  Without texts
+    the candidate features (``MOST_FEATURES`` at most) of these.  Without texts
     of both labels the model finds nothing toxic."""
     sample = label_sample(labels, label_col, sample_rows).cache()
-    texts = with_sample(docs, sample, "inner", id_col, text_col)
+    # copies of a text would make its rare words look toxic: of texts with the
+    # same lowest shingle hash one stays
+    one = F.min(F.struct("_doc", "_label", "text")).alias("one")
+    texts = written(with_sample(docs, sample, "inner", id_col, text_col)
+                    .mapInArrow(_lowest, "_doc long, text string, _label int, low long").groupBy("low").agg(one).select("one._doc", "one._label", "one.text"), "toxic_sample")
     size = texts.groupBy((F.col("_label") > 0).alias("toxic")).count().collect()
     n_toxic = sum(r["count"] for r in size if r["toxic"])
     n_clean = sum(r["count"] for r in size if not r["toxic"])
@@ -155,19 +209,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     z = (share_t - share_c) / F.sqrt(pooled * (1 - pooled) * (1 / n_toxic + 1 / n_clean))
     chosen = shares.where(F.col("t") >= LEAST_TOXIC).withColumn("z", z).where(F.col("z") >= LEAST_Z) \
         .orderBy(F.desc("z"), "bucket").limit(MOST_FEATURES).select("bucket").collect()
-    model = ToxicityModel(np.sort(np.array([r[0] for r in chosen], np.uint64)), np.zeros(len(chosen) + 1),
-                          nothing.threshold)
-    seen = texts.mapInArrow(lambda it: _sampled(it, model), "found array<long>, density double, label int").toPandas()
+    found = np.sort(np.array([r[0] for r in chosen], np.uint64))
+
+    def sampled(bucket: np.ndarray) -> tuple[ToxicityModel, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A model of these buckets; rows and features of the sample's texts;
+        their densities and labels."""
+        model = ToxicityModel(bucket, np.zeros(len(bucket) + 1), nothing.threshold)
+        seen = texts.mapInArrow(lambda it: _sampled(it, model), "found array<long>, density double, label int").toPandas()
+        sizes = seen["found"].map(len).to_numpy(int)
+        col = np.concatenate([np.empty(0, int), *seen["found"].map(lambda x: np.asarray(x, int))])
+        return (model, np.repeat(np.arange(len(seen)), sizes), col, seen["density"].to_numpy(float),
+                seen["label"].to_numpy(int) > 0)
+
+    _, row, col, _, toxic = sampled(found)
+    model, row, col, density, toxic = sampled(np.sort(found[covering(row, col, len(found), toxic)]))
     sample.unpersist()
-    seen = seen.sort_values(["density", "label"], kind="stable")
-    x = np.zeros((len(seen), len(chosen) + 1), np.float32)
-    for k, found in enumerate(seen["found"]):
-        x[k, np.asarray(found, int)] = 1
-    density, toxic = seen["density"].to_numpy(float), seen["label"].to_numpy(int) > 0
-    x[:, -1] = np.log1p(density)
     cut = np.quantile(density[toxic], [1 / 3, 2 / 3])
     grade = np.where(toxic, 1 + np.searchsorted(cut, density), 0)
-    model.weight, model.threshold = fit_ordinal(x, grade)
+    row = np.concatenate([row, np.arange(len(toxic))])
+    value = np.concatenate([np.ones(len(col)), np.log1p(density)])
+    col = np.concatenate([col, np.full(len(toxic), len(model.bucket))])
+    model.weight, model.threshold = fit_ordinal(row, col, value, len(model.bucket) + 1, grade)
     return model
 
 
