@@ -13,9 +13,13 @@
    estimates the Jaccard similarity.  Pairs whose estimate lies more than
    ``SIGMAS`` standard errors under the threshold are left.
 5. The other pairs are confirmed on their full sets, in whole numbers.
-6. Classes of a bucket that these links have not joined yet are compared with
-   each other by their sketches in blocks of bounded size; only pairs whose
-   estimate passes leave a task, and these are confirmed like the first ones.
+6. Classes of a bucket that these links have not joined yet are compared by
+   their sketches in pieces of bounded size.  Of the pairs whose estimate
+   passes, a forest leaves each piece; its trees over all buckets are the
+   clusters in which links may be missing.
+7. The classes of a cluster are compared on their full sets, again in pieces:
+   pairs of one component are left, a link found joins two components at once,
+   and at most one link for each class leaves a piece.
 
 Two sets of a similarity s share a band with a probability of
 ``1 - (1 - s**ROWS)**(BUCKETS // ROWS)``: at 0.8 all but 3 in a million.
@@ -39,9 +43,11 @@ BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 ROWS = 6
 SIGMAS = 5.0
-#: Classes of one band bucket that are compared in one piece; a larger bucket
-#: is dealt to several pieces.
-PIECE = 256
+#: Classes of a band bucket that are compared by their sketches in one piece,
+#: and classes of a cluster compared on their sets; larger ones are dealt to
+#: pieces that compare two parts each.
+SKETCH_PIECE = 1024
+SET_PIECE = 256
 
 _EDGES = (np.arange(BUCKETS, dtype=np.uint64) << U64(64 - BUCKET_BITS))
 #: Which bucket an empty one borrows from: the one with the lowest priority.
@@ -154,53 +160,102 @@ def _promising(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
-def _unjoined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by piece: a piece holds classes of one band bucket (side 0,
-    and side 1 if it compares two parts of a large bucket).  Yields the pairs
-    of different components whose estimate passes."""
+class _Roots:
+    """Disjoint sets over the places of a piece."""
+
+    def __init__(self, first: np.ndarray):
+        self.up = first.tolist()
+
+    def of(self, i: int) -> int:
+        up = self.up
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.of(i), self.of(j)
+        if i == j:
+            return False
+        self.up[max(i, j)] = min(i, j)
+        return True
+
+
+def _by_piece(batches: Iterator[pa.RecordBatch], compare, key: str) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by piece: a piece holds classes of one ``key`` (side 0, and
+    side 1 if it compares two parts of a large one).  Yields the pairs that
+    ``compare`` finds in each piece."""
     held: list[dict] = []
 
-    def pairs() -> tuple[np.ndarray, np.ndarray]:
-        doc, n, comp, side = (np.array([r[c] for r in held]) for c in ("doc", "n_shingles", "component", "side"))
-        sketch = np.frombuffer(b"".join(r["sketch"] for r in held), np.uint16).reshape(-1, BUCKETS)
-        two = side.any()
-        rows = np.flatnonzero(side == 0)
-        cols = np.flatnonzero(side == 1) if two else rows
-        out_a, out_b = [], []
-        for i in rows:
-            j = cols[comp[cols] != comp[i]] if two else cols[(cols > i) & (comp[cols] != comp[i])]
-            m = n[i] * 1.0, n[j] * 1.0
-            j = j[100 * np.minimum(*m) >= percent * np.maximum(*m)]
-            if len(j):
-                n_i, n_j = np.full(len(j), n[i] * 1.0), n[j] * 1.0
-                ok = estimate((sketch[j] == sketch[i]).sum(axis=1), n_i, n_j) >= _floor(n_i, n_j, percent)
-                out_a.append(np.full(ok.sum(), doc[i]))
-                out_b.append(doc[j[ok]])
-        empty = [np.empty(0, np.int64)]
-        return np.concatenate(out_a or empty), np.concatenate(out_b or empty)
-
-    def flushed() -> pa.RecordBatch:
-        a, b = pairs()
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())],
-                                          names=["a", "b"])
+    def found() -> pa.RecordBatch:
+        pairs = compare(held)
+        return pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()),
+                                           pa.array([max(p) for p in pairs], pa.int64())], names=["a", "b"])
 
     for batch in batches:
         for row in batch.to_pylist():
-            if held and (row["band"], row["piece"]) != (held[0]["band"], held[0]["piece"]):
-                yield flushed()
+            if held and (row[key], row["piece"]) != (held[0][key], held[0]["piece"]):
+                yield found()
                 held = []
             held.append(row)
     if held:
-        yield flushed()
+        yield found()
+
+
+def _others(i: int, comp: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """What place ``i`` of a piece is compared with: other components of the
+    other side, or of the rest of the only side."""
+    far = comp != comp[i]
+    if side.any():
+        return np.flatnonzero(far & (side == 1)) if side[i] == 0 else np.empty(0, np.int64)
+    return i + 1 + np.flatnonzero(far[i + 1:])
+
+
+def _near(i: int, j: np.ndarray, sketch: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Those of ``j`` whose sizes and sketches allow a link with ``i``, the
+    likeliest first."""
+    j = j[100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])]
+    if not len(j):
+        return j
+    n_i = np.full(len(j), n[i])
+    guess = estimate((sketch[j] == sketch[i]).sum(axis=1), n_i, n[j])
+    passes = guess >= _floor(n_i, n[j], percent)
+    return j[passes][np.argsort(-guess[passes], kind="stable")]
+
+
+def _candidate_forest(held: list[dict], percent: int) -> list[tuple[int, int]]:
+    doc, comp, side = (np.array([r[c] for r in held]) for c in ("doc", "component", "side"))
+    n = np.array([r["n_shingles"] for r in held], float)
+    sketch = np.frombuffer(b"".join(r["sketch"] for r in held), np.uint16).reshape(-1, BUCKETS)
+    roots = _Roots(np.arange(len(held)))
+    return [(int(doc[i]), int(doc[j])) for i in range(len(held))
+            for j in _near(i, _others(i, comp, side), sketch, n, percent).tolist() if roots.join(i, j)]
+
+
+def _missing_links(held: list[dict], percent: int) -> list[tuple[int, int]]:
+    doc, comp, side = (np.array([r[c] for r in held]) for c in ("doc", "component", "side"))
+    sets = [np.frombuffer(r["shingles"], U64) for r in held]
+    n = np.array([len(s) for s in sets], float)
+    sketch = np.array([registers(s) for s in sets])
+    _, first, place = np.unique(comp, return_index=True, return_inverse=True)
+    roots, out = _Roots(first[place]), []
+    for i in range(len(held)):
+        for j in _near(i, _others(i, comp, side), sketch, n, percent).tolist():
+            if roots.of(i) != roots.of(j) and _linked(sets[i], sets[j], percent):
+                roots.join(i, j)
+                out.append((int(doc[i]), int(doc[j])))
+    return out
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.intersect1d(x, y, assume_unique=True).size
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = []
-        for a, b in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-            x, y = np.frombuffer(a, U64), np.frombuffer(b, U64)
-            both = np.intersect1d(x, y, assume_unique=True).size
-            good.append(100 * both >= percent * (len(x) + len(y) - both))
+        good = [_linked(np.frombuffer(a, U64), np.frombuffer(b, U64), percent)
+                for a, b in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())]
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
@@ -221,6 +276,19 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(lambda it: _confirmed(it, percent), "a long, b long")
 
 
+def _dealt(rows: DataFrame, key: str, size: DataFrame, piece: int) -> DataFrame:
+    """``rows`` with the pieces that each takes part in: ``size (key, size)``
+    tells how many parts a key has; part p meets every part once, on side 1 if
+    the other one is lower."""
+    parts = size.select(key, F.ceil(F.col("size") / piece).cast("int").alias("parts"))
+    part, other = F.col("part"), F.col("other")
+    return rows.join(parts, key) \
+        .withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
+        .withColumn("piece", F.concat_ws(":", F.least(part, other), F.greatest(part, other))) \
+        .withColumn("side", (part > other).cast("int")).drop("part", "parts", "other")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)``, a row for each row of
@@ -237,13 +305,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sketches = written(source.mapInArrow(
         lambda it: _sketch(it, words), "doc long, n_shingles long, set_a long, set_b long, sketch binary"), "sketches")
     linked = sketches.where("doc is not null and set_a is not null")
-    classes = linked.groupBy("set_a", "set_b").agg(F.min("doc").alias("low"))
+    classes = written(linked.groupBy("set_a", "set_b").agg(F.min("doc").alias("low")), "set_classes")
     member = linked.select("doc", "set_a", "set_b").join(classes, ["set_a", "set_b"])
     same = member.where("doc <> low").select(F.col("doc").alias("u"), F.col("low").alias("v"))
     low = classes.select("set_a", "set_b", F.col("low").alias("doc"))
     one = F.max(F.struct(F.col("n_shingles").alias("n"), "sketch")).alias("one")
     sketch_of = written(linked.join(low, ["set_a", "set_b", "doc"], "left_semi").groupBy("doc").agg(one)
-                        .select("doc", "one.n", "one.sketch"), "classes")
+                        .select("doc", "one.n", "one.sketch"), "sketch_of")
 
     bands = sketch_of.select("doc", "sketch").mapInArrow(_bands, "band long, doc long")
     shared = bands.groupBy("band").agg(F.min("doc").alias("low"), F.count("*").alias("size")).where("size > 1")
@@ -267,18 +335,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         .select("band", "doc", F.coalesce("component", "doc").alias("component"))
     open_ = labelled.groupBy("band").agg(F.count("*").alias("size"), F.min("component").alias("c0"),
                                          F.max("component").alias("c1")).where("c0 < c1")
-    parts = F.ceil(F.col("size") / PIECE).cast("int")
-    dealt = labelled.join(open_.select("band", parts.alias("parts")), "band") \
-        .withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
-        .select("band", "doc", "component",
-                F.concat_ws(":", F.least("part", "other"), F.greatest("part", "other")).alias("piece"),
-                (F.col("part") > F.col("other")).cast("int").alias("side")) \
-        .join(sketch_of.select("doc", F.col("n").alias("n_shingles"), "sketch"), "doc")
-    pieces = dealt.repartition("band", "piece").sortWithinPartitions("band", "piece")
-    second = pieces.mapInArrow(lambda it: _unjoined(it, percent), "a long, b long").distinct()
-    second = second.join(first, ["a", "b"], "left_anti")
-    more = written(_verify(second, sets, percent), "second_links")
+    pieces = _dealt(labelled, "band", open_, SKETCH_PIECE) \
+        .join(sketch_of.select("doc", F.col("n").alias("n_shingles"), "sketch"), "doc") \
+        .repartition("band", "piece").sortWithinPartitions("band", "piece")
+    forest = pieces.mapInArrow(lambda it: _by_piece(it, lambda held: _candidate_forest(held, percent), "band"),
+                               "a long, b long")
+    cluster = written(connected_components(forest.select(F.col("a").alias("u"), F.col("b").alias("v")))
+                      .select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "clusters")
+    size = cluster.groupBy("cluster").agg(F.count("*").alias("size"))
+    pieces = _dealt(cluster, "cluster", size, SET_PIECE) \
+        .join(joined.select(F.col("node").alias("doc"), "component"), "doc", "left") \
+        .withColumn("component", F.coalesce("component", "doc")) \
+        .join(sets, "doc").repartition("cluster", "piece").sortWithinPartitions("cluster", "piece", "doc")
+    more = written(pieces.mapInArrow(lambda it: _by_piece(it, lambda held: _missing_links(held, percent), "cluster"),
+                                     "a long, b long"), "more_links")
 
     every = same.unionByName(links.select(F.col("a").alias("u"), F.col("b").alias("v"))) \
         .unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v")))
