@@ -97,6 +97,8 @@ def feature_columns(columns: Sequence[str], omit: Sequence[str], target: str, sp
 
 
 def to_instances(df: DataFrame, out: str = "instance") -> DataFrame:
-    """One JSON object per row."""
-    return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(out))
+    """One JSON object per row, with the same keys in every one
+    (a null is written as such)."""
+    fields = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias(out))
 

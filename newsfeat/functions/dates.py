@@ -50,9 +50,8 @@ def category_codes(df: DataFrame, col: str, out: str) -> DataFrame:
 def calendar_features(df: DataFrame, date_col: str, time_col: str, holidays: DataFrame | None = None) -> DataFrame:
     """P10-P15 together: hour, day name, weekend / holiday flags as integers
     (P14) and day-name codes (P15).  Without a holiday calendar the flag is
-    the reference's constant placeholder (P13); with one (a ``date`` column,
-    at most a few hundred days per year, so its broadcast is bounded by the
-    calendar) days found in it are flagged."""
+    the constant placeholder (P13); with one (a ``date`` column) days found
+    in it are flagged."""
     out = (df.withColumn("hour", F.hour(_c(time_col)))
            .withColumn("day", day_name(date_col))
            .withColumn("is_weekend", is_weekend(date_col).cast("int")))
@@ -60,7 +59,7 @@ def calendar_features(df: DataFrame, date_col: str, time_col: str, holidays: Dat
         out = out.withColumn("is_holiday", F.lit(False).cast("int"))
     else:
         h = holidays.select(F.col("date").cast("date").alias("__hday")).distinct()
-        out = (out.join(F.broadcast(h), F.to_date(_c(date_col)) == F.col("__hday"), "left")
+        out = (out.join(h, F.to_date(_c(date_col)) == F.col("__hday"), "left")
                .withColumn("is_holiday", F.col("__hday").isNotNull().cast("int")).drop("__hday"))
     out = category_codes(out, "day", "day_code")
     return out.withColumn("day_code", F.col("day_code").cast("int"))

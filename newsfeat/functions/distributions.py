@@ -11,7 +11,9 @@ import math
 
 _EPS = 1e-15
 _TINY = 1e-300
-_MAXIT = 500
+# Terms after which a series that has not converged raises: some roots of the
+# parameter suffice, so this is out of reach below 1e13 degrees of freedom.
+_MAXIT = 20_000_000
 
 
 def _betacf(a: float, b: float, x: float) -> float:
@@ -35,8 +37,8 @@ def _betacf(a: float, b: float, x: float) -> float:
         delta = d * c
         h *= delta
         if abs(delta - 1.0) < _EPS:
-            break
-    return h
+            return h
+    raise ArithmeticError("the continued fraction did not converge")
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -66,6 +68,8 @@ def gammaincc(a: float, x: float) -> float:
             total += term
             if abs(term) < abs(total) * _EPS:
                 break
+        else:
+            raise ArithmeticError("the series did not converge")
         return 1.0 - total * math.exp(-x + a * math.log(x) - math.lgamma(a))
     b = x + 1.0 - a
     c = 1.0 / _TINY
@@ -83,6 +87,8 @@ def gammaincc(a: float, x: float) -> float:
         h *= delta
         if abs(delta - 1.0) < _EPS:
             break
+    else:
+        raise ArithmeticError("the continued fraction did not converge")
     return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
 
 

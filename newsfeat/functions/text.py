@@ -13,7 +13,6 @@ import os
 import zipfile
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,11 +68,13 @@ def preprocess_text(df: DataFrame, src: str = "body", out: str = "body_pre", lan
 
     stop = list(stop_words if stop_words is not None else load_stop_words(language))
     tmp_in, tmp_out = f"__{out}_tok", f"__{out}_kept"
-    df = df.withColumn(tmp_in, lemmatize(tokens(src), lemmas))
+    # the remover fails on a null array: a null text goes in without tokens and comes out null
+    df = df.withColumn(tmp_in, F.coalesce(lemmatize(tokens(src), lemmas), F.array().cast("array<string>")))
     remover = StopWordsRemover(inputCol=tmp_in, outputCol=tmp_out, stopWords=stop,
                                caseSensitive=False, locale="en_US")
     df = remover.transform(df)
-    return df.withColumn(out, F.array_join(F.col(tmp_out), " ")).drop(tmp_in, tmp_out)
+    joined = F.when(_c(src).isNotNull(), F.array_join(F.col(tmp_out), " "))
+    return df.withColumn(out, joined).drop(tmp_in, tmp_out)
 
 
 def word_count(c: Column | str) -> Column:
@@ -99,35 +100,3 @@ def strip_html_regex(c: Column | str) -> Column:
     for ent, ch in HTML_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
-
-
-def _parse_html(s: str | None) -> str | None:
-    if s is None:
-        return None
-    from html.parser import HTMLParser
-
-    class _Text(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.parts: list[str] = []
-
-        def handle_data(self, d):
-            self.parts.append(d)
-
-    p = _Text()
-    p.feed(s)
-    p.close()
-    return "".join(p.parts)
-
-
-def strip_html_parser(c: Column | str) -> Column:
-    """N3, parity mode: Python's ``html.parser`` (text of every data node,
-    script/style text included, all character references decoded), run
-    as an Arrow-batched UDF."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("string")
-    def _strip(s: pd.Series) -> pd.Series:
-        return s.map(_parse_html)
-
-    return _strip(_c(c))

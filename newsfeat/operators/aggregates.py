@@ -83,11 +83,10 @@ def min_group_size(df: DataFrame, group: str, name: str = "min_size") -> DataFra
     return group_counts(df, [group], "_c").agg(F.min("_c").alias(name))
 
 
-def group_median(df: DataFrame, group: str, value: str, max_groups: int | None = 10_000) -> DataFrame:
+def group_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """A10: exact median and non-null count per group."""
-    q = exact_quantiles(df, value, [0.5], ["median"], group_cols=[group], max_groups=max_groups)
-    n = df.where(F.col(value).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("count"))
-    return q.join(n, group, "inner")
+    q = exact_quantiles(df, value, [0.5], ["median"], group_cols=[group], count_name="count")
+    return q.select(group, "median", "count")
 
 
 def group_mean(df: DataFrame, group: Column | str, value: str, name: str = "mean") -> DataFrame:
@@ -129,8 +128,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     basic = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], group_cols=["column"],
-                        max_groups=len(cols))
+    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], group_cols=["column"])
     return basic.join(q, "column", "left")
 
 
@@ -164,17 +162,20 @@ def pivot_counts(df: DataFrame, rows: str, cols: str, values: Sequence[str], cap
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width bins between min and max, last bin closed on the
-    right (numpy).  Two aggregations: the range (one row, broadcast), then
-    counts per bin."""
+    right (numpy), empty ones included; a column without values has none.  Two
+    aggregations: the range (one row), then counts per bin."""
     x = F.col(col).cast("double")
-    rng = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()  # one-row subquery
+    ends = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    rng = ends.select(F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))).scalar()  # one-row subquery
     out = (df.where(F.col(col).isNotNull())
            .withColumn("_lo", rng.getField("lo")).withColumn("_hi", rng.getField("hi")))
     width = (F.col("_hi") - F.col("_lo"))
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((x - F.col("_lo")) / width * F.lit(bins)).cast("int"), F.lit(bins - 1)))
-    out = out.withColumn("bin", b).groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
+    found = out.withColumn("bin", b).groupBy("bin").agg(F.count(F.lit(1)).alias("_n"))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
+    out = ends.where(F.col("_lo").isNotNull()).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))) \
+        .join(found, "bin", "left").withColumn("count", F.coalesce("_n", F.lit(0).cast("long")))
     return out.select("bin", (F.col("_lo") + F.col("bin") * step).alias("lower"),
                       (F.col("_lo") + (F.col("bin") + 1) * step).alias("upper"), "count")
 
@@ -193,13 +194,13 @@ def kde_curve(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     st = st.select(F.struct("_lo", "_hi", "_h", "_n").alias("s")).scalar()  # one-row subquery
     step = (F.col("_hi") - F.col("_lo")) / F.lit(points - 1)
     grid = F.transform(F.sequence(F.lit(0), F.lit(points - 1)),
-                       lambda i: F.col("_w") * F.exp(-F.pow((F.col("_lo") + i * step - F.col("_v")) / F.col("_h"), 2) / 2))
+                       lambda i: F.col("_w") * F.exp(-F.pow(F.try_divide(F.col("_lo") + i * step - F.col("_v"), F.col("_h")), F.lit(2)) / 2))
     with_st = cells.select("_v", "_w", *[st.getField(f).alias(f) for f in ("_lo", "_hi", "_h", "_n")])
     contrib = with_st.select("_lo", "_hi", "_h", "_n", F.posexplode(grid).alias("point", "_k"))
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
     return (contrib.groupBy("point", "_lo", "_hi", "_h", "_n").agg(F.sum("_k").alias("_s"))
             .select("point", (F.col("_lo") + F.col("point") * step).alias("x"),
-                    (F.col("_s") / norm).alias("density")))
+                    F.try_divide(F.col("_s"), norm).alias("density")))
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (HashingTF, IDF, Imputer, RegexTokenizer, StringIndexer, VectorAssembler)
+from pyspark.ml.feature import (FeatureHasher, HashingTF, IDF, Imputer, RegexTokenizer, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,11 @@ from newsfeat.operators.ranking import cumulative_within
 
 class FeatureSpec:
     """P25: typed feature map — text columns are hashed term frequencies with
-    IDF, categorical columns are indexed, numeric columns imputed."""
+    IDF, categorical columns are hashed to 0/1 features (no list of their
+    values is gathered), numeric columns imputed."""
+
+    #: Features of a categorical column.
+    CATEGORY_FEATURES = 256
 
     def __init__(self, text: Sequence[str] = (), categorical: Sequence[str] = (), numeric: Sequence[str] = (),
                  num_features: int = 1 << 12):
@@ -40,19 +44,26 @@ class FeatureSpec:
                    IDF(inputCol=f"{c}__tf", outputCol=f"{c}__vec")]
             vec_inputs.append(f"{c}__vec")
         for c in self.categorical:
-            st.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-            vec_inputs.append(f"{c}__idx")
+            st.append(FeatureHasher(inputCols=[c], outputCol=f"{c}__cat", categoricalCols=[c],
+                                    numFeatures=self.CATEGORY_FEATURES))
+            vec_inputs.append(f"{c}__cat")
         if self.numeric:
             st.append(Imputer(inputCols=self.numeric, outputCols=[f"{c}__imp" for c in self.numeric],
                               strategy="median"))
             vec_inputs += [f"{c}__imp" for c in self.numeric]
         st.append(VectorAssembler(inputCols=vec_inputs, outputCol="features", handleInvalid="keep"))
         st.insert(0, StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc",
-                                   handleInvalid="keep"))
+                                   handleInvalid="error"))
         return st
 
     def source_of(self, assembler_inputs: Sequence[str]) -> list[str]:
-        return [c.split("__")[0] for c in assembler_inputs]
+        """The column that each assembler input was made of."""
+        made = {f"{c}{end}": c for end, cols in (("__vec", self.text), ("__cat", self.categorical), ("__imp", self.numeric))
+                for c in cols}
+        return [made[c] for c in assembler_inputs]
+
+    def width(self, assembler_input: str) -> int:
+        return {"__vec": self.num_features, "__cat": self.CATEGORY_FEATURES}.get(assembler_input[-5:], 1)
 
 
 def numeric_cast(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -98,12 +109,18 @@ def model_classes(model: PipelineModel) -> list[str]:
     return list(model.stages[0].labels)
 
 
+def scorer(model: PipelineModel) -> PipelineModel:
+    """The stages that scoring needs: all but the label indexer, so that rows
+    with an unknown or no label are scored as well."""
+    return PipelineModel(model.stages[1:])
+
+
 def prediction_table(model: PipelineModel, df: DataFrame, label: str | None = "topic",
                      id_col: str = "uri") -> DataFrame:
     """``(id, label_name, classes, scores)`` per row; scores are the
     class probabilities (``vector_to_array(probability)``)."""
     classes = F.array(*[F.lit(c) for c in model_classes(model)])
-    scored = model.transform(df)
+    scored = scorer(model).transform(df)
     out = scored.select(F.col(id_col).alias("id"),
                         (F.col(label) if label else F.lit(None).cast("string")).alias("label_name"),
                         classes.alias("classes"), vector_to_array("probability").alias("scores"))
@@ -155,13 +172,13 @@ def roc_cells(pred: DataFrame) -> DataFrame:
                  F.count_if(F.col("label_name") != F.col("class")).alias("neg")))
 
 
-def roc_points(pred: DataFrame, max_classes: int = 10_000) -> DataFrame:
+def roc_points(pred: DataFrame) -> DataFrame:
     """M6: for every class and distinct score (as threshold, descending):
     true-positive and false-positive rates and precision.  Running totals
     come from ``cumulative_within`` grouped by class."""
     cells = roc_cells(pred)
     c = cumulative_within(cells, ["class"], [F.col("score").desc()], ["pos", "neg"], cum=["tp", "fp"],
-                          total=["P", "N"], max_groups=max_classes)
+                          total=["P", "N"])
     return c.select("class", F.col("score").alias("threshold"), "tp", "fp", "pos", "neg", "P", "N",
                     F.try_divide(F.col("tp"), F.col("P")).alias("tpr"),
                     F.try_divide(F.col("fp"), F.col("N")).alias("fpr"),
@@ -193,17 +210,24 @@ def metrics_rows(pred: DataFrame) -> DataFrame:
                           "'accuracy', accuracy) AS (metric, value)")
 
 
+#: Metrics and whether more is better.
+HIGHER_IS_BETTER = {"auRoc": True, "auPrc": True, "accuracy": True, "logLoss": False}
+
+
 def deployment_gate(current: dict[str, float], previous: dict[str, float] | None,
                     threshold: dict[str, float]) -> bool:
-    """M8: deploy unless, for some thresholded metric, the new model is
-    below the threshold **and** below the previous model (trap T9: the
+    """M8: deploy unless, for some thresholded metric, the new model is worse
+    than the threshold **and** worse than the previous model (trap T9: the
     threshold must be a dict such as ``{"auRoc": 0.95}``)."""
     if not isinstance(threshold, dict):
         raise TypeError("threshold must be a dict of metric -> value")
     for name, th in threshold.items():
-        value = current[name]
+        if name not in HIGHER_IS_BETTER:
+            raise ValueError(f"no such metric: {name}")
+        sign = 1 if HIGHER_IS_BETTER[name] else -1
+        value = sign * current[name]
         prev = previous.get(name) if previous else None
-        if value < th and (prev is None or value < prev):
+        if value < sign * th and (prev is None or value < sign * prev):
             return False
     return True
 
@@ -225,9 +249,9 @@ def linear_attributions(model: PipelineModel, df: DataFrame, spec: FeatureSpec,
     coef = lr.coefficientMatrix.toArray()
     inputs = assembler.getInputCols()
     sources = spec.source_of(inputs)
-    sizes = [spec.num_features if c.endswith("__vec") else 1 for c in inputs]
+    sizes = [spec.width(c) for c in inputs]
     bounds = np.cumsum([0] + sizes)
-    scored = model.transform(df).select(F.col(id_col).alias("id"), vector_to_array("features").alias("f"),
+    scored = scorer(model).transform(df).select(F.col(id_col).alias("id"), vector_to_array("features").alias("f"),
                                         F.col("prediction").cast("int").alias("k"))
 
     def attribute(batches):

@@ -25,8 +25,10 @@ class InputMissing(Exception):
 # ---------------------------------------------------------------- dates
 
 def parse_date(df: DataFrame, src: str = "date", out: str = "date_column") -> DataFrame:
-    """Lenient date parse; values that are not dates become null."""
-    return df.withColumn(out, F.expr(f"try_cast(`{src}` AS date)"))
+    """Lenient date parse; values that are not dates become null, and so do
+    partial ones (a year, a year and a month)."""
+    whole = F.col(src).cast("string").rlike(r"^\s*[+-]?\d{4,7}-\d{1,2}-\d{1,2}")
+    return df.withColumn(out, F.when(whole, F.expr(f"try_cast(`{src}` AS date)")))
 
 
 def add_year_month(df: DataFrame, date_col: str = "date_column") -> DataFrame:
@@ -38,18 +40,11 @@ def add_year_month(df: DataFrame, date_col: str = "date_column") -> DataFrame:
             .withColumn("year_month", F.when(d.isNotNull(), F.col("year_month"))))
 
 
-def filter_year(df: DataFrame, year: int = 2023, date_col: str = "date_column",
-                raw_col: str | None = "date") -> DataFrame:
-    """keep one calendar year; unparsable dates fall out.
-
-    ``raw_col`` adds a ``startswith`` predicate on the raw ISO string, which
-    Parquet can push down (row groups outside the year are skipped); the exact
-    test on the parsed date is kept, so it only narrows the scan.
-    """
-    cond = F.year(F.col(date_col)) == F.lit(year)
-    if raw_col:
-        cond = F.col(raw_col).startswith(str(year)) & cond
-    return df.where(cond)
+def filter_year(df: DataFrame, year: int = 2023, date_col: str = "date_column") -> DataFrame:
+    """keep one calendar year; unparsable dates fall out.  The test is on
+    the parsed date alone: the raw text of a valid date may begin with blanks
+    or a sign."""
+    return df.where(F.year(F.col(date_col)) == F.lit(year))
 
 
 # ---------------------------------------------------------- de-duplication
@@ -137,11 +132,22 @@ def robust_apply(df: DataFrame, fit: DataFrame, col: str, out: str) -> DataFrame
 PREPARE_INPUTS = ["uri", "ingest_seq", "date", "categoryLabels", "authors", "sharesFacebook"]
 
 
+def prepared_rows(articles: DataFrame, year: int = 2023, first_only: bool = True) -> DataFrame:
+    """The preparation without scaling: date parts, one year, first row per
+    uri, ``''`` -> null, rows without labels or authors dropped, topic label.
+    ``first_only=False`` leaves out the first-row step; what remains looks at
+    one row at a time."""
+    df = filter_year(parse_date(articles), year)
+    df = add_year_month(df)
+    if first_only:
+        df = dedupe_first(df, "uri", "ingest_seq")
+    return add_topic(drop_missing(empty_to_null(df), ["categoryLabels", "authors"]))
+
+
 def prepare_articles(articles: DataFrame, year: int = 2023, scale: bool = True,
                      fit: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
-    """The preparation stage: date parts, one year, first row per uri,
-    ``''`` -> null, rows without labels or authors dropped, topic label,
-    robust-scaled shares (fitted on the prepared rows unless ``fit`` is given).
+    """The preparation stage: ``prepared_rows`` and robust-scaled shares
+    (fitted on the prepared rows unless ``fit`` is given).
 
     ``keep`` narrows the carried columns to the inputs of the stage plus the
     listed ones, so the scan reads only those (the de-duplication carries
@@ -149,13 +155,7 @@ def prepare_articles(articles: DataFrame, year: int = 2023, scale: bool = True,
     if keep is not None:
         cols = [c for c in articles.columns if c in set(PREPARE_INPUTS) | set(keep)]
         articles = articles.select(*cols)
-    df = parse_date(articles)
-    df = filter_year(df, year)
-    df = add_year_month(df)
-    df = dedupe_first(df, "uri", "ingest_seq")
-    df = empty_to_null(df)
-    df = drop_missing(df, ["categoryLabels", "authors"])
-    df = add_topic(df)
+    df = prepared_rows(articles, year)
     if scale:
         if fit is None:
             # fit on the narrow preparation inputs: the de-duplication keeps

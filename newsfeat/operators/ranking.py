@@ -8,11 +8,11 @@ helpers below never do that:
   spreads over many partitions (the order key splits it); a ``repartitionByRange``
   with an explicit partition count is not coalesced by AQE.
 * Each partition knows the local position of a row (``monotonically_increasing_id``
-  after a sort inside the partition) or its local running sum (an Arrow scan of
-  the sorted partition; a window would shuffle the rows again).
+  after a sort inside the partition) or its local running sum (a window inside
+  the partition, over aggregated cells).
 * A **small** table of per-(partition, group) totals gives every partition the
   offset of its first row inside the group.  It has at most
-  ``partitions + groups`` rows and is joined back by broadcast.
+  ``partitions + groups`` rows and is joined back.
 * The range-partitioned frame is **materialised** (written as a table under
   the session's ``spark.checkpoint.dir``) before it feeds both the totals and
   the join.  Two independently planned range exchanges would sample different
@@ -33,15 +33,6 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Broadcast the offsets table when it is provably small: it has at most
-# ``partitions + max_groups`` rows.
-MAX_BROADCAST_GROUPS = 100_000
-# At or below this many cells, running totals and quantiles are finished in a
-# single task (a window or Spark's exact ``percentile`` over the cells); above
-# it they use the range-partitioned path.  The count is checked at run time.
-SMALL_CELLS = 100_000
-
-
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -79,14 +70,12 @@ def _join_offsets(r: DataFrame, stats: DataFrame, group_cols: Sequence[str],
 
 
 def row_number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[ColumnOrName],
-                      rn: str = "_rn", size: str | None = "_n", num_partitions: int | None = None,
-                      max_groups: int | None = None) -> DataFrame:
+                      rn: str = "_rn", size: str | None = "_n", num_partitions: int | None = None) -> DataFrame:
     """Add ``rn`` = exact 1-based row number inside each group following
     ``order_cols`` (and ``size`` = group size), distributed over all tasks.
 
-    ``max_groups`` states a bound on the number of groups (for instance the
-    number of classes of a label); with it, or without groups, the offsets
-    table is broadcast.  Without a bound the join is left to AQE.
+    Without groups the offsets table has a row for each partition and is
+    broadcast; otherwise the join is left to AQE, which goes by measured size.
     """
     group_cols = list(group_cols)
     keys = [_col(g) for g in group_cols] + [_col(o) for o in order_cols]
@@ -101,113 +90,30 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     stats = stats.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
     if size:
         stats = stats.withColumn("_gsize", F.sum("_c").over(by_group))
-    bounded = not group_cols or (max_groups is not None and max_groups <= MAX_BROADCAST_GROUPS)
-    out = _join_offsets(r, stats, group_cols, bounded)
+    out = _join_offsets(r, stats, group_cols, broadcast=not group_cols)
     out = out.withColumn(rn, F.col("_off") + F.col("_mid") - F.col("_m0") + F.lit(1))
     if size:
         out = out.withColumnRenamed("_gsize", size)
     return out.drop("_pid", "_mid", "_c", "_m0", "_off")
 
 
-def _local_running_sums(r: DataFrame, group_cols: Sequence[str], weights: Sequence[str]) -> DataFrame:
-    """``_lcum{i}``: inclusive running sum of ``weights[i]`` inside each run of
-    equal group keys of every partition, in the partition's (sorted) row
-    order.  A per-partition Arrow scan (numpy ``cumsum``): an ordinary window
-    would need its rows clustered by ``(_pid, group)``, which Spark cannot see
-    from the range exchange, and would shuffle and sort the cells again."""
-    from pyspark.sql import types as T
-
-    fields = {f.name: f.dataType for f in r.schema.fields}
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    out_types = [T.LongType() if isinstance(fields[w], integral) else T.DoubleType() for w in weights]
-    schema = T.StructType(list(r.schema.fields) + [T.StructField(f"_lcum{i}", t) for i, t in enumerate(out_types)])
-    groups, ws = list(group_cols), list(weights)
-    as_int = [isinstance(t, T.LongType) for t in out_types]
-
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-        import pyarrow as pa
-
-        last_key, carry = None, [0] * len(ws)
-        for b in batches:
-            k = b.num_rows
-            if k == 0:
-                continue
-            if groups:
-                keys = b.select(groups).to_pandas()
-                prev = keys.shift()
-                same = (keys == prev) | (keys.isna() & prev.isna())
-                change = ~same.all(axis=1).to_numpy()
-                first = tuple(keys.iloc[0])
-                change[0] = last_key is None or not all(
-                    (a == c) or (pd.isna(a) and pd.isna(c)) for a, c in zip(first, last_key))
-                last_key = tuple(keys.iloc[-1])
-            else:
-                change = np.zeros(k, dtype=bool)
-                change[0] = last_key is None
-                last_key = ()
-            seg = np.cumsum(change) - 1
-            starts = np.flatnonzero(change)
-            cols = list(b.columns)
-            for i, w in enumerate(ws):
-                v = b.column(w).fill_null(0).to_numpy(zero_copy_only=False).astype(
-                    "int64" if as_int[i] else "float64")
-                cs = np.cumsum(v)
-                base = np.where(starts > 0, cs[np.maximum(starts - 1, 0)], 0)
-                local = cs - base[seg] if len(starts) else cs + carry[i]
-                if not change[0]:
-                    # the first run continues the last run of the previous batch
-                    first_run = seg == -1 if len(starts) else np.ones(k, dtype=bool)
-                    local = np.where(first_run, cs + carry[i], local)
-                carry[i] = local[-1]
-                cols.append(pa.array(local, type=pa.int64() if as_int[i] else pa.float64()))
-            yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
-                list(b.schema) + [pa.field(f"_lcum{i}", pa.int64() if as_int[i] else pa.float64())
-                                  for i in range(len(ws))]))
-
-    return r.mapInArrow(run, schema)
-
-
 def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: Sequence[ColumnOrName],
                       weight: str | Sequence[str], cum: str | Sequence[str] = "_cum",
                       total: str | Sequence[str] | None = "_total",
-                      num_partitions: int | None = None, max_groups: int | None = None,
-                      small_cells: int | None = None, known_large: bool = False,
-                      max_cells: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None) -> DataFrame:
     """Running (inclusive) sums of ``weight`` column(s) inside each group in
     ``order_cols`` order, plus the group totals.  Meant for aggregated cells
-    (one row per distinct value): the range exchange moves only the cells,
-    never the raw rows.
-
-    The cells are materialised first; when there are at most
-    ``small_cells`` of them (a checked bound, default ``SMALL_CELLS``) an
-    ordinary window finishes the job, otherwise the range-partitioned path
-    with offsets runs.  A caller that has proven a bound ``max_cells`` on the
-    number of cells (from counts it already holds) within that limit skips
-    the write and the count and goes to the window directly."""
+    (one row per distinct value): the exchanges move only the cells, never the
+    raw rows.  One plan for every size: cells are range-partitioned and written
+    with their partition's number, a window sums inside each (partition,
+    group), and the totals of the partitions before are added."""
     weights = [weight] if isinstance(weight, str) else list(weight)
     cums = [cum] if isinstance(cum, str) else list(cum)
     totals = None if total is None else ([total] if isinstance(total, str) else list(total))
     group_cols = list(group_cols)
     keys = [_col(g) for g in group_cols] + [_col(o) for o in order_cols]
-    limit = SMALL_CELLS if small_cells is None else small_cells
-    proven_small = max_cells is not None and max_cells <= limit and not known_large
-    if not known_large and not proven_small:
-        cells = materialize(cells, "cells")
-    if proven_small or (not known_large and cells.count() <= limit):
-        part = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
-        run = part.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = cells
-        for i, w in enumerate(weights):
-            out = out.withColumn(cums[i], F.sum(w).over(run))
-            if totals:
-                out = out.withColumn(totals[i], F.sum(w).over(part))
-        return out
     n = num_partitions or default_partitions(cells)
-    r = (cells.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-         .withColumn("_pid", F.spark_partition_id()))
-    r = materialize(_local_running_sums(r, group_cols, weights))
+    r = materialize(cells.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()), "cells")
     stats = r.groupBy("_pid", *group_cols).agg(*[F.sum(w).alias(f"_ps{i}") for i, w in enumerate(weights)])
     by_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
     before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -215,8 +121,10 @@ def cumulative_within(cells: DataFrame, group_cols: Sequence[str], order_cols: S
         stats = stats.withColumn(f"_off{i}", F.coalesce(F.sum(f"_ps{i}").over(before), F.lit(0)))
         if totals:
             stats = stats.withColumn(f"_gtotal{i}", F.sum(f"_ps{i}").over(by_group))
-    bounded = not group_cols or (max_groups is not None and max_groups <= MAX_BROADCAST_GROUPS)
-    out = _join_offsets(r, stats, group_cols, bounded)
+    here = Window.partitionBy("_pid", *group_cols).orderBy(*[_col(o) for o in order_cols]) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = r.withColumns({f"_lcum{i}": F.sum(w).over(here) for i, w in enumerate(weights)})
+    out = _join_offsets(r, stats, group_cols, broadcast=not group_cols)
     for i in range(len(weights)):
         out = out.withColumn(cums[i], F.col(f"_off{i}") + F.col(f"_lcum{i}"))
         if totals:
@@ -235,39 +143,24 @@ def value_cells(df: DataFrame, value: ColumnOrName, group_cols: Sequence[str] =
 
 
 def average_ranks(cells: DataFrame, group_cols: Sequence[str] = (), value: str = "_v",
-                  weight: str = "_w", out: str = "_rank", max_groups: int | None = None) -> DataFrame:
+                  weight: str = "_w", out: str = "_rank") -> DataFrame:
     """Average (tie-corrected) 1-based rank of each distinct value, as
     ``scipy.stats.rankdata(method='average')`` / SQL ``rank`` with ties averaged."""
-    c = cumulative_within(cells, group_cols, [value], weight, cum="_cum", total="_total",
-                          max_groups=max_groups)
+    c = cumulative_within(cells, group_cols, [value], weight, cum="_cum", total="_total")
     return c.withColumn(out, F.col("_cum") - (F.col(weight) - F.lit(1)) / F.lit(2.0)).drop("_cum")
 
 
 def exact_quantiles(df: DataFrame, value: ColumnOrName, probs: Sequence[float],
                     names: Sequence[str] | None = None, group_cols: Sequence[str] = (),
-                    max_groups: int | None = None, count_name: str | None = None,
-                    small_cells: int | None = None) -> DataFrame:
+                    count_name: str | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy/pandas ``linear``, SQL
     ``quantile_cont``) per group.
 
     Values are first aggregated to distinct (group, value) cells (partial
-    aggregation) and the cells are materialised.  When their number is at
-    most ``small_cells`` — a checked bound — ``percentile(value, p, count)``
-    over the cells finishes the job; otherwise running counts over the
-    range-partitioned cells locate the order statistics, so no group's
-    values are ever gathered in one buffer or task."""
+    aggregation); running counts over the range-partitioned cells locate the
+    order statistics, so no group's values are gathered in one buffer or task."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    cells = materialize(value_cells(df, value, group_cols), "cells")
-    if cells.count() <= (SMALL_CELLS if small_cells is None else small_cells):
-        pct = F.percentile(F.col("_v").cast("double"), F.array(*[F.lit(float(p)) for p in probs]), F.col("_w"))
-        aggs = [pct.alias("_q")]
-        if count_name:
-            aggs.append(F.sum("_w").alias(count_name))
-        g = cells.groupBy(*group_cols).agg(*aggs)
-        return g.select(*group_cols, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)],
-                        *([count_name] if count_name else []))
-    c = cumulative_within(cells, group_cols, ["_v"], "_w", cum="_cum", total="_total",
-                          max_groups=max_groups, known_large=True)
+    c = cumulative_within(value_cells(df, value, group_cols), group_cols, ["_v"], "_w", cum="_cum", total="_total")
     c = c.withColumn("_start", F.col("_cum") - F.col("_w"))
     aggs = []
     for p, nm in zip(probs, names):

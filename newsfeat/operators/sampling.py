@@ -2,10 +2,8 @@
 
 Order keys are explicit (Spark has no file order): a seeded ``md5`` hash
 gives a sample that does not depend on partitioning and that any SQL engine
-reproduces.  Small ``n`` uses ``orderBy().limit()`` (``TakeOrderedAndProject``:
-each task keeps ``n`` rows and one task merges ``n x partitions`` rows, so
-``n`` is capped at ``TOP_K_LIMIT``); larger ``n`` uses distributed row
-numbers, so the sample never funnels through one task.
+reproduces.  One plan for every ``n``: ``orderBy().limit()``, in which each
+task keeps its ``n`` first rows and only these meet.
 """
 
 from __future__ import annotations
@@ -13,11 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsfeat.operators.ranking import row_number_within
 from newsfeat.operators.split import hash_order
 
-TOP_K_LIMIT = 1_000
-
 
 def seeded_sample(df: DataFrame, n: int, seed: int | None = 42, key: str = "uri") -> DataFrame:
     """Exactly ``min(n, rows)`` rows chosen by a seeded hash order
@@ -26,19 +21,12 @@ def seeded_sample(df: DataFrame, n: int, seed: int | None = 42, key: str = "uri"
     if seed is None:
         import secrets
         seed = secrets.randbits(31)
-    order = [hash_order(key, seed), F.col(key)]
-    if n <= TOP_K_LIMIT:
-        return df.orderBy(*order).limit(n)
-    r = row_number_within(df, [], order, rn="_rn", size=None)
-    return r.where(F.col("_rn") <= n).drop("_rn")
+    return df.orderBy(hash_order(key, seed), F.col(key)).limit(n)
 
 
 def first_rows(df: DataFrame, n: int, order: str) -> DataFrame:
     """First ``n`` rows in ``order``."""
-    if n <= TOP_K_LIMIT:
-        return df.orderBy(order).limit(n)
-    r = row_number_within(df, [], [F.col(order)], rn="_rn", size=None)
-    return r.where(F.col("_rn") <= n).drop("_rn")
+    return df.orderBy(order).limit(n)
 
 
 def first_nonempty(df: DataFrame, text_col: str, n: int, order: str) -> DataFrame:

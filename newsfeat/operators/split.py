@@ -3,8 +3,7 @@
 Both need positions inside a label group.  Labels are few and large, so a
 ``row_number() over (partition by topic ...)`` would run each label in one
 task; ``row_number_within`` spreads every label over range partitions and
-adds exact offsets instead.  ``max_groups`` states the bound on the number
-of labels that makes the offsets table safe to broadcast.
+adds exact offsets instead.
 """
 
 from __future__ import annotations
@@ -14,8 +13,6 @@ from pyspark.sql import functions as F
 
 from newsfeat.operators.ranking import row_number_within
 
-MAX_CLASSES = 10_000
-
 
 def train_count(n):
     """``int(0.95 * n)`` as exact integer arithmetic (trap T14)."""
@@ -23,13 +20,11 @@ def train_count(n):
 
 
 def time_split(df: DataFrame, label: str = "topic", date_col: str = "date_column",
-               tie: str = "uri", out: str = "split", train_pct: int = 95,
-               max_groups: int = MAX_CLASSES) -> DataFrame:
+               tie: str = "uri", out: str = "split", train_pct: int = 95) -> DataFrame:
     """V1: per label ordered by date (ties by ``tie``): the first
     ``floor(train_pct% * n)`` rows are TRAIN, the next ``(n - train) div 2``
     VALIDATE, the rest TEST."""
-    r = row_number_within(df, [label], [F.col(date_col), F.col(tie)], rn="_rn", size="_n",
-                          max_groups=max_groups)
+    r = row_number_within(df, [label], [F.col(date_col), F.col(tie)], rn="_rn", size="_n")
     n = F.col("_n")
     t1 = F.floor((n * F.lit(train_pct)) / F.lit(100)).cast("long")
     t2 = t1 + F.floor((n - t1) / F.lit(2)).cast("long")
@@ -44,12 +39,10 @@ def hash_order(key: str, seed: int | str) -> F.Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def balance_classes(df: DataFrame, label: str = "topic", key: str = "uri", seed: int = 42,
-                    max_groups: int = MAX_CLASSES) -> DataFrame:
+def balance_classes(df: DataFrame, label: str = "topic", key: str = "uri", seed: int = 42) -> DataFrame:
     """From every label keep ``k`` rows, ``k`` = size of the smallest
     label; rows are chosen by a seeded hash order (ties by ``key``)."""
-    r = row_number_within(df, [label], [hash_order(key, seed), F.col(key)], rn="_rn", size=None,
-                          max_groups=max_groups)
+    r = row_number_within(df, [label], [hash_order(key, seed), F.col(key)], rn="_rn", size=None)
     # smallest label size, a scalar subquery over a partial-aggregate count
     k = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.min("_n")).scalar()
     return r.where(F.col("_rn") <= k).drop("_rn")

@@ -25,8 +25,12 @@ def _c(c: Column | str) -> Column:
 # ----------------------------------------------------------------- correlations
 
 def pearson(df: DataFrame, x: str, y: str, name: str = "pearson") -> DataFrame:
-    """Pearson r over pairs where both values are present."""
-    return df.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(name))
+    """Pearson r over pairs where both values are present; null if one of
+    them is constant or there are no pairs."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    spread = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
+    return df.agg(F.try_divide(F.covar_pop(a, b), spread).alias(name))
 
 
 def stacked_pair_cells(df: DataFrame, xs: list[str], y: str) -> DataFrame:
@@ -53,14 +57,14 @@ def spearman_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     onto the cells (``sum(n * rx * ry) = sum_y ry * sum(n * rx)``)."""
     cells = materialize(stacked_pair_cells(df, xs, y), "pair_cells")
     mx = cells.groupBy("_var", "_x").agg(F.sum("_n").alias("_w"))
-    rx = average_ranks(mx, ["_var"], "_x", "_w", "_rx", max_groups=len(xs)).select("_var", "_x", "_w", "_rx")
+    rx = average_ranks(mx, ["_var"], "_x", "_w", "_rx").select("_var", "_x", "_w", "_rx")
     W = F.col("_w").cast("double")
     sx = rx.groupBy("_var").agg(F.sum(W * F.col("_rx")).alias("sa"),
                                 F.sum(W * F.col("_rx") * F.col("_rx")).alias("saa"))
     my = (cells.join(rx.select("_var", "_x", "_rx"), ["_var", "_x"])
           .groupBy("_var", "_y").agg(F.sum("_n").alias("_w"),
                                      F.sum(F.col("_n").cast("double") * F.col("_rx")).alias("_srx")))
-    ry = average_ranks(my, ["_var"], "_y", "_w", "_ry", max_groups=len(xs))
+    ry = average_ranks(my, ["_var"], "_y", "_w", "_ry")
     B = F.col("_ry")
     sy = ry.groupBy("_var").agg(F.sum(W).alias("n"), F.sum(W * B).alias("sb"), F.sum(W * B * B).alias("sbb"),
                                 F.sum(B * F.col("_srx")).alias("sab"))
@@ -68,7 +72,7 @@ def spearman_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
     va = F.col("saa") - F.col("sa") * F.col("sa") / F.col("n")
     vb = F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")
-    return _one_row(s_.select("_var", (cov / F.sqrt(va * vb)).alias("_rho")), xs, "_rho")
+    return _one_row(s_.select("_var", F.try_divide(cov, F.sqrt(F.greatest(va * vb, F.lit(0.0)))).alias("_rho")), xs, "_rho")
 
 
 def spearman(df: DataFrame, x: str, y: str, name: str = "spearman") -> DataFrame:
@@ -82,13 +86,8 @@ def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     """X4 for several x columns at once (see ``kendall_tau_b``); the pair
     cells are written once and read by every later step."""
     cells = materialize(stacked_pair_cells(df, xs, y), "pair_cells")
-    # bounds from the one count of the written pair cells: distinct x values
-    # are at most the cells, the per-level rows at most cells * levels
-    n_cells = cells.count()
-    n_levels = max(1, math.ceil(math.log2(max(n_cells, 2))))
     xd = cells.select("_var", "_x").distinct().withColumn("_one", F.lit(1))
-    xr = cumulative_within(xd, ["_var"], ["_x"], "_one", cum="_r", total="_dx", max_groups=len(xs),
-                           max_cells=n_cells).select("_var", "_x", (F.col("_r") - 1).alias("_r"), "_dx")
+    xr = cumulative_within(xd, ["_var"], ["_x"], "_one", cum="_r", total="_dx").select("_var", "_x", (F.col("_r") - 1).alias("_r"), "_dx")
     c = cells.join(xr, ["_var", "_x"])
     levels = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_dx").cast("double"))).cast("int") - 1))
     lv = (c.withColumn("_lvl", F.explode(levels))
@@ -97,7 +96,7 @@ def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
           .withColumn("_lw", F.when(F.col("_half") == 0, F.col("_n")).otherwise(F.lit(0)))
           .withColumn("_tie", F.lit(1) - F.col("_half")))
     cum = cumulative_within(lv, ["_var", "_lvl", "_block"], ["_y", "_tie", "_x"], "_lw", cum="_below_incl",
-                            total="_left_total", max_groups=None, max_cells=n_cells * n_levels)
+                            total="_left_total")
     # at a right-half row (half = 1, ordered before left rows of equal y) the
     # running left weight counts only left cells with y' < y
     right = cum.where(F.col("_half") == 1)
@@ -106,16 +105,16 @@ def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     r = right.join(left_eq, ["_var", "_lvl", "_block", "_y"], "left").fillna(0, subset=["_eq"])
     below = F.col("_below_incl")
     above = F.col("_left_total") - below - F.col("_eq")
-    S = r.groupBy("_var").agg(F.sum((F.col("_n") * (below - above)).cast("double")).alias("_S"))
+    S = r.groupBy("_var").agg(F.sum(F.col("_n").cast("double") * (below - above)).alias("_S"))
     tot = cells.groupBy("_var").agg(F.sum("_n").cast("double").alias("_tot_n"))
-    tx = cells.groupBy("_var", "_x").agg(F.sum("_n").alias("_t")).groupBy("_var").agg(
+    tx = cells.groupBy("_var", "_x").agg(F.sum("_n").cast("double").alias("_t")).groupBy("_var").agg(
         F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias("_n1"))
-    ty = cells.groupBy("_var", "_y").agg(F.sum("_n").alias("_t")).groupBy("_var").agg(
+    ty = cells.groupBy("_var", "_y").agg(F.sum("_n").cast("double").alias("_t")).groupBy("_var").agg(
         F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias("_n2"))
     n0 = F.col("_tot_n") * (F.col("_tot_n") - 1) / 2
     per = (tot.join(S, "_var", "left").join(tx, "_var").join(ty, "_var")
-           .select("_var", (F.coalesce(F.col("_S"), F.lit(0.0)) /
-                            F.sqrt((n0 - F.col("_n1")) * (n0 - F.col("_n2")))).alias("_tau")))
+           .select("_var", F.try_divide(F.coalesce(F.col("_S"), F.lit(0.0)),
+                                         F.sqrt((n0 - F.col("_n1")) * (n0 - F.col("_n2")))).alias("_tau")))
     return _one_row(per, xs, "_tau")
 
 
@@ -177,7 +176,8 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     s = j.groupBy("_tot_n", "_k").agg(
         F.sum(F.col("_n") * F.pow(F.col("_m") - F.col("_gm"), 2)).alias("_ssb"),
         F.sum((F.col("_n") - 1) * F.col("_v")).alias("_ssw"))
-    f = (F.col("_ssb") / (F.col("_k") - 1)) / (F.col("_ssw") / (F.col("_tot_n") - F.col("_k")))
+    f = F.try_divide(F.try_divide(F.col("_ssb"), F.col("_k") - 1),
+                     F.try_divide(F.col("_ssw"), F.col("_tot_n") - F.col("_k")))
     return s.select(f.alias("f_stat"), (F.col("_k") - 1).cast("long").alias("df_between"),
                     (F.col("_tot_n") - F.col("_k")).cast("long").alias("df_within"))
 
@@ -197,7 +197,8 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
                    F.count(F.lit(1)).alias("_k"))
     ties = marg.agg(F.sum(F.pow(F.col("_w").cast("double"), 3) - F.col("_w")).alias("_t"))
     N = F.col("_tot_n").cast("double")
-    h = (F.lit(12.0) / (N * (N + 1)) * F.col("_s") - 3 * (N + 1)) / (F.lit(1.0) - F.col("_t") / (N * N * N - N))
+    h = F.try_divide(F.try_divide(F.lit(12.0), N * (N + 1)) * F.col("_s") - 3 * (N + 1),
+                     F.lit(1.0) - F.try_divide(F.col("_t"), N * N * N - N))
     return ssum.withColumn("_t", ties.scalar()).select(h.alias("h_stat"),
                                                         (F.col("_k") - 1).cast("long").alias("dof"))
 
@@ -209,9 +210,9 @@ def welch_t(df: DataFrame, flag: Column, value: str) -> DataFrame:
     s = df.where(v.isNotNull() & flag.isNotNull()).agg(
         F.count_if(flag).alias("n1"), F.avg(F.when(flag, v)).alias("m1"), F.var_samp(F.when(flag, v)).alias("v1"),
         F.count_if(~flag).alias("n2"), F.avg(F.when(~flag, v)).alias("m2"), F.var_samp(F.when(~flag, v)).alias("v2"))
-    a, b = F.col("v1") / F.col("n1"), F.col("v2") / F.col("n2")
-    t = (F.col("m1") - F.col("m2")) / F.sqrt(a + b)
-    dof = (a + b) * (a + b) / (a * a / (F.col("n1") - 1) + b * b / (F.col("n2") - 1))
+    a, b = F.try_divide("v1", "n1"), F.try_divide("v2", "n2")
+    t = F.try_divide(F.col("m1") - F.col("m2"), F.sqrt(a + b))
+    dof = F.try_divide((a + b) * (a + b), F.try_divide(a * a, F.col("n1") - 1) + F.try_divide(b * b, F.col("n2") - 1))
     return s.select(t.alias("t_stat"), dof.alias("dof"), "n1", "n2")
 
 

@@ -15,15 +15,18 @@ from newsfeat.functions import text as Tx
 from newsfeat.operators import scorers as Sc
 
 
+MOST_INSTANCES = 1_000
+
+
 def feature_table(articles: DataFrame, text: str = "body") -> DataFrame:
     """N1 tokens -> N4 sentiment -> N5 moderation (P19 names) -> N6
-    entities -> P20 conformance.  Documents without text are skipped."""
-    df = Sc.skip_empty(articles, text)
-    df = Tx.preprocess_text(df, text, "body_pre")
-    df = Sc.sentiment_lexicon(df, text)
-    df = Sc.project_categories(Sc.moderation_map(df, text))
-    df = Sc.regex_entity_features(df, text)
-    return Cols.conform(df)
+    entities, all on the tokenised text -> P20 conformance.  Documents without
+    tokens are skipped; the file order is no feature and goes."""
+    df = Sc.skip_empty(Tx.preprocess_text(articles, text, "body_pre"), "body_pre")
+    df = Sc.sentiment_lexicon(df, "body_pre")
+    df = Sc.project_categories(Sc.moderation_map(df, "body_pre"))
+    df = Sc.regex_entity_features(df, "body_pre")
+    return Cols.conform(df.drop("ingest_seq"))
 
 
 def scoring_instances(features: DataFrame, target: str = "topic") -> DataFrame:
@@ -37,8 +40,10 @@ def scoring_instances(features: DataFrame, target: str = "topic") -> DataFrame:
 
 def instances_document(instances: DataFrame, n: int = 10, col: str = "instance") -> DataFrame:
     """One ``{"instances": [...]}`` request body holding the first ``n``
-    instances (an online request is small by nature: the reference sends
-    10).  Larger sets go out as JSON lines (``sinks.write_json_lines``)."""
+    instances (an online request is small by nature).  Larger sets go out as
+    JSON lines (``sinks.write_json_lines``)."""
+    if n > MOST_INSTANCES:
+        raise ValueError(f"one request holds at most {MOST_INSTANCES} instances")
     first = instances.orderBy(col).limit(n)
     return first.agg(F.concat(F.lit('{"instances": ['), F.concat_ws(", ", F.sort_array(F.collect_list(col))),
                               F.lit("]}")).alias("request"))

@@ -4,9 +4,8 @@ Positions inside a label (V1, D7) need range-partitioned, materialised rows.
 Carrying whole articles through them would shuffle and write the body text
 twice more after the de-duplication.  Instead the positions are computed on
 the narrow key columns of the prepared rows (the scan reads only those), and
-the whole rows meet the final labels in one equi-join: the text crosses two
-shuffles (the de-duplication and this join) and is never written in
-between.  The join key is ``(uri, ingest_seq)`` compared null-safely:
+the whole rows meet the final labels in one equi-join: the text crosses that
+shuffle alone and is never written in between.  The join key is ``(uri, ingest_seq)`` compared null-safely:
 after the ``'' -> null`` cleaning a ``uri`` may be null, and the pair stays
 unique after the de-duplication in every case.
 """
@@ -16,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsfeat.operators.prepare import prepare_articles, robust_apply, robust_fit
+from newsfeat.operators.prepare import prepare_articles, prepared_rows, robust_apply, robust_fit
 from newsfeat.operators.ranking import materialize
 from newsfeat.operators.split import balanced_training_set, time_split
 
@@ -34,7 +33,9 @@ def split_labels(articles: DataFrame, year: int = 2023) -> DataFrame:
 
 
 def _attach(articles: DataFrame, labels: DataFrame, year: int) -> DataFrame:
-    whole = prepare_articles(articles, year=year, scale=False)
+    # the labels name the surviving rows, so the wide rows need only the
+    # row-local steps: no shuffle or sort of the text below the join
+    whole = prepared_rows(articles, year, first_only=False)
     lab = labels.select(*[F.col(k).alias(f"_l_{k}") for k in KEY], "split")
     cond = None
     for k in KEY:

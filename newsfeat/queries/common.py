@@ -9,8 +9,8 @@ from newsfeat.plans import training_set as TS
 from newsfeat.sources.tables import articles, read_table
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+def table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    return read_table(spark, sf_dir, name, partitions)
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -223,11 +223,13 @@ def a17_included_excluded(spark, sf_dir):
 
 def _hist_sql(src, c, bins):
     return f"""
-SELECT bin, _lo + bin * (_hi - _lo) / {bins} AS lower, _lo + (bin + 1) * (_hi - _lo) / {bins} AS upper, count(*) AS "count"
-FROM (SELECT CASE WHEN _hi = _lo THEN 0 ELSE least(cast(floor((cast({c} AS DOUBLE) - _lo) / (_hi - _lo) * {bins}) AS INTEGER), {bins - 1}) END AS bin, _lo, _hi
+SELECT CAST(b.range AS INTEGER) AS bin, e._lo + b.range * (e._hi - e._lo) / {bins} AS lower,
+       e._lo + (b.range + 1) * (e._hi - e._lo) / {bins} AS upper, count(f.bin) AS "count"
+FROM range(0, {bins}) b CROSS JOIN (SELECT cast(min({c}) AS DOUBLE) AS _lo, cast(max({c}) AS DOUBLE) AS _hi FROM {src}) e
+LEFT JOIN (SELECT CASE WHEN _hi = _lo THEN 0 ELSE least(cast(floor((cast({c} AS DOUBLE) - _lo) / (_hi - _lo) * {bins}) AS INTEGER), {bins - 1}) END AS bin, _lo, _hi
       FROM {src}, (SELECT cast(min({c}) AS DOUBLE) AS _lo, cast(max({c}) AS DOUBLE) AS _hi FROM {src})
-      WHERE {c} IS NOT NULL)
-GROUP BY bin, _lo, _hi"""
+      WHERE {c} IS NOT NULL) f ON f.bin = b.range
+GROUP BY b.range, e._lo, e._hi"""
 
 
 @query("a18_histogram_importance", S.with_(S.PREPARED_UNSCALED, _hist_sql("prepared_unscaled", "importanceRank", 30)), round_cols=['lower', 'upper'])

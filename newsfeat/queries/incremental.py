@@ -10,7 +10,8 @@ from newsfeat.queries import sql as S
 from newsfeat.queries.common import articles
 from newsfeat.queries.io import export_articles
 from newsfeat.queries.registry import query
-from newsfeat.queries.text import _sentiment_sql
+from newsfeat.functions import text as Tx
+from newsfeat.queries.text import _sentiment_sql, preprocess_sql
 from newsfeat.session import scratch_path
 from newsfeat.streaming import incremental as Inc
 
@@ -20,7 +21,9 @@ R = 9
 @query("q1_incremental_scoring", S.with_(S.PREPARED, f"""
 SELECT uri, title, topic, round(shares_scaled, {R}) AS shares_scaled, round(score, {R}) AS score,
        round(magnitude, {R}) AS magnitude FROM (
-  SELECT uri, title, topic, shares_scaled, {_sentiment_sql('body')} FROM prepared WHERE coalesce(body, '') <> '')"""))
+  SELECT uri, title, topic, shares_scaled, {_sentiment_sql('body_pre')}
+  FROM (SELECT *, {preprocess_sql('body', Tx.load_stop_words('italian'))} AS body_pre FROM prepared)
+  WHERE coalesce(body_pre, '') <> '')"""))
 def q1_incremental_scoring(spark, sf_dir):
     """Every article exported as JSON files in two arrival batches; a
     streaming query (available-now trigger) runs after each batch and

@@ -74,7 +74,7 @@ def _load(spark, sf_dir) -> str:
     import uuid
 
     name = f"newsfeat_split_articles_{uuid.uuid4().hex[:8]}"
-    Snk.load_table(split_articles(spark, sf_dir), name, location=scratch_path(spark, name))
+    Snk.load_table(split_articles(spark, sf_dir).drop("ingest_seq"), name, location=scratch_path(spark, name))
     return name
 
 
@@ -111,7 +111,7 @@ def s11_request_json_lines(spark, sf_dir):
 
     feats = Fz.feature_table(split_articles(spark, sf_dir))
     inst = Fz.scoring_instances(feats.where(F.col("split") == "TEST"))
-    path = Snk.write_json_lines(inst.select(F.col("instance").alias("value")), scratch_path(spark, "jsonl"))
+    path = Snk.write_json_lines(inst.select("instance"), scratch_path(spark, "jsonl"))
     return spark.read.json(path)
 
 

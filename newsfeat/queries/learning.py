@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from newsfeat.operators import model as Mdl
 from newsfeat.operators.ranking import materialize
 from newsfeat.plans import featurize as Fz
+from newsfeat.queries import sql as S
 from newsfeat.queries.common import balanced, table
 from newsfeat.queries.registry import query
 
@@ -23,7 +24,10 @@ CLASSES = [str(i) for i in range(10)]
 
 def given_predictions(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    ex = F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double")))
+    # all components count: class k gets the sum of every tenth one from k on
+    at = lambda k: F.transform(F.sequence(F.lit(k), F.size("embedding"), F.lit(10)),
+                               lambda i: F.element_at("embedding", i).cast("double"))
+    ex = F.array(*[F.exp(F.aggregate(at(k), F.lit(0.0), lambda a, x: a + x)) for k in range(1, 11)])
     s = F.aggregate(F.col("_ex"), F.lit(0.0), lambda a, x: a + x)
     return (e.withColumn("_ex", ex)
             .select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("label_name"),
@@ -31,7 +35,7 @@ def given_predictions(spark, sf_dir):
                     F.transform(F.col("_ex"), lambda x: F.round(x / s, R)).alias("scores")))
 
 
-PRED = f"""_ex AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: exp(cast(x AS DOUBLE))) AS ex FROM embeddings),
+PRED = f"""_ex AS (SELECT vec_id, label, [exp(list_sum([cast(embedding[i] AS DOUBLE) for i in generate_series(k, len(embedding), 10)])) for k in generate_series(1, 10)] AS ex FROM embeddings),
 pred AS (SELECT vec_id AS id, cast(label AS VARCHAR) AS label_name, {CLASSES!r} AS classes,
                 list_transform(ex, lambda x: round(x / list_sum(ex), {R})) AS scores FROM _ex),
 _flat AS (SELECT id, label_name, unnest(classes) AS class, unnest(scores) AS score FROM pred)"""
@@ -157,6 +161,20 @@ def m10_topic_batch_scores(spark, sf_dir):
     return flat
 
 
+@query("m10_score_invariants", S.with_(S.SPLIT, """
+SELECT (SELECT count(*) FROM split_articles WHERE split = 'TEST' AND coalesce(body, '') <> '') AS ids,
+       (SELECT count(DISTINCT topic) FROM split_articles WHERE split = 'TRAIN') AS least_classes,
+       (SELECT count(DISTINCT topic) FROM split_articles WHERE split = 'TRAIN') AS most_classes,
+       CAST(0 AS BIGINT) AS rows_without_class, CAST(0 AS BIGINT) AS ids_not_summing_to_one"""))
+def m10_score_invariants(spark, sf_dir):
+    """Every TEST article has one score for each class, which sum to 1."""
+    per = m10_topic_batch_scores(spark, sf_dir).groupBy("id").agg(
+        F.count_distinct("class").alias("n"), F.sum("score").alias("s"), F.count_if(F.col("class").isNull()).alias("none"))
+    return per.agg(F.count("*").alias("ids"), F.min("n").alias("least_classes"), F.max("n").alias("most_classes"),
+                   F.sum("none").alias("rows_without_class"),
+                   F.count_if(F.abs(F.col("s") - 1) > 1e-9).alias("ids_not_summing_to_one"))
+
+
 @query("m13_attributions")
 def m13_attributions(spark, sf_dir):
     """Per TEST article, the three source columns contributing most to

@@ -38,5 +38,5 @@ def query(name: str, sql: str | None = None, round_cols=(), digits: int = 9):
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # importing the family modules fills REGISTRY
     from newsfeat.queries import (articles, exploration, incremental, io, learning, statistics,  # noqa: F401
-                                  tables, text)
+                                  text)
     return REGISTRY

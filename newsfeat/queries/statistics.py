@@ -204,6 +204,20 @@ def x8_welch_events(spark, sf_dir):
     return _round_all(X.welch_t(table(spark, sf_dir, "events"), Dt.is_weekend("ts"), "value"))
 
 
+@query("x_constant_column", """
+SELECT CAST(NULL AS DOUBLE) AS pearson, CAST(NULL AS DOUBLE) AS spearman, CAST(NULL AS DOUBLE) AS kendall,
+       CAST(NULL AS DOUBLE) AS f_stat, CAST(NULL AS DOUBLE) AS h_stat, CAST(NULL AS DOUBLE) AS t_stat""")
+def x_constant_column(spark, sf_dir):
+    """X2-X4 and X6-X8 where they are undefined: a constant column, one group."""
+    e = table(spark, sf_dir, "events").withColumn("one", F.lit(1.0)).withColumn("all", F.lit("all"))
+    return X.pearson(e, "one", "value").select(
+        "pearson", X.spearman(e, "one", "value").scalar().alias("spearman"),
+        X.kendall_tau_b(e, "one", "user_id").scalar().alias("kendall"),
+        X.anova_oneway(e, "all", "value").select("f_stat").scalar().alias("f_stat"),
+        X.kruskal_wallis(e, "event_type", "one").select("h_stat").scalar().alias("h_stat"),
+        X.welch_t(e, F.col("user_id") % 2 == 0, "one").select("t_stat").scalar().alias("t_stat"))
+
+
 # ----------------------------------------------------------------- X9 (no SQL equivalent of the tails)
 
 @query("x9_p_values")

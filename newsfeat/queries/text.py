@@ -88,13 +88,6 @@ def n3_strip_html_regex(spark, sf_dir):
     return p.select("page_id", Tx.strip_html_regex("html").alias("text"))
 
 
-@query("n3_strip_html_parser")
-def n3_strip_html_parser(spark, sf_dir):
-    """N3 parity mode (``html.parser`` in an Arrow UDF) over every page."""
-    p = table(spark, sf_dir, "pages")
-    return p.select("page_id", Tx.strip_html_parser("html").alias("text"))
-
-
 # ----------------------------------------------------------------- N4
 
 def _sentiment_sql(c: str) -> str:
@@ -245,8 +238,9 @@ def n8_feature_table(spark, sf_dir):
     return Fz.feature_table(split_articles(spark, sf_dir))
 
 
-@query("n8_feature_counts", S.with_(S.SPLIT, """
-SELECT split, count(*) AS n FROM split_articles WHERE coalesce(body, '') <> '' GROUP BY split"""))
+@query("n8_feature_counts", S.with_(S.SPLIT, f"""
+SELECT split, count(*) AS n FROM split_articles
+WHERE coalesce({preprocess_sql('body', Tx.load_stop_words('italian'))}, '') <> '' GROUP BY split"""))
 def n8_feature_counts(spark, sf_dir):
     """N8 row accounting: feature rows per split (documents without text
     are not scored, trap T7)."""
@@ -266,11 +260,11 @@ _N8_ENT = [x for t in Cols.ENTITY_TYPES for x in (Sc.count_column(t), f"{t}_mean
 
 
 @query("n8_feature_values", S.with_(S.SPLIT, f"""
-, _f AS (SELECT uri, split, body, {_words_sql('body')} AS w FROM split_articles WHERE coalesce(body, '') <> '')
-SELECT uri, split, {preprocess_sql('body', Tx.load_stop_words('italian'))} AS body_pre,
-       round(score, {R}) AS score, round(magnitude, {R}) AS magnitude,
-       {', '.join(_moderation_cols('body', 'w'))}, {', '.join(_entity_cols('body'))}
-FROM (SELECT *, {_sentiment_sql('body')} FROM _f)"""))
+, _b AS (SELECT uri, split, {preprocess_sql('body', Tx.load_stop_words('italian'))} AS body_pre FROM split_articles),
+_f AS (SELECT uri, split, body_pre, {_words_sql('body_pre')} AS w FROM _b WHERE coalesce(body_pre, '') <> '')
+SELECT uri, split, body_pre, round(score, {R}) AS score, round(magnitude, {R}) AS magnitude,
+       {', '.join(_moderation_cols('body_pre', 'w'))}, {', '.join(_entity_cols('body_pre'))}
+FROM (SELECT *, {_sentiment_sql('body_pre')} FROM _f)"""))
 def n8_feature_values(spark, sf_dir):
     """N8 values: every feature column the chain adds (tokens, sentiment,
     moderation, entities) for the split articles, checked column by column."""

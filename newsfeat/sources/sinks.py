@@ -84,9 +84,10 @@ def run_stage(spark: SparkSession, out_path: str, build: Callable[[], DataFrame]
     return spark.read.parquet(out_path)
 
 
-def write_json_lines(df: DataFrame, path: str) -> str:
-    """One JSON object per line."""
-    df.write.mode("overwrite").json(path)
+def write_json_lines(instances: DataFrame, path: str) -> str:
+    """One JSON object per line; ``instances`` has them as its one string
+    column."""
+    instances.write.mode("overwrite").text(path)
     return path
 
 

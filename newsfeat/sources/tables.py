@@ -1,8 +1,7 @@
 """Driver tables and the ``articles`` fixture view.
 
 ``read_table`` is a plain Parquet scan; Catalyst prunes columns and pushes
-filters into it; scans of the text tables are spread over the task slots
-when their files give fewer splits than slots (``spread_scan``).
+filters into it.
 ``articles_from_documents`` derives the article rows used by
 the preparation operators from the ``documents`` table (see FIXTURES.md §5):
 it is a pure projection, so it stays inside the scan's codegen stage.
@@ -22,30 +21,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Tables whose rows carry long texts: the work after their scan is per-row
-# CPU (tokenising, scoring, regex extraction), not I/O.
-TEXT_TABLES = ("documents", "pages", "conversations")
-
-
-def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task
-    slots, so per-row CPU work on it uses every core.  Parquet splits at
-    row-group boundaries: a small table written as one large row group is a
-    single task however ``spark.sql.files.maxPartitionBytes`` is set.  A scan
-    of a large input already has more splits than slots and is returned
-    unchanged, without a shuffle."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Parquet scan of a driver table.  ``spread=False`` keeps the plain scan
-    where the next operator shuffles anyway (the article preparation starts
-    with a de-duplication)."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """Parquet scan of a driver table, dealt anew to ``partitions`` tasks if
+    the caller asks for that (a file of one row group is one task)."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    return spread_scan(df) if spread and name in TEXT_TABLES else df
+    return df if partitions is None else df.repartition(partitions)
 
 
 # The article fixture of FIXTURES.md §5, one SQL expression per
@@ -88,7 +68,7 @@ def articles_from_documents(documents: DataFrame) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles_from_documents(read_table(spark, sf_dir, "documents", spread=False))
+    return articles_from_documents(read_table(spark, sf_dir, "documents"))
 
 
 # The flat article row (FIXTURES.md §2): 24 declared columns.

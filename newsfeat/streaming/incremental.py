@@ -6,9 +6,8 @@ functions as the batch chain -> ``foreachBatch`` sink:
 * inside a micro-batch the first copy of a uri in file order is kept
   (``min_by``, partial aggregation);
 * across micro-batches a uri already in the sink is dropped with a
-  left-anti join on the sink's keys, restricted to the partitions inside
-  the de-duplication horizon (the sink is partitioned by ``year_month``),
-  so the state read per batch is bounded by the horizon, not by history;
+  left-anti join on the sink's keys (of the sink only that column is read),
+  however far apart the copies' dates are;
 * a batch re-run after a failure writes nothing twice (the anti-join sees
   the committed files; Spark commits a batch's files atomically), and the
   stream's progress lives in the checkpoint location.
@@ -48,39 +47,30 @@ def scale_literals(fit: DataFrame) -> tuple[float, float]:
     return float(row["center"]), float(row["scale"])
 
 
-def score_articles(batch: DataFrame, center: float, scale: float, year: int = 2023) -> DataFrame:
+def score_articles(batch: DataFrame, center: float, scale: float, year: int) -> DataFrame:
     """The batch feature chain on one micro-batch: preparation (with the
     saved scaler), tokens, sentiment, moderation, entities."""
-    df = prep.parse_date(batch)
-    df = prep.filter_year(df, year)
-    df = prep.add_year_month(df)
-    df = prep.dedupe_first(df, "uri", "ingest_seq")
-    df = prep.empty_to_null(df)
-    df = prep.drop_missing(df, ["categoryLabels", "authors"])
-    df = prep.add_topic(df)
+    df = prep.prepared_rows(batch, year)
     df = df.withColumn("shares_scaled", (F.col("sharesFacebook") - F.lit(center)) / F.lit(scale))
-    df = Sc.skip_empty(df, "body")
-    df = Tx.preprocess_text(df, "body", "body_pre")
-    df = Sc.sentiment_lexicon(df, "body")
-    df = Sc.project_categories(Sc.moderation_map(df, "body"))
-    return Sc.regex_entity_features(df, "body").drop("ingest_seq")
+    df = Sc.skip_empty(Tx.preprocess_text(df, "body", "body_pre"), "body_pre")
+    df = Sc.sentiment_lexicon(df, "body_pre")
+    df = Sc.project_categories(Sc.moderation_map(df, "body_pre"))
+    return Sc.regex_entity_features(df, "body_pre").drop("ingest_seq")
 
 
 def run_incremental_scoring(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                            center: float, scale: float, horizon_months: int = 2,
+                            center: float, scale: float, year: int = 2023,
                             max_files_per_trigger: int | None = None) -> None:
     """Process every export file not yet seen (``Trigger.AvailableNow``)
     and append the newly scored, de-duplicated articles to ``sink``."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read the batch's files once for all uses below
-        scored = score_articles(batch, center, scale)
+        scored = score_articles(batch, center, scale, year)
         if path_exists(spark, sink):
-            # only sink partitions inside the horizon of this batch's months:
-            # a handful of month keys, used as a literal partition filter
-            months = [r[0] for r in _horizon(scored.select("year_month").distinct(), horizon_months).collect()]
-            recent = spark.read.parquet(sink).where(F.col("year_month").isin(months)).select("uri")
-            scored = scored.join(recent, "uri", "left_anti")
+            # the schema is given: a sink without rows has no file to take it from
+            known = spark.read.schema(scored.schema).parquet(sink).select(F.col("uri").alias("_known"))
+            scored = scored.join(known, F.col("uri").eqNullSafe(F.col("_known")), "left_anti")
         scored.write.mode("append").partitionBy("year_month").parquet(sink)
         batch.unpersist()
 
@@ -90,16 +80,6 @@ def run_incremental_scoring(spark: SparkSession, source: str, sink: str, checkpo
     q.awaitTermination()
 
 
-def _horizon(months: DataFrame, horizon_months: int) -> DataFrame:
-    """``year_month`` keys within ``horizon_months`` before any batch month
-    (a handful of rows)."""
-    d = F.to_date(F.concat(F.col("year_month"), F.lit("-1")), "yyyy-M-d")
-    m = (months.select(d.alias("_d"), F.explode(F.sequence(F.lit(0), F.lit(horizon_months))).alias("_b"))
-         .select(F.add_months(F.col("_d"), -F.col("_b")).alias("_m")))
-    return m.select(F.concat_ws("-", F.year("_m").cast("string"), F.month("_m").cast("string"))
-                    .alias("year_month")).distinct()
-
-
 def drop_duplicates_within_watermark(stream: DataFrame, delay: str = "30 days") -> DataFrame:
     """The Spark-native alternative: event-time watermark on ``dateTime``
     and ``dropDuplicatesWithinWatermark(['uri'])``; state is bounded by the

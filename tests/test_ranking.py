@@ -29,9 +29,6 @@ def test_row_number_within_matches_pandas(spark):
 def test_cumulative_within_matches_pandas(spark):
     pdf, df = _frame(spark, seed=5)
     out = cumulative_within(df, ["g"], ["k"], "w", cum="c", total="t", num_partitions=5).toPandas()
-    big = cumulative_within(df, ["g"], ["k"], "w", cum="c", total="t", num_partitions=5, small_cells=0).toPandas()
-    assert big.sort_values(["g", "k"]).reset_index(drop=True)[["c", "t"]].equals(
-        out.sort_values(["g", "k"]).reset_index(drop=True)[["c", "t"]])
     exp = pdf.sort_values(["g", "k"]).copy()
     exp["c_e"] = exp.groupby("g")["w"].cumsum()
     exp["t_e"] = exp.groupby("g")["w"].transform("sum")
@@ -39,22 +36,14 @@ def test_cumulative_within_matches_pandas(spark):
     assert len(m) == len(pdf) and (m.c == m.c_e).all() and (m.t == m.t_e).all()
 
 
-@pytest.mark.parametrize("batch", [1, 7, 10_000])
-def test_cumulative_within_runs_across_arrow_batches(spark, batch):
-    """Large path with runs of a group (string keys, a null group, double
-    weights) split over several Arrow batches of one partition."""
+def test_cumulative_within_hot_and_null_groups(spark):
+    """A hot group over several partitions, a null group, double weights."""
     rng = np.random.default_rng(11)
     n = 600
     g = np.where(rng.random(n) < 0.5, "hot", rng.choice(["a", "b", "c", None], n))
     pdf = pd.DataFrame({"g": g, "k": rng.permutation(n).astype(float), "w": rng.random(n)})
     df = spark.createDataFrame(pdf, "g string, k double, w double")
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
-    try:
-        out = cumulative_within(df, ["g"], ["k"], "w", cum="c", total="t", num_partitions=3,
-                                small_cells=0).toPandas()
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    out = cumulative_within(df, ["g"], ["k"], "w", cum="c", total="t", num_partitions=3).toPandas()
     exp = pdf.assign(g=pdf.g.fillna("<null>")).sort_values(["g", "k"])
     exp["c_e"] = exp.groupby("g")["w"].cumsum()
     exp["t_e"] = exp.groupby("g")["w"].transform("sum")
@@ -78,25 +67,20 @@ def test_exact_quantiles_linear(spark):
     q = exact_quantiles(df, "x", [0.25, 0.5, 0.75], ["a", "b", "c"]).collect()[0]
     e = np.quantile(x, [0.25, 0.5, 0.75])
     assert np.allclose([q.a, q.b, q.c], e)
-    qg = exact_quantiles(df, "x", [0.1], ["p"], group_cols=["g"], max_groups=3).toPandas().set_index("g")["p"]
+    qg = exact_quantiles(df, "x", [0.1], ["p"], group_cols=["g"]).toPandas().set_index("g")["p"]
     for g in range(3):
         assert np.isclose(qg[g], np.quantile(x[np.arange(501) % 3 == g], 0.1))
 
 
-def test_exact_quantiles_both_paths_agree(spark):
+def test_exact_quantiles_per_group(spark):
     rng = np.random.default_rng(11)
     x = np.round(rng.normal(size=700), 3)
     df = spark.createDataFrame([(float(v), int(i % 4)) for i, v in enumerate(x)], "x double, g int")
     probs = [0.1, 0.25, 0.5, 0.9]
-    small = exact_quantiles(df, "x", probs, ["a", "b", "c", "d"], group_cols=["g"], max_groups=4).toPandas()
-    big = exact_quantiles(df, "x", probs, ["a", "b", "c", "d"], group_cols=["g"], max_groups=4,
-                          small_cells=0).toPandas()
-    m = small.merge(big, on="g")
-    for col in "abcd":
-        assert np.allclose(m[f"{col}_x"], m[f"{col}_y"])
+    q = exact_quantiles(df, "x", probs, ["a", "b", "c", "d"], group_cols=["g"]).toPandas()
     for g in range(4):
         e = np.quantile(x[np.arange(700) % 4 == g], probs)
-        assert np.allclose(small.set_index("g").loc[g, list("abcd")].astype(float), e)
+        assert np.allclose(q.set_index("g").loc[g, list("abcd")].astype(float), e)
 
 
 def _brute_kendall(x, y):
@@ -108,11 +92,8 @@ def _brute_kendall(x, y):
     return s / np.sqrt((n0 - (tx * (tx - 1) / 2).sum()) * (n0 - (ty * (ty - 1) / 2).sum()))
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_rank_correlations_both_paths(spark, monkeypatch, small):
-    from newsfeat.operators import ranking, stats
-    if not small:
-        monkeypatch.setattr(ranking, "SMALL_CELLS", 0)
+def test_rank_correlations(spark):
+    from newsfeat.operators import stats
     rng = np.random.default_rng(4)
     x = rng.integers(0, 300, 400).astype(float)
     y = rng.integers(0, 40, 400).astype(float)

@@ -78,10 +78,19 @@ def test_s5_s6_s10_roundtrips(spark):
     assert len(calls) == 2
 
 
-def test_n3_parser_mode_leaves_no_tag(spark):
+def test_n3_leaves_no_tag(spark):
     html = '<!DOCTYPE html><html><head><title>T &amp; U</title></head><body><p>a&lt;b</p><!-- c --></body></html>'
     df = spark.createDataFrame([(html,)], "html string")
-    parsed = df.select(Tx.strip_html_parser("html").alias("t")).first().t
-    regex = df.select(Tx.strip_html_regex("html").alias("t")).first().t
-    assert parsed == "T & Ua<b" and regex == "T & Ua<b"
-    assert "<p>" not in parsed
+    assert df.select(Tx.strip_html_regex("html").alias("t")).first().t == "T & Ua<b"
+
+
+def test_s4_reads_strings_and_json_of_any_shape(spark, tmp_path):
+    one = {"uri": "u1", "date": "2023-12-18", "sharesFacebook": "7", "relevance": "nan", "title": "t"}
+    assert Src.read_single_record(spark, one).select("uri", "sharesFacebook", "relevance").first()[:] == ("u1", 7, None)
+    many = tmp_path / "many.json"
+    many.write_text("[\n {\"uri\": \"a\", \"sharesFacebook\": 3},\n {\"uri\": \"b\"}\n]")
+    got = Src.read_single_record(spark, str(many)).select("uri", "sharesFacebook").collect()
+    assert sorted(map(tuple, got), key=str) == [("a", 3), ("b", None)]
+    (tmp_path / "bad.json").write_text("{not json")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        Src.read_single_record(spark, str(tmp_path / "bad.json")).collect()

@@ -72,6 +72,10 @@ def test_t9_gate_requires_dict():
     assert Mdl.deployment_gate({"auRoc": 0.96}, {"auRoc": 0.99}, {"auRoc": 0.95})
     assert Mdl.deployment_gate({"auRoc": 0.90}, {"auRoc": 0.80}, {"auRoc": 0.95})  # better than before
     assert not Mdl.deployment_gate({"auRoc": 0.90}, {"auRoc": 0.93}, {"auRoc": 0.95})
+    assert Mdl.deployment_gate({"logLoss": 0.2}, {"logLoss": 0.5}, {"logLoss": 1.0})
+    assert not Mdl.deployment_gate({"logLoss": 2.0}, {"logLoss": 0.5}, {"logLoss": 1.0})
+    with pytest.raises(ValueError):
+        Mdl.deployment_gate({"f1": 0.2}, None, {"f1": 1.0})
 
 
 def test_t14_train_count_integer():
