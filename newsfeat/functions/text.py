@@ -2,15 +2,16 @@
 
 Everything here is a Catalyst expression or a JVM transformer
 (``StopWordsRemover`` keeps its stop list in a hash set), so tokenising runs
-inside whole-stage code generation.  The HTML parser mode is the one Arrow
-UDF, for exact parity with Python's ``html.parser``.
+inside whole-stage code generation.
 """
 
 from __future__ import annotations
 
 import glob
+import html.entities
 import os
 import zipfile
+import zlib
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -50,14 +51,24 @@ def tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(_c(c), F.lit(TOKEN_PATTERN), 0)
 
 
+#: Entries of each map that a lemma table is dealt to.
+LEMMAS_PER_MAP = 8
+
+
 def lemmatize(tok: Column, lemmas: dict[str, str] | None) -> Column:
     """Replace tokens found in a user lemma table; identity by default.
-    The table is a bounded dictionary shipped as a map literal."""
+    The table is a bounded dictionary shipped as a literal: small maps by hash,
+    since a map is searched entry by entry."""
     if not lemmas:
         return tok
-    keys, vals = zip(*sorted(lemmas.items()))
-    m = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(v) for v in vals]))
-    return F.transform(tok, lambda t: F.coalesce(F.element_at(m, t), t))
+    n = -(-len(lemmas) // LEMMAS_PER_MAP)
+    parts: list[dict[str, str]] = [{} for _ in range(n)]
+    for k, v in sorted(lemmas.items()):
+        parts[zlib.crc32(k.encode()) % n][k] = v
+    texts = lambda values: F.array(*map(F.lit, values)).cast("array<string>")
+    table = F.array(*[F.map_from_arrays(texts(p.keys()), texts(p.values())) for p in parts])
+    part = lambda t: F.pmod(F.crc32(t.cast("binary")), F.lit(n)).cast("int")
+    return F.transform(tok, lambda t: F.coalesce(F.try_element_at(F.get(table, part(t)), t), t))
 
 
 def preprocess_text(df: DataFrame, src: str = "body", out: str = "body_pre", language: str = "italian",
@@ -83,20 +94,38 @@ def word_count(c: Column | str) -> Column:
 
 # ----------------------------------------------------------------- HTML
 
-# The entities decoded by the regex mode, ``&amp;`` last so
-# that ``&amp;lt;`` becomes ``&lt;`` (one decoding pass).
-HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-                 ("&nbsp;", " "), ("&amp;", "&")]
+#: Named character references (the standard library's HTML 4 table, and the
+#: apostrophe), and what a reference looks like.
+HTML_NAMES = {**{k: chr(v) for k, v in html.entities.name2codepoint.items()}, "apos": "'"}
+HTML_REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 HTML_DROP_PATTERNS = [r"(?s)<!--.*?-->", r"(?is)<script[^>]*>.*?</script\s*>",
                       r"(?is)<style[^>]*>.*?</style\s*>", r"(?s)<[^>]*>"]
 
 
+def decode_references(c: Column | str) -> Column:
+    """Character references, named or numeric, decoded in one pass
+    (``&amp;lt;`` becomes ``&lt;``); unknown names and numbers that are no
+    character stay."""
+    c = _c(c)
+    names = F.map_from_arrays(F.array(*map(F.lit, HTML_NAMES)), F.array(*map(F.lit, HTML_NAMES.values())))
+
+    def decoded(ref: Column) -> Column:
+        number = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.conv(F.substring(ref, 3, 8), 16, 10)) \
+            .otherwise(F.substring(ref, 2, 8)).cast("int")
+        known = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
+        sign = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        own = F.when(ref.startswith("#"), F.when(known, sign)).otherwise(F.try_element_at(names, ref))
+        return F.when(ref.isNull(), F.lit("")).otherwise(F.coalesce(own, F.concat(F.lit("&"), ref, F.lit(";"))))
+
+    refs = F.regexp_extract_all(c, F.lit(HTML_REFERENCE), 1)
+    joined = F.array_join(F.transform(F.split(c, HTML_REFERENCE), lambda p, i: F.concat(p, decoded(F.get(refs, i)))), "")
+    return F.when(c.contains("&"), joined).otherwise(c)
+
+
 def strip_html_regex(c: Column | str) -> Column:
-    """N3, native mode: drop comments, script and style blocks and tags,
-    then decode the common entities.  Pure expressions (codegen)."""
+    """Drop comments, script and style blocks and tags, then decode the
+    character references.  Pure expressions."""
     out = _c(c)
     for p in HTML_DROP_PATTERNS:
         out = F.regexp_replace(out, p, "")
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    return decode_references(out)

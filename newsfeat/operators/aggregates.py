@@ -147,6 +147,14 @@ def describe_strings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                       F.col("_t._f").alias("freq"))
 
 
+def describe_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A14 (include all): numeric and other columns in one table; what does
+    not apply to a column is null."""
+    numeric = [c for c in cols if c in set(numeric_columns(df))]
+    return describe_numeric(df, numeric).unionByName(
+        describe_strings(df, [c for c in cols if c not in numeric]), allowMissingColumns=True)
+
+
 # ----------------------------------------------------------------- pivots and bins
 
 def pivot_counts(df: DataFrame, rows: str, cols: str, values: Sequence[str], cap: int | None = None) -> DataFrame:
@@ -205,8 +213,10 @@ def kde_curve(df: DataFrame, col: str, points: int = 200) -> DataFrame:
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Per column type, missing count, distinct count (exact, or
-    HyperLogLog with ``approx``) and, for numeric columns, min / mean / max.
-    One stacked pass, grouped by column."""
+    HyperLogLog with ``approx``), most frequent value and its frequency (ties
+    by value) and, for numeric columns, min / mean / std / max and quartiles.
+    One stacked pass for each of counts, values and quartiles, grouped by
+    column."""
     cols = list(cols or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     num = set(numeric_columns(df))
@@ -217,6 +227,10 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = Fal
     agg = long.groupBy("column").agg(
         F.count_if(F.col("sval").isNull()).alias("missing"),
         (F.approx_count_distinct("sval") if approx else F.count_distinct("sval")).alias("distinct"),
-        F.min("dval").alias("min"), F.avg("dval").alias("mean"), F.max("dval").alias("max"))
+        F.min("dval").alias("min"), F.avg("dval").alias("mean"), F.stddev_samp("dval").alias("std"),
+        F.max("dval").alias("max"))
+    quartiles = exact_quantiles(long, "dval", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], group_cols=["column"])
+    agg = agg.join(describe_strings(df, cols).select("column", "top", "freq"), "column", "left") \
+        .join(quartiles, "column", "left")
     tmap = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
     return agg.withColumn("type", tmap[F.col("column")])

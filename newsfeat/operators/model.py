@@ -26,13 +26,15 @@ from newsfeat.operators.ranking import cumulative_within
 class FeatureSpec:
     """P25: typed feature map — text columns are hashed term frequencies with
     IDF, categorical columns are hashed to 0/1 features (no list of their
-    values is gathered), numeric columns imputed."""
+    values is gathered), numeric columns imputed by their median, or by 0 for
+    those in ``zero`` (absence means none of it)."""
 
     #: Features of a categorical column.
     CATEGORY_FEATURES = 256
 
     def __init__(self, text: Sequence[str] = (), categorical: Sequence[str] = (), numeric: Sequence[str] = (),
-                 num_features: int = 1 << 12):
+                 num_features: int = 1 << 12, zero: Sequence[str] = ()):
+        self.zero = list(zero)
         self.text, self.categorical, self.numeric = list(text), list(categorical), list(numeric)
         self.num_features = num_features
 
@@ -71,33 +73,50 @@ def numeric_cast(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def model_input(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Cast the numeric features to double (what ``Imputer`` expects); use
-    it for training and scoring alike."""
-    return numeric_cast(df, spec.numeric)
+    """Cast the numeric features to double (what ``Imputer`` expects), with 0
+    where the spec says that absence means it; use it for training and
+    scoring alike."""
+    return numeric_cast(df, spec.numeric).fillna(0.0, subset=spec.zero)
+
+
+def fit_features(train: DataFrame, spec: FeatureSpec, label: str = "topic") -> PipelineModel:
+    """The fitted feature stages, the label indexer first."""
+    return Pipeline(stages=spec.stages(label)).fit(model_input(train, spec))
+
+
+def _fit_on(features: PipelineModel, encoded: DataFrame, reg: float, max_iter: int) -> PipelineModel:
+    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter,
+                            family="multinomial")
+    return PipelineModel(features.stages + [lr.fit(encoded)])
 
 
 def train_classifier(train: DataFrame, spec: FeatureSpec, label: str = "topic", reg: float = 0.01,
                      max_iter: int = 50) -> PipelineModel:
     """M1: multinomial logistic regression (log-loss objective) on the
     feature spec."""
-    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter,
-                            family="multinomial")
-    return Pipeline(stages=spec.stages(label) + [lr]).fit(model_input(train, spec))
+    features = fit_features(train, spec, label)
+    return _fit_on(features, features.transform(model_input(train, spec)), reg, max_iter)
 
 
 def train_with_validation(df: DataFrame, spec: FeatureSpec, label: str = "topic", split: str = "split",
-                          grid: Sequence[float] = (0.0, 0.01, 0.1)) -> tuple[PipelineModel, DataFrame]:
-    """M2: predefined split — fit on TRAIN, pick the regularisation with the
-    lowest VALIDATE log loss (M3); returns the model and the grid scores."""
+                          grid: Sequence[float] = (0.0, 0.01, 0.1), max_iter: int = 50) -> tuple[PipelineModel, DataFrame]:
+    """M2: predefined split — fit the features on TRAIN once and a classifier
+    for each regularisation, pick the one with the lowest VALIDATE log loss
+    (M3); returns the model and the grid scores."""
     train = df.where(F.col(split) == "TRAIN")
-    valid = df.where(F.col(split) == "VALIDATE")
+    valid = model_input(df.where(F.col(split) == "VALIDATE"), spec)
+    features = fit_features(train, spec, label)
+    encoded = features.transform(model_input(train, spec)).select("label", "features").persist()
     results, best = [], None
     for reg in grid:
-        m = train_classifier(train, spec, label, reg)
-        ll = log_loss(prediction_table(m, model_input(valid, spec), label)).collect()[0]["log_loss"]
+        m = _fit_on(features, encoded, reg, max_iter)
+        ll = log_loss(prediction_table(m, valid, label)).collect()[0]["log_loss"]
         results.append((float(reg), float(ll) if ll is not None else None))
         if ll is not None and (best is None or ll < best[1]):
             best = (m, ll)
+    encoded.unpersist()
+    if best is None:
+        raise ValueError("no labelled VALIDATE rows to choose by")
     spark = df.sparkSession
     return best[0], spark.createDataFrame(results, "reg_param double, validate_log_loss double")
 
@@ -239,8 +258,8 @@ def linear_attributions(model: PipelineModel, df: DataFrame, spec: FeatureSpec,
     """M13 (re-aimed): for the predicted class of each row, coefficient x
     feature value summed back to the source columns and sorted by
     contribution (O7).  The coefficient matrix is model-sized (classes x
-    width) and travels with the task closure; rows are processed in Arrow
-    batches with numpy, no shuffle."""
+    width) and travels with the task closure; an Arrow batch is one array
+    operation, no shuffle."""
     import numpy as np
     import pandas as pd
 
@@ -250,18 +269,20 @@ def linear_attributions(model: PipelineModel, df: DataFrame, spec: FeatureSpec,
     inputs = assembler.getInputCols()
     sources = spec.source_of(inputs)
     sizes = [spec.width(c) for c in inputs]
-    bounds = np.cumsum([0] + sizes)
+    starts = np.cumsum([0] + sizes[:-1])
+    by_name = np.argsort(sources, kind="stable")  # equal contributions go by name
     scored = scorer(model).transform(df).select(F.col(id_col).alias("id"), vector_to_array("features").alias("f"),
                                         F.col("prediction").cast("int").alias("k"))
 
     def attribute(batches):
         for pdf in batches:
             rows = []
-            for f, k in zip(pdf["f"], pdf["k"]):
-                contrib = coef[k] * np.asarray(f, dtype=float)
-                per = [(float(contrib[bounds[i]:bounds[i + 1]].sum()), src) for i, src in enumerate(sources)]
-                per.sort(key=lambda t: (-t[0], t[1]))
-                rows.append([{"contribution": c, "feature": s_} for c, s_ in (per[:top] if top else per)])
+            if len(pdf):
+                contrib = coef[pdf["k"].to_numpy()] * np.stack(pdf["f"].to_numpy())
+                per = np.add.reduceat(contrib, starts, axis=1)[:, by_name]
+                order = np.argsort(-per, axis=1, kind="stable")[:, :top]
+                rows = [[{"contribution": float(p[i]), "feature": sources[by_name[i]]} for i in o]
+                        for p, o in zip(per, order)]
             yield pd.DataFrame({"id": pdf["id"], "attributions": rows})
 
     return scored.mapInPandas(attribute, "id string, attributions array<struct<contribution:double,feature:string>>")

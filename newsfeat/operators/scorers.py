@@ -5,9 +5,9 @@ is either
 
 * a **built-in** default written with Catalyst array functions (lexicon and
   regular-expression scorers: no Python, no shuffle, one projection), or
-* a **plug-in**: a Python function over a pandas Series of texts, run with
-  ``mapInPandas`` (Arrow batches, one client per partition instead of per
-  row).
+* a **plug-in**: a factory of a Python function over a pandas Series of
+  texts, run with ``mapInPandas`` (Arrow batches, one client per partition
+  instead of per row).
 
 Documents with null or empty text are skipped (trap T7).  Dynamic outputs
 (moderation categories, entity types) are computed as maps / arrays and
@@ -89,42 +89,42 @@ def sentiment_lexicon(df: DataFrame, text: str = "body", lexicon: dict[str, floa
             .withColumn("magnitude", mag).drop("__kc"))
 
 
-def score_with(df: DataFrame, scorer: Callable[[pd.Series], pd.DataFrame], out_schema: str,
-               text: str = "body") -> DataFrame:
-    """Plug-in scorer (N4/N5/N6 interface): ``scorer(texts) -> DataFrame``
-    with the columns of ``out_schema``, row-aligned with ``texts``.  Runs in
-    ``mapInPandas``; construct expensive clients once, outside the loop."""
+def score_with(df: DataFrame, make_scorer: Callable[[], Callable[[pd.Series], pd.DataFrame]], out_schema: str,
+               text: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """Plug-in scorer (N4/N5/N6 interface): ``make_scorer()`` is called once
+    a partition (a remote client is made there) and returns a function
+    ``texts -> DataFrame`` with the columns of ``out_schema``, row-aligned
+    with ``texts``.  The output holds the ``keep`` columns (default: all) and
+    the scores; only ``keep`` and the text go through Arrow."""
     extra = T._parse_datatype_string(out_schema)
-    schema = T.StructType(df.schema.fields + extra.fields)
+    kept = list(keep if keep is not None else df.columns)
+    schema = T.StructType([df.schema[c] for c in kept] + extra.fields)
 
     def run(batches):
+        scorer = make_scorer()
         for pdf in batches:
             res = scorer(pdf[text]).reset_index(drop=True)
-            yield pd.concat([pdf.reset_index(drop=True), res], axis=1)
+            yield pd.concat([pdf[kept].reset_index(drop=True), res], axis=1)
 
-    return df.mapInPandas(run, schema)
+    return df.select(*dict.fromkeys([*kept, text])).mapInPandas(run, schema)
 
 
-def lexicon_sentiment_pandas(texts: pd.Series) -> pd.DataFrame:
-    """A plug-in scorer in plain Python (same lexicon as the built-in one),
-    for ``score_with``; a remote client would be created here, once per
-    batch iterator rather than once per row."""
+def lexicon_scorer() -> Callable[[pd.Series], pd.DataFrame]:
+    """A plug-in for ``score_with`` in plain Python (same lexicon as the
+    built-in scorer)."""
     import regex
 
     from newsfeat.functions.text import TOKEN_PATTERN
 
     pat = regex.compile(TOKEN_PATTERN)
     lex = SENTIMENT_LEXICON
-    scores, mags = [], []
-    for t in texts:
-        pols = [lex[w.lower()] for w in pat.findall(t or "") if w.lower() in lex]
-        total = mag = 0.0
-        for p in pols:
-            total += p
-            mag += abs(p)
-        scores.append(total / len(pols) if pols else 0.0)
-        mags.append(mag)
-    return pd.DataFrame({"score": scores, "magnitude": mags})
+
+    def score(texts: pd.Series) -> pd.DataFrame:
+        found = [[lex[w.lower()] for w in pat.findall(t or "") if w.lower() in lex] for t in texts]
+        return pd.DataFrame({"score": [sum(p) / len(p) if p else 0.0 for p in found],
+                             "magnitude": [sum(map(abs, p), 0.0) for p in found]})
+
+    return score
 
 
 # ----------------------------------------------------------------- moderation
@@ -191,27 +191,38 @@ def moderate(df: DataFrame, text: str = "body") -> DataFrame:
 # ----------------------------------------------------------------- entities
 
 # Regular expressions of the built-in entity extractors (the
-# same patterns run in Java regex and RE2).  Types without a pattern get 0.
+# same patterns run in Java regex and RE2).  Where several fit, the first one
+# takes the characters.  Types without a pattern get 0.
 ENTITY_PATTERNS = {
-    "NUMBER": r"[0-9]+(?:[.,][0-9]+)*",
+    "PHONE_NUMBER": r"\+[0-9]{1,3}(?:[ -]?[0-9]{2,4}){2,4}",
     "DATE": r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}",
     "PRICE": r"[$€£] ?[0-9]+(?:[.,][0-9]+)*|[0-9]+(?:[.,][0-9]+)* ?(?:EUR|USD|euro)",
-    "PHONE_NUMBER": r"\+[0-9]{1,3}(?:[ -]?[0-9]{2,4}){2,4}",
     "ADDRESS": r"(?:[Vv]ia|[Pp]iazza|[Cc]orso|[Vv]iale) \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*,? [0-9]+"
                r"|[0-9]+ \p{Lu}\p{Ll}+ (?:Street|Avenue|Road)",
     "OTHER": r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+",
+    "NUMBER": r"[0-9]+(?:[.,][0-9]+)*",
 }
 
 
+def any_entity(patterns: dict[str, str]) -> str:
+    """One expression for all types: a character belongs to one mention only."""
+    return "|".join(f"(?:{p})" for p in patterns.values())
+
+
 def count_column(entity_type: str) -> str:
     """Count column of an entity type; ``DATE`` would collide with ``date``
     in Spark's case-insensitive resolution (trap T1), so it is ``DATE_count``."""
     return "DATE_count" if entity_type == "DATE" else entity_type
 
 
-def _mention_of(entity_type: str, length: Column):
-    # a one-argument lambda: Spark reads a second argument as the array index
-    return lambda m: F.struct(F.lit(entity_type).alias("type"), (F.length(m) / length).alias("salience"))
+def _type_of(mention: Column, patterns: dict[str, str]) -> Column:
+    """The first type whose pattern is the whole mention: the alternative of
+    ``any_entity`` that found it."""
+    *first, last = patterns
+    out = F.lit(last)
+    for t in reversed(first):
+        out = F.when(mention.rlike(f"^(?:{patterns[t]})$"), F.lit(t)).otherwise(out)
+    return out
 
 
 def _has_type(entity_type: str):
@@ -221,17 +232,13 @@ def _has_type(entity_type: str):
 def entity_mentions(df: DataFrame, text: str = "body", out: str = "entities",
                     patterns: dict[str, str] | None = None) -> DataFrame:
     """N6 extractor: ``array<struct<type, salience>>`` of the regex
-    matches; salience = share of the document's characters."""
+    matches in the order of the text; salience = share of the document's
+    characters."""
     pats = patterns or ENTITY_PATTERNS
     L = F.greatest(F.length(F.col(text)), F.lit(1)).cast("double")
-    parts = []
-    for t in ENTITY_TYPES:
-        if t not in pats:
-            continue
-        ms = F.regexp_extract_all(F.col(text), F.lit(pats[t]), 0)
-        parts.append(F.transform(ms, _mention_of(t, L)))
-    arr = F.concat(*parts) if parts else F.array().cast("array<struct<type:string,salience:double>>")
-    return df.withColumn(out, arr)
+    found = F.regexp_extract_all(F.col(text), F.lit(any_entity(pats)), 0)
+    return df.withColumn(out, F.transform(found, lambda m: F.struct(_type_of(m, pats).alias("type"),
+                                                                    (F.length(m) / L).alias("salience"))))
 
 
 def entity_features(df: DataFrame, mentions: str = "entities") -> DataFrame:
@@ -251,25 +258,26 @@ def entity_features(df: DataFrame, mentions: str = "entities") -> DataFrame:
 def regex_entity_features(df: DataFrame, text: str = "body", patterns: dict[str, str] | None = None) -> DataFrame:
     """N6 built-in fast path, equal to ``entity_features(entity_mentions(...))``:
     per type, count = number of matches and mean salience = total matched
-    characters / text length / count, straight from each extractor's match
-    array (no concatenation, no per-mention lambdas)."""
+    characters / text length / count; one pass over the text for all types."""
     pats = patterns or ENTITY_PATTERNS
     L = F.greatest(F.length(F.col(text)), F.lit(1)).cast("double")
-    # two projections (match arrays, then features) instead of one per
-    # column: each withColumn call would re-analyse the whole plan
-    matched = [t for t in ENTITY_TYPES if t in pats]
-    out = df.withColumns({f"__m_{t}": F.regexp_extract_all(F.col(text), F.lit(pats[t]), 0) for t in matched})
+    found = F.regexp_extract_all(F.col(text), F.lit(any_entity(pats)), 0)
+    # two projections (mentions, then features) instead of one per column:
+    # each withColumn call would re-analyse the whole plan
+    out = df.withColumn("__m", F.transform(found, lambda m: F.struct(_type_of(m, pats).alias("type"),
+                                                                     F.length(m).alias("chars"))))
     cols = {}
     for t in ENTITY_TYPES:
         if t in pats:
-            n = F.size(F.col(f"__m_{t}"))
-            chars = F.length(F.array_join(F.col(f"__m_{t}"), ""))
+            own = F.filter(F.col("__m"), _has_type(t))
+            n = F.size(own)
+            chars = F.aggregate(own, F.lit(0), lambda a, e: a + e["chars"])
             cols[count_column(t)] = n.cast("double")
             cols[f"{t}_mean_salience"] = F.when(n > 0, chars / L / n).otherwise(F.lit(0.0))
         else:
             cols[count_column(t)] = F.lit(0.0)
             cols[f"{t}_mean_salience"] = F.lit(0.0)
-    return out.withColumns(cols).drop(*[f"__m_{t}" for t in matched])
+    return out.withColumns(cols).drop("__m")
 
 
 def analyze_entities(df: DataFrame, text: str = "body") -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from newsfeat.functions import columns as Cols
 from newsfeat.functions import text as Tx
 from newsfeat.operators import scorers as Sc
+from newsfeat.operators.prepare import prepare_articles
+from newsfeat.operators.sampling import seeded_sample
 
 
 MOST_INSTANCES = 1_000
@@ -38,6 +40,14 @@ def scoring_instances(features: DataFrame, target: str = "topic") -> DataFrame:
     return Cols.to_instances(req)
 
 
+def inference_instances(articles: DataFrame, fit: DataFrame, n: int, seed: int = 42, year: int = 2023) -> DataFrame:
+    """The inference chain on the rows of a request (``read_request_input``):
+    preparation with a saved scaler fit, a seeded sample of ``n``, the
+    features, and one JSON instance per row."""
+    sample = seeded_sample(prepare_articles(articles, year=year, fit=fit), n, seed=seed, key="uri")
+    return scoring_instances(feature_table(sample))
+
+
 def instances_document(instances: DataFrame, n: int = 10, col: str = "instance") -> DataFrame:
     """One ``{"instances": [...]}`` request body holding the first ``n``
     instances (an online request is small by nature).  Larger sets go out as

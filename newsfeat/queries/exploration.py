@@ -9,6 +9,7 @@ from newsfeat.functions import dates as Dt
 from newsfeat.operators import aggregates as A
 from newsfeat.operators import prepare as prep
 from newsfeat.operators import sampling as Smp
+from newsfeat.operators.ranking import row_number_within
 from newsfeat.queries import sql as S
 from newsfeat.queries.common import articles, prepared, split_articles, table
 from newsfeat.queries.registry import query
@@ -184,6 +185,20 @@ def a14_describe_strings(spark, sf_dir):
     return A.describe_strings(unscaled(spark, sf_dir), _STR_COLS)
 
 
+_ALL_NUMBERS = ["mean", "std", "min", "max", "p25", "p50", "p75"]
+
+
+@query("a14_describe_all", S.with_(S.PREPARED_UNSCALED, f"""
+SELECT *, CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq
+FROM ({_describe_sql("prepared_unscaled", RANK_COLS)})
+UNION ALL BY NAME
+SELECT "column", "count", "unique", top, freq FROM ({_describe_str_sql("prepared_unscaled", _STR_COLS)})"""),
+       round_cols=_ALL_NUMBERS)
+def a14_describe_all(spark, sf_dir):
+    """A13 + A14 in one table."""
+    return A.describe_all(unscaled(spark, sf_dir), RANK_COLS + _STR_COLS)
+
+
 LANGS = ["de", "en", "es", "fr"]
 
 
@@ -270,12 +285,15 @@ def _profile_sql(src, cols, num):
         d = f"cast({c} AS DOUBLE)" if c in num else "cast(NULL AS DOUBLE)"
         parts.append(f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS missing,
   count(DISTINCT cast({c} AS VARCHAR)) AS "distinct", min({d}) AS "min", avg({d}) AS mean, max({d}) AS "max",
+  stddev_samp({d}) AS std, quantile_cont({d}, 0.25) AS p25, quantile_cont({d}, 0.5) AS p50, quantile_cont({d}, 0.75) AS p75,
+  (SELECT arg_min(v, (-f, v)) FROM (SELECT cast({c} AS VARCHAR) AS v, count(*) AS f FROM {src} WHERE {c} IS NOT NULL GROUP BY 1)) AS top,
+  (SELECT max(f) FROM (SELECT count(*) AS f FROM {src} WHERE {c} IS NOT NULL GROUP BY {c})) AS freq,
   '{ {"sharesFacebook": "bigint", "alexaCountryRank": "bigint"}.get(c, "string") }' AS type FROM {src}""")
     return "\nUNION ALL\n".join(parts)
 
 
 @query("a20_profile", S.with_(S.PREPARED_UNSCALED, _profile_sql(
-    "prepared_unscaled", _PROF_COLS, {"sharesFacebook", "alexaCountryRank"})), round_cols=['min', 'mean', 'max'])
+    "prepared_unscaled", _PROF_COLS, {"sharesFacebook", "alexaCountryRank"})), round_cols=['min', 'mean', 'max', 'std', 'p25', 'p50', 'p75'])
 def a20_profile(spark, sf_dir):
     return A.profile(unscaled(spark, sf_dir), _PROF_COLS)
 
@@ -329,6 +347,25 @@ def d3_seeded_sample_large(spark, sf_dir):
     return Smp.seeded_sample(o, n, seed=11, key="o_orderkey").select("o_orderkey")
 
 
+@query("d4_unseeded_sample", S.with_(S.PREPARED_UNSCALED, """
+SELECT least(25, count(*)) AS n, least(25, count(*)) AS known FROM prepared_unscaled"""))
+def d4_unseeded_sample(spark, sf_dir):
+    """A sample without a seed: so many rows, all of the prepared ones."""
+    rows = unscaled(spark, sf_dir).select("uri")
+    some = Smp.seeded_sample(rows, 25, seed=None, key="uri")
+    known = rows.distinct().withColumn("_known", F.lit(1))
+    return some.join(known, "uri", "left").agg(F.count("*").alias("n"), F.count("_known").alias("known"))
+
+
+@query("o2_ordered_series", S.with_(S.PREPARED_UNSCALED, """
+SELECT topic, date_column, count(*) AS "count", row_number() OVER (ORDER BY topic, date_column) AS place
+FROM prepared_unscaled GROUP BY topic, date_column"""))
+def o2_ordered_series(spark, sf_dir):
+    """A23 in the order of O2: the place of each (topic, date)."""
+    daily = A.group_counts(unscaled(spark, sf_dir), ["topic", "date_column"])
+    return row_number_within(daily, [], ["topic", "date_column"], rn="place", size=None)
+
+
 @query("d5_first_rows", S.with_(S.ARTICLES, """
 SELECT uri, ingest_seq FROM articles ORDER BY ingest_seq LIMIT 10"""))
 def d5_first_rows(spark, sf_dir):

@@ -1,8 +1,8 @@
 """Classifier queries.
 
 Metrics are checked on a **given** prediction table derived from
-``embeddings``: the scores of an embedding are the softmax of its first ten
-components and its label is the true class ('0' .. '9').  Training and
+``embeddings``: the scores of an embedding are the softmax of ten sums over
+all its components and its label is the true class ('0' .. '9').  Training and
 attribution queries run ``pyspark.ml`` and have no SQL equivalent.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from newsfeat.functions.columns import MODERATION_CATEGORIES, clean_name
 from newsfeat.operators import model as Mdl
 from newsfeat.operators.ranking import materialize
 from newsfeat.plans import featurize as Fz
@@ -127,17 +128,44 @@ def o7_cosorted_scores(spark, sf_dir):
     return p.select("id", F.slice(F.transform(z, lambda t: t["c"]), 1, 3).alias("top3"))
 
 
+_GATES = [("logLoss", 1.0), ("logLoss", 1e6), ("accuracy", 0.95), ("accuracy", 0.0)]
+
+
+@query("m8_gate_decisions", _w(f""", _m AS (
+  SELECT avg(-ln(greatest(least({_PTRUE}, 1 - 1e-15), 1e-15))) AS ll, avg(CASE WHEN {_ARGMAX} = label_name THEN 1.0 ELSE 0.0 END) AS acc,
+         avg(-ln(greatest(least({_PTRUE}, 1 - 1e-15), 1e-15))) FILTER (WHERE id % 2 = 0) AS pll,
+         avg(CASE WHEN {_ARGMAX} = label_name THEN 1.0 ELSE 0.0 END) FILTER (WHERE id % 2 = 0) AS pacc FROM pred)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS metric, CAST({t} AS DOUBLE) AS threshold, NOT ({v} {worse} {t} AND {v} {worse} {p}) AS deploy FROM _m"
+    for (m, t), (v, p, worse) in zip(_GATES, [("ll", "pll", ">")] * 2 + [("acc", "pacc", "<")] * 2))))
+def m8_gate_decisions(spark, sf_dir):
+    """M8: whether to deploy the model of the given predictions, its
+    predecessor being the one of the even ids."""
+    pred = given_predictions(spark, sf_dir)
+    values = lambda p: {r["metric"]: r["value"] for r in Mdl.metrics_rows(p).collect()}
+    now, before = values(pred), values(pred.where(F.col("id") % 2 == 0))
+    return spark.createDataFrame([(m, t, Mdl.deployment_gate(now, before, {m: t})) for m, t in _GATES],
+                                 "metric string, threshold double, deploy boolean")
+
+
 # ----------------------------------------------------------------- training (no SQL equivalent)
 
-TOPIC_SPEC = Mdl.FeatureSpec(text=["body_pre"], categorical=["sourceTitle", "lang"],
-                             numeric=["shares_scaled", "score", "magnitude", "importanceRank", "NUMBER",
-                                      "OTHER", "NUMBER_mean_salience"], num_features=1 << 10)
+# The model's columns and their types.
+_MODERATION = [clean_name(c) for c in MODERATION_CATEGORIES]
+TOPIC_SPEC = Mdl.FeatureSpec(
+    text=["title", "body_pre"], categorical=["authors", "sourceTitle", "month"],
+    numeric=["relevance", "importanceRank", "alexaGlobalRank", "shares_scaled", "score", "magnitude", *_MODERATION,
+             "PERSON_mean_salience", "OTHER_mean_salience", "ORGANIZATION_mean_salience", "EVENT_mean_salience",
+             "LOCATION_mean_salience", "WORK_OF_ART_mean_salience", "CONSUMER_GOOD_mean_salience", "PRICE_mean_salience"],
+    num_features=1 << 10, zero=_MODERATION)
 
 
 def _features(spark, sf_dir):
     # the estimators make several passes (indexers, IDF, imputer, LBFGS):
-    # cut the lineage once so the feature chain runs a single time
-    return materialize(Mdl.model_input(Fz.feature_table(balanced(spark, sf_dir)), TOPIC_SPEC))
+    # cut the lineage once so the feature chain runs a single time, on the
+    # model's columns only
+    feats = Fz.feature_table(balanced(spark, sf_dir))
+    return materialize(feats.select("uri", "topic", "split", *TOPIC_SPEC.text, *TOPIC_SPEC.categorical, *TOPIC_SPEC.numeric))
 
 
 @query("m1_topic_model_test_metrics")
@@ -146,17 +174,23 @@ def m1_topic_model_test_metrics(spark, sf_dir):
     regularisation chosen on VALIDATE, metrics reported on TEST."""
     feats = _features(spark, sf_dir)
     model, _grid = Mdl.train_with_validation(feats, TOPIC_SPEC, "topic", grid=(0.0, 0.1))
-    test = Mdl.prediction_table(model, feats.where(F.col("split") == "TEST"), "topic")
+    test = Mdl.prediction_table(model, Mdl.model_input(feats.where(F.col("split") == "TEST"), TOPIC_SPEC), "topic")
     return Mdl.metrics_rows(test)
 
 
+@query("m2_validation_grid")
+def m2_validation_grid(spark, sf_dir):
+    """M2: VALIDATE log loss for each regularisation."""
+    return Mdl.train_with_validation(_features(spark, sf_dir), TOPIC_SPEC, "topic", grid=(0.0, 0.1))[1]
+
+
 @query("m10_topic_batch_scores")
 def m10_topic_batch_scores(spark, sf_dir):
     """M10 + M11 + M12: class probabilities for every TEST article, with the
     predicted class, flattened to (id, class, score) rows."""
     feats = _features(spark, sf_dir)
     model = Mdl.train_classifier(feats.where(F.col("split") == "TRAIN"), TOPIC_SPEC, "topic", 0.1)
-    pred = Mdl.prediction_table(model, feats.where(F.col("split") == "TEST"), "topic")
+    pred = Mdl.prediction_table(model, Mdl.model_input(feats.where(F.col("split") == "TEST"), TOPIC_SPEC), "topic")
     flat = Mdl.flatten_predictions(pred.withColumn("predicted", Mdl.predicted_class()), "id")
     return flat
 
@@ -181,7 +215,7 @@ def m13_attributions(spark, sf_dir):
     the predicted class of the linear model."""
     feats = _features(spark, sf_dir)
     model = Mdl.train_classifier(feats.where(F.col("split") == "TRAIN"), TOPIC_SPEC, "topic", 0.1)
-    return Mdl.linear_attributions(model, feats.where(F.col("split") == "TEST"), TOPIC_SPEC, "uri", top=3)
+    return Mdl.linear_attributions(model, Mdl.model_input(feats.where(F.col("split") == "TEST"), TOPIC_SPEC), TOPIC_SPEC, "uri", top=3)
 
 
 @query("m1_embedding_model_metrics")

@@ -11,7 +11,7 @@ from newsfeat.functions import text as Tx
 from newsfeat.operators import scorers as Sc
 from newsfeat.plans import featurize as Fz
 from newsfeat.queries import sql as S
-from newsfeat.queries.common import split_articles, table
+from newsfeat.queries.common import articles, split_articles, table
 from newsfeat.queries.exploration import unscaled
 from newsfeat.queries.registry import query
 
@@ -76,12 +76,20 @@ def _strip_sql(c: str) -> str:
     out = c
     for p in Tx.HTML_DROP_PATTERNS:
         out = f"regexp_replace({out}, {_lit(p)}, '', 'g')"
-    for ent, ch in Tx.HTML_ENTITIES:
-        out = f"replace({out}, {_lit(ent)}, {_lit(ch)})"
     return out
 
 
-@query("n3_strip_html_regex", f"SELECT page_id, {_strip_sql('html')} AS text FROM pages")
+_NAMES_SQL = f"map({_list(Tx.HTML_NAMES)}, {_list(Tx.HTML_NAMES.values())})"
+_NUMBER_SQL = "CASE WHEN lower(r[2]) = 'x' THEN CAST(concat('0x', r[3:]) AS INTEGER) ELSE TRY_CAST(r[2:] AS INTEGER) END"
+_DECODED_SQL = f"""
+SELECT page_id, array_to_string(list_transform(pieces, lambda p, i: concat(p, coalesce(signs[i], ''))), '') AS text FROM (
+  SELECT page_id, regexp_split_to_array(s, {_lit(Tx.HTML_REFERENCE.replace('(', '(?:', 1))}) AS pieces,
+         list_transform(regexp_extract_all(s, {_lit(Tx.HTML_REFERENCE)}, 1), lambda r:
+           CASE WHEN r[1] = '#' THEN chr({_NUMBER_SQL}) ELSE coalesce({_NAMES_SQL}[r], concat('&', r, ';')) END) AS signs
+  FROM (SELECT page_id, {_strip_sql('html')} AS s FROM pages))"""
+
+
+@query("n3_strip_html_regex", _DECODED_SQL)
 def n3_strip_html_regex(spark, sf_dir):
     """N3 native mode over every page."""
     p = table(spark, sf_dir, "pages")
@@ -114,8 +122,8 @@ def n4_sentiment_lexicon(spark, sf_dir):
 def n4_sentiment_plugin(spark, sf_dir):
     """N4 through the plug-in interface (``mapInPandas``); same results as
     the built-in scorer, so it shares its oracle."""
-    d = Sc.skip_empty(table(spark, sf_dir, "documents"), "text").select("doc_id", "text")
-    s = Sc.score_with(d, Sc.lexicon_sentiment_pandas, "score double, magnitude double", text="text")
+    d = Sc.skip_empty(table(spark, sf_dir, "documents"), "text")
+    s = Sc.score_with(d, Sc.lexicon_scorer, "score double, magnitude double", text="text", keep=["doc_id"])
     return s.select("doc_id", F.round("score", R).alias("score"), F.round("magnitude", R).alias("magnitude"))
 
 
@@ -163,12 +171,17 @@ def n5_moderation(spark, sf_dir):
 
 # ----------------------------------------------------------------- N6
 
+_TYPE_SQL = "CASE " + " ".join(f"WHEN regexp_full_match(m, {_lit(p)}) THEN {_lit(t)}"
+                               for t, p in Sc.ENTITY_PATTERNS.items()) + " END"
+
+
 def _entity_cols(c: str) -> list[str]:
     cols = []
     for t in Cols.ENTITY_TYPES:
         cnt, mean = Sc.count_column(t), f"{t}_mean_salience"
         if t in Sc.ENTITY_PATTERNS:
-            ms = f"regexp_extract_all({c}, {_lit(Sc.ENTITY_PATTERNS[t])})"
+            ms = (f"list_filter(regexp_extract_all({c}, {_lit(Sc.any_entity(Sc.ENTITY_PATTERNS))}), "
+                  f"lambda m: {_TYPE_SQL} = {_lit(t)})")
             cols.append(f"cast(len({ms}) AS DOUBLE) AS {cnt}")
             cols.append(f"round(CASE WHEN len({ms}) > 0 THEN list_sum(list_transform({ms}, lambda m: length(m) / "
                         f"cast(greatest(length({c}), 1) AS DOUBLE))) / len({ms}) ELSE 0.0 END, {R}) AS {mean}")
@@ -194,10 +207,10 @@ def n6_entities(spark, sf_dir):
 
 
 @query("a21_entity_type_totals", f"""
-SELECT entity_type, cast(sum(n) AS DOUBLE) AS mentions, count(*) FILTER (WHERE n > 0) AS documents FROM (
-  SELECT unnest([{', '.join(_lit(t) for t in Sc.ENTITY_PATTERNS)}]) AS entity_type,
-         unnest([{', '.join(f"len(regexp_extract_all(text, {_lit(p)}))" for p in Sc.ENTITY_PATTERNS.values())}]) AS n
-  FROM documents WHERE coalesce(text, '') <> '') GROUP BY entity_type HAVING sum(n) > 0""")
+SELECT entity_type, cast(count(*) AS DOUBLE) AS mentions, count(DISTINCT doc_id) AS documents FROM (
+  SELECT doc_id, {_TYPE_SQL} AS entity_type FROM (
+    SELECT doc_id, unnest(regexp_extract_all(text, {_lit(Sc.any_entity(Sc.ENTITY_PATTERNS))})) AS m
+    FROM documents WHERE coalesce(text, '') <> '')) GROUP BY entity_type""")
 def a21_entity_type_totals(spark, sf_dir):
     """A21 rolled up: mentions and documents per entity type over the corpus
     (explode of the per-document mention arrays, partial aggregation)."""
@@ -273,3 +286,88 @@ def n8_feature_values(spark, sf_dir):
                     F.round("magnitude", R).alias("magnitude"),
                     *[F.round(c, R).alias(c) for c in _N8_MOD],
                     *[F.round(c, R).alias(c) if c.endswith("_mean_salience") else F.col(c) for c in _N8_ENT])
+
+
+# ----------------------------------------------------------------- N2, G4, P16, P17, P20, N8 for a request
+
+#: Articles of the corpus languages, brought to one form each.
+LEMMAS = {"la": "il", "le": "il", "los": "el", "las": "el", "der": "die", "das": "die", "les": "le", "an": "a", "was": "be",
+          "is": "be", "are": "be"}
+
+
+def _lemma_sql(t: str) -> str:
+    return f"CASE {t} " + " ".join(f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in LEMMAS.items()) + f" ELSE {t} END"
+
+
+@query("n2_lemmas", f"""
+SELECT doc_id, array_to_string(list_transform({tok_sql('text')}, lambda t: {_lemma_sql('t')}), ' ') AS pre FROM documents""")
+def n2_lemmas(spark, sf_dir):
+    """N2 over every document: tokens replaced by a user's lemma table."""
+    d = table(spark, sf_dir, "documents")
+    return Tx.preprocess_text(d, "text", "pre", lemmas=LEMMAS, stop_words=[]).select("doc_id", "pre")
+
+
+@query("g4_new_columns", f"WITH _e AS ({_entities_sql('text')})\n" + "\nUNION ALL\n".join(
+    f"SELECT {_lit(c)} AS \"column\", round(sum({c}), 6) AS total FROM _e" for c in _N8_ENT))
+def g4_new_columns(spark, sf_dir):
+    """The columns that the entity scorer added to the documents, summed."""
+    d = table(spark, sf_dir, "documents")
+    e = Sc.analyze_entities(d, "text")
+    new = Cols.new_columns(d, e)
+    one = e.agg(*[F.round(F.sum(F.round(c, R)), 6).alias(c) for c in new])
+    return one.selectExpr(f"stack({len(new)}, {', '.join(f'{_lit(c)}, {c}' for c in new)}) AS (column, total)")
+
+
+@query("p17_drop_exact", S.with_(S.ARTICLES, "SELECT uri, date FROM articles"))
+def p17_drop_exact(spark, sf_dir):
+    """Of ``date`` and ``DATE`` only the latter goes."""
+    both = articles(spark, sf_dir).select("uri", "date", F.lit(1).alias("DATE"))
+    return Cols.drop_exact(both, "DATE")
+
+
+_P20_COLS = ["PERSON", "EVENT_mean_salience", "Public_Safety", "num_documents"]
+
+
+@query("p20_conform", S.with_(S.ARTICLES, "SELECT uri, title, " + ", ".join(f"0 AS {c}" for c in _P20_COLS) + " FROM articles"))
+def p20_conform(spark, sf_dir):
+    """P20: columns that the model needs and the articles lack are 0."""
+    return Cols.conform(articles(spark, sf_dir)).select("uri", "title", *_P20_COLS)
+
+
+_P26_VALUES = ["title", "sourceTitle", "importanceRank", "alexaGlobalRank", "month", "authors", "body_pre"]
+_P26_SQL = S.with_(S.SPLIT, f"""
+, _b AS (SELECT *, {preprocess_sql('body', Tx.load_stop_words('italian'))} AS body_pre FROM split_articles WHERE split = 'TEST')
+SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in _P26_VALUES)}, round(score, {R}) AS score, round(shares_scaled, {R}) AS shares_scaled
+FROM (SELECT *, {_sentiment_sql('body_pre')} FROM _b WHERE coalesce(body_pre, '') <> '')""")
+
+
+def _instance_values(instances):
+    """JSON instances as columns again."""
+    schema = ", ".join(f"{c} string" for c in _P26_VALUES) + ", score double, shares_scaled double"
+    rows = instances.select(F.from_json("instance", schema).alias("i")).select("i.*")
+    return rows.select(*_P26_VALUES, F.round("score", R).alias("score"), F.round("shares_scaled", R).alias("shares_scaled"))
+
+
+@query("p26_instance_values", _P26_SQL)
+def p26_instance_values(spark, sf_dir):
+    """P16 + P18 + P26: the values that the TEST rows' JSON instances carry,
+    ranks and month as strings."""
+    feats = Fz.feature_table(split_articles(spark, sf_dir))
+    return _instance_values(Fz.scoring_instances(feats.where(F.col("split") == "TEST")))
+
+
+_P26_KEYS = ["title", "relevance", "authors", "sourceTitle", "importanceRank", "alexaGlobalRank", "month", "shares_scaled",
+             "body_pre", "score", "magnitude", *[Cols.clean_name(c) for c in Cols.MODERATION_CATEGORIES],
+             *[f"{t}_mean_salience" for t in ["PERSON", "OTHER", "ORGANIZATION", "EVENT", "LOCATION", "WORK_OF_ART",
+                                              "CONSUMER_GOOD", "PRICE"]]]
+
+
+@query("p26_instance_keys", S.with_(S.SPLIT, f"""
+SELECT key, count(*) AS n FROM (
+  SELECT unnest({_list(_P26_KEYS)}) AS key FROM split_articles
+  WHERE split = 'TEST' AND coalesce({preprocess_sql('body', Tx.load_stop_words('italian'))}, '') <> '') GROUP BY key"""))
+def p26_instance_keys(spark, sf_dir):
+    """P24 + P26: every instance has the same keys, null or not."""
+    feats = Fz.feature_table(split_articles(spark, sf_dir))
+    inst = Fz.scoring_instances(feats.where(F.col("split") == "TEST"))
+    return inst.select(F.explode(F.json_object_keys("instance")).alias("key")).groupBy("key").agg(F.count("*").alias("n"))

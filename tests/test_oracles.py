@@ -22,11 +22,11 @@ def test_query_matches_oracle(spark, duck_con, name):
 #: What must hold for each row of the queries that no SQL expresses; the
 #: training-data operators have tests of their own.
 INVARIANTS = {
-    "s9_table_columns": lambda r: r["column_name"] != "ingest_seq" and r["data_type"],
     "s11_request_json_lines": lambda r: "title" in r and "ingest_seq" not in r and "value" not in r,
     "n8_feature_table": lambda r: r["body_pre"] and "ingest_seq" not in r and r["magnitude"] >= 0,
     "p26_scoring_request": lambda r: "ingest_seq" not in json.loads(r["instance"]) and len(json.loads(r["instance"])) > 30,
     "m1_topic_model_test_metrics": lambda r: r["value"] >= 0,
+    "m2_validation_grid": lambda r: r["validate_log_loss"] > 0,
     "m10_topic_batch_scores": lambda r: r["class"] is not None and 0 <= r["score"] <= 1,
     "m13_attributions": lambda r: len(r["attributions"]) == 3,
     "m1_embedding_model_metrics": lambda r: r["value"] >= 0,

@@ -9,7 +9,7 @@ QUERIES = E.queries()
 # training / streaming queries run jobs while they are built; their plans are
 # checked through the operators they share with the other queries
 HEAVY = {"m1_topic_model_test_metrics", "m10_topic_batch_scores", "m13_attributions", "q1_incremental_scoring",
-         "m1_embedding_model_metrics"}
+         "m1_embedding_model_metrics", "m2_validation_grid", "m10_score_invariants"}
 
 
 def _plan(df) -> str:

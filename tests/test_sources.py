@@ -84,6 +84,13 @@ def test_n3_leaves_no_tag(spark):
     assert df.select(Tx.strip_html_regex("html").alias("t")).first().t == "T & Ua<b"
 
 
+def test_n3_decodes_all_references_once(spark):
+    html = "<p>caff&egrave; l&#8217;arte &#x1F600; &amp;lt; &nosuch; &#xD800; &#0; a & b; x&nbsp;y&amp;</p>"
+    df = spark.createDataFrame([(html,), (None,), ("plain",)], "html string")
+    got = [r.t for r in df.select(Tx.strip_html_regex("html").alias("t")).collect()]
+    assert got == ["caff\u00e8 l\u2019arte \U0001F600 &lt; &nosuch; &#xD800; &#0; a & b; x\u00a0y&", None, "plain"]
+
+
 def test_s4_reads_strings_and_json_of_any_shape(spark, tmp_path):
     one = {"uri": "u1", "date": "2023-12-18", "sharesFacebook": "7", "relevance": "nan", "title": "t"}
     assert Src.read_single_record(spark, one).select("uri", "sharesFacebook", "relevance").first()[:] == ("u1", 7, None)

@@ -119,6 +119,37 @@ def test_n6_price_and_date_extractors(spark):
     r = Sc.analyze_entities(df).first()
     assert r.PRICE == 2.0 and r.DATE_count == 1.0 and r.PHONE_NUMBER == 1.0 and r.ADDRESS == 1.0
     assert 0 < r.PRICE_mean_salience < 1
+    assert r.NUMBER == 0.0  # every digit belongs to another mention
+    both = Sc.entity_features(Sc.entity_mentions(df, "body")).first()
+    assert both.PRICE == 2.0 and math.isclose(both.PRICE_mean_salience, r.PRICE_mean_salience)
+
+
+def test_plugin_scorer_is_made_once_a_partition(spark):
+    import pandas as pd
+
+    def make():
+        calls = []
+
+        def score(texts):
+            calls.append(len(texts))
+            return pd.DataFrame({"batch": [len(calls)] * len(texts)})
+
+        return score
+
+    df = spark.range(25_000).select(F.col("id"), F.lit("x").alias("body"), F.lit("wide").alias("rest")).coalesce(1)
+    out = Sc.score_with(df, make, "batch int", keep=["id"])
+    assert out.columns == ["id", "batch"] and out.agg(F.max("batch")).first()[0] > 1
+
+
+def test_a20_a14_profile_of_null_and_constant_columns(spark):
+    from newsfeat.operators import aggregates as A
+
+    df = spark.createDataFrame([("a", None, 1), ("b", None, 1), ("b", None, 1)], "k string, none long, one long")
+    p = {r["column"]: r for r in A.profile(df).collect()}
+    assert (p["k"].top, p["k"].freq, p["one"].top, p["one"].p50, p["one"].std) == ("b", 2, "1", 1.0, 0.0)
+    assert p["none"].missing == 3 and p["none"].top is None and p["none"].p50 is None
+    d = {r["column"]: r for r in A.describe_all(df, ["k", "none", "one"]).collect()}
+    assert d["k"]["unique"] == 2 and d["one"].mean == 1.0 and d["none"]["count"] == 0
 
 
 def test_p20_conformance_adds_missing_columns(spark):
