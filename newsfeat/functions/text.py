@@ -117,9 +117,12 @@ def decode_references(c: Column | str) -> Column:
         own = F.when(ref.startswith("#"), F.when(known, sign)).otherwise(F.try_element_at(names, ref))
         return F.when(ref.isNull(), F.lit("")).otherwise(F.coalesce(own, F.concat(F.lit("&"), ref, F.lit(";"))))
 
-    refs = F.regexp_extract_all(c, F.lit(HTML_REFERENCE), 1)
-    joined = F.array_join(F.transform(F.split(c, HTML_REFERENCE), lambda p, i: F.concat(p, decoded(F.get(refs, i)))), "")
-    return F.when(c.contains("&"), joined).otherwise(c)
+    def joined(text: Column) -> Column:
+        refs = F.regexp_extract_all(text, F.lit(HTML_REFERENCE), 1)
+        return F.array_join(F.zip_with(F.split(text, HTML_REFERENCE), refs, lambda p, r: F.concat(p, decoded(r))), "")
+
+    # the text is computed once: as the only element of an array it has a name
+    return F.transform(F.array(c), lambda text: F.when(text.contains("&"), joined(text)).otherwise(text))[0]
 
 
 def strip_html_regex(c: Column | str) -> Column:
