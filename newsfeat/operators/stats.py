@@ -98,14 +98,14 @@ def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     cum = cumulative_within(lv, ["_var", "_lvl", "_block"], ["_y", "_tie", "_x"], "_lw", cum="_below_incl",
                             total="_left_total")
     # at a right-half row (half = 1, ordered before left rows of equal y) the
-    # running left weight counts only left cells with y' < y
-    right = cum.where(F.col("_half") == 1)
-    left_eq = (lv.where(F.col("_half") == 0).groupBy("_var", "_lvl", "_block", "_y")
-               .agg(F.sum("_n").alias("_eq")))
-    r = right.join(left_eq, ["_var", "_lvl", "_block", "_y"], "left").fillna(0, subset=["_eq"])
-    below = F.col("_below_incl")
-    above = F.col("_left_total") - below - F.col("_eq")
-    S = r.groupBy("_var").agg(F.sum(F.col("_n").cast("double") * (below - above)).alias("_S"))
+    # running left weight counts only left cells with y' < y; summed over the
+    # right rows, the left weight at equal y is a product of two sums per y
+    n, half = F.col("_n").cast("double"), F.col("_half")
+    strict = cum.where(half == 1).groupBy("_var").agg(
+        F.sum(n * (2 * F.col("_below_incl") - F.col("_left_total"))).alias("_s"))
+    at_y = cum.groupBy("_var", "_lvl", "_block", "_y").agg(F.sum(n * half).alias("_right"), F.sum(n * (1 - half)).alias("_left"))
+    ties = at_y.groupBy("_var").agg(F.sum(F.col("_right") * F.col("_left")).alias("_e"))
+    S = strict.join(ties, "_var").select("_var", (F.col("_s") + F.col("_e")).alias("_S"))
     tot = cells.groupBy("_var").agg(F.sum("_n").cast("double").alias("_tot_n"))
     tx = cells.groupBy("_var", "_x").agg(F.sum("_n").cast("double").alias("_t")).groupBy("_var").agg(
         F.sum(F.col("_t") * (F.col("_t") - 1) / 2).alias("_n1"))

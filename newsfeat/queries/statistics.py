@@ -234,6 +234,17 @@ def x9_p_values(spark, sf_dir):
     return t.select(a.scalar().alias("anova_p"), k.scalar().alias("kruskal_p"), "welch_p", "significant")
 
 
+@query("x9_closed_forms", S.with_(S.PREPARED_UNSCALED, f"""
+SELECT round(pow(1 + 2 * f_stat / df_within, -df_within / 2.0), 6) AS anova_p, round(exp(-h_stat / 2), 6) AS kruskal_p
+FROM ({_anova_sql("prepared_unscaled", "topic", "sharesFacebook")}), ({_kruskal_sql("prepared_unscaled", "topic", "sharesFacebook")})
+WHERE df_between = 2 AND dof = 2"""))
+def x9_closed_forms(spark, sf_dir):
+    """X9 on the three topics of the fixture: with two degrees of freedom both
+    tails have closed forms."""
+    p = x9_p_values(spark, sf_dir)
+    return p.select(F.round("anova_p", 6).alias("anova_p"), F.round("kruskal_p", 6).alias("kruskal_p"))
+
+
 # ----------------------------------------------------------------- X10, V2
 
 @query("x10_calendar_corr", S.with_(S.PREPARED_UNSCALED, f"""

@@ -55,7 +55,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return conf
 
 
+#: Paths handed out by ``scratch_path`` in this process.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the intermediate tables that this process has written so far and
+    returns how many there were.  For the end of a job: frames made of these
+    tables cannot be read afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone

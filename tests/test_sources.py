@@ -101,3 +101,14 @@ def test_s4_reads_strings_and_json_of_any_shape(spark, tmp_path):
     (tmp_path / "bad.json").write_text("{not json")
     with pytest.raises(Exception, match="(?i)malformed"):
         Src.read_single_record(spark, str(tmp_path / "bad.json")).collect()
+
+
+def test_intermediate_tables_are_deleted_at_the_end_of_a_job(spark, monkeypatch):
+    from newsfeat import session
+    from newsfeat.operators.ranking import materialize
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    assert materialize(spark.range(5), "few").count() == 5
+    (path,) = session._SCRATCH
+    assert os.path.exists(path) and session.drop_scratch(spark) == 1 and not os.path.exists(path)
+    assert session.drop_scratch(spark) == 0
