@@ -299,3 +299,18 @@ def test_t15_unicode_word_tokens_agree_with_duckdb(spark):
         "('" + t.replace("'", "''") + "', " + str(i) + ")" for i, t in enumerate(texts)) + ") v(text, i)")
     duck = [r[0] for r in con.execute(f"SELECT {tok_sql('text')} FROM t ORDER BY i").fetchall()]
     assert [list(x) for x in duck] == got
+
+
+def test_f1_keeps_every_whole_date_of_the_year(spark):
+    rows = [(" 2023-01-05",), ("+2023-01-05",), ("2023-1-5",), ("2023",), ("2023-5",), ("2022-12-31",), (None,)]
+    df = spark.createDataFrame(rows, "date string")
+    assert {r.date for r in P.filter_year(P.parse_date(df), 2023).collect()} == {" 2023-01-05", "+2023-01-05", "2023-1-5"}
+
+
+def test_n2_lemma_table_of_many_entries(spark):
+    from newsfeat.functions import text as Tx
+
+    lemmas = {f"w{i}": f"l{i}" for i in range(100)}
+    df = spark.createDataFrame([("w0 w57 w99 è other",), (None,)], "body string")
+    got = [r.p for r in Tx.preprocess_text(df, "body", "p", lemmas=lemmas, stop_words=[]).select("p").collect()]
+    assert got == ["l0 l57 l99 è other", None]
