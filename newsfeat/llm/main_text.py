@@ -2,11 +2,13 @@
 
 A page becomes a tree of elements whose running text is divided into blocks.
 What is never part of an article goes first: scripts, styles, forms, menus,
-footers, side bars, and elements whose class, id or role names an advert,
-notice, reader comments or the like.  Each paragraph then passes points for its
-length and commas, discounted by its share of link text, to its ancestors, less
-to each higher one; an ``article`` or ``main`` element starts with some.  The
-best container is kept with its siblings that score well or read like text.
+footers, side bars, and elements whose role names such a part.  Elements of
+which a whole class or id names an advert, notice, reader comments or the like
+go too, but only where they hold a small share of the page's text.  Each
+paragraph then passes points for its length and commas, discounted by its share
+of link text, to its ancestors, less to each higher one; an ``article`` or
+``main`` element starts with some.  The best container is kept with its siblings
+that score well or read like text.
 """
 
 from __future__ import annotations
@@ -36,10 +38,17 @@ PARAGRAPH = frozenset("p pre td blockquote".split())
 NEVER = frozenset("script style noscript template textarea title head nav footer aside form button select option input "
                   "iframe object embed svg canvas audio video menu dialog noembed noframes xmp".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
-NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|"
-                   r"disqus|foot|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pager|"
-                   r"pagination|popup|promo\w*|related|replies|reply|respond|share|sharing|sidebar|social|sponsor\w*|"
-                   r"subscribe|toolbar|widget)(?:$|[\s_-])")
+#: Words of class and id names, and words that may stand beside them: a name
+#: counts if it has one of the first and no others (``cookie-notice`` does,
+#: ``has-sidebar`` and ``post-comments-off`` do not).
+NAMES = re.compile(r"ads?\d*|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|foot|"
+                   r"footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pager|pagination|"
+                   r"popup|promo\w*|related|replies|reply|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar")
+BESIDE = re.compile(r"area|articles|bar|block|bottom|box|buttons?|container|div|google|gpt|icons|inner|items?|left|links?|"
+                    r"list|main|outer|posts|primary|right|secondary|section|signup|site|slot|stories|top|unit|widgets?|"
+                    r"wrap|wrapper|zone|the|[\dx]+")
+#: A named element goes if it holds less than this share of the page's text.
+SMALL = 1 / 3
 #: Not left out because of a name: they hold the article or its heading.
 NAMED_ANYWAY = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 
@@ -49,12 +58,12 @@ _ATTRIBUTE = re.compile(r"""([A-Za-z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "out", "score", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "out", "word", "score", "plain", "chars", "link_chars")
 
-    def __init__(self, tag: str, parent: _Element | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: _Element | None, out: bool, word: str = ""):
+        self.tag, self.parent, self.out, self.word = tag, parent, out, word
         self.score = 0.0
-        self.chars = self.link_chars = 0
+        self.plain = self.chars = self.link_chars = 0
 
 
 class _Text:
@@ -64,27 +73,67 @@ class _Text:
         self.owner, self.text, self.link_chars = owner, text, link_chars
 
 
-def _left_out(tag: str, attributes: str, parent: _Element) -> bool:
-    if tag in NEVER:
-        return True
-    if tag == "header":
-        above = parent
-        while above is not None and above.tag not in ("article", "main"):
-            above = above.parent
-        if above is None:
-            return True
+def _in_article(e: _Element | None) -> bool:
+    while e is not None and e.tag not in ("article", "main"):
+        e = e.parent
+    return e is not None
+
+
+def _named(values: str) -> str:
+    """The first word of ``NAMES`` that a whole class or id name consists of."""
+    for name in values.split():
+        words = [w for w in re.split(r"[_-]+", name) if w]
+        found = [w for w in words if NAMES.fullmatch(w)]
+        if found and all(w in found or BESIDE.fullmatch(w) for w in words):
+            return found[0]
+    return ""
+
+
+def _left_out(tag: str, attributes: str, parent: _Element) -> tuple[bool, str]:
+    """Whether an element is left out whatever it holds, and its name's word."""
+    if tag in NEVER or tag == "header" and not _in_article(parent):
+        return True, ""
     if not attributes.strip(" /\t\n"):
-        return False
+        return False, ""
     values = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
     if "hidden" in values or values.get("aria-hidden") == "true" or values.get("role") in ROLES:
-        return True
+        return True, ""
     if "display:none" in values.get("style", "").replace(" ", ""):
-        return True
-    return tag not in NAMED_ANYWAY and bool(NAMES.search(f"{values.get('class', '')} {values.get('id', '')}"))
+        return True, ""
+    if tag in NAMED_ANYWAY:
+        return False, ""
+    word = _named(f"{values.get('class', '')} {values.get('id', '')}")
+    return False, "" if word == "header" and _in_article(parent) else word
+
+
+def _small(named: dict[int, _Element], total: int) -> frozenset[int]:
+    """Places of the named elements to leave out: each holds a small share of
+    the text outside links, and so do all of its word together, since a page
+    may be made of them."""
+    small = {id(e): e.plain < SMALL * total for e in named.values()}
+    held: dict[str, int] = {}
+    for e in named.values():
+        above = e.parent
+        while above is not None and not (above.word == e.word and small[id(above)]):
+            above = above.parent
+        if small[id(e)] and above is None:
+            held[e.word] = held.get(e.word, 0) + e.plain
+    return frozenset(at for at, e in named.items() if small[id(e)] and held[e.word] < SMALL * total)
 
 
 def parsed(page: str) -> list[_Text]:
     """The blocks of running text of a page that are not left out, in order."""
+    found, named, total = _read(page, frozenset())
+    drop = _small(named, total)
+    return _read(page, drop)[0] if drop else found
+
+
+def _read(page: str, drop: frozenset[int]) -> tuple[list[_Text], dict[int, _Element], int]:
+    """The blocks of a page without the named elements at the places ``drop``,
+    the other named elements by place, and the number of characters outside
+    links (counted, also for each named element, if nothing is dropped)."""
+    named: dict[int, _Element] = {}
+    total = 0
     root = _Element("", None, False)
     stack = [root]
     found: list[_Text] = []
@@ -120,6 +169,13 @@ def parsed(page: str) -> list[_Text]:
             buffer.append(page[at:mark])
             if links:
                 linked += mark - at
+            elif not drop:
+                plain = len(page[at:mark].strip())
+                total += plain
+                if named:
+                    for e in stack:
+                        if e.word:
+                            e.plain += plain
         if mark == n:
             break
         tag = _TAG.match(page, mark)
@@ -172,7 +228,8 @@ def parsed(page: str) -> list[_Text]:
             flush()
         if name in VOID:
             continue
-        out = stack[-1].out or _left_out(name, attributes, stack[-1])
+        out, word = (True, "") if stack[-1].out else _left_out(name, attributes, stack[-1])
+        out = out or mark in drop
         if out and not stack[-1].out and name not in BLOCK:
             buffer.append(" ")
         if name in RAW:
@@ -182,10 +239,12 @@ def parsed(page: str) -> list[_Text]:
             at = page.find(">", stop.end()) + 1 or n
             continue
         if not attributes.endswith("/") or name in BLOCK:
-            stack.append(_Element(name, stack[-1], out))
+            stack.append(_Element(name, stack[-1], out, "" if out else word))
+            if stack[-1].word:
+                named[mark] = stack[-1]
             links += name == "a"
     flush()
-    return found
+    return found, named, total
 
 
 def main_text(page: str) -> str:

@@ -235,6 +235,19 @@ def test_main_text_leaves_the_rest_out():
         assert isinstance(main_text.main_text(odd_page), str)
 
 
+def test_main_text_of_wrappers_with_names():
+    story = [f"Part {k} of the story, told at some length, goes on here." for k in range(9)]
+    p = "".join(f"<p>{x}</p>" for x in story)
+    rest = '<div class="ad">Buy now.</div><div id="cookie-notice"><p>We use cookies.</p></div>'
+    whole = "\n\n".join(story)
+    for name in ("widget Blog", "site has-sidebar", "content no-sidebar", "sidebar", "comments-off content"):
+        assert main_text.main_text(f'<body><div class="{name}">{p}</div>{rest}</body>') == whole, name
+    blocks = "".join(f'<div class="elementor-element elementor-widget elementor-widget-text-editor"><p>{x}</p></div>' for x in story)
+    assert main_text.main_text(f"<body><div>{blocks}</div>{rest}</body>") == whole
+    blocks = "".join(f'<div class="promo"><p>{x}</p></div>' for x in story)  # each is small, but the page is made of them
+    assert main_text.main_text(f"<body><div>{blocks}</div>{rest}</body>") == whole
+
+
 def test_url_parts_and_rules(spark):
     urls = [("http://A.Example.NET/en/1?x#y", "a.example.net", "/en/1", "example.net/en/", "allow"),
             ("https://b.net", "b.net", "", None, None), ("https://b.net/", "b.net", "/", "net/", "block"),
