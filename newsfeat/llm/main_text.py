@@ -5,10 +5,12 @@ What is never part of an article goes first: scripts, styles, forms, menus,
 footers, side bars, and elements whose role names such a part.  Elements of
 which a whole class or id names an advert, notice, reader comments or the like
 go too, but only where they hold a small share of the page's text.  Each
-paragraph then passes points for its length and commas, discounted by its share
-of link text, to its ancestors, less to each higher one; an ``article`` or
-``main`` element starts with some.  The best container is kept with its siblings
-that score well or read like text.
+paragraph and list item then passes points for its length and commas,
+discounted by its share of link text, to its ancestors, less to each higher one;
+an ``article`` or ``main`` element starts with some.  From the best container
+the enclosing ``article`` or ``main`` is taken, or else the lowest element with
+half of the points; it is kept with its siblings, and those of the elements it
+stands in, that score well or hold text rather than links.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 SAME_LEVEL = {**dict.fromkeys(("li",), ("li",)), **dict.fromkeys(("dd", "dt"), ("dd", "dt")),
               **dict.fromkeys(("td", "th"), ("td", "th")), "tr": ("tr", "td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table body html div section article main".split())
-PARAGRAPH = frozenset("p pre td blockquote".split())
+PARAGRAPH = frozenset("p pre td th blockquote li dd dt caption figcaption summary".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 #: What is left out.
 NEVER = frozenset("script style noscript template textarea title head nav footer aside form button select option input "
@@ -58,12 +61,13 @@ _ATTRIBUTE = re.compile(r"""([A-Za-z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "out", "word", "score", "plain", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "out", "word", "score", "points", "plain", "chars", "link_chars", "reads")
 
     def __init__(self, tag: str, parent: _Element | None, out: bool, word: str = ""):
         self.tag, self.parent, self.out, self.word = tag, parent, out, word
-        self.score = 0.0
+        self.score = self.points = 0.0
         self.plain = self.chars = self.link_chars = 0
+        self.reads = False
 
 
 class _Text:
@@ -247,6 +251,19 @@ def _read(page: str, drop: frozenset[int]) -> tuple[list[_Text], dict[int, _Elem
     return found, named, total
 
 
+def _enclosing(best: _Element) -> _Element:
+    """The nearest ``article`` around ``best``, else the nearest ``main``, else
+    the lowest element around it with half of the page's points."""
+    around = [best]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    for tag in ("article", "main"):
+        for e in around:
+            if e.tag == tag:
+                return e
+    return next(e for e in around if e.points >= 0.5 * around[-1].points)
+
+
 def main_text(page: str) -> str:
     """The main text of a page: its blocks with single spaces, joined by two
     line feeds; empty if there is none."""
@@ -255,6 +272,11 @@ def main_text(page: str) -> str:
         return ""
     seen: dict[int, _Element] = {}
     for b in blocks:
+        points = 0.0
+        if b.owner.tag not in HEADING:
+            points = 1 + b.text.count(",") + min(len(b.text) / 100, 3)
+            points *= 1 - b.link_chars / len(b.text)
+        reads = b.text.endswith((".", "!", "?"))
         e = b.owner
         while e is not None:
             if id(e) not in seen:
@@ -262,14 +284,10 @@ def main_text(page: str) -> str:
                 e.score = 25.0 if e.tag in ("article", "main") else 0.0
             e.chars += len(b.text)
             e.link_chars += b.link_chars
+            e.points += points
+            e.reads |= reads
             e = e.parent
-    for b in blocks:
-        plain = b.owner.tag in ("div", "section", "article", "main", "body", "")
-        if b.owner.tag not in PARAGRAPH and not plain:
-            continue
-        points = 1 + b.text.count(",") + min(len(b.text) / 100, 3)
-        points *= 1 - b.link_chars / len(b.text)
-        e = b.owner if plain else b.owner.parent
+        e = b.owner.parent if b.owner.tag in PARAGRAPH else b.owner
         for part in (1, 1 / 2, 1 / 4, 1 / 6, 1 / 8):
             if e is None:
                 break
@@ -281,16 +299,24 @@ def main_text(page: str) -> str:
     if final[id(best)] <= 0:
         return ""
     least = max(10.0, 0.2 * final[id(best)])
-    kept = {id(best)}
+    base = _enclosing(best)
+    marked = base.tag in ("article", "main")
+    below: dict[int, list[_Element]] = {}
     for e in seen.values():
-        if e.parent is best.parent and e is not best and best.parent is not None:
-            density = e.link_chars / e.chars
-            reads = e.tag in PARAGRAPH and density < 0.25 and (e.chars > 80 or any(
-                b.owner is e and b.text.endswith((".", "!", "?")) for b in blocks))
-            heading = e.tag in ("h1", "h2") and density < 0.25
-            if final[id(e)] >= least or reads or heading:
-                kept.add(id(e))
-    loose = best.tag in ("body", "html", "")
+        if e.parent is not None:
+            below.setdefault(id(e.parent), []).append(e)
+    kept, loose = {id(base)}, set()
+    e = base
+    while e.parent is not None:
+        for s in below[id(e.parent)]:
+            if s is e:
+                continue
+            dense = s.link_chars >= 0.25 * s.chars
+            text = s.reads or s.chars > 80 or s.tag in ("h1", "h2") or e is base and not marked
+            if text and not dense and not s.word or e is base and final[id(s)] >= least:
+                kept.add(id(s))
+        e = e.parent
+        loose.add(id(e))
 
     def inside(e: _Element | None) -> bool:
         while e is not None:
@@ -299,8 +325,12 @@ def main_text(page: str) -> str:
             e = e.parent
         return False
 
-    out = [b.text for b in blocks if (loose and b.owner is best.parent) or inside(b.owner)]
-    return "\n\n".join(out)
+    def free(b: _Text) -> bool:
+        """Text that stands beside elements, directly in one that holds the article."""
+        return id(b.owner) in loose and b.link_chars < 0.25 * len(b.text) and (
+            not marked and b.owner is base.parent or b.text.endswith((".", "!", "?")) or len(b.text) > 80)
+
+    return "\n\n".join(b.text for b in blocks if inside(b.owner) or free(b))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -248,6 +248,22 @@ def test_main_text_of_wrappers_with_names():
     assert main_text.main_text(f"<body><div>{blocks}</div>{rest}</body>") == whole
 
 
+def test_main_text_keeps_short_sections_and_lists():
+    story = [f"Paragraph {k} has, with commas, some text, and more, words, here, so." for k in range(40)]
+    p = "".join(f"<p>{x}</p>" for x in story)
+    whole = "\n\n".join([*story, "The end, in short."])
+    links = '<div><a href="/a">Other story here.</a> <a href="/b">One more story.</a></div>'
+    short = "<section><p>The end, in short.</p></section>"
+    assert main_text.main_text(f"<body><article><section>{p}</section>{short}</article>{links}</body>") == whole
+    assert main_text.main_text(f"<body><div><section>{p}</section>{short}</div>{links}</body>") == whole
+    deep = "<div><div>{}</div></div>"
+    assert main_text.main_text(f"<body><div>{deep.format(p)}{deep.format(short)}</div>{links}</body>") == whole
+    items = ["First step of the list", "Second step of the list"]
+    for page in ("<ul><li>{}</li><li>{}</li></ul>", "<dl><dt>{}</dt><dd>{}</dd></dl>",
+                 "<table><caption>{}</caption><tr><td>{}</td></tr></table>"):
+        assert main_text.main_text(f"<body><div>{page.format(*items)}</div>{links}</body>") == "\n\n".join(items)
+
+
 def test_url_parts_and_rules(spark):
     urls = [("http://A.Example.NET/en/1?x#y", "a.example.net", "/en/1", "example.net/en/", "allow"),
             ("https://b.net", "b.net", "", None, None), ("https://b.net/", "b.net", "/", "net/", "block"),
