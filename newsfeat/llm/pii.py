@@ -12,7 +12,9 @@ Expectation-maximisation over the counts of all vote patterns in the corpus
 estimates how often each labeler gives each vote for true and for false
 candidates of a kind, and with it the probability that a candidate is true.
 A logistic span classifier is trained on these probabilities, with the votes
-and the span's shape as features; it decides on the loose candidates.
+and the span's shape as features and weights of its own for each kind, so that
+no kind's verdict depends on how many candidates another has; it decides on the
+loose candidates.
 """
 
 from __future__ import annotations
@@ -226,9 +228,11 @@ def posterior(kind: np.ndarray, vote: np.ndarray, share: np.ndarray, table: np.n
 
 
 def _inputs(code: np.ndarray) -> np.ndarray:
-    """Features of the span classifier: kind, each vote for and against, shape."""
+    """Features of the span classifier: for each kind a constant, each vote for
+    and against, and the shape; those of other kinds are 0."""
     kind, vote, shape = _unpacked(code)
-    return np.concatenate([np.eye(len(KINDS))[kind], vote == 2, vote == 0, shape], axis=1).astype(float)
+    own = np.concatenate([np.ones((len(code), 1)), vote == 2, vote == 0, shape], axis=1).astype(float)
+    return (np.eye(len(KINDS))[kind][:, :, None] * own[:, None, :]).reshape(len(code), -1)
 
 
 @dataclass
@@ -254,27 +258,50 @@ class SpanModel:
         return base, base
 
 
-def train(code: np.ndarray, count: np.ndarray, steps: int = 40) -> SpanModel:
-    """The classifier from the counts of all candidate patterns.  Without
-    candidates it takes a loose one for true if two labelers agree on it."""
-    model = SpanModel(np.array([-1.0] * len(KINDS) + [1.0] * 3 + [-1.0] * 3 + [0.0] * 2))
+def train(code: np.ndarray, count: np.ndarray, steps: int = 100) -> SpanModel:
+    """The classifier from the counts of all candidate patterns, as they are.
+    Without candidates it takes a loose one for true if two labelers agree on
+    it."""
+    model = SpanModel(np.array(([-1.0] + [1.0] * 3 + [-1.0] * 3 + [0.0] * 2) * len(KINDS)))
     if not len(code):
         return model
     kind, vote, _ = _unpacked(code)
     model.share, model.table = reliabilities(kind, vote, count)
     truth = posterior(kind, vote, model.share, model.table)
-    x, w = _inputs(code), model.weight.copy()
-    start = w.copy()
-    load = count / count.sum() * min(count.sum(), 10_000.0)
-    for _ in range(steps):  # Newton's method, pulled towards the start
-        p = 1 / (1 + np.exp(-x @ w))
-        slope = x.T @ (load * (truth - p)) - (w - start)
-        curve = (x * (load * p * (1 - p))[:, None]).T @ x + np.eye(len(w))
-        w = w + np.clip(np.linalg.solve(curve, slope), -2, 2)
-    model.weight = w
+    x, start = _inputs(code), model.weight
+    width = x.shape[1] // len(KINDS)
+    model.weight = start.copy()
+    for k in range(len(KINDS)):  # each kind by itself: also its steps do not depend on the others
+        own, at = kind == k, slice(k * width, (k + 1) * width)
+        if own.any():
+            model.weight[at] = _regression(x[own, at], truth[own], count[own], start[at], steps)
     return model
 
 
+def _regression(x: np.ndarray, truth: np.ndarray, count: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
+    """Logistic regression by Newton's method, pulled towards ``start``; steps
+    that do not lower the loss are halved."""
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((count * (np.logaddexp(0, z) - truth * z)).sum() + ((w - start) ** 2).sum() / 2)
+
+    w = start.copy()
+    now = loss(w)
+    for _ in range(steps):
+        p = 0.5 + 0.5 * np.tanh(x @ w / 2)
+        slope = x.T @ (count * (truth - p)) - (w - start)
+        curve = (x * (count * p * (1 - p))[:, None]).T @ x + np.eye(len(w))
+        step = np.linalg.solve(curve, slope)
+        new = loss(w + step)
+        while new >= now and np.abs(step).max() > 1e-9:
+            step /= 2
+            new = loss(w + step)
+        if new >= now:
+            break
+        w, now = w + step, new
+    return w
+
+
 # ------------------------------------------------------------------ operator
 
 def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -146,6 +146,30 @@ def test_pii_reliabilities_recover_a_bad_labeler():
     assert (guess == truth).mean() > 0.9 and abs(table[0, 0, 2, 2] - 0.5) < 0.1
 
 
+def test_pii_verdict_of_a_kind_depends_on_no_other_and_not_on_size():
+    def candidates_of(kind, n, reliable):
+        """Truth and votes of labelers that are right as often as ``reliable`` says."""
+        rng = np.random.default_rng(kind)
+        truth = rng.random(n) < 0.5
+        right = rng.random((n, 3)) < reliable
+        vote = np.where(right, truth[:, None], ~truth[:, None]) * 2
+        code = ((kind * 3 + vote[:, 0]) * 3 + vote[:, 1]) * 3 + vote[:, 2]
+        return np.unique(code * 4 + 3, return_counts=True)
+
+    rare, n_rare = candidates_of(3, 300, [0.98, 0.6, 0.55])
+    hot, n_hot = candidates_of(0, 4000, [0.55, 0.6, 0.98])
+    alone = pii.train(rare, n_rare.astype(float)).probability(rare)
+    for times in (1, 1_000, 100_000):
+        both = pii.train(np.concatenate([hot, rare]), np.concatenate([n_hot * float(times), n_rare]))
+        assert np.abs(both.probability(rare) - alone).max() < 1e-6
+    for times in (1, 100, 10_000, 1_000_000):
+        model = pii.train(np.concatenate([hot, rare]), np.concatenate([n_hot, n_rare]) * float(times))
+        for code in (hot, rare):
+            kind, vote, _ = pii._unpacked(code)
+            truth = pii.posterior(kind, vote, model.share, model.table)
+            assert ((model.probability(code) >= 0.5) == (truth >= 0.5)).all()
+
+
 def test_edit_counts_equal_encoding_anew(monkeypatch):
     monkeypatch.setattr(edit_counts, "LEAF", 16)
     coder, pattern = packing.codec(packing.default_ranks()), regex.compile(public_tokenizers.PATTERN)
