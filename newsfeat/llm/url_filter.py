@@ -20,24 +20,28 @@ RIDGE = 0.001
 #: Action, host and path of each rule.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
-#: The labelled URL table: names of sites to block, and to allow.  Each stands
-#: in a URL for every pair of a prefix and a top-level domain, so that these
-#: tell nothing about the label.
+#: The labelled URL table: names of sites to block, and to allow, none of them
+#: a site of the test tables.  Each stands in a URL for every pair of a prefix
+#: and a top-level domain, so that these tell nothing about the label.
 BLOCKED_NAMES = """
-casino-win casino-royal best-casino online-casino casino-slots poker-win free-bets sport-bets bets-online betting-
-tips win-jackpot cheap-pills pills-online cheap-viagra cheap-meds discount-pills pharma-deals cheap-watches
-replica-watches adult-x adult-video adult-chat xxx-video hot-xxx sex-chat porn-tube free-porn ads-track ads-server
-track-clicks pixel-track click-ads banner-ads popup-ads adserver spam-farm link-farm spam-links spam-blog content-
-farm seo-spam free-money easy-money quick-loans payday-loans free-gift win-prize free-ringtones crack-warez warez-
-download free-keygen hacked-accounts
+casino-royal best-casino online-casino casino-slots poker-win sport-bets bets-online betting-tips win-jackpot
+pills-online cheap-viagra cheap-meds discount-pills pharma-deals cheap-watches replica-watches adult-video adult-chat
+xxx-video hot-xxx sex-chat porn-tube free-porn ads-server track-clicks pixel-track click-ads banner-ads popup-ads
+adserver link-farm spam-links spam-blog content-farm seo-spam free-money easy-money quick-loans payday-loans free-gift
+win-prize free-ringtones crack-warez warez-download free-keygen hacked-accounts slot-machines online-poker
+bingo-bonus gamble-now lucky-jackpot viagra-online cheap-pharmacy pills-shop diet-pills cheap-loans instant-loans
+cash-advance earn-money make-money-fast free-prizes live-sex sex-cams hot-girls xxx-tube porn-free adult-tube
+ad-tracker ad-clicks pixel-ads popup-clicks buy-backlinks cheap-links keygen-download crack-download hacked-passwords
 """.split()
 ALLOWED_NAMES = """
-thering northern weather library museum therapist theatre attention station nation gardening recipes thornton
-heather together mathematics history understand travel another others river mountain forest shelter bletchley
-tiontion thther ththan ththon ththin therti thernd therou theren ththble tionble tionsh ththst university science
-physics music painting kitchen council hospital school teachers stories bicycle football chess lighthouse archive
-gazette harbour tionesta theresa ththing ererin ononton edition hationer inesea reston thered thorne thehill ingrid
-andover tionder heatherly enderin attire orator ofthe old-mill new-bridge st-andrews city-council green-garden
+northern weather library museum therapist theatre attention station nation gardening recipes thornton heather
+together mathematics history understand travel another others river mountain forest shelter bletchley university
+science physics music painting kitchen council hospital school teachers stories bicycle football chess lighthouse
+archive gazette harbour theresa edition reston thorne thehill ingrid andover heatherly attire orator old-mill
+new-bridge st-andrews city-council green-garden poetry novels opera ballet chemistry economics geography pottery
+knitting camping cycling rowing tennis cricket hockey airport railway market village castle abbey gallery cinema radio
+newspaper daily-post evening-news town-hall fire-brigade book-club farmers-market garden-centre national-park
+royal-society public-library high-school art-school film-festival
 """.split()
 PREFIXES = ("", "www.", "blog.", "m.")
 TOP_DOMAINS = ("com", "org", "net")
