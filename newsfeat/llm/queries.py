@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfeat.llm import (edit_counts, embedding_caps, hyperminhash, main_text, packing, pii, piece_codec, quality,
-                          toxicity, url_filter)
+from newsfeat.llm import (edit_counts, embedding_caps, hyperminhash, lexical_search, main_text, mixing, packing, pii,
+                          piece_codec, quality, toxicity, url_filter, vector_codes)
 from newsfeat.llm.tables import read
 
 
@@ -66,9 +66,22 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(read(spark, sf_dir, "pages"), url_filter.fit(url_filter.labelled_urls(spark)))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(read(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_piece_codec, op3_toxicity_severity, op4_quality_ratio, op5_pii_spans,
-    op6_edit_token_counts, op7_hyperminhash_dedup, op8_pack_sequences, op9_main_text, op10_url_verdicts)}
+    op6_edit_token_counts, op7_hyperminhash_dedup, op8_pack_sequences, op9_main_text, op10_url_verdicts,
+    op11_source_mix, op12_ranked_search, op13_vector_codes)}
 
 _COMPONENTS = """
 , twoway AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links)
@@ -79,6 +92,45 @@ _COMPONENTS = """
 , component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 """
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = r"regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def _vector_codes_sql() -> str:
+    """The rounds of op13, each a full scan of all entries."""
+    assign = """
+, assigned_{t} AS MATERIALIZED (
+    SELECT row, label, vec_id, p, any_value(x) AS x, min(d * 16 + e) AS nearest
+    FROM (SELECT a.*, b.e, list_sum(list_transform(list_zip(a.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+          FROM parts a JOIN book_{t} b USING (p))
+    GROUP BY row, label, vec_id, p)"""
+    move = """
+, book_{u} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book_{t} b LEFT JOIN (
+        SELECT p, e, list(total ORDER BY i) AS c FROM (
+            SELECT p, nearest % 16 AS e, i, floor(sum(x[i]) / count(*))::BIGINT AS total
+            FROM assigned_{t}, generate_series(1, len(x)) AS g(i) GROUP BY ALL)
+        GROUP BY p, e) m USING (p, e))"""
+    rounds = "".join(assign.format(t=t) + move.format(t=t, u=t + 1) for t in range(6))
+    return """
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
+           list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS g
+    FROM embeddings WHERE embedding IS NOT NULL
+      AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))))
+, parts AS MATERIALIZED (
+    SELECT row, vec_id, label, p, g[p * len(g) // 8 + 1 : (p + 1) * len(g) // 8] AS x FROM kept, range(8) AS r(p))
+, book_0 AS MATERIALIZED (SELECT p, row - 1 AS e, x AS c FROM parts WHERE row <= 16)""" + rounds + assign.format(t=6) + """
+, coded AS (
+    SELECT vec_id, label, string_agg(printf('%02x', (nearest % 16)::INTEGER), '' ORDER BY p) AS code,
+           sum(nearest // 16)::BIGINT AS error
+    FROM assigned_6 GROUP BY row, vec_id, label)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book_6) AS codebooks_sha256, label
+FROM coded
+"""
+
+
 SQL = {
     "op1_embedding_near_dedup": """
 WITH RECURSIVE nodes AS (
@@ -110,4 +162,56 @@ WITH RECURSIVE worded AS (
 SELECT n.id AS doc_id, len(n.s)::BIGINT AS n_shingles, c.component_id, c.component_id = n.id AS kept
 FROM nodes n JOIN component c USING (id)
 """,
+    "op11_source_mix": r"""
+WITH counted AS MATERIALIZED (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           coalesce(length(text), 0) AS chars,
+           coalesce(length(text) - length(translate(text, '0123456789#*$%&|<>=+~^{}[]\/@_`', '')), 0) AS junk
+    FROM documents)
+, keyed AS MATERIALIZED (
+    SELECT doc_id, source, size,
+           -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496)
+             / (1.0::DOUBLE / (1.0::DOUBLE + 10.0::DOUBLE * junk / greatest(chars, 1))) AS key
+    FROM counted)
+, sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+    FROM keyed GROUP BY source)
+, levels AS (
+    SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - (sum(2.0::DOUBLE * source_size) OVER w - 2.0::DOUBLE * source_size))
+              / (sum(weight) OVER () - (sum(weight) OVER w - weight)) AS level
+    FROM sources WINDOW w AS (ORDER BY source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING))
+, goals AS (
+    SELECT source, source_size, least(2.0::DOUBLE * source_size, (SELECT max(level) FROM levels) * weight) AS target FROM levels)
+, budgets AS (
+    SELECT *, floor(target + 0.5)::BIGINT AS budget,
+           CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS passes FROM goals)
+, drawn AS (
+    SELECT k.*, b.source_size, b.target, b.passes, b.budget - b.passes * b.source_size AS rest,
+           sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS UNBOUNDED PRECEDING) - k.size AS before
+    FROM keyed k JOIN budgets b ON k.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target, (passes * size + greatest(0, least(size, rest - before)))::BIGINT AS taken, source
+FROM drawn
+""",
+    "op12_ranked_search": """
+WITH terms AS MATERIALIZED (
+    SELECT doc_id, """ + _TERMS + """ AS t FROM documents)
+, lengths AS MATERIALIZED (SELECT doc_id, len(t)::BIGINT AS n FROM terms WHERE len(t) > 0)
+, totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths)
+, asked AS MATERIALIZED (
+    SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest(""" + _TERMS + """) AS t FROM benchmark) GROUP BY ALL)
+, postings AS MATERIALIZED (
+    SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS t FROM terms)
+    WHERE t IN (SELECT t FROM asked) GROUP BY ALL)
+, weights AS (
+    SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM postings, totals GROUP BY t, docs)
+, normal AS (SELECT doc_id, 100 - 75 + (75 * n * docs) // words AS m FROM lengths, totals)
+, scored AS (
+    SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN postings USING (t) JOIN weights USING (t) JOIN normal USING (doc_id) GROUP BY ALL HAVING score > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored QUALIFY rank <= 10
+""",
+    "op13_vector_codes": _vector_codes_sql(),
 }

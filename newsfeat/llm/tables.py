@@ -22,6 +22,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(table: DataFrame) -> None:
+    """Deletes the files of a ``written`` table that nothing will read again;
+    for rounds that each write what the next one reads."""
+    spark = table.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def label_sample(labels: DataFrame, column: str, rows: int, id_col: str = "doc_id") -> DataFrame:
     """At most ``rows`` labelled ids ``(id, label)``, the first by hash of the
     id, so that the choice follows neither order nor partitions.  Several
