@@ -15,15 +15,26 @@ from pyspark.sql import functions as F
 
 from newsfeat.llm.tables import written
 
+#: A node with more than this part of all links has them dealt to several tasks.
+HOT = 200
 
-def _star(links: DataFrame, larger: bool) -> DataFrame:
-    """One star step on rows ``(u, v)``."""
+
+def _star(links: DataFrame, larger: bool, total: int) -> DataFrame:
+    """One star step on rows ``(u, v)`` of a table of ``total`` rows.  The links
+    of a node with more than a share ``1 / HOT`` of them are dealt to several
+    tasks by their other end; there are at most ``2 * HOT`` such nodes, so
+    they are broadcast."""
     if larger:
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")).select("w", F.least("w", "m").alias("m"))
-    joined = both.join(low, both["u"] == low["w"])
+    low = both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"), F.count("*").alias("n")) \
+        .select("w", F.least("w", "m").alias("m"), F.ceil(F.col("n") * HOT / max(1, total)).cast("int").alias("parts"))
+    hot = low.where("parts > 1").select(F.col("w").alias("hot"), F.col("parts").alias("hot_parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("v"), F.col("hot_parts")), F.lit(0)).cast("int")
+    dealt = both.join(F.broadcast(hot), both["u"] == hot["hot"], "left").select("u", "v", part.alias("part"))
+    copies = low.select("w", "m", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("at"))
+    joined = dealt.join(copies, (dealt["u"] == copies["w"]) & (dealt["part"] == copies["at"]))
     if larger:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -39,12 +50,12 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     ``max_rounds`` rounds (paths of more than 2**30 nodes) do not suffice."""
     state = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct(), "links")
-    seen = None
+    seen, total = None, state.count()
     for _ in range(max_rounds):
-        state = written(_star(_star(state, True), False), "links")
+        state = written(_star(_star(state, True, total), False, total), "links")
         now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(now) == seen:
             return state.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 state.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
-        seen = tuple(now)
+        seen, total = tuple(now), now[0]
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -7,6 +7,8 @@
    hashes borrows the register of a bucket with some, chosen by a fixed table
    of priorities, so that short texts compare like long ones.
 2. Texts with equal sets are one class; all that follows is done once a class.
+   A class is named by its first row, so that an id with several texts is in as
+   many classes.
 3. Bands of ``ROWS`` registers are hashed.  In each band bucket every class is
    paired with the smallest one: linear in the bucket, whatever its size.
 4. The share of equal registers, corrected for registers that agree by chance,
@@ -74,6 +76,12 @@ def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
                 yield np.empty(0, U64)
 
 
+def fingerprint(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set."""
+    place = mix(hashes)
+    return int(place.sum().astype(np.int64)), int(np.bitwise_xor.reduce(mix(place + U64(1))).astype(np.int64))
+
+
 def registers(hashes: np.ndarray) -> np.ndarray:
     """The sketch of a sorted set of hashes: ``BUCKETS`` 16-bit registers."""
     at = np.searchsorted(hashes, _EDGES)
@@ -99,9 +107,8 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         for s in shingle_sets(as_bytes(batch.column("text")), size):
             n.append(len(s))
             if len(s):
-                place = mix(s)
-                key.append(int(place.sum().astype(np.int64)))
-                other.append(int(np.bitwise_xor.reduce(mix(place + U64(1))).astype(np.int64)))
+                a, b = fingerprint(s)
+                key.append(a), other.append(b)
                 sketch.append(registers(s).tobytes())
             else:
                 key.append(None), other.append(None), sketch.append(None)
@@ -248,6 +255,9 @@ def _missing_links(held: list[dict], percent: int) -> list[tuple[int, int]]:
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets reach the threshold; an empty one never does."""
+    if not len(x) or not len(y):
+        return False
     both = np.intersect1d(x, y, assume_unique=True).size
     return 100 * both >= percent * (len(x) + len(y) - both)
 
@@ -260,10 +270,12 @@ def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The sets of the texts that have shingles, with their fingerprints."""
     for batch in batches:
-        sets = [s.tobytes() for s in shingle_sets(as_bytes(batch.column("text")), size)]
-        yield pa.RecordBatch.from_arrays([batch.column("_doc").cast(pa.int64()), pa.array(sets, pa.binary())],
-                                         names=["doc", "shingles"])
+        sets = [s for s in shingle_sets(as_bytes(batch.column("text")), size) if len(s)]
+        prints = [fingerprint(s) for s in sets]
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in prints], pa.int64()), pa.array([f[1] for f in prints], pa.int64()),
+                                          pa.array([s.tobytes() for s in sets], pa.binary())], names=["set_a", "set_b", "shingles"])
 
 
 # ------------------------------------------------------------------ operator
@@ -297,21 +309,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     Defined results: a null or wordless text has no shingles and links with
     nothing (it is kept); a null id takes no part, its component is null and it
-    is kept; repeated rows of one id count as one document and share its result
-    (if their texts differ, the one with most shingles is compared); an empty
-    table gives none.  Other columns of ``docs`` are not read.
+    is kept; repeated rows of one id are one document with all their texts: it
+    links with what any of them links with, and its rows differ in
+    ``n_shingles`` alone; an empty table gives none.  Other columns of ``docs``
+    are not read.
     """
     source = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("text"))
-    sketches = written(source.mapInArrow(
-        lambda it: _sketch(it, words), "doc long, n_shingles long, set_a long, set_b long, sketch binary"), "sketches")
+    sketched = source.mapInArrow(
+        lambda it: _sketch(it, words), "doc long, n_shingles long, set_a long, set_b long, sketch binary")
+    sketches = written(sketched.withColumn("row", F.monotonically_increasing_id()), "sketches")
     linked = sketches.where("doc is not null and set_a is not null")
-    classes = written(linked.groupBy("set_a", "set_b").agg(F.min("doc").alias("low")), "set_classes")
+    classes = written(linked.groupBy("set_a", "set_b").agg(F.min("doc").alias("low"), F.min("row").alias("node")), "set_classes")
     member = linked.select("doc", "set_a", "set_b").join(classes, ["set_a", "set_b"])
     same = member.where("doc <> low").select(F.col("doc").alias("u"), F.col("low").alias("v"))
-    low = classes.select("set_a", "set_b", F.col("low").alias("doc"))
-    one = F.max(F.struct(F.col("n_shingles").alias("n"), "sketch")).alias("one")
-    sketch_of = written(linked.join(low, ["set_a", "set_b", "doc"], "left_semi").groupBy("doc").agg(one)
-                        .select("doc", "one.n", "one.sketch"), "sketch_of")
+    # from here on "doc" is the node of a class
+    sketch_of = written(sketches.join(classes.select("node"), F.col("row") == F.col("node"))
+                        .select(F.col("node").alias("doc"), F.col("n_shingles").alias("n"), "sketch"), "sketch_of")
 
     bands = sketch_of.select("doc", "sketch").mapInArrow(_bands, "band long, doc long")
     shared = bands.groupBy("band").agg(F.min("doc").alias("low"), F.count("*").alias("size")).where("size > 1")
@@ -324,9 +337,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         .mapInArrow(lambda it: _promising(it, percent), "a long, b long")
     first = written(first, "first_pairs")
 
-    in_bucket = buckets.select(F.col("doc").alias("_doc")).distinct()
-    sets = written(source.where("_doc is not null").join(in_bucket, "_doc", "left_semi")
-                   .mapInArrow(lambda it: _sets(it, words), "doc long, shingles binary").distinct(), "sets")
+    in_bucket = classes.join(buckets.select(F.col("doc").alias("node")).distinct(), "node")
+    texts = source.join(in_bucket.select(F.col("low").alias("_doc")).distinct(), "_doc", "left_semi")
+    sets = texts.mapInArrow(lambda it: _sets(it, words), "set_a long, set_b long, shingles binary") \
+        .groupBy("set_a", "set_b").agg(F.first("shingles").alias("shingles")).join(in_bucket, ["set_a", "set_b"]) \
+        .select(F.col("node").alias("doc"), "shingles")
+    sets = written(sets, "sets")
     links = written(_verify(first, sets, percent), "first_links")
 
     # what the links of a bucket's smallest class have not joined
@@ -350,8 +366,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     more = written(pieces.mapInArrow(lambda it: _by_piece(it, lambda held: _missing_links(held, percent), "cluster"),
                                      "a long, b long"), "more_links")
 
-    every = same.unionByName(links.select(F.col("a").alias("u"), F.col("b").alias("v"))) \
-        .unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    near = links.unionByName(more)
+    for end in ("a", "b"):
+        low = classes.select(F.col("node").alias(end), F.col("low").alias(f"low_{end}"))
+        near = near.join(low, end)
+    every = same.unionByName(near.select(F.col("low_a").alias("u"), F.col("low_b").alias("v")))
     component = connected_components(every)
     return sketches.join(component, sketches["doc"] == component["node"], "left").select(
         F.col("doc").alias(id_col), "n_shingles",

@@ -31,6 +31,12 @@ def test_components_of_paths_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_a_hot_node(spark):
+    links = [(0, k) for k in range(1, 3000)] + [(5000 + k, 5001 + k) for k in range(60)] + [(2999, 9000), (9000, 9001)]
+    out = dict(map(tuple, connected_components(spark.createDataFrame(links, "u long, v long").repartition(7)).collect()))
+    assert out == {**{k: 0 for k in [*range(3000), 9000, 9001]}, **{k: 5000 for k in range(5000, 5061)}}
+
+
 def words_of(text):
     return (text or "").encode().lower().split()
 
@@ -81,6 +87,38 @@ def test_near_duplicates_of_odd_rows(spark):
     assert hyperminhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark, monkeypatch):
+    """Against brute force over documents that hold several texts."""
+    monkeypatch.setattr(hyperminhash, "SKETCH_PIECE", 8)
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(300)]
+    one, two = ([rng.choice(vocabulary) for _ in range(50)] for _ in range(2))
+
+    def near(base):
+        w = list(base)
+        w[rng.randrange(len(w))] = rng.choice(vocabulary)
+        return " ".join(w)
+
+    rows = [(i, near(one)) for i in range(30)] + [(i, None) for i in range(30)] + [(i, "") for i in range(0, 30, 3)]
+    rows += [(40 + i, near(two)) for i in range(20)] + [(5, None), (5, " ")]
+    rows += [(100, " ".join(rng.choice(vocabulary) for _ in range(30))), (100, None), (101, None), (101, ""), (102, "  ")]
+    rows += [(0, " ".join(one)), (0, " ".join(two)), (41, "short text"), (200, "short text"), (None, near(one)), (41, near(two))]
+    rows += [(300, t) for t in ("a b c d e f", "g h i j k l")] + [(301, "a b c d e f"), (302, "g h i j k l")]
+    rng.shuffle(rows)
+    ids = sorted({i for i, _ in rows if i is not None})
+    sets = {i: [x for d, t in rows if d == i and (x := shingles(t, 4))] for i in ids}
+    links = [(p, q) for p in range(len(ids)) for q in range(p) if any(
+        100 * len(x & y) >= 80 * len(x | y) for x in sets[ids[p]] for y in sets[ids[q]])]
+    expected = {i: ids[r] for i, r in zip(ids, roots_of(len(ids), links))}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = hyperminhash.near_duplicates(docs, words=4).collect()
+    assert len(out) == len(rows) and {r["doc_id"]: r["component_id"] for r in out if r["doc_id"] is not None} == expected
+    assert all(r["kept"] == (r["doc_id"] is None or r["component_id"] == r["doc_id"]) for r in out)
+    assert sorted((str(r["doc_id"]), r["n_shingles"]) for r in out) == sorted((str(i), len(shingles(t, 4))) for i, t in rows)
+    kept = hyperminhash.deduplicated(docs, 4).select("doc_id").distinct().collect()
+    assert {r[0] for r in kept} == {i for i in ids if expected[i] == i} | {None}
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(3)
     for n in (40, 500, 20_000):
