@@ -150,33 +150,86 @@ def average_ranks(cells: DataFrame, group_cols: Sequence[str] = (), value: str =
     return c.withColumn(out, F.col("_cum") - (F.col(weight) - F.lit(1)) / F.lit(2.0)).drop("_cum")
 
 
+#: Rank error of the quantile sketch, as a part of a group's rows; of smaller
+#: groups all values are kept.
+SKETCH_ACCURACY = 5000
+
+
+def bracketed_cells(df: DataFrame, value: ColumnOrName, probs: Sequence[float],
+                    group_cols: Sequence[str] = ()) -> DataFrame:
+    """Cells ``(group, _v, _beside, _w)`` that keep the order statistics of
+    ``probs``: a mergeable sketch brackets each of them by two values, one
+    counting pass keeps the values inside the brackets and sums up the rows of
+    each gap between them in one cell (``_beside`` 1, behind the bracket below
+    it).  About ``4 / SKETCH_ACCURACY`` of the rows of a group lie inside a
+    bracket, so hardly anything is sorted or written."""
+    group_cols = list(group_cols)
+    vals = df.select(*group_cols, _col(value).alias("_v")).where(F.col("_v").isNotNull())
+    slack = 2 / SKETCH_ACCURACY
+    ends = [F.lit(min(1.0, max(0.0, p + d))) for p in probs for d in (-slack, slack)]
+    n = F.count(F.lit(1))
+    sketched = F.percentile_approx("_v", F.array(*ends), F.lit(SKETCH_ACCURACY))
+    whole = F.array(*[F.min("_v"), F.max("_v")] * len(probs))
+    # ranks are rounded to whole rows, which matters in small groups
+    ends = materialize(vals.groupBy(*group_cols).agg(F.when(n <= SKETCH_ACCURACY, whole).otherwise(sketched).alias("_e")),
+                       "brackets")
+    if group_cols:
+        named = ends.select("_e", *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group_cols)])
+        same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group_cols)]
+        vals = vals.join(named, same).select(*group_cols, "_v", "_e")
+    else:
+        vals = vals.withColumn("_e", ends.select("_e").scalar())
+    v, lo, hi = F.col("_v"), [F.col("_e")[2 * i] for i in range(len(probs))], [F.col("_e")[2 * i + 1] for i in range(len(probs))]
+    inside = F.lit(False)
+    for a, b in zip(lo, hi):
+        inside = inside | ((v >= a) & (v <= b))
+    below = [F.when(v > b, b) for b in hi]
+    gap = F.greatest(*below) if len(below) > 1 else below[0]
+    return vals.select(*group_cols, F.when(inside, v).otherwise(gap).alias("_v"), (~inside).cast("int").alias("_beside")) \
+        .groupBy(*group_cols, "_v", "_beside").agg(F.count(F.lit(1)).alias("_w"))
+
+
+def _order_statistics(cells: DataFrame, probs: Sequence[float], names: Sequence[str],
+                      group_cols: Sequence[str]) -> DataFrame:
+    """Per group the rows, and for each quantile its place and the values at
+    the whole places below and above; null where these are in no kept cell."""
+    c = cumulative_within(cells, group_cols, ["_v", "_beside"], "_w", cum="_cum", total="_total")
+    c = c.withColumn("_start", F.col("_cum") - F.col("_w"))
+    aggs = [F.max("_total").alias("_total")]
+    kept = F.col("_beside") == 0
+    for p, nm in zip(probs, names):
+        pos = (F.col("_total") - 1) * F.lit(float(p))
+        c = c.withColumn(f"_{nm}_pos", pos)
+        for end, place in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            c = c.withColumn(f"_{nm}_{end}", F.when(kept & (F.col("_start") <= place) & (place < F.col("_cum")), F.col("_v")))
+        aggs += [F.max(f"_{nm}_{x}").alias(f"_{nm}_{x}") for x in ("lo", "hi", "pos")]
+    return materialize(c.groupBy(*group_cols).agg(*aggs), "quantiles")
+
+
 def exact_quantiles(df: DataFrame, value: ColumnOrName, probs: Sequence[float],
                     names: Sequence[str] | None = None, group_cols: Sequence[str] = (),
                     count_name: str | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy/pandas ``linear``, SQL
-    ``quantile_cont``) per group.
+    ``quantile_cont``) per group; a group without values has no row, an
+    ungrouped column without values a row of nulls.
 
-    Values are first aggregated to distinct (group, value) cells (partial
-    aggregation); running counts over the range-partitioned cells locate the
-    order statistics, so no group's values are gathered in one buffer or task."""
+    A sketch brackets the order statistics, and they are selected exactly among
+    the cells inside the brackets (``bracketed_cells``).  Should a sketch miss
+    one, which is seen from the counts, the distinct values of all groups are
+    counted instead."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    c = cumulative_within(value_cells(df, value, group_cols), group_cols, ["_v"], "_w", cum="_cum", total="_total")
-    c = c.withColumn("_start", F.col("_cum") - F.col("_w"))
-    aggs = []
-    for p, nm in zip(probs, names):
-        pos = (F.col("_total") - 1) * F.lit(float(p))
-        lo = F.floor(pos)
-        hi = F.ceil(pos)
-        c = (c.withColumn(f"_{nm}_pos", pos)
-             .withColumn(f"_{nm}_lo", F.when((F.col("_start") <= lo) & (lo < F.col("_cum")), F.col("_v")))
-             .withColumn(f"_{nm}_hi", F.when((F.col("_start") <= hi) & (hi < F.col("_cum")), F.col("_v"))))
-        aggs += [F.max(f"_{nm}_lo").alias(f"_{nm}_lo"), F.max(f"_{nm}_hi").alias(f"_{nm}_hi"),
-                 F.max(f"_{nm}_pos").alias(f"_{nm}_pos")]
+    group_cols = list(group_cols)
+    g = _order_statistics(bracketed_cells(df, value, probs, group_cols), probs, names, group_cols)
+    missed = F.lit(False)
+    for nm in names:
+        missed = missed | F.col(f"_{nm}_lo").isNull() | F.col(f"_{nm}_hi").isNull()
+    if not g.where(F.col("_total").isNotNull() & missed).isEmpty():
+        cells = value_cells(df, value, group_cols).withColumn("_beside", F.lit(0))
+        g = _order_statistics(cells, probs, names, group_cols)
     if count_name:
-        aggs.append(F.max("_total").alias(count_name))
-    g = c.groupBy(*group_cols).agg(*aggs)
+        g = g.withColumnRenamed("_total", count_name)
     for nm in names:
         lo, hi, pos = F.col(f"_{nm}_lo"), F.col(f"_{nm}_hi"), F.col(f"_{nm}_pos")
         g = g.withColumn(nm, lo.cast("double") + (hi.cast("double") - lo.cast("double")) * (pos - F.floor(pos)))
         g = g.drop(f"_{nm}_lo", f"_{nm}_hi", f"_{nm}_pos")
-    return g
+    return g.drop("_total")
