@@ -100,8 +100,8 @@ def base_matches(text: str) -> Iterator[tuple[Span, bool]]:
 # ---------------------------------------------------------- loose candidates
 
 _LOOSE = (
-    (0, "at", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}"
-                         r"(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]{1,63}){1,8}")),
+    (0, "at", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++"
+                         r"(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)+")),
     (1, ":", re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")),
     (2, "", re.compile(r"(?<![0-9A-Za-z+._/-])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9A-Za-z])")),
     (3, "", re.compile(r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])")),
@@ -110,7 +110,9 @@ _LOOSE = (
 
 def candidates(text: str) -> tuple[list[Span], list[Span]]:
     """The base spans of ``text``, and its loose candidates that overlap none
-    of them, each in the order of kind and start."""
+    of them, each in the order of kind and start.  A number whose check digit
+    fails is a candidate for a card only with a word of ``CUES`` among the
+    ``CONTEXT`` characters before it."""
     base, failed = [], []
     for span, good in base_matches(text):
         (base if good else failed).append(span)
@@ -119,6 +121,9 @@ def candidates(text: str) -> tuple[list[Span], list[Span]]:
     for kind, sign, pattern in _LOOSE:
         if sign in text:
             loose += [Span(kind, *m.span()) for m in pattern.finditer(text)]
+    # a failed check digit speaks against a card: only a word beside it makes it one to vote on
+    loose = [s for s in loose if s.kind != 2 or luhn(_digits(text[s.start:s.end]))
+             or CUES[2].search(text, max(0, s.start - CONTEXT), s.start)]
     if loose and base:
         taken = sorted((s.start, s.end) for s in base)
         starts = np.array([t[0] for t in taken])

@@ -20,19 +20,22 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsfeat.llm.hyperminhash import registers
 from newsfeat.llm.hashing import BYTE_VALUES_LOWER, U64, WORD_OR_SIGN, Block, as_bytes, blocks, mix, window_hash
 from newsfeat.llm.tables import label_sample, with_sample, written
 
 BUCKET_BITS = 22
 GRADES = 4
 BEGINNINGS = (4, 5, 6)
-#: Labelled documents that the model is fitted on, and features it selects.
+#: Labelled documents that the model is fitted on.
 SAMPLE_ROWS = 20_000
-MOST_FEATURES = 2_000
+#: Share of equal registers from which labelled texts count as copies.
+COPY = 0.7
 #: Standard errors that a feature's share among toxic texts must exceed.
 LEAST_Z = 5.0
 LEAST_TOXIC = 4
@@ -143,20 +146,38 @@ def covering(row: np.ndarray, col: np.ndarray, n_features: int, toxic: np.ndarra
 
 def _lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the lowest hash of 4 neighbouring words (of its words, if a text
-    has fewer; null without words)."""
+    has fewer; null without words), and a sketch of all of them."""
     signs = np.where(WORD_OR_SIGN == 1, 1, 0).astype(np.uint8)
     for batch in batches:
         low: list[int | None] = []
+        sketch: list[bytes | None] = []
         texts = as_bytes(batch.column("text"))
         for lo, hi in blocks(texts):
             b = Block(texts[lo:hi], signs, BYTE_VALUES_LOWER)
             whole = window_hash(b.hash, 4)
             first = np.searchsorted(b.doc, np.arange(b.n + 1))
             for s, e in zip(first[:-1], first[1:]):
-                own = whole[s:e - 3] if e - s > 3 else b.hash[s:e]
-                low.append(int(own.min().astype(np.int64)) if len(own) else None)
+                own = np.unique(whole[s:e - 3] if e - s > 3 else b.hash[s:e])
+                low.append(int(own[0].astype(np.int64)) if len(own) else None)
+                sketch.append(registers(own).tobytes() if len(own) else None)
         yield pa.RecordBatch.from_arrays([batch.column("_doc").cast(pa.int64()), batch.column("text"), batch.column("_label"),
-                                          pa.array(low, pa.int64())], names=["_doc", "text", "_label", "low"])
+                                          pa.array(low, pa.int64()), pa.array(sketch, pa.binary())],
+                                         names=["_doc", "text", "_label", "low", "sketch"])
+
+
+def _without_copies(group: pd.DataFrame) -> pd.DataFrame:
+    """Of labelled texts with one lowest hash those that resemble none before
+    them; texts without words all stay."""
+    group = group.sort_values("_doc", kind="stable")
+    kept: list[np.ndarray] = []
+    good = []
+    for sketch in group["sketch"]:
+        own = None if sketch is None else np.frombuffer(sketch, np.uint16)
+        new = own is None or not kept or (np.array(kept) == own).mean(axis=1).max() < COPY
+        good.append(new)
+        if new and own is not None:
+            kept.append(own)
+    return group[good][["_doc", "_label", "text"]]
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,15 +208,14 @@ def _sampled(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterato
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Fitted on at most ``sample_rows`` labelled documents; the driver gets
-    the candidate features (``MOST_FEATURES`` at most) of these.  Without texts
-    of both labels the model finds nothing toxic."""
+    """Fitted on at most ``sample_rows`` labelled documents (``SAMPLE_ROWS``);
+    the driver gets the candidate features of these, all that pass the test.
+    Without texts of both labels the model finds nothing toxic."""
     sample = label_sample(labels, label_col, sample_rows).cache()
-    # copies of a text would make its rare words look toxic: of texts with the
-    # same lowest shingle hash one stays
-    one = F.min(F.struct("_doc", "_label", "text")).alias("one")
+    # copies of a text would make its rare words look toxic: one of them stays
     texts = written(with_sample(docs, sample, "inner", id_col, text_col)
-                    .mapInArrow(_lowest, "_doc long, text string, _label int, low long").groupBy("low").agg(one).select("one._doc", "one._label", "one.text"), "toxic_sample")
+                    .mapInArrow(_lowest, "_doc long, text string, _label int, low long, sketch binary")
+                    .groupBy("low").applyInPandas(_without_copies, "_doc long, _label int, text string"), "toxic_sample")
     size = texts.groupBy((F.col("_label") > 0).alias("toxic")).count().collect()
     n_toxic = sum(r["count"] for r in size if r["toxic"])
     n_clean = sum(r["count"] for r in size if not r["toxic"])
@@ -207,8 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share_t, share_c = (F.col("t") + 0.5) / (n_toxic + 1), (F.col("c") + 0.5) / (n_clean + 1)
     pooled = (F.col("t") + F.col("c") + 1) / (n_toxic + n_clean + 2)
     z = (share_t - share_c) / F.sqrt(pooled * (1 - pooled) * (1 / n_toxic + 1 / n_clean))
-    chosen = shares.where(F.col("t") >= LEAST_TOXIC).withColumn("z", z).where(F.col("z") >= LEAST_Z) \
-        .orderBy(F.desc("z"), "bucket").limit(MOST_FEATURES).select("bucket").collect()
+    chosen = shares.where(F.col("t") >= LEAST_TOXIC).withColumn("z", z).where(F.col("z") >= LEAST_Z).select("bucket").collect()
     found = np.sort(np.array([r[0] for r in chosen], np.uint64))
 
     def sampled(bucket: np.ndarray) -> tuple[ToxicityModel, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
