@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from newsfeat.functions import dates as Dt
 from newsfeat.operators import aggregates as A
 from newsfeat.operators import prepare as prep
+from newsfeat.operators import profiles as Pf
 from newsfeat.operators import sampling as Smp
-from newsfeat.operators.ranking import row_number_within
+from newsfeat.operators.ranking import materialize, row_number_within
 from newsfeat.queries import sql as S
 from newsfeat.queries.common import articles, prepared, split_articles, table
 from newsfeat.queries.registry import query
 
+R = 9
 RANK_COLS = ["importanceRank", "alexaGlobalRank", "alexaCountryRank"]
 
 
@@ -298,6 +300,57 @@ def a20_profile(spark, sf_dir):
     return A.profile(unscaled(spark, sf_dir), _PROF_COLS)
 
 
+_TOP_COLS = ["lang", "sourceTitle", "authors", "categoryLabels", "sharesFacebook", "uri", "body"]
+
+
+def _top_values_sql(src, cols, k):
+    return "\nUNION ALL\n".join(f"""SELECT * FROM (SELECT '{c}' AS "column",
+  cast(row_number() OVER (ORDER BY count(*) DESC, cast({c} AS VARCHAR)) AS INTEGER) AS rank,
+  cast({c} AS VARCHAR) AS value, count(*) AS count
+  FROM {src} WHERE {c} IS NOT NULL GROUP BY {c}) WHERE rank <= {k}""" for c in cols)
+
+
+@query("a20_top_values", S.with_(S.ARTICLES, _top_values_sql("articles", _TOP_COLS, 5)))
+def a20_top_values(spark, sf_dir):
+    """Five top values of each column, of texts and keys too."""
+    return Pf.top_values(articles(spark, sf_dir), _TOP_COLS, 5)
+
+
+_SKETCHED = ["sourceTitle", "authors", "sharesFacebook", "importanceRank", "alexaCountryRank", "uri"]
+
+
+def _sketch_sql(src, cols, num):
+    parts = []
+    for c in cols:
+        d = f"cast({c} AS DOUBLE)" if c in num else "cast(NULL AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS missing,
+  round(min({d}), {R}) AS "min", round(max({d}), {R}) AS "max", round(avg({d}), {R}) AS mean, round(stddev_samp({d}), {R}) AS std,
+  true AS distinct_near, true AS median_near, true AS same_as_whole FROM {src}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("a20_profile_merged", S.with_(S.ARTICLES, _sketch_sql("articles", _SKETCHED, {
+    "sharesFacebook", "importanceRank", "alexaCountryRank"})))
+def a20_profile_merged(spark, sf_dir):
+    """A20 as stored sketches: those of two halves of the articles, written and
+    merged.  The estimates are held against exact counts (four standard errors,
+    twice the rank error) and against the sketches of the whole."""
+    a = articles(spark, sf_dir)
+    halves = [materialize(Pf.column_sketches(a.where(F.col("ingest_seq") % 2 == k), _SKETCHED), "sketches") for k in (0, 1)]
+    report = Pf.sketch_report(Pf.merged_sketches(*halves))
+    whole = Pf.sketch_report(Pf.column_sketches(a, _SKETCHED)).select("column", F.col("distinct").alias("whole"))
+    values = Pf._stacked(a, _SKETCHED)
+    exact = values.groupBy("column").agg(F.count_distinct("sval").alias("exact"))
+    rank = values.join(report.select("column", "p50"), "column").groupBy("column").agg(
+        F.avg((F.col("dval") < F.col("p50")).cast("double")).alias("below"), F.avg((F.col("dval") <= F.col("p50")).cast("double")).alias("upto"))
+    out = report.join(whole, "column").join(exact, "column").join(rank, "column")
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 4 * Pf.DISTINCT_ERROR)
+    median = (F.col("below") <= 0.5 + 2 * Pf.RANK_ERROR) & (F.col("upto") >= 0.5 - 2 * Pf.RANK_ERROR)
+    return out.select("column", "rows", "missing", *[F.round(c, R).alias(c) for c in ("min", "max", "mean", "std")],
+                      near.alias("distinct_near"), F.coalesce(median, F.lit(True)).alias("median_near"),
+                      (F.col("distinct") == F.col("whole")).alias("same_as_whole"))
+
+
 @query("a23_daily_topic_series", S.with_(S.PREPARED_UNSCALED, """
 SELECT topic, date_column, count(*) AS "count" FROM prepared_unscaled GROUP BY topic, date_column"""))
 def a23_daily_topic_series(spark, sf_dir):
