@@ -1,16 +1,19 @@
 """Incremental scoring of arriving articles (Q1) on Structured Streaming.
 
-``readStream`` of export files (declared schema) -> the same column
-functions as the batch chain -> ``foreachBatch`` sink:
-
-* inside a micro-batch the first copy of a uri in file order is kept
-  (``min_by``, partial aggregation);
-* across micro-batches a uri already in the sink is dropped with a
-  left-anti join on the sink's keys (of the sink only that column is read),
-  however far apart the copies' dates are;
-* a batch re-run after a failure writes nothing twice (the anti-join sees
-  the committed files; Spark commits a batch's files atomically), and the
-  stream's progress lives in the checkpoint location.
+``readStream`` of export files (declared schema) -> first copies by engine-managed
+keyed state -> the same column functions as the batch chain -> ``foreachBatch``
+sink:
+
+* the state holds, for every uri of the year seen so far, where its first copy
+  stood.  It lives in the RocksDB state store under the query's checkpoint and is
+  partitioned by uri: a micro-batch looks up its own uris only, and nothing of
+  the sink is read, however old it is.  The first copy counts also if a later step
+  drops it, as in the batch chain;
+* inside a micro-batch the first copy in file order wins; every task keeps one
+  copy of a uri for each Arrow batch before the shuffle, so that a uri with very
+  many copies costs few rows;
+* a batch re-run after a failure starts from the state of the batch before and
+  overwrites its own partition of the sink.
 
 Fits (robust scaler, models) come from a saved batch fit: they are plain
 numbers / models, never recomputed from a stream.
@@ -18,13 +21,19 @@ numbers / models, never recomputed from a stream.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from newsfeat.functions import text as Tx
 from newsfeat.operators import prepare as prep
 from newsfeat.operators import scorers as Sc
-from newsfeat.sources.articles import EXPORT_SCHEMA, FLAT_COLUMNS, flatten_articles, path_exists
+from newsfeat.sources.articles import EXPORT_SCHEMA, FLAT_COLUMNS, flatten_articles
+from newsfeat.sources.tables import FLAT_SCHEMA
 
 
 def article_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -47,10 +56,49 @@ def scale_literals(fit: DataFrame) -> tuple[float, float]:
     return float(row["center"]), float(row["scale"])
 
 
+_PACKED = "uri string, file string, pos long, row string"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _first(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.sort_values(["file", "pos"], kind="stable").drop_duplicates("uri")
+
+
+def _first_in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        yield _first(rows)
+
+
+def _first_ever(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The first copy of a uri, if none came in an earlier micro-batch."""
+    if state.exists:
+        return
+    best = None
+    for rows in batches:
+        best = _first(rows if best is None else pd.concat([best, rows]))
+    state.update((best["file"].iloc[0], int(best["pos"].iloc[0])))
+    yield best[["file", "pos", "row"]]
+
+
+def first_copies(stream: DataFrame, year: int) -> DataFrame:
+    """D1 over a stream: of all rows of ``year`` the first copy of each uri
+    (null is a uri), by arrival and inside a micro-batch by file order.  Rows
+    travel as JSON of the declared columns, so no type passes through pandas."""
+    kept = prep.filter_year(prep.parse_date(stream), year)
+    packed = kept.select("uri", F.col("ingest_seq.file").alias("file"), F.col("ingest_seq.pos").cast("long").alias("pos"),
+                         F.to_json(F.struct(*FLAT_COLUMNS)).alias("row"))
+    first = packed.mapInPandas(_first_in_task, _PACKED).groupBy("uri").applyInPandasWithState(
+        _first_ever, "file string, pos long, row string", "file string, pos long", "append", GroupStateTimeout.NoTimeout)
+    return first.select(F.from_json("row", FLAT_SCHEMA).alias("r"), F.struct("file", "pos").alias("ingest_seq")) \
+        .select("r.*", "ingest_seq")
+
+
 def score_articles(batch: DataFrame, center: float, scale: float, year: int) -> DataFrame:
-    """The batch feature chain on one micro-batch: preparation (with the
-    saved scaler), tokens, sentiment, moderation, entities."""
-    df = prep.prepared_rows(batch, year)
+    """The batch feature chain on rows that are the only ones of their uri:
+    preparation (with the saved scaler), tokens, sentiment, moderation,
+    entities."""
+    df = prep.prepared_rows(batch, year, first_only=False)
     df = df.withColumn("shares_scaled", (F.col("sharesFacebook") - F.lit(center)) / F.lit(scale))
     df = Sc.skip_empty(Tx.preprocess_text(df, "body", "body_pre"), "body_pre")
     df = Sc.sentiment_lexicon(df, "body_pre")
@@ -60,24 +108,30 @@ def score_articles(batch: DataFrame, center: float, scale: float, year: int) ->
 
 def run_incremental_scoring(spark: SparkSession, source: str, sink: str, checkpoint: str,
                             center: float, scale: float, year: int = 2023,
-                            max_files_per_trigger: int | None = None) -> None:
+                            max_files_per_trigger: int | None = None) -> list[dict]:
     """Process every export file not yet seen (``Trigger.AvailableNow``)
-    and append the newly scored, de-duplicated articles to ``sink``."""
+    and write the newly scored, de-duplicated articles to ``sink``, a folder a
+    micro-batch (``batch_id``) and month.  Returns the progress of the
+    micro-batches."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read the batch's files once for all uses below
-        scored = score_articles(batch, center, scale, year)
-        if path_exists(spark, sink):
-            # the schema is given: a sink without rows has no file to take it from
-            known = spark.read.schema(scored.schema).parquet(sink).select(F.col("uri").alias("_known"))
-            scored = scored.join(known, F.col("uri").eqNullSafe(F.col("_known")), "left_anti")
-        scored.write.mode("append").partitionBy("year_month").parquet(sink)
-        batch.unpersist()
-
-    stream = article_stream(spark, source, max_files_per_trigger)
-    q = (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+        scored = score_articles(batch, center, scale, year).withColumn("batch_id", F.lit(batch_id))
+        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("batch_id", "year_month").parquet(sink)
+
+    given = spark.conf.get(STATE_STORE, None)
+    if given is None or given.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, ROCKSDB)  # state beyond an executor's heap
+    try:
+        q = (first_copies(article_stream(spark, source, max_files_per_trigger), year).writeStream.foreachBatch(process)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+        return [p if isinstance(p, dict) else json.loads(p.json) for p in q.recentProgress]
+    finally:
+        if given is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, given)
 
 
 def drop_duplicates_within_watermark(stream: DataFrame, delay: str = "30 days") -> DataFrame:
