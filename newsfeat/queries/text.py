@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from newsfeat.functions import columns as Cols
 from newsfeat.functions import text as Tx
+from newsfeat.operators import lexicons as Lx
 from newsfeat.operators import scorers as Sc
+from newsfeat.operators.ranking import materialize
 from newsfeat.plans import featurize as Fz
 from newsfeat.queries import sql as S
 from newsfeat.queries.common import articles, split_articles, table
@@ -307,6 +309,76 @@ def n2_lemmas(spark, sf_dir):
     return Tx.preprocess_text(d, "text", "pre", lemmas=LEMMAS, stop_words=[]).select("doc_id", "pre")
 
 
+_RULES_SQL = ", ".join(f"({k}, '{pos}', '{a}', '{b}')" for k, (pos, a, b) in enumerate(Lx.SUFFIX_RULES))
+_POS = list(dict.fromkeys(r[0] for r in Lx.SUFFIX_RULES))
+_POS_SQL = ", ".join(f"({i}, '{pos}')" for i, pos in enumerate(_POS))
+
+
+@query("n2_dictionary_lemmas", f"""
+WITH toks AS MATERIALIZED (SELECT doc_id, {tok_sql('text')} AS t FROM documents)
+, words AS MATERIALIZED (SELECT w, count(*) AS docs FROM (SELECT DISTINCT doc_id, unnest(t) AS w FROM toks) GROUP BY w)
+, parts(i, pos) AS (VALUES {_POS_SQL}), rules(k, pos, old, new) AS (VALUES {_RULES_SQL})
+, lexicon AS MATERIALIZED (SELECT w, pos FROM words, parts WHERE docs >= 4 AND (length(w) + i) % 3 <> 0)
+, irregular AS MATERIALIZED (SELECT w, reverse(w) AS lemma FROM words WHERE docs = 3 AND length(w) = 4)
+, candidates AS (
+    SELECT w, i * 1000 AS place, lemma FROM irregular, parts WHERE pos = 'verb'
+    UNION ALL SELECT w, i * 1000 + 1, w FROM words JOIN lexicon USING (w) JOIN parts USING (pos)
+    UNION ALL
+    SELECT c.w, c.place, c.lemma FROM (
+        SELECT w, i * 1000 + 2 + k AS place, pos, left(w, length(w) - length(old)) || new AS lemma
+        FROM words, rules JOIN parts USING (pos) WHERE ends_with(w, old)) c
+      JOIN lexicon l ON l.w = c.lemma AND l.pos = c.pos)
+, lemmas AS MATERIALIZED (SELECT w, arg_min(lemma, place) AS lemma FROM candidates GROUP BY w)
+, one AS (SELECT doc_id, generate_subscripts(t, 1) AS spot, unnest(t) AS w FROM toks)
+SELECT doc_id, coalesce(string_agg(coalesce(lemma, w), ' ' ORDER BY spot), '') AS lemmas,
+       count(*) FILTER (WHERE lemma <> w)::BIGINT AS changed
+FROM one LEFT JOIN lemmas USING (w) GROUP BY doc_id""")
+def n2_dictionary_lemmas(spark, sf_dir):
+    """N2 with suffix rules, a lexicon (the words of four documents and more)
+    and a list of exceptions, both tables made from the documents."""
+    d = table(spark, sf_dir, "documents").select("doc_id", Tx.tokens("text").alias("t"))
+    words = materialize(d.select("doc_id", F.explode("t").alias("word")).distinct().groupBy("word").agg(F.count("*").alias("docs")), "words")
+    lexicon = words.where("docs >= 4").select("word", F.posexplode(F.array(*map(F.lit, _POS))).alias("i", "pos")) \
+        .where((F.length("word") + F.col("i")) % 3 != 0)
+    irregular = words.where("docs = 3 and length(word) = 4").select("word", F.lit("verb").alias("pos"), F.reverse("word").alias("lemma"))
+    out = Lx.lemmatised(d, "doc_id", "t", Lx.lemma_table(words, lexicon, irregular))
+    pairs = F.zip_with("t", "lemmas", lambda a, b: (a != b).cast("long"))
+    return out.where(F.size("t") > 0).select("doc_id", F.array_join("lemmas", " ").alias("lemmas"),
+                                            F.aggregate(pairs, F.lit(0).cast("long"), lambda a, x: a + x).alias("changed"))
+
+
+_TYPES_SQL = "[" + ", ".join(f"'{t}'" for t in Cols.ENTITY_TYPES) + "]"
+_PAIR = r"[A-Za-z]{3,} [A-Za-z]{3,}"
+
+
+@query("n6_gazetteer_entities", f"""
+WITH names AS MATERIALIZED (
+    SELECT name, min(type) AS type FROM (
+        SELECT unnest(regexp_extract_all(text, '{_PAIR}')) AS name, {_TYPES_SQL}[item_id % 12 + 1] AS type FROM benchmark
+        UNION ALL
+        SELECT regexp_extract(text, '[A-Za-z]{{5,}}') AS name, {_TYPES_SQL}[item_id % 12 + 1] AS type FROM benchmark)
+    WHERE name <> '' GROUP BY name)
+, pattern AS (SELECT '(?:^|[^\\p{{L}}\\p{{N}}])(' || string_agg(replace(name, ' ', '  '), '|' ORDER BY length(name) DESC)
+                     || ')(?:$|[^\\p{{L}}\\p{{N}}])' AS p FROM names)
+, mentions AS (
+    SELECT doc_id, replace(unnest(regexp_extract_all(regexp_replace(text, '([^\\p{{L}}\\p{{N}}])', '\\1\\1', 'g'), p, 1)), '  ', ' ') AS name
+    FROM documents, pattern)
+SELECT type AS entity_type, count(*) AS mentions, count(DISTINCT doc_id) AS documents, sum(length(name))::BIGINT AS chars
+FROM mentions JOIN names USING (name) GROUP BY type""".replace("\\\\", "\\"))
+def n6_gazetteer_entities(spark, sf_dir):
+    """N6 with names of all twelve types: pairs of words and single words of
+    the benchmark items, found in every document."""
+    b = table(spark, sf_dir, "benchmark")
+    kind = F.element_at(F.array(*map(F.lit, Cols.ENTITY_TYPES)), (F.col("item_id") % 12 + 1).cast("int")).alias("type")
+    names = b.select(F.explode(F.regexp_extract_all("text", F.lit(_PAIR), 0)).alias("name"), kind) \
+        .unionByName(b.select(F.regexp_extract("text", "[A-Za-z]{5,}", 0).alias("name"), kind))
+    d = Lx.name_mentions(table(spark, sf_dir, "documents"), "text", names)
+    m = d.select("doc_id", F.explode("entities").alias("e"))
+    return m.groupBy(F.col("e.type").alias("entity_type")).agg(
+        F.count("*").alias("mentions"), F.count_distinct("doc_id").alias("documents"),
+        F.sum(F.col("e.end") - F.col("e.start")).cast("long").alias("chars"))
+
+
 @query("g4_new_columns", f"WITH _e AS ({_entities_sql('text')})\n" + "\nUNION ALL\n".join(
     f"SELECT {_lit(c)} AS \"column\", round(sum({c}), 6) AS total FROM _e" for c in _N8_ENT))
 def g4_new_columns(spark, sf_dir):
