@@ -220,3 +220,12 @@ def s12_sample_row_columns(spark, sf_dir):
     """One seeded random row shown column by column."""
     row = Smp.seeded_sample(unscaled(spark, sf_dir), 1, seed=5, key="uri").select(*_S12_COLS)
     return Snk.columns_as_rows(row)
+
+
+@query("f1_year_partitions", S.with_(S.ARTICLES, """
+SELECT uri, ingest_seq, date, try_cast(date AS DATE) AS date_column FROM articles
+WHERE year(try_cast(date AS DATE)) = 2023 AND try_cast(date AS DATE) <= DATE '2023-09-30'"""))
+def f1_year_partitions(spark, sf_dir):
+    """F1 on the layout by year: folders of other years are not read."""
+    path = Snk.write_by_year(articles(spark, sf_dir), scratch_path(spark, "by_year"))
+    return Snk.read_year(spark, path, 2023, last="2023-09-30").select("uri", "ingest_seq", "date", "date_column")

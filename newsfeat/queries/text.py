@@ -13,6 +13,8 @@ from newsfeat.operators import scorers as Sc
 from newsfeat.operators.ranking import materialize
 from newsfeat.plans import featurize as Fz
 from newsfeat.queries import sql as S
+from newsfeat.sources import sinks as Snk
+from newsfeat.session import scratch_path
 from newsfeat.queries.common import articles, split_articles, table
 from newsfeat.queries.exploration import unscaled
 from newsfeat.queries.registry import query
@@ -428,6 +430,25 @@ def p26_instance_values(spark, sf_dir):
     return _instance_values(Fz.scoring_instances(feats.where(F.col("split") == "TEST")))
 
 
+@query("s11_json_lines_values", _P26_SQL)
+def s11_json_lines_values(spark, sf_dir):
+    """The instances written as JSON lines, read back and parsed."""
+    feats = Fz.feature_table(split_articles(spark, sf_dir))
+    inst = Fz.scoring_instances(feats.where(F.col("split") == "TEST"))
+    path = Snk.write_json_lines(inst.select("instance"), scratch_path(spark, "jsonl"))
+    return _instance_values(spark.read.text(path).select(F.col("value").alias("instance")))
+
+
+@query("s11_request_document", _P26_SQL)
+def s11_request_document(spark, sf_dir):
+    """One ``{"instances": [...]}`` body of the TEST rows (a request holds
+    ``MOST_INSTANCES`` at most, which is its limit), parsed back to columns."""
+    feats = Fz.feature_table(split_articles(spark, sf_dir))
+    inst = Fz.scoring_instances(feats.where(F.col("split") == "TEST"))
+    body = Fz.instances_document(inst, Fz.MOST_INSTANCES)
+    return _instance_values(body.select(F.explode(F.from_json("request", "instances array<string>")["instances"]).alias("instance")))
+
+
 _P26_KEYS = ["title", "relevance", "authors", "sourceTitle", "importanceRank", "alexaGlobalRank", "month", "shares_scaled",
              "body_pre", "score", "magnitude", *[Cols.clean_name(c) for c in Cols.MODERATION_CATEGORIES],
              *[f"{t}_mean_salience" for t in ["PERSON", "OTHER", "ORGANIZATION", "EVENT", "LOCATION", "WORK_OF_ART",

@@ -112,3 +112,17 @@ def test_intermediate_tables_are_deleted_at_the_end_of_a_job(spark, monkeypatch)
     (path,) = session._SCRATCH
     assert os.path.exists(path) and session.drop_scratch(spark) == 1 and not os.path.exists(path)
     assert session.drop_scratch(spark) == 0
+
+
+def test_year_layout_prunes_folders_and_keeps_odd_dates(spark, tmp_path):
+    from newsfeat.sources import sinks as Snk
+
+    rows = [(1, " 2023-05-01"), (2, "2023-05-02T10:00:00Z"), (3, "2022-12-31"), (4, "not-a-date"), (5, None), (6, "+2023-7-4"), (7, "2023-11-30")]
+    path = Snk.write_by_year(spark.createDataFrame(rows, "id long, date string"), str(tmp_path / "y"), partitions=3)
+    df = Snk.read_year(spark, path, 2023, first="2023-05-02", last="2023-10-01")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "date_year" in filters and "2023" in filters
+    assert "date_column" in plan.split("PushedFilters:")[1].split("]")[0]
+    assert sorted(r[0] for r in df.select("id").collect()) == [2, 6]
+    assert sorted(r[0] for r in Snk.read_year(spark, path, 2023).select("id").collect()) == [1, 2, 6, 7]
