@@ -152,7 +152,7 @@ def average_ranks(cells: DataFrame, group_cols: Sequence[str] = (), value: str =
 
 #: Rank error of the quantile sketch, as a part of a group's rows; of smaller
 #: groups all values are kept.
-SKETCH_ACCURACY = 5000
+SKETCH_ACCURACY = 1000
 
 
 def bracketed_cells(df: DataFrame, value: ColumnOrName, probs: Sequence[float],

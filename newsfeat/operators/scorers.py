@@ -35,6 +35,14 @@ def skip_empty(df: DataFrame, text: str) -> DataFrame:
     return df.where(F.coalesce(F.col(text), F.lit("")) != "")
 
 
+def skip_empty_once(df: DataFrame, text: str) -> DataFrame:
+    """The same for a computed ``text`` that is dear: a filter on it would be
+    pushed below its projection and compute it a second time.  Passing it through
+    a generator of one row keeps the filter above."""
+    once = F.explode_outer(F.array(F.col(text))).alias(text)
+    return skip_empty(df.select(*[once if c == text else F.col(c) for c in df.columns]), text)
+
+
 # ----------------------------------------------------------------- sentiment
 
 # Polarity lexicon of the built-in sentiment scorer (lower-case

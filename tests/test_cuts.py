@@ -97,3 +97,12 @@ def test_quantiles_that_a_sketch_misses_are_counted(spark, monkeypatch):
     monkeypatch.setattr(ranking, "bracketed_cells", wrong)
     df = spark.range(9000).select(F.col("id").cast("double").alias("v"))
     assert ranking.exact_quantiles(df, "v", [0.5]).first()["q50"] == 4499.5
+
+
+def test_feature_chain_tokenises_once(spark):
+    from newsfeat.plans import featurize as Fz
+    from newsfeat.sources.tables import articles
+
+    df = Fz.feature_table(articles(spark, SF).withColumn("topic", F.col("categoryLabels")))
+    shown = df._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.count("regexp_extract_all(text") + shown.count("regexp_extract_all(body") <= 1
