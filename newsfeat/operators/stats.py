@@ -42,7 +42,7 @@ def stacked_pair_cells(df: DataFrame, xs: list[str], y: str) -> DataFrame:
             .groupBy("_var", "_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
 
 
-def _one_row(per_var: DataFrame, xs: list[str], value: str) -> DataFrame:
+def one_row(per_var: DataFrame, xs: list[str], value: str) -> DataFrame:
     """(_var, value) rows -> one row with a column per variable."""
     return per_var.groupBy().pivot("_var", list(xs)).agg(F.first(value))
 
@@ -72,7 +72,7 @@ def spearman_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
     va = F.col("saa") - F.col("sa") * F.col("sa") / F.col("n")
     vb = F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")
-    return _one_row(s_.select("_var", F.try_divide(cov, F.sqrt(F.greatest(va * vb, F.lit(0.0)))).alias("_rho")), xs, "_rho")
+    return one_row(s_.select("_var", F.try_divide(cov, F.sqrt(F.greatest(va * vb, F.lit(0.0)))).alias("_rho")), xs, "_rho")
 
 
 def spearman(df: DataFrame, x: str, y: str, name: str = "spearman") -> DataFrame:
@@ -115,7 +115,7 @@ def kendall_many(df: DataFrame, xs: list[str], y: str) -> DataFrame:
     per = (tot.join(S, "_var", "left").join(tx, "_var").join(ty, "_var")
            .select("_var", F.try_divide(F.coalesce(F.col("_S"), F.lit(0.0)),
                                          F.sqrt((n0 - F.col("_n1")) * (n0 - F.col("_n2")))).alias("_tau")))
-    return _one_row(per, xs, "_tau")
+    return one_row(per, xs, "_tau")
 
 
 def kendall_tau_b(df: DataFrame, x: str, y: str, name: str = "kendall") -> DataFrame:

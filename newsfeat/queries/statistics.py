@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from newsfeat.functions import dates as Dt
 from newsfeat.operators import prepare as prep
 from newsfeat.operators import stats as X
+from newsfeat.operators.mutual import knn_mutual_information
 from newsfeat.operators.ranking import average_ranks, value_cells
 from newsfeat.queries import sql as S
 from newsfeat.queries.common import table
@@ -134,6 +135,38 @@ def x5_mutual_info_lineitem(spark, sf_dir):
         "mutual_info", "l_quantity"))
 
 
+def _knn_sql(src, x, y, k=3):
+    """All pairs of rows; digamma of a whole number from a table of harmonic sums."""
+    def unit(c):
+        power = f"pow(10.0, floor(log10(s{c})) - 5)"
+        return f"cast(floor(({c} - {c}0) / CASE WHEN s{c} > 0 THEN round(s{c} / {power}) * {power} ELSE 1 END * 1073741824.0) AS BIGINT)"
+    p = _pairs_sql(src, x, y)
+    return f"""(SELECT CASE WHEN any_value(tot) > {k} THEN greatest(0, any_value(a.g) + avg(b.g - c.g - d.g)) END FROM (
+      SELECT i, any_value(tot) AS tot, any_value(CASE WHEN r = 0 THEN same ELSE {k} END) AS kk,
+             count(*) FILTER (WHERE dx < r OR dx = 0) AS nx, count(*) FILTER (WHERE dy < r OR dy = 0) AS ny FROM (
+        SELECT i, dx, dy, tot, count(*) FILTER (WHERE greatest(dx, dy) = 0) OVER (PARTITION BY i) AS same,
+               nth_value(greatest(dx, dy), {k + 1}) OVER (PARTITION BY i ORDER BY greatest(dx, dy)
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS r FROM (
+          SELECT u.i, abs(u.x - v.x) AS dx, abs(u.y - v.y) AS dy, u.tot FROM _W u, _W v)) GROUP BY i) e
+    JOIN _H a ON a.n = tot JOIN _H b ON b.n = kk JOIN _H c ON c.n = nx JOIN _H d ON d.n = ny)""".replace(
+        "_W", f"(SELECT row_number() OVER () AS i, {unit('x')} AS x, {unit('y')} AS y, tot FROM {p}, "
+              f"(SELECT min(x) AS x0, min(y) AS y0, stddev_pop(x) AS sx, stddev_pop(y) AS sy, count(*) AS tot FROM {p}))").replace(
+        "_H", "(SELECT n, -0.57721566490153286 + sum(CASE WHEN n > 1 THEN 1.0::DOUBLE / (n - 1) ELSE 0 END) OVER (ORDER BY n) AS g "
+              "FROM (SELECT unnest(range(1, 100000)) AS n))")
+
+
+@query("x5_knn_mutual_info", S.with_(S.PREPARED_UNSCALED, _row_sql(_knn_sql, RANK_COLS, "sharesFacebook")))
+def x5_knn_mutual_info(spark, sf_dir):
+    """X5 by nearest neighbours, as the survey's operator: ranks against shares."""
+    return _round_all(knn_mutual_information(unscaled(spark, sf_dir), RANK_COLS, "sharesFacebook"))
+
+
+@query("x5_knn_mutual_info_part", "SELECT " + f"round({_knn_sql('part', 'p_size', 'p_retailprice')}, {R}) AS p_size")
+def x5_knn_mutual_info_part(spark, sf_dir):
+    """X5 of few distinct values against a price."""
+    return _round_all(knn_mutual_information(table(spark, sf_dir, "part"), ["p_size"], "p_retailprice"))
+
+
 # ----------------------------------------------------------------- X6-X8
 
 def _anova_sql(src, g, x):
