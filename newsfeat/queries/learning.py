@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from newsfeat.functions.columns import MODERATION_CATEGORIES, clean_name
+from newsfeat.operators import attribution as At
 from newsfeat.operators import model as Mdl
 from newsfeat.operators.ranking import materialize
 from newsfeat.plans import featurize as Fz
@@ -178,6 +179,18 @@ def m1_topic_model_test_metrics(spark, sf_dir):
     return Mdl.metrics_rows(test)
 
 
+@query("m1_language_model_metrics")
+def m1_language_model_metrics(spark, sf_dir):
+    """P25 + M1 + M9 where there is something to learn: the language of
+    ``documents`` by their text, size and source, on every fifth document by hash."""
+    docs = table(spark, sf_dir, "documents").where("lang IS NOT NULL AND text IS NOT NULL").select(
+        F.col("doc_id").cast("string").alias("uri"), "lang", "text", "source", "n_chars",
+        (F.xxhash64("doc_id") % 5 == 0).alias("_test"))
+    spec = Mdl.FeatureSpec(text=["text"], categorical=["source"], numeric=["n_chars"])
+    model = Mdl.train_classifier(docs.where(~F.col("_test")), spec, "lang", 0.01)
+    return Mdl.metrics_rows(Mdl.prediction_table(model, Mdl.model_input(docs.where("_test"), spec), "lang"))
+
+
 @query("m2_validation_grid")
 def m2_validation_grid(spark, sf_dir):
     """M2: VALIDATE log loss for each regularisation."""
@@ -218,6 +231,46 @@ def m13_attributions(spark, sf_dir):
     return Mdl.linear_attributions(model, Mdl.model_input(feats.where(F.col("split") == "TEST"), TOPIC_SPEC), TOPIC_SPEC, "uri", top=3)
 
 
+@query("m13_shapley_topics")
+def m13_shapley_topics(spark, sf_dir):
+    """M13 by sampled Shapley walks: per TEST article, what each source column
+    adds to the probability of its class, against 16 articles of the training set."""
+    feats = _features(spark, sf_dir)
+    train = feats.where(F.col("split") == "TRAIN")
+    model = Mdl.train_classifier(train, TOPIC_SPEC, "topic", 0.1)
+    ground = Mdl.model_input(train.orderBy("uri").limit(16), TOPIC_SPEC)
+    return At.classifier_shapley(model, Mdl.model_input(feats.where(F.col("split") == "TEST"), TOPIC_SPEC), TOPIC_SPEC, ground)
+
+
+_CHARGE = """SELECT l_orderkey, l_linenumber, cast(round(l_extendedprice * 100) AS DOUBLE) AS price,
+ cast(100 - round(l_discount * 100) AS DOUBLE) AS paid, cast(100 + round(l_tax * 100) AS DOUBLE) AS taxed FROM lineitem"""
+_GAIN = "sum(({0} - g.{0}) * (2 * {1} * {2} + {1} * g.{2} + g.{1} * {2} + 2 * g.{1} * g.{2})) / 30 AS {0}_part"
+
+
+@query("m13_shapley_charge", f"""WITH c AS ({_CHARGE}),
+g AS (SELECT price, paid, taxed FROM c ORDER BY l_orderkey, l_linenumber LIMIT 5)
+SELECT l_orderkey, l_linenumber, sum(g.price * g.paid * g.taxed) / 5 AS baseline_output, c.price * c.paid * c.taxed AS instance_output,
+{_GAIN.format("price", "c.paid", "c.taxed").replace("g.c.", "g.").replace("(price", "(c.price")},
+{_GAIN.format("paid", "c.price", "c.taxed").replace("g.c.", "g.").replace("(paid", "(c.paid")},
+{_GAIN.format("taxed", "c.price", "c.paid").replace("g.c.", "g.").replace("(taxed", "(c.taxed")}
+FROM c, g GROUP BY ALL""")
+def m13_shapley_charge(spark, sf_dir):
+    """M13 of a product of three columns, all permutations: how price, discount
+    and tax part the charge of a line from that of five lines.  Whole numbers,
+    so that the sums are exact."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * 100).cast("double").alias("price"),
+        (100 - F.round(F.col("l_discount") * 100)).cast("double").alias("paid"),
+        (100 + F.round(F.col("l_tax") * 100)).cast("double").alias("taxed"))
+    parts = ["price", "paid", "taxed"]
+    ground = li.orderBy("l_orderkey", "l_linenumber").limit(5)
+    out = At.sampled_shapley(li, parts, lambda: lambda rows: rows.prod(axis=1).to_numpy(), ground,
+                             ["l_orderkey", "l_linenumber"])
+    by_name = F.map_from_entries(F.transform("attributions", lambda a: F.struct(a["feature"], a["contribution"])))
+    return out.select("l_orderkey", "l_linenumber", "baseline_output", "instance_output",
+                      *[by_name[c].alias(f"{c}_part") for c in parts])
+
+
 @query("m1_embedding_model_metrics")
 def m1_embedding_model_metrics(spark, sf_dir):
     """M1 at scale on ``embeddings``: 10-class logistic regression on the

@@ -26,9 +26,12 @@ INVARIANTS = {
     "n8_feature_table": lambda r: r["body_pre"] and "ingest_seq" not in r and r["magnitude"] >= 0,
     "p26_scoring_request": lambda r: "ingest_seq" not in json.loads(r["instance"]) and len(json.loads(r["instance"])) > 30,
     "m1_topic_model_test_metrics": lambda r: r["value"] >= 0,
+    "m1_language_model_metrics": lambda r: r["value"] < 0.3 if r["metric"] == "logLoss" else r["value"] > 0.95,
     "m2_validation_grid": lambda r: r["validate_log_loss"] > 0,
     "m10_topic_batch_scores": lambda r: r["class"] is not None and 0 <= r["score"] <= 1,
     "m13_attributions": lambda r: len(r["attributions"]) == 3,
+    "m13_shapley_topics": lambda r: abs(sum(a["contribution"] for a in r["attributions"])
+                                        - r["instance_output"] + r["baseline_output"]) < 1e-9 and r["approximation_error"] < 0.1,
     "m1_embedding_model_metrics": lambda r: r["value"] >= 0,
     "x9_p_values": lambda r: all(0 <= v <= 1 for k, v in r.items() if k.endswith("_p")),
 }
