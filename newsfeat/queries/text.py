@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from newsfeat.functions import columns as Cols
 from newsfeat.functions import text as Tx
+from newsfeat.operators import learned as Ld
 from newsfeat.operators import lexicons as Lx
 from newsfeat.operators import scorers as Sc
 from newsfeat.operators.ranking import materialize
@@ -464,3 +465,55 @@ def p26_instance_keys(spark, sf_dir):
     feats = Fz.feature_table(split_articles(spark, sf_dir))
     inst = Fz.scoring_instances(feats.where(F.col("split") == "TEST"))
     return inst.select(F.explode(F.json_object_keys("instance")).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+
+
+# ----------------------------------------------------------------- learned scorers
+
+# documents of the training part: by the first hexadecimal digit of the id's md5
+_TRAIN = "substr(md5(cast(doc_id AS VARCHAR)), 1, 1) < 'c'"
+_WORDS_SQL = f"unnest(regexp_extract_all(lower(coalesce(text, '')), '{Ld.WORD_PATTERN}'))"
+_LEXICON_SQL = f"""_lw AS (SELECT toxic, {_WORDS_SQL} AS word FROM documents JOIN labels USING (doc_id) WHERE {_TRAIN}),
+_lc AS (SELECT word, count(*) FILTER (WHERE toxic = 1) AS n_positive, count(*) FILTER (WHERE toxic = 0) AS n_negative
+        FROM _lw WHERE toxic IN (0, 1) GROUP BY word),
+_la AS (SELECT *, sum(n_positive) OVER () AS tp, sum(n_negative) OVER () AS tn,
+               1000.0::DOUBLE * (n_positive + n_negative) / (sum(n_positive) OVER () + sum(n_negative) OVER ()) AS a FROM _lc),
+_lo AS (SELECT word, n_positive, n_negative, ln((n_positive + a) / (tp + 1000 - n_positive - a)) - ln((n_negative + a) / (tn + 1000 - n_negative - a)) AS log_odds,
+               1 / (n_positive + a) + 1 / (n_negative + a) AS v FROM _la),
+lexicon AS (SELECT word, n_positive, n_negative, log_odds, log_odds / sqrt(v) AS z FROM _lo WHERE abs(log_odds / sqrt(v)) >= 3)"""
+_SCORED_SQL = f"""{_LEXICON_SQL},
+_dw AS (SELECT doc_id, {_WORDS_SQL} AS word FROM documents),
+_ds AS (SELECT doc_id, count(*) AS n_words, count(log_odds) AS n_hits, sum(log_odds) AS s, sum(abs(log_odds)) AS m
+        FROM _dw LEFT JOIN lexicon USING (word) GROUP BY doc_id),
+scored AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hits, 0) AS n_hits,
+                  coalesce(s / nullif(n_hits, 0), 0) AS score, coalesce(m, 0) AS magnitude
+           FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN _ds USING (doc_id))"""
+
+
+def _toxic_lexicon(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    lexicon = Ld.induce_lexicon(docs.join(labels, "doc_id").where(F.expr(_TRAIN.replace("VARCHAR", "STRING"))), "toxic")
+    return docs, labels, lexicon
+
+
+@query("n5_learned_lexicon", f"WITH {_LEXICON_SQL} SELECT * FROM lexicon", round_cols=("log_odds", "z"), digits=6)
+def n5_learned_lexicon(spark, sf_dir):
+    """The words that tell toxic documents from others, by their log-odds."""
+    return _toxic_lexicon(spark, sf_dir)[2]
+
+
+@query("n5_learned_scores", f"WITH {_SCORED_SQL} SELECT * FROM scored", round_cols=("score", "magnitude"), digits=5)
+def n5_learned_scores(spark, sf_dir):
+    """Every document scored by the learned table."""
+    docs, _labels, lexicon = _toxic_lexicon(spark, sf_dir)
+    return Ld.score_by_lexicon(docs, lexicon)
+
+
+@query("n5_learned_agreement", f"""WITH {_SCORED_SQL}
+SELECT toxic, count(*) AS documents, count(*) FILTER (WHERE score > 0) AS called_toxic
+FROM scored JOIN labels USING (doc_id) WHERE NOT {_TRAIN} AND toxic IN (0, 1) GROUP BY toxic""")
+def n5_learned_agreement(spark, sf_dir):
+    """Held-out labels against the sign of the learned score."""
+    docs, labels, lexicon = _toxic_lexicon(spark, sf_dir)
+    scored = Ld.score_by_lexicon(docs, lexicon).join(labels.where("toxic IN (0, 1)"), "doc_id")
+    return scored.where(~F.expr(_TRAIN.replace("VARCHAR", "STRING"))).groupBy("toxic").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("score") > 0).alias("called_toxic"))
