@@ -472,7 +472,7 @@ def p26_instance_keys(spark, sf_dir):
 # documents of the training part: by the first hexadecimal digit of the id's md5
 _TRAIN = "substr(md5(cast(doc_id AS VARCHAR)), 1, 1) < 'c'"
 _WORDS_SQL = f"unnest(regexp_extract_all(lower(coalesce(text, '')), '{Ld.WORD_PATTERN}'))"
-_LEXICON_SQL = f"""_lw AS (SELECT toxic, {_WORDS_SQL} AS word FROM documents JOIN labels USING (doc_id) WHERE {_TRAIN}),
+_LEXICON_SQL = f"""_lw AS (SELECT DISTINCT doc_id, toxic, {_WORDS_SQL} AS word FROM documents JOIN labels USING (doc_id) WHERE {_TRAIN}),
 _lc AS (SELECT word, count(*) FILTER (WHERE toxic = 1) AS n_positive, count(*) FILTER (WHERE toxic = 0) AS n_negative
         FROM _lw WHERE toxic IN (0, 1) GROUP BY word),
 _la AS (SELECT *, sum(n_positive) OVER () AS tp, sum(n_negative) OVER () AS tn,
@@ -508,12 +508,19 @@ def n5_learned_scores(spark, sf_dir):
     return Ld.score_by_lexicon(docs, lexicon)
 
 
-@query("n5_learned_agreement", f"""WITH {_SCORED_SQL}
-SELECT toxic, count(*) AS documents, count(*) FILTER (WHERE score > 0) AS called_toxic
-FROM scored JOIN labels USING (doc_id) WHERE NOT {_TRAIN} AND toxic IN (0, 1) GROUP BY toxic""")
+@query("n5_learned_agreement", f"""WITH {_SCORED_SQL},
+_known AS (SELECT round(score, 6) AS score, toxic, {_TRAIN} AS train FROM scored JOIN labels USING (doc_id) WHERE toxic IN (0, 1)),
+_cut AS (SELECT c.score AS cut FROM (SELECT DISTINCT score FROM _known WHERE train) c, _known k WHERE k.train GROUP BY c.score
+  ORDER BY count(*) FILTER (WHERE toxic = 1 AND k.score >= c.score) * count(*) FILTER (WHERE toxic = 0)
+         - count(*) FILTER (WHERE toxic = 0 AND k.score >= c.score) * count(*) FILTER (WHERE toxic = 1) DESC, cut DESC LIMIT 1)
+SELECT toxic, count(*) AS documents, count(*) FILTER (WHERE score >= cut) AS called_toxic
+FROM _known, _cut WHERE NOT train GROUP BY toxic""")
 def n5_learned_agreement(spark, sf_dir):
-    """Held-out labels against the sign of the learned score."""
+    """Held-out labels against the learned score, with the cut that is best
+    on the documents it was learned from."""
     docs, labels, lexicon = _toxic_lexicon(spark, sf_dir)
-    scored = Ld.score_by_lexicon(docs, lexicon).join(labels.where("toxic IN (0, 1)"), "doc_id")
-    return scored.where(~F.expr(_TRAIN.replace("VARCHAR", "STRING"))).groupBy("toxic").agg(
-        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("score") > 0).alias("called_toxic"))
+    scored = materialize(Ld.score_by_lexicon(docs, lexicon).join(labels.where("toxic IN (0, 1)"), "doc_id"), "scored")
+    train = F.expr(_TRAIN.replace("VARCHAR", "STRING"))
+    cut = Ld.best_cut(scored.where(train), "toxic").select("cut").scalar()
+    return scored.where(~train).groupBy("toxic").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.round("score", 6) >= cut).alias("called_toxic"))

@@ -4,11 +4,11 @@ import math
 
 import pytest
 
-from newsfeat.operators.learned import induce_lexicon, score_by_lexicon
+from newsfeat.operators.learned import best_cut, induce_lexicon, score_by_lexicon
 
 
 def test_lexicon_of_planted_words_and_its_scores(spark):
-    rows = [(i, "Vile words here" if i % 4 == 0 else "kind words here", int(i % 4 == 0)) for i in range(400)]
+    rows = [(i, "Vile vile words here" if i % 4 == 0 else "kind words here", int(i % 4 == 0)) for i in range(400)]
     docs = spark.createDataFrame(rows + [(999, "vile", None)], "doc_id long, text string, bad int")
     lexicon = induce_lexicon(docs, "bad")
     per = {r["word"]: r for r in lexicon.collect()}
@@ -32,3 +32,10 @@ def test_tables_without_anything_to_learn(spark):
     assert induce_lexicon(docs, "bad").count() == 0  # no word of the other class
     assert induce_lexicon(docs.limit(0), "bad").count() == 0
     assert score_by_lexicon(docs.limit(0), spark.createDataFrame([("a", 1.0)], "word string, log_odds double")).count() == 0
+
+
+def test_best_cut_of_scores(spark):
+    scores = spark.createDataFrame([(0.9, 1), (0.8, 1), (0.7, 0), (0.6, 1), (0.5, 0), (0.4, 0), (0.4, None), (None, 1), (9.0, 3)],
+                                   "score double, bad int")
+    assert best_cut(scores, "bad").first().asDict() == pytest.approx({"cut": 0.8, "recall": 2 / 3, "false_alarms": 0.0})
+    assert best_cut(scores.where("bad = 1"), "bad").count() == 0 and best_cut(scores.limit(0), "bad").count() == 0
