@@ -5,12 +5,14 @@ lower-cased), hashed.  Those that the labelled sample shows to go with toxic
 texts are found by a two-proportion test, and of these those are selected that explain
 toxic texts which the ones before do not: a rare word that only copies of a few
 toxic texts share explains nothing new.  The grades to learn are 0 for
-texts labelled clean, and 1, 2 or 3 for toxic ones by thirds of the density of
-selected features, so that a grade says how much of the text is abusive.
+texts labelled clean, and 1, 2 or 3 for toxic ones by thirds of the evidence
+that *other* labelled texts give against them: the sum of the log-odds of all
+candidate features, counted without the text's own fold.  A grade says how
+strongly labels elsewhere call such words toxic; it is no input of the model.
 
 The regression has one weight vector for all grades and ordered thresholds:
 ``P(grade > k) = sigmoid(w . x - threshold_k)``.  ``x`` holds a 0/1 value for
-each selected feature and one for the logarithm of their density.  The output
+each selected feature and nothing else.  The output
 is the expected grade; a text is toxic if a grade above 0 is likelier than not.
 """
 
@@ -45,6 +47,10 @@ CLEAN_COST = 10
 #: selected even if others explain its texts.
 COMMON = 0.02
 RIDGE = 1e-6
+#: Standard deviation of a weight around the log-odds of its feature alone.
+SPREAD = 2.0
+#: Parts of the sample; a text's evidence is counted in the others.
+FOLDS = 5
 
 
 def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -59,27 +65,25 @@ def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 @dataclass
 class ToxicityModel:
     bucket: np.ndarray  #: selected buckets, sorted
-    weight: np.ndarray  #: of each selected bucket, and of the density at the end
+    weight: np.ndarray  #: of each selected bucket
     threshold: np.ndarray  #: GRADES - 1 values, ascending
 
-    def vectors(self, texts: list[bytes]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-        """Per block the selected features of each text, and the densities
-        (words with a selected feature per hundred)."""
+    def vectors(self, texts: list[bytes]) -> Iterator[list[np.ndarray]]:
+        """Per block the selected features of each text."""
         for doc, bucket, n_words in features(texts):
             n = len(n_words)
             place = np.searchsorted(self.bucket, bucket).clip(0, max(0, len(self.bucket) - 1))
             hit = self.bucket[place] == bucket if len(self.bucket) else np.zeros(bucket.shape, bool)
-            density = 100 * np.bincount(doc[hit.any(axis=1)], minlength=n) / np.maximum(1, n_words)
             at, k = np.nonzero(hit)
             pairs = np.unique(doc[at] * (len(self.bucket) + 1) + place[at, k])
             owner = pairs // (len(self.bucket) + 1)
-            yield np.split(pairs % (len(self.bucket) + 1), np.searchsorted(owner, np.arange(1, n))), density
+            yield np.split(pairs % (len(self.bucket) + 1), np.searchsorted(owner, np.arange(1, n)))
 
     def exceeds(self, texts: list[bytes]) -> np.ndarray:
         """``P(grade > k)`` of each text, a column for each k."""
         out = [np.empty((0, GRADES - 1))]
-        for found, density in self.vectors(texts):
-            score = np.array([self.weight[f].sum() for f in found]) + self.weight[-1] * np.log1p(density)
+        for found in self.vectors(texts):
+            score = np.array([self.weight[f].sum() for f in found])
             out.append(_sigmoid(score[:, None] - self.threshold))
         return np.concatenate(out)
 
@@ -89,10 +93,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(row: np.ndarray, col: np.ndarray, value: np.ndarray, n_features: int, grade: np.ndarray,
-                steps: int = 1500) -> tuple[np.ndarray, np.ndarray]:
+                steps: int = 1500, centre: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds of a cumulative-link model on sparse
     rows, by gradient ascent with momentum on the mean log-likelihood, ridge on
-    the weights."""
+    the weights; with ``centre`` a Gaussian prior of deviation ``SPREAD``
+    around it, which decides what rows with the same features leave open."""
+    mean, pull = (0.0, RIDGE) if centre is None else (centre, 1 / (SPREAD ** 2 * len(grade)))
     k = np.arange(GRADES - 1)
     above = np.array([(grade > j).mean() for j in k]).clip(1e-3, 1 - 1e-3)
     low = -np.log(above / (1 - above))
@@ -115,7 +121,7 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, value: np.ndarray, n_features:
         d_weight = np.bincount(col, weights=value * d_score[row], minlength=n_features)
         d_threshold = np.array([(d_lower[grade == j].sum() - d_upper[grade == j + 1].sum()) / len(grade) for j in k])
         later = np.cumsum(d_threshold[::-1])[::-1]
-        grad = np.concatenate([d_weight - RIDGE * w, later[:1], later[1:] * np.exp(gap)])
+        grad = np.concatenate([d_weight - pull * (w - mean), later[:1], later[1:] * np.exp(gap)])
         speed = 0.9 * speed + 0.1 * grad
         size = 0.99 * size + 0.01 * grad * grad
         state = state + 0.1 * (speed / (1 - 0.9 ** step)) / (np.sqrt(size / (1 - 0.99 ** step)) + 1e-8)
@@ -123,6 +129,23 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, value: np.ndarray, n_features:
     return state[:n_features], np.concatenate([[first], first + np.cumsum(np.exp(gap))])
 
 
+def log_odds(row: np.ndarray, col: np.ndarray, n_features: int, toxic: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Of each feature, toxic against clean among the texts ``used``, half a
+    text added to each side."""
+    t, c = (np.bincount(col[(used & side)[row]], minlength=n_features) for side in (toxic, ~toxic))
+    return np.log((t + 0.5) / ((toxic & used).sum() + 1)) - np.log((c + 0.5) / ((~toxic & used).sum() + 1))
+
+
+def evidence(row: np.ndarray, col: np.ndarray, n_features: int, toxic: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Of each text the sum of its features' log-odds in the other folds."""
+    out = np.zeros(len(toxic))
+    for f in np.unique(fold):
+        odds = log_odds(row, col, n_features, toxic, fold != f)
+        own = fold[row] == f
+        out += np.bincount(row[own], weights=odds[col[own]], minlength=len(toxic))
+    return out
+
+
 def covering(row: np.ndarray, col: np.ndarray, n_features: int, toxic: np.ndarray) -> np.ndarray:
     """Features selected one by one: the one next that the most toxic texts
     without a selected feature have, less its cost in clean texts, as long as
@@ -198,12 +221,9 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sampled(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found, density = [], [np.empty(0)]
-        for f, d in model.vectors(as_bytes(batch.column("text"))):
-            found += [x.tolist() for x in f]
-            density.append(d)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), pa.array(np.concatenate(density)),
-                                          batch.column("_label")], names=["found", "density", "label"])
+        found = [x.tolist() for f in model.vectors(as_bytes(batch.column("text"))) for x in f]
+        yield pa.RecordBatch.from_arrays([batch.column("_doc"), pa.array(found, pa.list_(pa.int64())), batch.column("_label")],
+                                         names=["doc", "found", "label"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -219,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     size = texts.groupBy((F.col("_label") > 0).alias("toxic")).count().collect()
     n_toxic = sum(r["count"] for r in size if r["toxic"])
     n_clean = sum(r["count"] for r in size if not r["toxic"])
-    nothing = ToxicityModel(np.empty(0, U64), np.zeros(1), 30.0 + np.arange(GRADES - 1))
+    nothing = ToxicityModel(np.empty(0, U64), np.zeros(0), 30.0 + np.arange(GRADES - 1))
     if not n_toxic or not n_clean:
         return nothing
     shares = texts.mapInArrow(_presence, "bucket long, toxic long, n long").groupBy("bucket").agg(
@@ -230,26 +250,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = shares.where(F.col("t") >= LEAST_TOXIC).withColumn("z", z).where(F.col("z") >= LEAST_Z).select("bucket").collect()
     found = np.sort(np.array([r[0] for r in chosen], np.uint64))
 
-    def sampled(bucket: np.ndarray) -> tuple[ToxicityModel, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """A model of these buckets; rows and features of the sample's texts;
-        their densities and labels."""
-        model = ToxicityModel(bucket, np.zeros(len(bucket) + 1), nothing.threshold)
-        seen = texts.mapInArrow(lambda it: _sampled(it, model), "found array<long>, density double, label int").toPandas()
-        sizes = seen["found"].map(len).to_numpy(int)
-        col = np.concatenate([np.empty(0, int), *seen["found"].map(lambda x: np.asarray(x, int))])
-        return (model, np.repeat(np.arange(len(seen)), sizes), col, seen["density"].to_numpy(float),
-                seen["label"].to_numpy(int) > 0)
-
-    _, row, col, _, toxic = sampled(found)
-    model, row, col, density, toxic = sampled(np.sort(found[covering(row, col, len(found), toxic)]))
+    # one pass over the sample: its texts' candidate features, in the order of their ids
+    candidates = ToxicityModel(found, np.zeros(len(found)), nothing.threshold)
+    seen = texts.mapInArrow(lambda it: _sampled(it, candidates), "doc long, found array<long>, label int").toPandas()
     sample.unpersist()
-    cut = np.quantile(density[toxic], [1 / 3, 2 / 3])
-    grade = np.where(toxic, 1 + np.searchsorted(cut, density), 0)
-    row = np.concatenate([row, np.arange(len(toxic))])
-    value = np.concatenate([np.ones(len(col)), np.log1p(density)])
-    col = np.concatenate([col, np.full(len(toxic), len(model.bucket))])
-    model.weight, model.threshold = fit_ordinal(row, col, value, len(model.bucket) + 1, grade)
-    return model
+    seen = seen.sort_values("doc", kind="stable", ignore_index=True)
+    toxic = seen["label"].to_numpy(int) > 0
+    row = np.repeat(np.arange(len(seen)), seen["found"].map(len).to_numpy(int))
+    col = np.concatenate([np.empty(0, int), *seen["found"].map(lambda x: np.asarray(x, int))])
+    against = evidence(row, col, len(found), toxic, np.arange(len(seen)) % FOLDS)
+    grade = np.where(toxic, 1 + np.searchsorted(np.quantile(against[toxic], [1 / 3, 2 / 3]), against), 0)
+    chosen = covering(row, col, len(found), toxic)
+    in_model = np.isin(col, chosen)
+    row, col = row[in_model], np.searchsorted(chosen, col[in_model])
+    centre = log_odds(row, col, len(chosen), toxic, np.ones(len(toxic), bool))
+    weight, threshold = fit_ordinal(row, col, np.ones(len(col)), len(chosen), grade, centre=centre)
+    return ToxicityModel(found[chosen], weight, threshold)
 
 
 def _graded(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 take: nulls, empty and very long texts, repeated rows, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -9,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import regex
@@ -100,6 +102,50 @@ def test_toxicity_finds_held_out_documents(spark, odd):
     assert toxicity.graded(docs, toxicity.fit(docs, labels.limit(0))).where("toxic").count() == 0
 
 
+def test_severity_follows_evidence_of_labels_the_model_has_not_seen(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where("doc_id % 2 = 0"))
+    half = labels.where("doc_id % 2 = 1").withColumnRenamed("toxic", "label")
+    seen = toxicity.graded(docs.join(half, "doc_id"), model).join(half, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
+    seen = seen.orderBy("doc_id").toPandas()
+    words = [set((t or "").lower().split()) for t in seen["text"]]
+    sides = [Counter(w for ws, l in zip(words, seen["label"]) if l == side for w in ws) for side in (0, 1)]
+    n = [int((seen["label"] == side).sum()) for side in (0, 1)]
+    # a toxic text's own words are taken out of the counts that speak against it
+    rows = [(s, sum(math.log(sides[1][w] - 0.5) - math.log((sides[0][w] + 0.5) / n[0] * n[1])
+                    for w in ws if sides[1][w] >= 5 and sides[1][w] / n[1] > 4 * (sides[0][w] + 0.5) / n[0]))
+            for ws, l, s in zip(words, seen["label"], seen["severity"]) if l == 1]
+    assert len(rows) > 200
+    ranks = pd.DataFrame(rows).rank()
+    assert ranks[0].corr(ranks[1]) > 0.6
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_evidence_is_counted_in_the_other_folds(seed):
+    rng = np.random.default_rng(seed)
+    n, k = 60, 7
+    has = rng.random((n, k)) < 0.3
+    toxic, fold = rng.random(n) < 0.4, rng.integers(0, 5, n)
+    row, col = np.nonzero(has)
+    expected = []
+    for i in range(n):
+        other = [j for j in range(n) if fold[j] != fold[i]]
+        t, c = [j for j in other if toxic[j]], [j for j in other if not toxic[j]]
+        expected.append(sum(math.log((sum(has[j, f] for j in t) + 0.5) / (len(t) + 1))
+                            - math.log((sum(has[j, f] for j in c) + 0.5) / (len(c) + 1)) for f in range(k) if has[i, f]))
+    assert np.allclose(toxicity.evidence(row, col, k, toxic, fold), expected)
+
+
+def test_features_of_the_same_rows_share_their_weight():
+    # two features that never occur apart, and some toxic texts without any: each alone still speaks for its own log-odds
+    row = np.repeat(np.arange(40), 2)
+    col = np.tile([0, 1], 40)
+    grade = np.where(np.arange(400) < 46, 1, 0)
+    centre = toxicity.log_odds(row, col, 2, grade > 0, np.ones(400, bool))
+    w, t = toxicity.fit_ordinal(row, col, np.ones(80), 2, grade, centre=centre)
+    assert (np.diff(t) > 0).all() and abs(w[0] - w[1]) < 1e-6 and w[0] > t[0]
+
+
 def test_ordinal_fit_orders_grades():
     rng = np.random.default_rng(1)
     x = rng.random(600)
