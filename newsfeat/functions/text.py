@@ -94,35 +94,67 @@ def word_count(c: Column | str) -> Column:
 
 # ----------------------------------------------------------------- HTML
 
-#: Named character references (the standard library's HTML 4 table, and the
-#: apostrophe), and what a reference looks like.
-HTML_NAMES = {**{k: chr(v) for k, v in html.entities.name2codepoint.items()}, "apos": "'"}
-HTML_REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+#: Named character references of HTML 5 (the standard library's table; the
+#: semicolon belongs to a name, and some names also go without).  A map is
+#: searched in order: the names of HTML 4, which pages use most, come first.
+HTML_NAMES = {n: v for _, n, v in sorted((n.rstrip(";") not in html.entities.name2codepoint, n, v)
+                                         for n, v in html.entities.html5.items())}
+#: The names that are references without a semicolon, longer ones first.
+HTML_OPEN_NAME = "^(" + "|".join(sorted((n for n in HTML_NAMES if n[-1] != ";"), key=lambda n: (-len(n), n))) + ")"
+#: What a reference looks like.
+HTML_REFERENCE = "&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+#: Numbers 128 to 159 mean the characters of the Windows code page, where it has one.
+HTML_NUMBERS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+#: Numbers above every character.
+HTML_TOO_LARGE = 0x110000
 HTML_DROP_PATTERNS = [r"(?s)<!--.*?-->", r"(?is)<script[^>]*>.*?</script\s*>",
                       r"(?is)<style[^>]*>.*?</style\s*>", r"(?s)<[^>]*>"]
 
 
+def _map_literal(items: dict) -> Column:
+    """A constant map of texts, from one literal that is folded once: thousands
+    of literals would each pass through every rule of the optimizer."""
+    pairs = "\u0002".join(f"{k}\u0001{v}" for k, v in items.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\u0002"), F.lit("\u0001"))
+
+
+def _numbered(number: Column) -> Column:
+    """The character of a numeric reference: nothing for control characters and
+    non-characters, the replacement character for numbers that are none."""
+    nothing = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127) \
+        | number.between(0xFDD0, 0xFDEF) | (number % 0x10000 >= 0xFFFE)
+    return F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number >= HTML_TOO_LARGE), F.lit("\uFFFD")) \
+        .when(number.between(128, 159), F.try_element_at(_map_literal(HTML_NUMBERS), number.cast("string"))) \
+        .when(nothing, F.lit("")) \
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+
+
 def decode_references(c: Column | str) -> Column:
     """Character references, named or numeric, decoded in one pass
-    (``&amp;lt;`` becomes ``&lt;``); unknown names and numbers that are no
-    character stay."""
-    c = _c(c)
-    names = F.map_from_arrays(F.array(*map(F.lit, HTML_NAMES)), F.array(*map(F.lit, HTML_NAMES.values())))
+    (``&amp;lt;`` becomes ``&lt;``) as HTML 5 has it: names that may go without
+    a semicolon are also found at the start of a longer word, numbers may have
+    any length; unknown names stay.  Equal to ``html.unescape``."""
+    names = _map_literal(HTML_NAMES)
 
     def decoded(ref: Column) -> Column:
-        number = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.conv(F.substring(ref, 3, 8), 16, 10)) \
-            .otherwise(F.substring(ref, 2, 8)).cast("int")
-        known = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
-        sign = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        own = F.when(ref.startswith("#"), F.when(known, sign)).otherwise(F.try_element_at(names, ref))
-        return F.when(ref.isNull(), F.lit("")).otherwise(F.coalesce(own, F.concat(F.lit("&"), ref, F.lit(";"))))
+        is_hex = F.lower(F.substring(ref, 2, 1)) == "x"
+        digits = F.regexp_replace(ref, "^#[xX]?0*|;$", "")
+        number = F.when(F.length(digits) > 7, F.lit(HTML_TOO_LARGE)) \
+            .when(F.length(digits) == 0, F.lit(0)) \
+            .otherwise(F.least(F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("int"), F.lit(HTML_TOO_LARGE)))
+        start = F.regexp_extract(ref, HTML_OPEN_NAME, 1)
+        named = F.coalesce(
+            F.try_element_at(names, ref),
+            F.when(start != "", F.concat(F.try_element_at(names, start), F.substr(ref, F.length(start) + 1))),
+            F.concat(F.lit("&"), ref))
+        return F.when(ref.isNull(), F.lit("")).when(ref.startswith("#"), _numbered(number)).otherwise(named)
 
     def joined(text: Column) -> Column:
         refs = F.regexp_extract_all(text, F.lit(HTML_REFERENCE), 1)
         return F.array_join(F.zip_with(F.split(text, HTML_REFERENCE), refs, lambda p, r: F.concat(p, decoded(r))), "")
 
     # the text is computed once: as the only element of an array it has a name
-    return F.transform(F.array(c), lambda text: F.when(text.contains("&"), joined(text)).otherwise(text))[0]
+    return F.transform(F.array(_c(c)), lambda text: F.when(text.contains("&"), joined(text)).otherwise(text))[0]
 
 
 def strip_html_regex(c: Column | str) -> Column:

@@ -85,13 +85,28 @@ def _strip_sql(c: str) -> str:
 
 
 _NAMES_SQL = f"map({_list(Tx.HTML_NAMES)}, {_list(Tx.HTML_NAMES.values())})"
-_NUMBER_SQL = "CASE WHEN lower(r[2]) = 'x' THEN CAST(concat('0x', r[3:]) AS INTEGER) ELSE TRY_CAST(r[2:] AS INTEGER) END"
+_NUMBERS_SQL = f"map([{', '.join(map(str, Tx.HTML_NUMBERS))}], {_list(Tx.HTML_NUMBERS.values())})"
+_DIGITS_SQL = "regexp_replace(r, '^#[xX]?0*|;$', '', 'g')"
+_NUMBER_SQL = f"""CASE WHEN r[1] <> '#' THEN NULL WHEN length({_DIGITS_SQL}) > 7 THEN {Tx.HTML_TOO_LARGE}
+  WHEN {_DIGITS_SQL} = '' THEN 0 WHEN lower(r[2]) = 'x' THEN CAST(concat('0x', {_DIGITS_SQL}) AS INTEGER)
+  ELSE CAST({_DIGITS_SQL} AS INTEGER) END"""
+_SIGN_SQL = f"""CASE WHEN n = 0 OR n BETWEEN 55296 AND 57343 OR n >= {Tx.HTML_TOO_LARGE} THEN chr(65533)
+  WHEN n BETWEEN 128 AND 159 THEN {_NUMBERS_SQL}[n]
+  WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534 THEN ''
+  WHEN n IS NOT NULL THEN chr(n)
+  WHEN exact IS NOT NULL THEN exact
+  WHEN opened <> '' THEN concat({_NAMES_SQL}[opened], r[length(opened) + 1:])
+  ELSE concat('&', r) END"""
+_PATTERN_SQL = _lit(Tx.HTML_REFERENCE.replace("(", "(?:", 1))
+# each reference is decoded once, in a row of its own, and put back between the pieces
 _DECODED_SQL = f"""
-SELECT page_id, array_to_string(list_transform(pieces, lambda p, i: concat(p, coalesce(signs[i], ''))), '') AS text FROM (
-  SELECT page_id, regexp_split_to_array(s, {_lit(Tx.HTML_REFERENCE.replace('(', '(?:', 1))}) AS pieces,
-         list_transform(regexp_extract_all(s, {_lit(Tx.HTML_REFERENCE)}, 1), lambda r:
-           CASE WHEN r[1] = '#' THEN chr({_NUMBER_SQL}) ELSE coalesce({_NAMES_SQL}[r], concat('&', r, ';')) END) AS signs
-  FROM (SELECT page_id, {_strip_sql('html')} AS s FROM pages))"""
+WITH stripped AS (SELECT page_id, {_strip_sql('html')} AS s FROM pages),
+refs AS (SELECT DISTINCT unnest(regexp_extract_all(s, {_lit(Tx.HTML_REFERENCE)}, 1)) AS r FROM stripped),
+parsed AS (SELECT r, {_NUMBER_SQL} AS n, {_NAMES_SQL}[r] AS exact, regexp_extract(r, {_lit(Tx.HTML_OPEN_NAME)}, 1) AS opened FROM refs),
+signs AS (SELECT map(list(r), list({_SIGN_SQL})) AS of FROM parsed)
+SELECT page_id, CASE WHEN s IS NULL THEN NULL ELSE array_to_string(list_transform(regexp_split_to_array(s, {_PATTERN_SQL}), lambda p, i:
+  concat(p, coalesce(signs.of[regexp_extract_all(s, {_lit(Tx.HTML_REFERENCE)}, 1)[i]], ''))), '') END AS text
+FROM stripped, signs"""
 
 
 @query("n3_strip_html_regex", _DECODED_SQL)

@@ -2,7 +2,10 @@
 
 import json
 import os
+import random
 import tempfile
+from html import entities as html_names
+from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,10 +88,26 @@ def test_n3_leaves_no_tag(spark):
 
 
 def test_n3_decodes_all_references_once(spark):
-    html = "<p>caff&egrave; l&#8217;arte &#x1F600; &amp;lt; &nosuch; &#xD800; &#0; a & b; x&nbsp;y&amp;</p>"
+    html = "<p>caff&egrave; l&#8217;arte &#x1F600; &amp;lt; &nosuch; &#xD800; &#0; a & b; x&nbsp;y&amp; &comma;&lpar;&notit; &#00000065;&#128</p>"
     df = spark.createDataFrame([(html,), (None,), ("plain",)], "html string")
     got = [r.t for r in df.select(Tx.strip_html_regex("html").alias("t")).collect()]
-    assert got == ["caff\u00e8 l\u2019arte \U0001F600 &lt; &nosuch; &#xD800; &#0; a & b; x\u00a0y&", None, "plain"]
+    assert got == ["caffè l’arte \U0001F600 &lt; &nosuch; � � a & b; x y& ,(¬it; A€", None, "plain"]
+
+
+def test_n3_references_equal_the_standard_library(spark):
+    rng = random.Random(5)
+    names = sorted(html_names.html5)
+    numbers = [0, 1, 8, 9, 10, 11, 12, 13, 14, 31, 32, 127, 128, 129, 150, 159, 160, 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFDF0,
+               0xFFFD, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE, 0x10FFFF, 0x110000, 9_999_999, 10**30]
+    refs = [f"&{n}" for n in names] + [f"&{n.rstrip(';')}{t}" for n in names for t in ("", "x", "=1", "é;")]
+    refs += [f"&#{z}{n}{t}" for n in numbers for z in ("", "000") for t in (";", "", "z")]
+    refs += [f"&#{x}{z}{n:{x}}{t}" for n in numbers for x in "xX" for z in ("", "0000") for t in (";", "", "g")]
+    refs += ["&", "&;", "&#", "&#;", "&#x;", "&&amp;", "& amp;", "&" + "a" * 100 + ";", "&am p;"]
+    rng.shuffle(refs)
+    texts = ["".join(rng.choice(["", " ", "t", ";"]) + r for r in refs[i:i + 7]) for i in range(0, len(refs), 7)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    got = [r.d for r in df.select(Tx.decode_references("t").alias("d")).collect()]
+    assert got == [unescape(t) for t in texts]
 
 
 def test_s4_reads_strings_and_json_of_any_shape(spark, tmp_path):
