@@ -14,7 +14,9 @@ standard deviations, so that all comparisons are exact.
    cells before and behind bound a cell's ``r`` by some ``d``.
 2. *Search.*  The square of half side ``d`` touches at most four boxes of side
    ``2**s > 2 d``; it is joined with the cells in them, and only the ``k``
-   nearest leave the join's task.
+   nearest leave the join's task.  Both sides are shuffled: the cells stand there
+   once for every side of a box, which the planner's estimate does not count, so
+   that it would take them for small enough to be gathered and broadcast.
 3. *Counts* of the rows between two values are differences of running totals
    over the ordered values.
 """
@@ -122,7 +124,7 @@ def _radii(cells: DataFrame, k: int) -> DataFrame:
                         F.explode(F.array(*[F.lit(s) for s in levels])).alias("_s"))
     held = held.select("*", box(F.col("_ox")).alias("_bx"), box(F.col("_oy")).alias("_by"))
     far = _distance(F.col("_ox"), F.col("_oy"))
-    pairs = squares.join(held, ["_var", "_s", "_bx", "_by"]).where((far <= F.col("_d")) & (far > 0))
+    pairs = squares.join(held.hint("merge"), ["_var", "_s", "_bx", "_by"]).where((far <= F.col("_d")) & (far > 0))
     key = ["_var", "_x", "_y", "_n"]
     nearest = Window.partitionBy(*key).orderBy("_r", "_ox", "_oy")
     top = pairs.select(*key, far.alias("_r"), "_ox", "_oy", "_on") \
