@@ -7,9 +7,9 @@ where the log-odds are ``least_z`` standard deviations from 0.  A word counts on
 a document: words come in bursts, and one text that repeats a word is one witness.  ``score_by_lexicon``
 applies such a table: a mean polarity over the words found, as in the built-in
 sentiment scorer; ``best_cut`` finds the score from which a document belongs to
-the class.  All are aggregations over ``(document, word)`` counts, which
-are made before anything is shuffled; the table is joined, so it may have any
-size.
+the class.  Tables of words are written, so that their size is known: one that
+fits a broadcast meets the words of a document where they stand, and only sums
+by document are shuffled; a larger one is joined by shuffling the words.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsfeat.operators.ranking import cumulative_within
+from newsfeat.operators.ranking import cumulative_within, materialize
 
 WORD_PATTERN = r"[\p{L}\p{N}]+"
 
@@ -34,6 +34,7 @@ def induce_lexicon(labelled: DataFrame, label: str, text: str = "text", prior: f
     no row."""
     held = labelled.where(F.col(label).isin(0, 1)).select((F.col(label) == 1).alias("_pos"), F.explode(F.array_distinct(words(text))).alias("word"))
     counts = held.groupBy("word").agg(F.count_if("_pos").alias("n_positive"), F.count_if(~F.col("_pos")).alias("n_negative"))
+    counts = materialize(counts, "word_counts")  # read twice
     total = counts.agg(F.struct(F.sum("n_positive").cast("double").alias("p"), F.sum("n_negative").cast("double").alias("n"))).scalar()
     c = counts.withColumn("_t", total)
     share = F.lit(prior) * (F.col("n_positive") + F.col("n_negative")) / (F.col("_t.p") + F.col("_t.n"))
@@ -53,13 +54,11 @@ def score_by_lexicon(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id"
     one id; a null or empty text has score 0.  Words of the lexicon are taken in
     lower case, the first of equals by polarity."""
     found = docs.select(F.col(id_col).alias("_id"), F.explode_outer(words(text)).alias("_w"))
-    cells = found.groupBy("_id", "_w").agg(F.count("_w").alias("_n"))
     lex = lexicon.select(F.lower(word).alias("_w"), F.col(polarity).cast("double").alias("_p")).where(F.col("_w").isNotNull()) \
         .groupBy("_w").agg(F.min("_p").alias("_p"))
-    hit = F.when(F.col("_p").isNotNull(), F.col("_n")).otherwise(F.lit(0).cast("long"))
-    value = F.coalesce(F.col("_p"), F.lit(0.0)) * F.col("_n")
-    sums = cells.join(lex, "_w", "left").groupBy("_id").agg(
-        F.sum("_n").alias("n_words"), F.sum(hit).alias("n_hits"), F.sum(value).alias("_s"), F.sum(F.abs(value)).alias("magnitude"))
+    value = F.coalesce(F.col("_p"), F.lit(0.0))
+    sums = found.join(materialize(lex, "lexicon"), "_w", "left").groupBy("_id").agg(
+        F.count("_w").alias("n_words"), F.count("_p").alias("n_hits"), F.sum(value).alias("_s"), F.sum(F.abs(value)).alias("magnitude"))
     return sums.select(F.col("_id").alias(id_col), "n_words", "n_hits",
                        F.when(F.col("n_hits") > 0, F.col("_s") / F.col("n_hits")).otherwise(F.lit(0.0)).alias("score"), "magnitude")
 
