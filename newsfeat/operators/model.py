@@ -9,16 +9,19 @@ totals, so no class or score range is gathered in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (FeatureHasher, HashingTF, IDF, Imputer, RegexTokenizer, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsfeat.operators.ranking import cumulative_within
+from newsfeat.operators.ranking import cumulative_within, materialize
 
 # ----------------------------------------------------------------- features (P25) and training (M1, M2)
 
@@ -38,24 +41,31 @@ class FeatureSpec:
         self.text, self.categorical, self.numeric = list(text), list(categorical), list(numeric)
         self.num_features = num_features
 
-    def stages(self, label: str):
-        st, vec_inputs = [], []
+    def row_stages(self) -> list:
+        """What each row is turned into on its own, nothing being fitted."""
+        st = []
         for c in self.text:
             st += [RegexTokenizer(inputCol=c, outputCol=f"{c}__tok", pattern=r"[\p{L}\p{N}]+", gaps=False),
-                   HashingTF(inputCol=f"{c}__tok", outputCol=f"{c}__tf", numFeatures=self.num_features),
-                   IDF(inputCol=f"{c}__tf", outputCol=f"{c}__vec")]
-            vec_inputs.append(f"{c}__vec")
+                   HashingTF(inputCol=f"{c}__tok", outputCol=f"{c}__tf", numFeatures=self.num_features)]
         for c in self.categorical:
             st.append(FeatureHasher(inputCols=[c], outputCol=f"{c}__cat", categoricalCols=[c],
                                     numFeatures=self.CATEGORY_FEATURES))
-            vec_inputs.append(f"{c}__cat")
+        return st
+
+    def row_columns(self) -> list[str]:
+        """The columns that the fitted stages read."""
+        return [f"{c}__tf" for c in self.text] + [f"{c}__cat" for c in self.categorical] + self.numeric
+
+    def fitted_stages(self, label: str) -> list:
+        """The label indexer first, the assembler last."""
+        st = [StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error")]
+        st += [IDF(inputCol=f"{c}__tf", outputCol=f"{c}__vec") for c in self.text]
+        vec_inputs = [f"{c}__vec" for c in self.text] + [f"{c}__cat" for c in self.categorical]
         if self.numeric:
             st.append(Imputer(inputCols=self.numeric, outputCols=[f"{c}__imp" for c in self.numeric],
                               strategy="median"))
             vec_inputs += [f"{c}__imp" for c in self.numeric]
         st.append(VectorAssembler(inputCols=vec_inputs, outputCol="features", handleInvalid="keep"))
-        st.insert(0, StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc",
-                                   handleInvalid="error"))
         return st
 
     def source_of(self, assembler_inputs: Sequence[str]) -> list[str]:
@@ -79,46 +89,51 @@ def model_input(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return numeric_cast(df, spec.numeric).fillna(0.0, subset=spec.zero)
 
 
-def fit_features(train: DataFrame, spec: FeatureSpec, label: str = "topic") -> PipelineModel:
-    """The fitted feature stages, the label indexer first."""
-    return Pipeline(stages=spec.stages(label)).fit(model_input(train, spec))
+def fit_features(train: DataFrame, spec: FeatureSpec, label: str = "topic") -> tuple[PipelineModel, DataFrame]:
+    """The fitted feature stages, the label indexer first, and the encoded rows
+    ``(label, features)``.  Texts are tokenised and hashed once, into a table of
+    sparse vectors; the passes of the estimators read that."""
+    row_stages = spec.row_stages()
+    rows = PipelineModel(row_stages).transform(model_input(train, spec)).select(label, *spec.row_columns())
+    rows = materialize(rows, "encoded")
+    fitted = Pipeline(stages=spec.fitted_stages(label)).fit(rows)
+    model = PipelineModel([fitted.stages[0], *row_stages, *fitted.stages[1:]])
+    return model, fitted.transform(rows).select("label", "features")
 
 
-def _fit_on(features: PipelineModel, encoded: DataFrame, reg: float, max_iter: int) -> PipelineModel:
-    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter,
-                            family="multinomial")
-    return PipelineModel(features.stages + [lr.fit(encoded)])
+def _fit_on(encoded: DataFrame, reg: float, max_iter: int) -> LogisticRegressionModel:
+    return LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter,
+                              family="multinomial").fit(encoded)
 
 
 def train_classifier(train: DataFrame, spec: FeatureSpec, label: str = "topic", reg: float = 0.01,
                      max_iter: int = 50) -> PipelineModel:
     """M1: multinomial logistic regression (log-loss objective) on the
     feature spec."""
-    features = fit_features(train, spec, label)
-    return _fit_on(features, features.transform(model_input(train, spec)), reg, max_iter)
+    features, encoded = fit_features(train, spec, label)
+    return PipelineModel([*features.stages, _fit_on(encoded, reg, max_iter)])
 
 
 def train_with_validation(df: DataFrame, spec: FeatureSpec, label: str = "topic", split: str = "split",
                           grid: Sequence[float] = (0.0, 0.01, 0.1), max_iter: int = 50) -> tuple[PipelineModel, DataFrame]:
     """M2: predefined split — fit the features on TRAIN once and a classifier
     for each regularisation, pick the one with the lowest VALIDATE log loss
-    (M3); returns the model and the grid scores."""
-    train = df.where(F.col(split) == "TRAIN")
-    valid = model_input(df.where(F.col(split) == "VALIDATE"), spec)
-    features = fit_features(train, spec, label)
-    encoded = features.transform(model_input(train, spec)).select("label", "features").persist()
+    (M3); returns the model and the grid scores.  Both parts are encoded once."""
+    features, encoded = fit_features(df.where(F.col(split) == "TRAIN"), spec, label)
+    valid = scorer(features).transform(model_input(df.where(F.col(split) == "VALIDATE"), spec))
+    valid = materialize(valid.select(label, "features"), "valid")
     results, best = [], None
     for reg in grid:
-        m = _fit_on(features, encoded, reg, max_iter)
-        ll = log_loss(prediction_table(m, valid, label)).collect()[0]["log_loss"]
+        m = _fit_on(encoded, reg, max_iter)
+        pred = prediction_table(PipelineModel([features.stages[0], m]), valid, label, id_col=label)
+        ll = log_loss(pred).collect()[0]["log_loss"]
         results.append((float(reg), float(ll) if ll is not None else None))
         if ll is not None and (best is None or ll < best[1]):
             best = (m, ll)
-    encoded.unpersist()
     if best is None:
         raise ValueError("no labelled VALIDATE rows to choose by")
     spark = df.sparkSession
-    return best[0], spark.createDataFrame(results, "reg_param double, validate_log_loss double")
+    return PipelineModel([*features.stages, best[0]]), spark.createDataFrame(results, "reg_param double, validate_log_loss double")
 
 
 # ----------------------------------------------------------------- scoring
@@ -253,6 +268,32 @@ def deployment_gate(current: dict[str, float], previous: dict[str, float] | None
 
 # ----------------------------------------------------------------- attribution
 
+_CREDITS = pa.list_(pa.struct([("contribution", pa.float64()), ("feature", pa.string())]))
+#: Rows of features that a task holds as dense arrays at once.
+DENSE_ROWS = 1024
+
+
+def sparse_parts(vector: str) -> list[Column]:
+    """A vector column as ``_at`` and ``_v``: the positions and values
+    that travel to the tasks (null positions: all)."""
+    v = F.unwrap_udt(vector)
+    return [v["indices"].alias("_at"), v["values"].alias("_v")]
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, max(1, len(batch)), DENSE_ROWS):
+            yield batch.slice(k, DENSE_ROWS)
+
+
+def dense_rows(pdf: pd.DataFrame, width: int) -> np.ndarray:
+    """``(rows, width)`` of the ``sparse_parts`` of a piece."""
+    out = np.zeros((len(pdf), width))
+    for row, at, v in zip(out, pdf["_at"], pdf["_v"]):
+        row[slice(None) if at is None else at] = v
+    return out
+
+
 def linear_attributions(model: PipelineModel, df: DataFrame, spec: FeatureSpec, id_col: str = "uri",
                         top: int | None = None) -> DataFrame:
     """M13 (re-aimed): for the predicted class of each row, coefficient x
@@ -260,9 +301,6 @@ def linear_attributions(model: PipelineModel, df: DataFrame, spec: FeatureSpec,
     contribution (O7).  The coefficient matrix is model-sized (classes x
     width) and travels with the task closure; an Arrow batch is one array
     operation, no shuffle."""
-    import numpy as np
-    import pandas as pd
-
     lr = model.stages[-1]
     assembler = [s for s in model.stages if isinstance(s, VectorAssembler)][0]
     coef = lr.coefficientMatrix.toArray()
@@ -271,18 +309,19 @@ def linear_attributions(model: PipelineModel, df: DataFrame, spec: FeatureSpec,
     sizes = [spec.width(c) for c in inputs]
     starts = np.cumsum([0] + sizes[:-1])
     by_name = np.argsort(sources, kind="stable")  # equal contributions go by name
-    scored = scorer(model).transform(df).select(F.col(id_col).alias("id"), vector_to_array("features").alias("f"),
-                                        F.col("prediction").cast("int").alias("k"))
+    scored = scorer(model).transform(df).select(F.col(id_col).cast("string").alias("id"), *sparse_parts("features"),
+                                                F.col("prediction").cast("int").alias("k"))
 
     def attribute(batches):
-        for pdf in batches:
+        for batch in pieces(batches):
+            pdf = batch.select(["_at", "_v", "k"]).to_pandas()
             rows = []
             if len(pdf):
-                contrib = coef[pdf["k"].to_numpy()] * np.stack(pdf["f"].to_numpy())
+                contrib = coef[pdf["k"].to_numpy()] * dense_rows(pdf, coef.shape[1])
                 per = np.add.reduceat(contrib, starts, axis=1)[:, by_name]
                 order = np.argsort(-per, axis=1, kind="stable")[:, :top]
                 rows = [[{"contribution": float(p[i]), "feature": sources[by_name[i]]} for i in o]
                         for p, o in zip(per, order)]
-            yield pd.DataFrame({"id": pdf["id"], "attributions": rows})
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, _CREDITS)], ["id", "attributions"])
 
-    return scored.mapInPandas(attribute, "id string, attributions array<struct<contribution:double,feature:string>>")
+    return scored.mapInArrow(attribute, "id string, attributions array<struct<contribution:double,feature:string>>")
