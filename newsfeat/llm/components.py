@@ -4,8 +4,10 @@ Each round replaces the links of a node by links to its smallest neighbour:
 first those to larger nodes, then those to smaller ones; the number of rounds
 grows with the logarithm of the longest path.  Per round the minimum is a
 partial aggregate, and the joins are plain equi-joins that adaptive execution
-splits when a node has very many links.  A round's links are written to the
-shared folder; nothing but their checksum reaches the driver.
+splits when a node has very many links.  The links after each star are written
+to the shared folder, so that no plan holds more than one star: the driver's
+memory goes with the plan that it keeps and with the tasks of its stages.  Only
+the number of links and whether they are stars reach the driver.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsfeat.llm.tables import written
+from newsfeat.llm.tables import dropped, written
 
 #: A node with more than this part of all links has them dealt to several tasks.
 HOT = 200
@@ -43,6 +45,16 @@ def _star(links: DataFrame, larger: bool, total: int) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
+def _settled(links: DataFrame) -> tuple[int, bool]:
+    """The number of links, and whether each node above another one has that
+    link alone: then all are stars around the smallest node."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    node = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    total, open_ = node.agg(F.sum("up"), F.max((F.col("up") > 0) & (F.col("n") > 1))).first()
+    return total or 0, not open_
+
+
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node with a link in ``links (u, v)``;
     the component is its smallest node.  Links of a node to itself, repeated
@@ -50,12 +62,16 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     ``max_rounds`` rounds (paths of more than 2**30 nodes) do not suffice."""
     state = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct(), "links")
-    seen, total = None, state.count()
-    for _ in range(max_rounds):
-        state = written(_star(_star(state, True, total), False, total), "links")
-        now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if tuple(now) == seen:
-            return state.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                state.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
-        seen, total = tuple(now), now[0]
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    total, settled = _settled(state)
+    rounds = 0
+    while not settled:
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        half = written(_star(state, True, total), "links")
+        dropped(state)
+        state = written(_star(half, False, total), "links")
+        dropped(half)
+        total, settled = _settled(state)
+        rounds += 1
+    return state.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        state.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

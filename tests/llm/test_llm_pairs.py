@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from newsfeat.llm import embedding_caps, hyperminhash
+from newsfeat.llm import components, embedding_caps, hyperminhash
 from newsfeat.llm.components import connected_components
 
 
@@ -37,6 +37,35 @@ def test_components_of_a_hot_node(spark):
     assert out == {**{k: 0 for k in [*range(3000), 9000, 9001]}, **{k: 5000 for k in range(5000, 5061)}}
 
 
+def test_components_keep_the_drivers_plans_small(spark, monkeypatch):
+    """A plan holds one star at most, and links that are stars take no round."""
+    plans, write = [], components.written
+
+    def counted(df, name):
+        plans.append(df._jdf.queryExecution().analyzed().toString().count("Aggregate ["))
+        return write(df, name)
+
+    monkeypatch.setattr(components, "written", counted)
+    links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)]
+    out = dict(map(tuple, connected_components(spark.createDataFrame(links, "u long, v long")).collect()))
+    assert out == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 140)}}
+    assert len(plans) > 3 and max(plans) <= 4
+
+    plans.clear()
+    stars = [(k % 7, k) for k in range(7, 300)] + [(3, 3), (10, 3), (10, 3)]
+    out = dict(map(tuple, connected_components(spark.createDataFrame(stars, "u long, v long")).collect()))
+    assert out == {k: k % 7 for k in range(300)}
+    assert len(plans) == 1
+
+
+def test_components_raise_only_when_the_rounds_do_not_suffice(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "u long, v long")
+    with pytest.raises(RuntimeError, match="in 1 rounds"):
+        connected_components(path, max_rounds=1)
+    star = spark.createDataFrame([(1, 2), (1, 3)], "u long, v long")
+    assert {tuple(r) for r in connected_components(star, max_rounds=0).collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
 def words_of(text):
     return (text or "").encode().lower().split()
 
