@@ -1,10 +1,10 @@
 """Quality rules and a verdict by log-likelihood ratio of hashed n-grams.
 
 Words and signs of a text, and pairs of neighbours, are hashed to ``BUCKETS``
-features; a word said twice in a row is one feature, whatever the word.  Two multinomials are counted: over trusted documents (a bounded
-sample of those labelled good) and over the whole raw corpus.  A document's
+features; a word said twice in a row is one feature, whatever the word.  Two multinomials are counted: over trusted documents (all
+those labelled good) and over the whole raw corpus.  A document's
 score is the mean of log(trusted / raw) over its features, so that length plays
-no part.  The threshold is fitted on the labelled sample: of all cuts the one
+no part.  The threshold is fitted on all labelled documents: of all cuts the one
 with the smallest cost, a good document lost counting ``GOOD_COST`` times a bad
 one kept; every document is then decided by ``score >= threshold``.
 """
@@ -20,13 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsfeat.llm.hashing import BYTE_VALUES, IS_WORD, U64, WORD_OR_SIGN, Block, as_bytes, blocks, mix, window_hash
-from newsfeat.llm.tables import label_sample, with_sample
+from newsfeat.llm.tables import dropped, labelled, written
+from newsfeat.operators.ranking import cumulative_within
 
 BUCKETS = 1 << 16
 WINDOW = 8
 GOOD_COST = 20
-#: Labelled documents that the trusted counts and the threshold are fitted on.
-SAMPLE_ROWS = 20_000
 
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
@@ -97,18 +96,20 @@ class QualityModel:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The feature counts of a partition: one row for each bucket it has."""
-    raw, trusted = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    n = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        good = batch.column("_label").fill_null(0).to_numpy() == 1
-        texts = as_bytes(batch.column("text"))
-        at = 0
-        for doc, bucket, n in features(texts):
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            trusted += np.bincount(bucket[good[at:at + n][doc]], minlength=BUCKETS)
-            at += n
-    full = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(raw[full]), pa.array(trusted[full])],
-                                     names=["bucket", "raw", "trusted"])
+        for _doc, bucket, _n in features(as_bytes(batch.column("text"))):
+            n += np.bincount(bucket, minlength=BUCKETS)
+    full = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(n[full])], names=["bucket", "n"])
+
+
+def _bucket_counts(texts: DataFrame) -> np.ndarray:
+    """Of each bucket its features in all ``texts``; only sums reach the driver."""
+    counts = texts.select("text").mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(BUCKETS)
+    out[counts["bucket"].to_numpy(int)] = counts["n"]
+    return out
 
 
 def _labelled(batches: Iterator[pa.RecordBatch], model: QualityModel) -> Iterator[pa.RecordBatch]:
@@ -122,40 +123,38 @@ def _base_failed(counts: dict[str, np.ndarray]) -> np.ndarray:
     return (counts["n_words"] < 20) | (100 * counts["n_repeat_words"] > 30 * counts["n_words"])
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The cut of least cost, in the middle of its gap; without documents of
-    both labels the cut that keeps all."""
-    if not (labels == 1).any() or not (labels == 0).any():
-        return float("-inf")
-    order = np.argsort(scores, kind="stable")
-    s, good = scores[order], labels[order] == 1
-    # cut k rejects the k lowest
-    cost = GOOD_COST * np.concatenate([[0], np.cumsum(good)]) + np.concatenate([np.cumsum(~good[::-1])[::-1], [0]])
-    cuts = np.concatenate([[True], s[1:] > s[:-1], [False]])  # equal scores are never parted
-    k = int(np.flatnonzero(cuts)[np.argmin(cost[cuts])])
-    return float("-inf") if k == 0 else float((s[k - 1] + s[k]) / 2)
+def best_threshold(seen: DataFrame) -> float:
+    """The cut of least cost in rows ``(score, label)``, in the middle of its
+    gap; without documents of both labels the cut that keeps all.  Costs are
+    running totals over the distinct scores; one row reaches the driver."""
+    good = F.col("label") == 1
+    # equal scores are never parted
+    cells = seen.groupBy("score").agg(F.sum(good.cast("long")).alias("good"), F.sum((~good).cast("long")).alias("other"),
+                                      F.sum((F.col("label") == 0).cast("long")).alias("bad"))
+    c = cumulative_within(cells, [], ["score"], ["good", "other", "bad"], ["_good", "_other", "_bad"],
+                          ["goods", "others", "bads"])
+    # the cut before a cell rejects all cells below it
+    cost = GOOD_COST * (F.col("_good") - F.col("good")) + F.col("others") - (F.col("_other") - F.col("other"))
+    best = c.where((F.col("goods") > 0) & (F.col("bads") > 0)).withColumn("cost", cost).orderBy("cost", "score").first()
+    below = best and c.where(F.col("score") < best["score"]).agg(F.max("score")).first()[0]
+    return float("-inf") if below is None else (below + best["score"]) / 2
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> QualityModel:
-    """Counts the raw corpus over all of ``docs`` and the trusted one over at
-    most ``sample_rows`` labelled documents; only bucket sums and the sample's
-    scores reach the driver.  An empty corpus gives ratios of 0."""
-    sample = label_sample(labels, label_col, sample_rows).cache()
-    counts = with_sample(docs, sample, "left", id_col, text_col) \
-        .mapInArrow(_counted, "bucket long, raw long, trusted long") \
-        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas()
-    raw, trusted = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[counts["bucket"]], trusted[counts["bucket"]] = counts["raw"], counts["trusted"]
+        label_col: str = "quality") -> QualityModel:
+    """Counts the raw corpus over all of ``docs`` and the trusted one over all
+    that are labelled good; only bucket sums and the cut reach the driver.  An
+    empty corpus gives ratios of 0."""
+    seen = written(labelled(docs, labels, label_col, id_col, text_col), "quality_labelled")
+    raw = _bucket_counts(docs.select(F.col(text_col).alias("text")))
+    trusted = _bucket_counts(seen.where("_label = 1"))
     ratio = np.zeros(BUCKETS)
     if trusted.any():
         ratio = np.log((trusted + 1) / (trusted.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
     model = QualityModel(ratio, float("-inf"))
-    seen = with_sample(docs, sample, "inner", id_col, text_col) \
-        .mapInArrow(lambda it: _labelled(it, model), "score double, passes boolean, label int").toPandas()
-    seen = seen[seen["passes"]]
-    model.threshold = best_threshold(seen["score"].to_numpy(float), seen["label"].to_numpy(int))
-    sample.unpersist()
+    scored = written(seen.mapInArrow(lambda it: _labelled(it, model), "score double, passes boolean, label int"), "quality_scores")
+    dropped(seen)
+    model.threshold = best_threshold(scored.where("passes"))
     return model
 
 

@@ -1,14 +1,17 @@
-"""Small shared steps: reading a table, cutting lineage, bounded label samples."""
+"""Small shared steps: reading a table, cutting lineage, documents with their labels."""
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsfeat.session import scratch_path
 
+#: Places that the ids of labels are hashed to.
+PLACE_BITS = 25
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -32,19 +35,32 @@ def dropped(table: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def label_sample(labels: DataFrame, column: str, rows: int, id_col: str = "doc_id") -> DataFrame:
-    """At most ``rows`` labelled ids ``(id, label)``, the first by hash of the
-    id, so that the choice follows neither order nor partitions.  Several
-    labels of one id count as their largest; null ids and labels are left
-    out.  ``rows`` bounds what is broadcast and fitted on."""
-    known = labels.select(F.col(id_col).alias("_id"), F.col(column).cast("int").alias("_label")).dropna()
-    one = known.groupBy("_id").agg(F.max("_label").alias("_label"))
-    return one.orderBy(F.xxhash64("_id"), "_id").limit(rows)
+def bits(rows: DataFrame, number: Column) -> DataFrame:
+    """The set of the positive numbers of ``rows`` as bitmaps of 2**15 each."""
+    return rows.groupBy(F.bitmap_bucket_number(number).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bits"))
+
 
+def marked(table: DataFrame, number: Column, marks: DataFrame) -> DataFrame:
+    """The rows of ``table`` whose number is in ``marks``, made by ``bits``."""
+    at = F.bitmap_bit_position(number)
+    rows = table.withColumns({"_of": F.bitmap_bucket_number(number), "_byte": (F.floor(at / 8) + 1).cast("int"),
+                              "_bit": (at % 8).cast("int")})
+    rows = rows.join(marks, rows["_of"] == marks["_bucket"]) \
+        .where("shiftright(cast(conv(hex(substring(_bits, _byte, 1)), 16, 10) as int), _bit) & 1 = 1")
+    return rows.select(*table.columns)
 
-def with_sample(docs: DataFrame, sample: DataFrame, how: str, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """``(id, text, _label)`` of documents; the sample's size is bounded by
-    ``label_sample``, so it is broadcast and the texts are not shuffled."""
-    one = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
-    return one.join(F.broadcast(sample), one["_doc"] == sample["_id"], how).select("_doc", "text", "_label")
+
+def labelled(docs: DataFrame, labels: DataFrame, column: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(_doc, text, _label)`` of every document that has a label.  Several
+    labels of one id count as their largest; null ids and labels are left out.
+    There may be as many labels as documents, so they are joined by a shuffle;
+    of the documents, those go into it whose ids hash to a marked place of
+    ``2 ** PLACE_BITS`` (a bitmap of 4 MB, broadcast)."""
+    known = labels.select(F.col(id_col).alias("_id"), F.col(column).cast("int").alias("_label")).dropna()
+    one = known.groupBy("_id").agg(F.max("_label").alias("_label"))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
+    if docs.schema[id_col].dataType == labels.schema[id_col].dataType:  # others hash otherwise
+        place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << PLACE_BITS)) + 1
+        texts = marked(texts, place("_doc"), F.broadcast(bits(known, place("_id"))))
+    return texts.join(one.hint("merge"), texts["_doc"] == one["_id"]).select("_doc", "text", "_label")
