@@ -225,7 +225,7 @@ def log_odds(row: np.ndarray, col: np.ndarray, n_features: int, toxic: np.ndarra
 
 def _against(row: np.ndarray, col: np.ndarray, fold: np.ndarray, odds: np.ndarray) -> np.ndarray:
     """Of each text the sum of its features' log-odds, those of its fold."""
-    return np.bincount(row, weights=odds[fold[row], col], minlength=len(fold))
+    return np.bincount(row, weights=odds[fold[row], col], minlength=len(fold)).astype(float)  # whole numbers if there are none
 
 
 def evidence(row: np.ndarray, col: np.ndarray, n_features: int, toxic: np.ndarray, fold: np.ndarray) -> np.ndarray:

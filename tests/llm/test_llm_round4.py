@@ -150,3 +150,8 @@ def test_presence_is_the_same_however_often_it_is_added_up(spark, many, monkeypa
     monkeypatch.setattr(toxicity, "HELD", 100)
     assert next(toxicity._presence(iter(batches))).equals(whole)
     assert next(toxicity._presence(iter([]))).num_rows == 0
+
+
+def test_texts_without_features_have_evidence_of_no_size():
+    got = toxicity._against(np.empty(0, int), np.empty(0, int), np.zeros(3, int), np.zeros((5, 0)))
+    assert got.dtype == float and got.tolist() == [0, 0, 0]
